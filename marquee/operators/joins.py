@@ -205,8 +205,8 @@ def array_match_join_theta(df: DataFrame, arr_col: str, dim: DataFrame, dim_col:
                            dim_cols=None) -> DataFrame:
     """The literal theta form (nested-loop join); kept as a test oracle only."""
     dim_cols = list(dim_cols or dim.columns)
-    d = dim.select(*[F.col(c).alias(f"__d_{c}") for c in dim_cols])
-    j = df.join(d, F.array_contains(F.col(arr_col), F.col(f"__d_{dim_col}")), "left")
+    d = dim.select(F.col(dim_col).alias("__elem"), *[F.col(c).alias(f"__d_{c}") for c in dim_cols])
+    j = df.join(d, F.array_contains(F.col(arr_col), F.col("__elem")), "left")
     return j.select(*df.columns, *[F.col(f"__d_{c}").alias(c) for c in dim_cols])
 
 

@@ -33,7 +33,8 @@ def nonempty_feeds(feeds: dict) -> dict:
 
 
 def snapshot_run(catalog: Catalog, name: str, batch: DataFrame, key, now=None,
-                 check_cols=None, updated_at: str | None = None, order=None) -> DataFrame:
+                 check_cols=None, updated_at: str | None = None, order=None,
+                 meta: dict | None = None) -> DataFrame:
     """One scheduled snapshot of ``batch`` into the stored table ``name``.
 
     The batch is reduced to one row per key first (latest by ``order``), then
@@ -47,7 +48,7 @@ def snapshot_run(catalog: Catalog, name: str, batch: DataFrame, key, now=None,
         snap = snapshot_check(prev, batch, key, check_cols, now)
     else:
         snap = snapshot_timestamp(prev, batch, key, updated_at)
-    return catalog.write_table(name, snap)
+    return catalog.write_table(name, snap, meta)
 
 
 @dataclass

@@ -631,3 +631,25 @@ def q_scalar_misc(spark, d):
     o = _t(spark, d, "orders")
     return o.select("o_orderkey", F.year("o_orderdate").alias("order_year"),
                     F.length("o_orderpriority").alias("priority_len"))
+
+
+# ------------------------------------------------------------------ ST1 / ST2
+
+RESEND_FROM = "2024-01-15 00:00:00"
+
+
+@query("stream_dedup", "SELECT event_id, user_id, event_type, ts, value FROM events")
+def q_stream_dedup(spark, d):
+    """Two deliveries land (all events, then a re-sent second half); a file
+    stream drains them in micro-batches of 4 files into the exact dedup sink."""
+    from marquee.streaming import RegistryDedupSink, ingest_stream, run_available
+
+    ev = _t(spark, d, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    root = scratch_path(spark, "stream_dedup")
+    landing = f"{root}/landing"
+    ev.write.mode("append").parquet(landing)
+    ev.filter(F.col("ts") >= F.lit(RESEND_FROM).cast("timestamp_ntz")).write.mode("append").parquet(landing)
+    sink = RegistryDedupSink(spark, f"{root}/out", key="event_id", order=["event_id"])
+    run_available(ingest_stream(spark, landing, ev.schema, "parquet", max_files_per_trigger=4),
+                  sink, f"{root}/_checkpoint")
+    return sink.read()

@@ -65,14 +65,21 @@ class Catalog:
     def read_table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.table_location(name))
 
-    def write_table(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a new version, then swap the pointer to it."""
+    def write_table(self, name: str, df: DataFrame, meta: dict | None = None) -> DataFrame:
+        """Write a new version, then swap the pointer to it (with optional metadata)."""
         loc = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(loc)
-        self.spark.range(1).select(F.lit(loc).alias("location")) \
-            .write.mode("overwrite").parquet(self._pointer(name))
+        cols = [F.lit(loc).alias("location")] + [F.lit(v).alias(k) for k, v in (meta or {}).items()]
+        self.spark.range(1).select(*cols).write.mode("overwrite").parquet(self._pointer(name))
         return self.spark.read.parquet(loc)
 
+    def table_meta(self, name: str, field: str):
+        """A metadata value stored with the table's current version (None if absent)."""
+        if not self.exists(name):
+            return None
+        ptr = self.spark.read.parquet(self._pointer(name))
+        return ptr.first()[field] if field in ptr.columns else None
+
     def append_table(self, name: str, df: DataFrame) -> DataFrame:
         if not self.exists(name):
             return self.write_table(name, df)

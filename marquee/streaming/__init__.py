@@ -1,0 +1,9 @@
+from marquee.streaming.ingest import (
+    RegistryDedupSink,
+    SnapshotSink,
+    dedup_stream,
+    ingest_stream,
+    run_available,
+)
+
+__all__ = ["RegistryDedupSink", "SnapshotSink", "dedup_stream", "ingest_stream", "run_available"]
