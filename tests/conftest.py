@@ -42,3 +42,8 @@ def rows(df, *cols):
     """Sorted tuples of the given columns (all columns if none)."""
     cols = cols or tuple(df.columns)
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+def srt(expected):
+    """Expected rows in the order ``rows`` returns them."""
+    return sorted(expected, key=repr)

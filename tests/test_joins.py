@@ -15,14 +15,14 @@ from marquee.operators import (
     unique_rows,
     unique_rows_selfjoin,
 )
-from tests.conftest import rows
+from tests.conftest import rows, srt
 
 
 def test_anti_by_registry_plain_and_null_safe(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "id string")
     ids = spark.createDataFrame([("a",), (None,)], "id string")
     assert rows(anti_by_registry(df, ids, "id")) == sorted([("b",), (None,)], key=repr)
-    assert rows(anti_by_registry(df, ids, "id", null_safe=True)) == [("b",)]
+    assert rows(anti_by_registry(df, ids, "id", null_safe=True)) == srt([("b",)])
 
 
 def test_append_new_not_in_semantics(spark):
@@ -36,12 +36,12 @@ def test_append_new_not_in_semantics(spark):
     # NOT IN a set holding NULL is never TRUE
     assert rows(append_new(df, with_null, "id", null_aware=True)) == []
     # NULL NOT IN (non-empty set) is NULL -> dropped
-    assert rows(append_new(df, plain, "id", null_aware=True)) == [("b",)]
+    assert rows(append_new(df, plain, "id", null_aware=True)) == srt([("b",)])
     # and it equals Spark SQL's own NOT IN
     df.createOrReplaceTempView("t_df")
     plain.createOrReplaceTempView("t_plain")
     sql = spark.sql("select * from t_df where id not in (select id from t_plain)")
-    assert rows(sql) == [("b",)]
+    assert rows(sql) == srt([("b",)])
 
 
 def test_unique_rows_drops_duplicates_and_null_keys(spark):
@@ -50,10 +50,10 @@ def test_unique_rows_drops_duplicates_and_null_keys(spark):
          ("t4", None, 2000, 90), ("t5", "Up", None, 96)],
         "id string, primary_title string, year int, runtime int")
     got = rows(unique_rows(df, ["primary_title", "year"], ["id", "runtime"]), "id", "primary_title", "year")
-    assert got == [("t3", "Heat", 1986)]
+    assert got == srt([("t3", "Heat", 1986)])
     assert rows(unique_rows_selfjoin(df, ["primary_title", "year"], ["id", "runtime"]),
                 "id", "primary_title", "year") == got
-    assert rows(groups_of_size(df, ["primary_title", "year"], 2)) == [("Heat", 1995)]
+    assert rows(groups_of_size(df, ["primary_title", "year"], 2)) == srt([("Heat", 1995)])
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -84,7 +84,7 @@ def test_array_match_join_equals_theta_on_edge_cases(spark):
     got = rows(equi, "id", "genre_id")
     assert got.count((1, "g1")) == 1 and (1, "g2") in got
     for i in (2, 3, 4):
-        assert [r for r in got if r[0] == i] == [(i, None)]
+        assert [r for r in got if r[0] == i] == srt([(i, None)])
     assert [r for r in got if r[0] == 6] == sorted([(6, "g2"), (6, "g3"), (6, "g4")])
     plan = equi._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan
@@ -103,16 +103,16 @@ def test_array_match_join_equals_theta_property(spark, arrays, dim_values):
 
 def test_distinct_elements_flatten_drops_null_and_empty(spark):
     df = spark.createDataFrame([(["a", "b"],), (["a"],), (None,), ([],)], "g array<string>")
-    assert rows(distinct_elements(df, "g", "genre")) == [("a",), ("b",)]
+    assert rows(distinct_elements(df, "g", "genre")) == srt([("a",), ("b",)])
 
 
 def test_lookups_and_fanout(spark):
     reviews = spark.createDataFrame([("Heat", "h1"), ("Up", "h2"), ("Nope", "h3")], "title string, head string")
     dim = spark.createDataFrame([("m1", "Heat"), ("m2", "Heat"), ("m3", "Up")], "mid string, name string")
     fan = fanout_join(reviews, dim, "title", right_on="name")
-    assert rows(fan, "title", "mid") == [("Heat", "m1"), ("Heat", "m2"), ("Up", "m3")]
+    assert rows(fan, "title", "mid") == srt([("Heat", "m1"), ("Heat", "m2"), ("Up", "m3")])
     left = left_lookup(reviews, dim.filter("mid != 'm2'"), "title", right_on="name")
-    assert rows(left, "title", "mid") == [("Heat", "m1"), ("Nope", None), ("Up", "m3")]
+    assert rows(left, "title", "mid") == srt([("Heat", "m1"), ("Nope", None), ("Up", "m3")])
     assert "name" not in left.columns
 
 
@@ -120,9 +120,9 @@ def test_join_feeds_year_only_with_switch(spark):
     imdb = spark.createDataFrame([("Heat", 1995, "i1")], "movie_name string, year int, imdb string")
     nyt = spark.createDataFrame([("Heat", 2020, "n1")], "movie_name string, year int, nyt string")
     parity = join_feeds(imdb, nyt, ["movie_name"], extra_keys=["year"])
-    assert rows(parity, "imdb", "nyt") == [("i1", "n1")]
+    assert rows(parity, "imdb", "nyt") == srt([("i1", "n1")])
     strict = join_feeds(imdb, nyt, ["movie_name"], extra_keys=["year"], match_extra=True)
-    assert rows(strict, "imdb", "nyt") == [("i1", None)]
+    assert rows(strict, "imdb", "nyt") == srt([("i1", None)])
 
 
 def test_duplicate_conjunct_is_one_key(spark):
