@@ -148,7 +148,10 @@ def copy_into(spark: SparkSession, paths, schema: T.StructType, fmt=CsvFormat(),
 
     good_files = report.filter(F.col("status") != "SKIPPED").select(F.col("file").alias("__file"))
     if skip_file_pct is None:
-        good_files = report.select(F.col("file").alias("__file"))
+        # ABORT_STATEMENT: one error anywhere loads nothing (a scalar subquery
+        # over the per-file report, folded into the filter).
+        total_errors = per_file.agg(F.coalesce(F.sum("errors_seen"), F.lit(0))).scalar()
+        good_files = report.filter(total_errors == 0).select(F.col("file").alias("__file"))
     rows = (checked.filter(~F.col("__bad"))
             .join(good_files, "__file", "left_semi")
             .select(*[f.name for f in schema.fields]))
