@@ -86,8 +86,9 @@ def run_day(catalog: Catalog, feeds: DayFeeds, now, as_of=None, review_fields=No
         Q.gate(Q.run_suite(present["basics"], S.BASICS_RAW_SUITE), "imdb-basic.raw")
     if "ratings" in present:
         Q.gate(Q.run_suite(present["ratings"], S.RATINGS_RAW_SUITE), "imdb-rating.raw")
-    if "reviews" in present and review_fields is not None:
-        Q.gate(Q.run_suite(review_fields(present["reviews"]), S.REVIEWS_RAW_SUITE), "nyt-review.raw")
+    if "reviews" in present:
+        fields = review_fields or M.review_raw_fields
+        Q.gate(Q.run_suite(fields(present["reviews"]), S.REVIEWS_RAW_SUITE), "nyt-review.raw")
 
     # 2. truncate + load raw tables
     empty_basics = spark.createDataFrame([], M.BASICS_RAW)

@@ -87,6 +87,20 @@ REVIEW_FIELDS = [
 ]
 
 
+# Raw JSON field -> type, as the raw review suite sees them (objects stay VARIANT).
+REVIEW_RAW_TYPES = [
+    ("display_title", "string"), ("mpaa_rating", "string"), ("critics_pick", "long"),
+    ("byline", "string"), ("headline", "string"), ("summary_short", "string"),
+    ("publication_date", "string"), ("opening_date", "string"), ("date_updated", "string"),
+    ("link", None), ("multimedia", None),
+]
+
+
+def review_raw_fields(raw_variant: DataFrame, content: str = "content") -> DataFrame:
+    """The landed review records as top-level columns (input of the raw review suite)."""
+    return raw_variant.select(*[variant_field(content, name, t).alias(name) for name, t in REVIEW_RAW_TYPES])
+
+
 # ------------------------------------------------------------------ snapshots
 
 def imdb_basic_snapshot(raw: DataFrame, snapshot: DataFrame | None, now) -> DataFrame:
