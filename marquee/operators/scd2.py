@@ -158,8 +158,94 @@ def snapshot_timestamp(snapshot: DataFrame | None, incoming: DataFrame, key, upd
 
 # ---------------------------------------------------------------------------- SN4
 
+def _order_number(c: Column, dtype) -> Column:
+    """A numeric image of an order column (monotone), for range chunking."""
+    name = type(dtype).__name__
+    if name in ("TimestampType", "TimestampNTZType"):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if name == "DateType":
+        return F.unix_date(c).cast("double")
+    return c.cast("double")
+
+
+def hot_keys(df: DataFrame, keys, order: str, split_rows: int) -> DataFrame:
+    """Keys with more than ``split_rows`` rows, with the range of ``order`` and a chunk count.
+
+    One partially aggregated pass (a hot key is counted map-side); the result
+    has at most ``rows / split_rows`` rows.
+    """
+    dtype = df.schema[order].dataType
+    onum = _order_number(F.col(order), dtype)
+    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(onum).alias("__lo"),
+                                  F.max(onum).alias("__hi"))
+    return (stats.filter(F.col("__n") > split_rows)
+            .withColumn("__chunks", F.ceil(F.col("__n") / F.lit(split_rows)).cast("int")))
+
+
+def _segmented_history(df, keys, order_cols, check_cols, updated_at, hot, hot_small: bool):
+    """Window history with hot keys cut into contiguous ``order`` ranges (chunks).
+
+    Rows of ordinary keys get chunk 0. Windows run per (key, chunk), so no task
+    holds more than about ``split_rows`` rows of a hot key. What a chunk needs
+    from the rows before it (the last check values, or the running maximum)
+    comes from a per-(key, chunk) summary, itself windowed per key over at
+    most a few chunks, and joined back on (key, chunk): the big side keeps
+    its (key, chunk) partitioning, only the small summary moves.
+    """
+    o = order_cols[0]
+    onum = _order_number(F.col(o), df.schema[o].dataType)
+    h = hot.select(*keys, "__lo", "__hi", "__chunks")
+    if hot_small:
+        h = F.broadcast(h)
+    width = (F.col("__hi") - F.col("__lo")) / F.col("__chunks")
+    chunk = F.when(F.col("__lo").isNull() | (width <= 0), F.lit(0)).otherwise(
+        F.least(F.col("__chunks") - 1, F.floor((onum - F.col("__lo")) / width)).cast("int"))
+    x = df.join(h, keys, "left").withColumn("__chunk", chunk).drop("__lo", "__hi", "__chunks")
+
+    kc = keys + ["__chunk"]
+    w = Window.partitionBy(*kc).orderBy(*[F.col(c) for c in order_cols])
+    wc = Window.partitionBy(*keys).orderBy("__chunk")
+    ordering = F.struct(*[F.col(c) for c in order_cols])
+    if check_cols is not None:
+        checks = list(check_cols)
+        rows = x.select("*", F.lag(F.lit(1)).over(w).isNull().alias("__first"),
+                        F.lag(F.struct(*checks)).over(w).alias("__prev"))
+        summ = (x.groupBy(*kc).agg(F.max_by(F.struct(*checks), ordering).alias("__last"))
+                .select(*kc, F.lag("__last").over(wc).alias("__carry"),
+                        F.lag(F.lit(1)).over(wc).isNotNull().alias("__has_prev")))
+        j = rows.join(summ, kc, "left")
+        prev = F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__prev"))
+        changed = _any_distinct([F.col(c) for c in checks], [prev[c] for c in checks])
+        ts = F.col(o)
+    else:
+        rows = x.select("*", F.lag(F.lit(1)).over(w).isNull().alias("__first"),
+                        F.max(updated_at).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__pm"))
+        summ = (x.groupBy(*kc).agg(F.max(updated_at).alias("__cmax"))
+                .select(*kc, F.max("__cmax").over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"),
+                        F.lag(F.lit(1)).over(wc).isNotNull().alias("__has_prev")))
+        j = rows.join(summ, kc, "left")
+        changed = F.col(updated_at) > F.greatest(F.col("__pm"), F.col("__carry"))
+        ts = F.col(updated_at)
+    first_overall = F.col("__first") & ~F.coalesce(F.col("__has_prev"), F.lit(False))
+    kept = (j.filter(first_overall | changed).withColumn(VALID_FROM, ts)
+            .select(*df.columns, "__chunk", VALID_FROM))
+
+    # valid_to: next kept row, within the chunk or else the first kept row of a later chunk
+    nxt = (kept.groupBy(*kc).agg(F.min_by(F.col(VALID_FROM), ordering).alias("__first_vf"))
+           .select(*kc, F.lead("__first_vf").over(wc).alias("__next_vf")))
+    out = kept.select("*", F.lead(VALID_FROM).over(w).alias("__lead")).join(nxt, kc, "left")
+    return out.select(
+        *df.columns,
+        scd_id(keys, F.col(VALID_FROM)).alias(SCD_ID),
+        F.col(VALID_FROM).alias(UPDATED_AT),
+        F.col(VALID_FROM),
+        F.coalesce(F.col("__lead"), F.col("__next_vf")).alias(VALID_TO),
+    )
+
+
 def scd2_history(df: DataFrame, key, order, check_cols=None, updated_at: str | None = None,
-                 tiebreak=None) -> DataFrame:
+                 tiebreak=None, split_rows: int | None = 1_000_000,
+                 max_hot_keys: int = 100_000) -> DataFrame:
     """Replay a whole change feed into snapshot rows with window functions.
 
     ``order`` is the arrival column (the load time of each row). Exactly one of
@@ -173,11 +259,23 @@ def scd2_history(df: DataFrame, key, order, check_cols=None, updated_at: str | N
     Equal to folding ``snapshot_check`` / ``snapshot_timestamp`` day by day
     (a skipped row always equals the current version, so comparing with the
     previous row is comparing with the current version).
+
+    Hot keys: a key with more than ``split_rows`` rows is split into
+    contiguous ranges of ``order`` processed by separate tasks (see
+    ``_segmented_history``); ``split_rows=None`` always uses one window per key.
     """
     if (check_cols is None) == (updated_at is None):
         raise ValueError("give exactly one of check_cols or updated_at")
     keys = _names(key)
     order_cols = _names(order) + (_names(tiebreak) if tiebreak else [])
+    if split_rows is not None:
+        # A bounded count decides: no hot key -> plain windows; else split hot keys
+        # (broadcasting the hot-key table only when its size is proven small).
+        hot = hot_keys(df, keys, order_cols[0], split_rows)
+        n_hot = hot.limit(max_hot_keys + 1).count()
+        if n_hot:
+            return _segmented_history(df, keys, order_cols, check_cols, updated_at, hot,
+                                      hot_small=n_hot <= max_hot_keys)
     w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_cols])
     first = F.lag(F.lit(1)).over(w).isNull()
     if check_cols is not None:

@@ -121,3 +121,32 @@ def test_history_first_row_with_null_check_value_is_kept(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, None), ("a", 3, "x")], "k string, ts int, v string")
     h = scd2_history(df, "k", "ts", check_cols=["v"])
     assert rows(h, "ts", "v", "dbt_valid_to") == sorted([(1, None, 3), (3, "x", None)], key=repr)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.integers(0, 30),
+                          st.one_of(st.none(), st.sampled_from(["x", "y"])), st.integers(1, 6)),
+                min_size=1, max_size=40),
+       st.integers(1, 6))
+def test_split_hot_keys_equals_plain_windows(spark, data, split_rows):
+    df = spark.createDataFrame([(k, dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), n, v, dt.date(2024, 1, u))
+                                for n, (k, h, v, u) in enumerate(data)],
+                               "k string, ts timestamp, seq int, v string, upd date")
+    cols = ("k", "seq", "dbt_scd_id", "dbt_valid_from", "dbt_valid_to")
+    for kw in (dict(check_cols=["v"]), dict(updated_at="upd")):
+        plain = scd2_history(df, "k", "ts", tiebreak="seq", split_rows=None, **kw)
+        split = scd2_history(df, "k", "ts", tiebreak="seq", split_rows=split_rows, **kw)
+        assert rows(split, *cols) == rows(plain, *cols)
+
+
+def test_split_hot_key_spreads_over_tasks(spark):
+    # one key holds most rows; with split_rows=100 it is windowed in >= 10 chunks
+    data = [("hot", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i, "ab"[(i // 7) % 2]) for i in range(1000)]
+    data += [(f"k{i}", dt.datetime(2024, 1, 1), 5000 + i, "a") for i in range(50)]
+    df = spark.createDataFrame(data, "k string, ts timestamp, seq int, v string")
+    split = scd2_history(df, "k", "ts", check_cols=["v"], tiebreak="seq", split_rows=100)
+    plain = scd2_history(df, "k", "ts", check_cols=["v"], tiebreak="seq", split_rows=None)
+    cols = ("k", "seq", "dbt_valid_from", "dbt_valid_to")
+    assert rows(split, *cols) == rows(plain, *cols)
+    from marquee.operators.scd2 import hot_keys
+    assert rows(hot_keys(df, ["k"], "ts", 100), "k", "__chunks") == [("hot", 10)]
