@@ -12,6 +12,7 @@ from marquee.operators.joins import (
     join_feeds,
     left_lookup,
     rated_titles,
+    skew_join,
     unique_rows,
     unique_rows_selfjoin,
 )
@@ -29,7 +30,7 @@ from marquee.operators.scd2 import (
 __all__ = [
     "anti_by_registry", "append_new", "array_match_join", "array_match_join_theta",
     "checked_broadcast", "distinct_elements", "distinct_values", "fanout_join", "flatten",
-    "groups_of_size", "join_feeds", "left_lookup", "rated_titles", "unique_rows",
+    "groups_of_size", "join_feeds", "left_lookup", "rated_titles", "skew_join", "unique_rows",
     "unique_rows_selfjoin", "one_hot", "META_COLS", "as_of", "current", "dedupe_latest",
     "scd2_history", "snapshot_check", "snapshot_timestamp",
 ]

@@ -8,8 +8,10 @@ Scale notes that apply to every function here:
   ``spark.sql.adaptive.autoBroadcastJoinThreshold``; ``checked_broadcast``
   hints explicitly, but only after a bounded count proves the row bound.
 * Hot keys: group-bys use partial (map-side) aggregation, so a key holding a
-  third of all rows is reduced to one row per map task before the shuffle;
-  joins rely on AQE skew-join splitting of oversized partitions.
+  third of all rows is reduced to one row per map task before the shuffle.
+  Joins get AQE skew-join splitting of oversized partitions at run time, and
+  ``skew_join`` salts hot keys explicitly where AQE cannot split (the right
+  side of a left outer join).
 * Nothing is collected to the driver except ``checked_broadcast``'s count.
 """
 
@@ -119,6 +121,49 @@ def unique_rows_selfjoin(df: DataFrame, keys, cols=None) -> DataFrame:
     return uniq.join(df.select(*keys, *cols), keys, "inner")
 
 
+# ------------------------------------------------------------------- hot keys
+
+def skew_join(left: DataFrame, right: DataFrame, on, how: str = "inner", hot_side: str = "left",
+              hot_rows: int | None = 1_000_000, max_hot_keys: int = 10_000, seed: int = 17) -> DataFrame:
+    """Equi join (``inner`` or ``left``) that splits keys with more than ``hot_rows`` rows.
+
+    Keys are counted on ``hot_side`` (one partially aggregated pass, bounded
+    by a ``limit`` count). No hot key: a plain join. Otherwise each hot-side
+    row of a hot key gets a random salt in ``[0, n / hot_rows)`` and the other
+    side's rows of that key are replicated once per salt; the join runs on
+    (keys, salt), so a hot key is spread over ``n / hot_rows`` tasks.
+
+    Exact for ``inner`` and ``left``: every row meets every matching row in
+    exactly one salt. With ``hot_side='right'`` and ``how='left'`` the left
+    rows of a hot key are replicated, which is still exact because a hot key
+    exists on the right, so those left rows always match. A retried task may
+    draw other salts; the result does not depend on them.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("skew_join supports inner and left joins")
+    keys = _names(on)
+    if hot_rows is None:
+        return left.join(right, keys, how)
+    big, other = (left, right) if hot_side == "left" else (right, left)
+    hot = (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+           .filter(F.col("__n") > hot_rows)
+           .select(*keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__b")))
+    n_hot = hot.limit(max_hot_keys + 1).count()
+    if n_hot == 0:
+        return left.join(right, keys, how)
+    h = F.broadcast(hot) if n_hot <= max_hot_keys else hot
+    salted = (big.join(h, keys, "left")
+              .withColumn("__salt", F.when(F.col("__b").isNull(), F.lit(0))
+                          .otherwise(F.floor(F.rand(seed) * F.col("__b")).cast("int")))
+              .drop("__b"))
+    copies = (other.join(h, keys, "left")
+              .withColumn("__salt", F.explode(F.when(F.col("__b").isNull(), F.array(F.lit(0)))
+                                               .otherwise(F.sequence(F.lit(0), F.col("__b") - 1))))
+              .drop("__b"))
+    lhs, rhs = (salted, copies) if hot_side == "left" else (copies, salted)
+    return lhs.join(rhs, keys + ["__salt"], how).drop("__salt")
+
+
 # ---------------------------------------------------------------- J4 / J5 / J7-J9
 
 def left_lookup(df: DataFrame, dim: DataFrame, on, how: str = "left",
@@ -141,13 +186,21 @@ def left_lookup(df: DataFrame, dim: DataFrame, on, how: str = "left",
     return df.join(renamed, cond, how).drop(*tmp)
 
 
-def fanout_join(left: DataFrame, dim: DataFrame, on, right_on=None) -> DataFrame:
+def fanout_join(left: DataFrame, dim: DataFrame, on, right_on=None,
+                hot_rows: int | None = None) -> DataFrame:
     """Inner equi join that may multiply rows (same title, several dim rows).
 
-    Fan-out is the reference's semantics and is kept; a hot title is handled by
-    AQE skew-join splitting, not by dropping rows.
+    Fan-out is the reference's semantics and is kept; a hot title is split
+    (AQE skew join at run time, or ``skew_join`` salting with ``hot_rows``),
+    never dropped.
     """
-    return left_lookup(left, dim, on, how="inner", right_on=right_on)
+    if hot_rows is None:
+        return left_lookup(left, dim, on, how="inner", right_on=right_on)
+    left_keys = _names(on)
+    d = dim
+    for lk, rk in zip(left_keys, _names(right_on) if right_on is not None else left_keys):
+        d = d.withColumnRenamed(rk, lk)
+    return skew_join(left, d, left_keys, "inner", hot_side="left", hot_rows=hot_rows)
 
 
 def rated_titles(ratings: DataFrame, basics: DataFrame, key: str = "id") -> DataFrame:
@@ -156,17 +209,20 @@ def rated_titles(ratings: DataFrame, basics: DataFrame, key: str = "id") -> Data
 
 
 def join_feeds(left: DataFrame, right: DataFrame, keys, extra_keys=(),
-               match_extra: bool = False) -> DataFrame:
+               match_extra: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Left-join two feeds on ``keys``; ``extra_keys`` join only if ``match_extra``.
 
     Parity with the reference is ``match_extra=False``: a year is computed on
     both sides but the join condition names only the title (twice).
+    A title hot on the left is split by AQE's skew join; ``hot_rows`` also
+    splits titles hot on the *right* (``skew_join``), which AQE cannot do
+    for a left outer join.
     """
     on = _names(keys) + (list(extra_keys) if match_extra else [])
     r = right
     if not match_extra:
         r = right.drop(*[c for c in extra_keys if c in right.columns])
-    return left.join(r, on, "left")
+    return skew_join(left, r, on, "left", hot_side="right", hot_rows=hot_rows)
 
 
 # ------------------------------------------------------------------------------ J6

@@ -43,6 +43,9 @@ RATINGS_CHECK_COLS = ["average_rating", "num_votes"]
 REVIEW_KEY_PARTS = ["author_name", "movie_title", "review_headline"]
 MOVIE_TITLE_TYPE = "movie"
 
+# A title with more rows than this on one side of a join is split over tasks.
+HOT_KEY_ROWS = 1_000_000
+
 # Raw tables (column names and types of the reference's DDL; NUMBER without a
 # scale is kept as a decimal with one fractional digit for ratings - see
 # ``parity_rounding`` in ``ratings_raw_schema``).
@@ -231,7 +234,7 @@ def nyt_combined(reviews: DataFrame, d_movies: DataFrame, d_authors: DataFrame,
     n = reviews.select("movie_title", "author_name", "review_headline", "review_date")
     nm = d_movies.select(F.col("id").alias("nyt_movie_id"), F.col("title").alias("movie_name"),
                          F.year("opening_date").alias("year"))
-    x = fanout_join(n, nm, "movie_title", right_on="movie_name")
+    x = fanout_join(n, nm, "movie_title", right_on="movie_name", hot_rows=HOT_KEY_ROWS)
     x = x.withColumn("movie_name", F.col("movie_title"))
     na = d_authors.select(F.col("id").alias("nyt_author_id"), F.col("name").alias("__a_name"))
     x = left_lookup(x, na, "author_name", right_on="__a_name")
@@ -248,5 +251,6 @@ def fct_imdb_nyt(ratings: DataFrame, basics: DataFrame, reviews: DataFrame, d_ge
     """grain = rating x genre x review; the feeds meet on the movie name."""
     left = imdb_combined(ratings, basics, d_titles, d_genres)
     right = nyt_combined(reviews, d_movies, d_authors, d_reviews)
-    fact = join_feeds(left, right, ["movie_name"], extra_keys=["year"], match_extra=match_year)
+    fact = join_feeds(left, right, ["movie_name"], extra_keys=["year"], match_extra=match_year,
+                      hot_rows=HOT_KEY_ROWS)
     return fact.select(*FACT_COLUMNS)

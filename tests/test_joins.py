@@ -131,3 +131,18 @@ def test_duplicate_conjunct_is_one_key(spark):
     j = a.join(b, (a.k == b.k2) & (a.k == b.k2), "left")
     assert "NestedLoopJoin" not in j._jdf.queryExecution().executedPlan().toString()
     assert j.filter(F.col("k2").isNotNull()).count() == 1
+
+
+def test_skew_join_equals_plain_join(spark):
+    from marquee.operators import skew_join
+
+    left = spark.createDataFrame([("hot", i) for i in range(300)] + [("a", 1), ("b", 2), (None, 3)],
+                                 "k string, lv int")
+    right = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("a", "z"), ("c", "w")], "k string, rv string")
+    big_right = spark.createDataFrame([("hot", f"r{i}") for i in range(200)] + [("a", "z")], "k string, rv string")
+    for how in ("inner", "left"):
+        assert rows(skew_join(left, right, "k", how, "left", hot_rows=50)) == rows(left.join(right, "k", how))
+        assert rows(skew_join(left, big_right, "k", how, "right", hot_rows=50)) == \
+            rows(left.join(big_right, "k", how))
+    salted = skew_join(left, right, "k", "inner", "left", hot_rows=50)
+    assert "__salt" not in salted.columns
