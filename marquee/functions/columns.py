@@ -52,17 +52,22 @@ def null_to_false(c) -> Column:
     return F.coalesce(as_col(c), F.lit(False))
 
 
-def null_sentinel(df: DataFrame, token: str = "\\N", columns=None) -> DataFrame:
-    """Replace a sentinel string by NULL in every string column (one projection).
+def null_sentinel(df: DataFrame, token="\\N", columns=None) -> DataFrame:
+    """Replace a sentinel string (or any of a list) by NULL in every string column.
 
-    Non-string columns cannot hold the token and pass through untouched.
+    One projection; non-string columns cannot hold the token and pass through.
     """
+    tokens = [token] if isinstance(token, str) else list(token)
     targets = set(columns) if columns is not None else {
         f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select([
-        F.nullif(F.col(f.name), F.lit(token)).alias(f.name) if f.name in targets else F.col(f.name)
-        for f in df.schema.fields
-    ])
+
+    def clean(name):
+        c = F.col(name)
+        if len(tokens) == 1:
+            return F.nullif(c, F.lit(tokens[0])).alias(name)
+        return F.when(~c.isin(tokens), c).alias(name)
+
+    return df.select([clean(f.name) if f.name in targets else F.col(f.name) for f in df.schema.fields])
 
 
 # ----------------------------------------------------------------------- casts

@@ -19,7 +19,10 @@ from marquee.operators import quality as Q
 from marquee.operators.scd2 import dedupe_latest, snapshot_check, snapshot_timestamp
 from marquee.plans import models as M
 from marquee.plans import suites as S
+from marquee.functions.columns import null_sentinel
 from marquee.sources.catalog import Catalog
+from marquee.sources.registry import IdRegistry
+from marquee.sources.writers import land
 
 
 def skip_if_empty(df: DataFrame | None) -> bool:
@@ -51,6 +54,42 @@ def snapshot_run(catalog: Catalog, name: str, batch: DataFrame, key, now=None,
     return catalog.write_table(name, snap, meta)
 
 
+# pandas' default missing-value tokens (public pandas behaviour), for ``pandas_na=True``.
+PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+                    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def extract_new(registry: IdRegistry, df: DataFrame, key: str, mode: str = "new_ids",
+                sentinel: str = "\\N", pandas_na: bool = False) -> DataFrame:
+    """Incremental landing rows of a full source file.
+
+    ``mode='new_ids'`` (parity) keeps rows whose key was never registered, so a
+    changed attribute of a known id never arrives; ``mode='all'`` keeps every
+    row and lets the snapshots decide. Sentinels become NULL; ``pandas_na``
+    also nulls the tokens the reference's reader treats as missing.
+    """
+    rows = registry.new_rows(df, key, null_safe=True) if mode == "new_ids" else df
+    tokens = [sentinel] + (PANDAS_NA_TOKENS if pandas_na else [])
+    return null_sentinel(rows, tokens)
+
+
+def land_day(df: DataFrame, root: str, ds: str) -> DataFrame | None:
+    """Land a day's rows as gzipped CSV under ``ds=<ds>`` (rerun replaces the day).
+
+    Returns the landed rows read back (a lineage cut), or None on an empty day.
+    """
+    if skip_if_empty(df):
+        return None
+    land(df, root, ds, fmt="csv", header=True, compression="gzip")
+    return df.sparkSession.read.schema(df.schema).option("header", True).csv(f"{root}/ds={ds}")
+
+
+def commit_ids(registry: IdRegistry, landed: DataFrame | None, key: str) -> None:
+    """Register the landed ids; call after the day's load succeeded."""
+    if landed is not None:
+        registry.append(landed, key)
+
+
 @dataclass
 class DayFeeds:
     """A day's landed raw inputs (landing column names); None = nothing new."""

@@ -148,3 +148,23 @@ def test_failing_gate_blocks_the_load(spark, tmp_root):
     with pytest.raises(QualityGateError):
         run_day(cat, _feeds(spark, bad, None, None), now=dt.datetime(2022, 9, 13))
     assert not cat.exists("raw_imdb_basics")
+
+
+def test_extract_land_and_register_last(spark, tmp_root):
+    from marquee.plans.daily import commit_ids, extract_new, land_day
+    from marquee.sources import IdRegistry
+
+    reg = IdRegistry(spark, f"{tmp_root}/ids")
+    src = spark.createDataFrame([("tt1", "1995"), ("tt2", "\\N"), ("tt3", "NA")], "tconst string, startYear string")
+    day1 = extract_new(reg, src, "tconst")
+    assert rows(day1) == srt([("tt1", "1995"), ("tt2", None), ("tt3", "NA")])
+    assert rows(extract_new(reg, src, "tconst", pandas_na=True), "startYear") == srt([("1995",), (None,), (None,)])
+    landed = land_day(day1, f"{tmp_root}/landing", "2022-09-13")
+    # a failed load before commit_ids: the rerun sees the same new rows again
+    assert extract_new(reg, src, "tconst").count() == 3
+    commit_ids(reg, landed, "tconst")
+    src2 = src.union(spark.createDataFrame([("tt4", "2001")], src.schema))
+    assert rows(extract_new(reg, src2, "tconst"), "tconst") == [("tt4",)]
+    assert rows(extract_new(reg, src2, "tconst", mode="all"), "tconst") == srt(
+        [("tt1",), ("tt2",), ("tt3",), ("tt4",)])
+    assert land_day(extract_new(reg, src, "tconst"), f"{tmp_root}/landing", "2022-09-14") is None
