@@ -124,7 +124,8 @@ def unique_rows_selfjoin(df: DataFrame, keys, cols=None) -> DataFrame:
 # ------------------------------------------------------------------- hot keys
 
 def skew_join(left: DataFrame, right: DataFrame, on, how: str = "inner", hot_side: str = "left",
-              hot_rows: int | None = 1_000_000, max_hot_keys: int = 10_000, seed: int = 17) -> DataFrame:
+              hot_rows: int | None = 1_000_000, max_hot_keys: int = 10_000, seed: int = 17,
+              key_rows: DataFrame | None = None) -> DataFrame:
     """Equi join (``inner`` or ``left``) that splits keys with more than ``hot_rows`` rows.
 
     Keys are counted on ``hot_side`` (one partially aggregated pass, bounded
@@ -138,20 +139,38 @@ def skew_join(left: DataFrame, right: DataFrame, on, how: str = "inner", hot_sid
     rows of a hot key are replicated, which is still exact because a hot key
     exists on the right, so those left rows always match. A retried task may
     draw other salts; the result does not depend on them.
+
+    ``key_rows`` (keys + ``__n``) replaces the count over the hot side when a
+    cheaper upper bound of its rows per key is known (for example from the
+    inputs of a fan-out join); any bound >= the true count keeps it exact.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
     keys = _names(on)
     if hot_rows is None:
         return left.join(right, keys, how)
-    big, other = (left, right) if hot_side == "left" else (right, left)
-    hot = (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-           .filter(F.col("__n") > hot_rows)
-           .select(*keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__b")))
+    big = left if hot_side == "left" else right
+    if key_rows is None:
+        key_rows = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = hot_key_buckets(key_rows, keys, hot_rows)
     n_hot = hot.limit(max_hot_keys + 1).count()
     if n_hot == 0:
         return left.join(right, keys, how)
-    h = F.broadcast(hot) if n_hot <= max_hot_keys else hot
+    return salted_join(left, right, keys, how, hot_side, hot, broadcast_hot=n_hot <= max_hot_keys, seed=seed)
+
+
+def hot_key_buckets(key_rows: DataFrame, keys, hot_rows: int) -> DataFrame:
+    """Keys whose row count (``__n``) exceeds ``hot_rows``, with a bucket count ``__b``."""
+    return (key_rows.filter(F.col("__n") > hot_rows)
+            .select(*_names(keys), F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__b")))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys, how: str, hot_side: str, hot: DataFrame,
+                broadcast_hot: bool = True, seed: int = 17) -> DataFrame:
+    """The salted join of ``skew_join`` for a given hot-key table (keys + ``__b``)."""
+    keys = _names(keys)
+    big, other = (left, right) if hot_side == "left" else (right, left)
+    h = F.broadcast(hot) if broadcast_hot else hot
     salted = (big.join(h, keys, "left")
               .withColumn("__salt", F.when(F.col("__b").isNull(), F.lit(0))
                           .otherwise(F.floor(F.rand(seed) * F.col("__b")).cast("int")))
@@ -187,7 +206,7 @@ def left_lookup(df: DataFrame, dim: DataFrame, on, how: str = "left",
 
 
 def fanout_join(left: DataFrame, dim: DataFrame, on, right_on=None,
-                hot_rows: int | None = None) -> DataFrame:
+                hot_rows: int | None = None, key_rows: DataFrame | None = None) -> DataFrame:
     """Inner equi join that may multiply rows (same title, several dim rows).
 
     Fan-out is the reference's semantics and is kept; a hot title is split
@@ -200,7 +219,7 @@ def fanout_join(left: DataFrame, dim: DataFrame, on, right_on=None,
     d = dim
     for lk, rk in zip(left_keys, _names(right_on) if right_on is not None else left_keys):
         d = d.withColumnRenamed(rk, lk)
-    return skew_join(left, d, left_keys, "inner", hot_side="left", hot_rows=hot_rows)
+    return skew_join(left, d, left_keys, "inner", hot_side="left", hot_rows=hot_rows, key_rows=key_rows)
 
 
 def rated_titles(ratings: DataFrame, basics: DataFrame, key: str = "id") -> DataFrame:
@@ -209,7 +228,8 @@ def rated_titles(ratings: DataFrame, basics: DataFrame, key: str = "id") -> Data
 
 
 def join_feeds(left: DataFrame, right: DataFrame, keys, extra_keys=(),
-               match_extra: bool = False, hot_rows: int | None = None) -> DataFrame:
+               match_extra: bool = False, hot_rows: int | None = None,
+               key_rows: DataFrame | None = None) -> DataFrame:
     """Left-join two feeds on ``keys``; ``extra_keys`` join only if ``match_extra``.
 
     Parity with the reference is ``match_extra=False``: a year is computed on
@@ -222,7 +242,9 @@ def join_feeds(left: DataFrame, right: DataFrame, keys, extra_keys=(),
     r = right
     if not match_extra:
         r = right.drop(*[c for c in extra_keys if c in right.columns])
-    return skew_join(left, r, on, "left", hot_side="right", hot_rows=hot_rows)
+    if key_rows is not None and match_extra:
+        key_rows = None          # a bound per title is not one per (title, year)
+    return skew_join(left, r, on, "left", hot_side="right", hot_rows=hot_rows, key_rows=key_rows)
 
 
 # ------------------------------------------------------------------------------ J6

@@ -45,6 +45,7 @@ MOVIE_TITLE_TYPE = "movie"
 
 # A title with more rows than this on one side of a join is split over tasks.
 HOT_KEY_ROWS = 1_000_000
+MAX_HOT_TITLES = 10_000
 
 # Raw tables (column names and types of the reference's DDL; NUMBER without a
 # scale is kept as a decimal with one fractional digit for ratings - see
@@ -228,13 +229,19 @@ def imdb_combined(ratings: DataFrame, basics: DataFrame, d_titles: DataFrame,
                              "year", "movie_name")
 
 
+def reviews_per_title(reviews: DataFrame) -> DataFrame:
+    """Reviews per title (partially aggregated): the rows per key of the fan-out join's left side."""
+    return reviews.groupBy("movie_title").agg(F.count(F.lit(1)).alias("__n"))
+
+
 def nyt_combined(reviews: DataFrame, d_movies: DataFrame, d_authors: DataFrame,
-                 d_reviews: DataFrame) -> DataFrame:
+                 d_reviews: DataFrame, title_rows: DataFrame | None = None,
+                 hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Reviews x movie dim on title only (fan-out), author and review lookups."""
     n = reviews.select("movie_title", "author_name", "review_headline", "review_date")
     nm = d_movies.select(F.col("id").alias("nyt_movie_id"), F.col("title").alias("movie_name"),
                          F.year("opening_date").alias("year"))
-    x = fanout_join(n, nm, "movie_title", right_on="movie_name", hot_rows=HOT_KEY_ROWS)
+    x = fanout_join(n, nm, "movie_title", right_on="movie_name", hot_rows=hot_rows, key_rows=title_rows)
     x = x.withColumn("movie_name", F.col("movie_title"))
     na = d_authors.select(F.col("id").alias("nyt_author_id"), F.col("name").alias("__a_name"))
     x = left_lookup(x, na, "author_name", right_on="__a_name")
@@ -247,10 +254,33 @@ def nyt_combined(reviews: DataFrame, d_movies: DataFrame, d_authors: DataFrame,
 
 def fct_imdb_nyt(ratings: DataFrame, basics: DataFrame, reviews: DataFrame, d_genres: DataFrame,
                  d_titles: DataFrame, d_authors: DataFrame, d_movies: DataFrame,
-                 d_reviews: DataFrame, match_year: bool = False) -> DataFrame:
-    """grain = rating x genre x review; the feeds meet on the movie name."""
+                 d_reviews: DataFrame, match_year: bool = False,
+                 hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """grain = rating x genre x review; the feeds meet on the movie name.
+
+    Hot titles are found once, from reviews per title ``n`` (a small
+    aggregate): the fan-out join's left side has ``n`` rows of a title and
+    the NYT side after it at most ``n * n`` (each review meets at most ``n``
+    movie-dim rows, one per distinct opening date among its reviews). Titles
+    hot on the IMDB side are split by AQE's skew join.
+    """
     left = imdb_combined(ratings, basics, d_titles, d_genres)
-    right = nyt_combined(reviews, d_movies, d_authors, d_reviews)
+    hot = None
+    if hot_rows is not None:
+        # one bounded job: the candidate hot titles (at most MAX_HOT_TITLES rows reach the driver)
+        per_title = reviews_per_title(reviews)
+        cand = (per_title.filter(F.col("__n") * F.col("__n") > hot_rows)
+                .limit(MAX_HOT_TITLES + 1).collect())
+        if len(cand) > MAX_HOT_TITLES:
+            raise ValueError("more hot titles than MAX_HOT_TITLES; raise hot_rows")
+        if cand:
+            hot = reviews.sparkSession.createDataFrame([(r[0], r[1]) for r in cand], "movie_title string, __n long")
+    if hot is None:
+        right = nyt_combined(reviews, d_movies, d_authors, d_reviews, hot_rows=None)
+        fact = join_feeds(left, right, ["movie_name"], extra_keys=["year"], match_extra=match_year)
+        return fact.select(*FACT_COLUMNS)
+    right = nyt_combined(reviews, d_movies, d_authors, d_reviews, title_rows=hot, hot_rows=hot_rows)
+    bound = hot.select(F.col("movie_title").alias("movie_name"), (F.col("__n") * F.col("__n")).alias("__n"))
     fact = join_feeds(left, right, ["movie_name"], extra_keys=["year"], match_extra=match_year,
-                      hot_rows=HOT_KEY_ROWS)
+                      hot_rows=hot_rows, key_rows=bound)
     return fact.select(*FACT_COLUMNS)

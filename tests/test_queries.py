@@ -39,3 +39,14 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(srows) == len(drows)
     assert digest(df.columns, srows) == digest(rel.columns, drows)
+
+
+def test_fact_with_hot_titles_equals_plain(spark):
+    from marquee.plans import models as M
+    from marquee.plans.queries import _star_inputs
+
+    ratings, basics, reviews, dims = _star_inputs(spark, SF)
+    plain = M.fct_imdb_nyt(ratings, basics, reviews, **dims, hot_rows=None)
+    salted = M.fct_imdb_nyt(ratings, basics, reviews, **dims, hot_rows=1)   # every repeated title is hot
+    cols = plain.columns
+    assert digest(cols, [tuple(r) for r in salted.collect()]) == digest(cols, [tuple(r) for r in plain.collect()])
