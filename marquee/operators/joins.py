@@ -136,9 +136,9 @@ def skew_join(left: DataFrame, right: DataFrame, on, how: str = "inner", hot_sid
 
     Exact for ``inner`` and ``left``: every row meets every matching row in
     exactly one salt. With ``hot_side='right'`` and ``how='left'`` the left
-    rows of a hot key are replicated, which is still exact because a hot key
-    exists on the right, so those left rows always match. A retried task may
-    draw other salts; the result does not depend on them.
+    rows of hot keys are replicated into a salted inner join and the ones
+    without a match are added back once (see ``salted_join``). A retried task
+    may draw other salts; the result does not depend on them.
 
     ``key_rows`` (keys + ``__n``) replaces the count over the hot side when a
     cheaper upper bound of its rows per key is known (for example from the
@@ -165,22 +165,45 @@ def hot_key_buckets(key_rows: DataFrame, keys, hot_rows: int) -> DataFrame:
             .select(*_names(keys), F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__b")))
 
 
+def _salt(df: DataFrame, h: DataFrame, keys, seed: int) -> DataFrame:
+    """One random salt in [0, __b) per row of a hot key, 0 for other keys."""
+    return (df.join(h, keys, "left")
+            .withColumn("__salt", F.when(F.col("__b").isNull(), F.lit(0))
+                        .otherwise(F.floor(F.rand(seed) * F.col("__b")).cast("int")))
+            .drop("__b"))
+
+
+def _replicate(df: DataFrame, h: DataFrame, keys) -> DataFrame:
+    """Each row of a hot key once per salt value, other rows once with salt 0."""
+    return (df.join(h, keys, "left")
+            .withColumn("__salt", F.explode(F.when(F.col("__b").isNull(), F.array(F.lit(0)))
+                                             .otherwise(F.sequence(F.lit(0), F.col("__b") - 1))))
+            .drop("__b"))
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys, how: str, hot_side: str, hot: DataFrame,
                 broadcast_hot: bool = True, seed: int = 17) -> DataFrame:
-    """The salted join of ``skew_join`` for a given hot-key table (keys + ``__b``)."""
+    """The salted join of ``skew_join`` for a given hot-key table (keys + ``__b``).
+
+    Exact for any hot-key table (a key may be flagged hot from an upper bound
+    and have no rows at all). For a left join with the right side hot, the
+    left rows of hot keys take a salted *inner* join, and those without any
+    match are added back once through an anti join on the (few) hot keys
+    present on the right; rows of other keys take a plain left join.
+    """
     keys = _names(keys)
-    big, other = (left, right) if hot_side == "left" else (right, left)
     h = F.broadcast(hot) if broadcast_hot else hot
-    salted = (big.join(h, keys, "left")
-              .withColumn("__salt", F.when(F.col("__b").isNull(), F.lit(0))
-                          .otherwise(F.floor(F.rand(seed) * F.col("__b")).cast("int")))
-              .drop("__b"))
-    copies = (other.join(h, keys, "left")
-              .withColumn("__salt", F.explode(F.when(F.col("__b").isNull(), F.array(F.lit(0)))
-                                               .otherwise(F.sequence(F.lit(0), F.col("__b") - 1))))
-              .drop("__b"))
-    lhs, rhs = (salted, copies) if hot_side == "left" else (copies, salted)
-    return lhs.join(rhs, keys + ["__salt"], how).drop("__salt")
+    if hot_side == "left":
+        return _salt(left, h, keys, seed).join(_replicate(right, h, keys), keys + ["__salt"], how).drop("__salt")
+    if how == "inner":
+        return _replicate(left, h, keys).join(_salt(right, h, keys, seed), keys + ["__salt"], how).drop("__salt")
+    left_hot, left_cold = left.join(h, keys, "left_semi"), left.join(h, keys, "left_anti")
+    right_hot, right_cold = right.join(h, keys, "left_semi"), right.join(h, keys, "left_anti")
+    cold = left_cold.join(right_cold, keys, "left")
+    matched = (_replicate(left_hot, h, keys).join(_salt(right_hot, h, keys, seed), keys + ["__salt"], "inner")
+               .drop("__salt"))
+    unmatched = left_hot.join(right_hot.select(*keys).distinct(), keys, "left_anti")
+    return cold.unionByName(matched).unionByName(unmatched, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- J4 / J5 / J7-J9

@@ -146,3 +146,15 @@ def test_skew_join_equals_plain_join(spark):
             rows(left.join(big_right, "k", how))
     salted = skew_join(left, right, "k", "inner", "left", hot_rows=50)
     assert "__salt" not in salted.columns
+
+
+def test_salted_left_join_with_hot_keys_missing_on_the_right(spark):
+    from marquee.operators.joins import salted_join
+
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5)], "k string, lv int")
+    right = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z")], "k string, rv string")
+    hot = spark.createDataFrame([("a", 3), ("b", 4)], "k string, __b int")     # 'b' flagged, absent on right
+    for side in ("left", "right"):
+        for how in ("inner", "left"):
+            got = salted_join(left, right, ["k"], how, side, hot)
+            assert rows(got) == rows(left.join(right, "k", how)), (side, how)
