@@ -273,12 +273,19 @@ def join_feeds(left: DataFrame, right: DataFrame, keys, extra_keys=(),
 # ------------------------------------------------------------------------------ J6
 
 def array_match_join(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
-                     dim_cols=None) -> DataFrame:
-    """``df LEFT JOIN dim ON ARRAY_CONTAINS(dim.dim_col, df.arr_col)`` as equi joins.
+                     dim_cols=None, max_broadcast_rows: int | None = 256) -> DataFrame:
+    """``df LEFT JOIN dim ON ARRAY_CONTAINS(dim.dim_col, df.arr_col)``.
 
-    The literal predicate can only run as a nested-loop join (every row
-    against every dim row). Rewrite, exact for duplicates, NULL and empty
-    arrays and NULL dim values:
+    Two plans, chosen by a bounded count of the dimension:
+
+    * at most ``max_broadcast_rows`` dim rows (a genre list): the literal
+      predicate as a broadcast nested-loop join - the rows are never
+      shuffled, each row is tested against the small broadcast dimension;
+    * otherwise (or ``max_broadcast_rows=None``) the equi rewrite below, whose
+      cost does not grow with the dimension.
+
+    The equi rewrite is exact for duplicates, NULL and empty arrays and NULL
+    dim values:
 
     1. distinct array values (map-side pre-aggregated),
     2. explode each distinct array's *distinct* elements and equi-join the dim,
@@ -290,6 +297,8 @@ def array_match_join(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
     a skewed left side that AQE splits.
     """
     dim_cols = list(dim_cols or dim.columns)
+    if max_broadcast_rows is not None and dim.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+        return array_match_join_theta(df, arr_col, F.broadcast(dim), dim_col, dim_cols)
     arrays = df.select(F.col(arr_col).alias("__arr")).distinct()
     elems = arrays.select("__arr", F.explode(F.array_distinct("__arr")).alias("__elem"))
     d = dim.select(F.col(dim_col).alias("__elem"), *[F.col(c).alias(f"__d_{c}") for c in dim_cols])
@@ -304,7 +313,7 @@ def array_match_join(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
 
 def array_match_join_theta(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
                            dim_cols=None) -> DataFrame:
-    """The literal theta form (nested-loop join); kept as a test oracle only."""
+    """The literal theta form (nested-loop join): for small broadcast dims, and as a test oracle."""
     dim_cols = list(dim_cols or dim.columns)
     d = dim.select(F.col(dim_col).alias("__elem"), *[F.col(c).alias(f"__d_{c}") for c in dim_cols])
     j = df.join(d, F.array_contains(F.col(arr_col), F.col("__elem")), "left")

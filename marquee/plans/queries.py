@@ -179,6 +179,19 @@ def q_theta_join(spark, d):
     return out.select("p_partkey", "genre_id", "genre")
 
 
+THETA_SQL = QUERIES["theta_join"][1]
+
+
+@query("theta_join_equi", THETA_SQL)
+def q_theta_join_equi(spark, d):
+    """J6 through the equi rewrite regardless of the dimension's size."""
+    part = _t(spark, d, "part").select("p_partkey", split_list("p_name", " ").alias("genres_array"))
+    dim = M.dim_genres(part).filter(~F.col("genre").isin(WORDS_MISSING_FROM_DIM))
+    out = array_match_join(part, "genres_array", dim.withColumnRenamed("id", "genre_id"), "genre",
+                           ["genre_id", "genre"], max_broadcast_rows=None)
+    return out.select("p_partkey", "genre_id", "genre")
+
+
 # ------------------------------------------------------------- star fact
 
 def _star_inputs(spark, d):

@@ -78,8 +78,11 @@ DIM = [("g1", "Drama"), ("g2", "Crime"), ("g3", "Sci-Fi"), ("g4", "Sci-Fi"), ("g
 def test_array_match_join_equals_theta_on_edge_cases(spark):
     df = spark.createDataFrame(ARRAYS, "id int, genres array<string>")
     dim = spark.createDataFrame(DIM, "genre_id string, genre string")
-    equi = array_match_join(df, "genres", dim, "genre", ["genre_id"])
+    equi = array_match_join(df, "genres", dim, "genre", ["genre_id"], max_broadcast_rows=None)
     theta = array_match_join_theta(df, "genres", dim, "genre", ["genre_id"])
+    small = array_match_join(df, "genres", dim, "genre", ["genre_id"])
+    assert rows(small, "id", "genre_id") == rows(theta, "id", "genre_id")
+    assert "BroadcastNestedLoopJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert rows(equi, "id", "genre_id") == rows(theta, "id", "genre_id")
     got = rows(equi, "id", "genre_id")
     assert got.count((1, "g1")) == 1 and (1, "g2") in got
@@ -97,7 +100,7 @@ def test_array_match_join_equals_theta_on_edge_cases(spark):
 def test_array_match_join_equals_theta_property(spark, arrays, dim_values):
     df = spark.createDataFrame(list(enumerate(arrays)), "id int, g array<string>")
     dim = spark.createDataFrame([(f"d{i}", v) for i, v in enumerate(dim_values)], "did string, v string")
-    assert rows(array_match_join(df, "g", dim, "v", ["did"]), "id", "did") == \
+    assert rows(array_match_join(df, "g", dim, "v", ["did"], max_broadcast_rows=None), "id", "did") == \
         rows(array_match_join_theta(df, "g", dim, "v", ["did"]), "id", "did")
 
 
