@@ -46,12 +46,12 @@ def snapshot_run(catalog: Catalog, name: str, batch: DataFrame, key, now=None,
     """
     if order is not None:
         batch = dedupe_latest(batch, key, order)
-    prev = catalog.read_table(name) if catalog.exists(name) else None
+    prev = catalog.read_current(name) if catalog.exists(name) else None
     if check_cols is not None:
         snap = snapshot_check(prev, batch, key, check_cols, now)
     else:
         snap = snapshot_timestamp(prev, batch, key, updated_at)
-    return catalog.write_table(name, snap, meta)
+    return catalog.write_snapshot(name, snap, F.col("dbt_valid_to").isNull(), meta)
 
 
 # pandas' default missing-value tokens (public pandas behaviour), for ``pandas_na=True``.
@@ -138,17 +138,18 @@ def run_day(catalog: Catalog, feeds: DayFeeds, now, as_of=None, review_fields=No
                                 else empty_ratings)
     raw_n = catalog.write_table("raw_nyt_reviews", present["reviews"]) if "reviews" in present else None
 
-    # 3. snapshots
+    # 3. snapshots: only current versions are read and rewritten; closed ones are appended
     def snap(name, fn):
-        prev = catalog.read_table(name) if catalog.exists(name) else None
-        return catalog.write_table(name, fn(prev))
+        prev = catalog.read_current(name) if catalog.exists(name) else None
+        catalog.write_snapshot(name, fn(prev), F.col("dbt_valid_to").isNull())
+        return catalog.read_current(name)
 
     basics_snap = snap("imdb_basic_snapshot", lambda p: M.imdb_basic_snapshot(raw_b, p, now))
     ratings_snap = snap("imdb_rating_snapshot", lambda p: M.imdb_rating_snapshot(raw_r, p, now))
     if raw_n is not None:
         reviews_snap = snap("nyt_snapshot", lambda p: M.review_snapshot(raw_n, p))
     elif catalog.exists("nyt_snapshot"):
-        reviews_snap = catalog.read_table("nyt_snapshot")
+        reviews_snap = catalog.read_current("nyt_snapshot")
     else:
         reviews_snap = None
 

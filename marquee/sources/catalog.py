@@ -59,12 +59,57 @@ class Catalog:
         except AnalysisException:
             return False
 
+    def _pointer_row(self, name: str):
+        return self.spark.read.parquet(self._pointer(name)).first()
+
     def table_location(self, name: str) -> str:
-        return self.spark.read.parquet(self._pointer(name)).first()["location"]
+        return self._pointer_row(name)["location"]
 
     def read_table(self, name: str) -> DataFrame:
+        """All rows: the current part plus, for snapshot tables, every closed part."""
+        ptr = self._pointer_row(name)
+        history = list(ptr["history"] or []) if "history" in ptr.asDict() else []
+        return self.spark.read.parquet(ptr["location"], *history)
+
+    def read_current(self, name: str) -> DataFrame:
+        """Only the current part (for snapshot tables: the current versions)."""
         return self.spark.read.parquet(self.table_location(name))
 
+    def write_snapshot(self, name: str, snapshot: DataFrame, is_current, meta: dict | None = None) -> DataFrame:
+        """Store an SCD2 run: rewrite current versions, append closed ones (one job).
+
+        ``snapshot`` holds the run's current rows and the rows it closed;
+        ``is_current`` (a Column) tells them apart. Both land in one write
+        partitioned by it; the pointer then names the new current part and
+        the list of closed parts (earlier ones plus this run's). Unchanged
+        history is never read or rewritten, and a crashed run leaves only
+        unreferenced files.
+        """
+        base = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
+        snapshot.withColumn("__is_current", is_current).write.mode("overwrite") \
+            .partitionBy("__is_current").parquet(base)
+        cur, closed = f"{base}/__is_current=true", f"{base}/__is_current=false"
+        history = []
+        if self.exists(name):
+            ptr = self._pointer_row(name)
+            history = list(ptr["history"] or []) if "history" in ptr.asDict() else []
+        if self._has_files(closed):
+            history.append(closed)
+        if not self._has_files(cur):
+            self.spark.createDataFrame([], snapshot.schema).write.mode("overwrite").parquet(cur)
+        cols = [F.lit(cur).alias("location"),
+                F.array(*[F.lit(h) for h in history]).cast("array<string>").alias("history")]
+        cols += [F.lit(v).alias(k) for k, v in (meta or {}).items()]
+        self.spark.range(1).select(*cols).write.mode("overwrite").parquet(self._pointer(name))
+        return self.read_table(name)
+
+    def _has_files(self, path: str) -> bool:
+        try:
+            self.spark.read.parquet(path).schema
+            return True
+        except AnalysisException:
+            return False
+
     def write_table(self, name: str, df: DataFrame, meta: dict | None = None) -> DataFrame:
         """Write a new version, then swap the pointer to it (with optional metadata)."""
         loc = f"{self.root}/{name}/v-{uuid.uuid4().hex}"

@@ -199,3 +199,17 @@ def test_sentinel_token_parameter(spark, local_dir, token):
         f.write(f"a\tb\nx\t{token}\n")
     df = read_tsv(spark, p, "a string, b string", null_token=token)
     assert df.first().b is None
+
+
+def test_snapshot_storage_rewrites_current_and_appends_closed(spark, tmp_root):
+    cat = Catalog(spark, tmp_root)
+    s1 = spark.createDataFrame([("a", 1, None), ("b", 1, None)], "k string, v int, dbt_valid_to int")
+    cat.write_snapshot("s", s1, F.col("dbt_valid_to").isNull())
+    assert cat.read_table("s").count() == 2 and cat.read_current("s").count() == 2
+    s2 = spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("b", 1, None)], s1.schema)
+    cat.write_snapshot("s", s2, F.col("dbt_valid_to").isNull())
+    s3 = spark.createDataFrame([("b", 1, 7), ("b", 3, None), ("a", 2, None)], s1.schema)
+    cat.write_snapshot("s", s3, F.col("dbt_valid_to").isNull(), meta={"batch_id": 3})
+    assert rows(cat.read_current("s")) == srt([("a", 2, None), ("b", 3, None)])
+    assert rows(cat.read_table("s")) == srt([("a", 1, 5), ("a", 2, None), ("b", 1, 7), ("b", 3, None)])
+    assert cat.table_meta("s", "batch_id") == 3
