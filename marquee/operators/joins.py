@@ -41,22 +41,48 @@ def checked_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
 
 # ------------------------------------------------------------------- J1 / J2 / U3
 
+# Keys of an incoming batch broadcast to pre-filter a large target (bounded count first).
+MAX_PROBE_KEYS = 2_000_000
+
+
+def _probe(target_keys: DataFrame, df: DataFrame, key: str, tkey: str,
+           max_probe_keys: int | None) -> DataFrame:
+    """``target_keys`` reduced to the keys ``df`` can meet, when ``df``'s keys are few.
+
+    A daily batch is small and the target (every id ever registered, a
+    dimension) is large: instead of shuffling the whole target into an anti
+    join, the batch's distinct keys - proven to be at most ``max_probe_keys``
+    by a bounded count - are broadcast into a semi join that filters the
+    target during its scan. Only the few matching target keys move on.
+    """
+    if max_probe_keys is None:
+        return target_keys
+    probe = df.select(F.col(key).alias(tkey)).distinct()
+    if probe.limit(max_probe_keys + 1).count() > max_probe_keys:
+        return target_keys
+    return target_keys.join(F.broadcast(probe), tkey, "left_semi")
+
+
 def anti_by_registry(df: DataFrame, ids: DataFrame, key: str, id_key: str | None = None,
-                     null_safe: bool = False) -> DataFrame:
+                     null_safe: bool = False, max_probe_keys: int | None = MAX_PROBE_KEYS) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in the id registry (NOT EXISTS).
 
     ``null_safe=True`` also drops a NULL key when the registry holds a NULL
-    (pandas ``isin`` matches NaN to NaN). Planned as a hash-partitioned
-    left-anti join; the registry is never broadcast unless AQE measures it small.
+    (pandas ``isin`` matches NaN to NaN). A small batch first filters the
+    registry through a broadcast of its keys (``_probe``); otherwise this is a
+    hash-partitioned anti join and the registry is broadcast only if AQE
+    measures it small.
     """
     id_key = id_key or key
-    reg = ids.select(F.col(id_key).alias("__reg_key"))
+    reg = _probe(ids.select(F.col(id_key).alias("__reg_key")), df, key, "__reg_key",
+                 None if null_safe else max_probe_keys)
     cond = (df[key].eqNullSafe(reg["__reg_key"]) if null_safe else df[key] == reg["__reg_key"])
     return df.join(reg, cond, "left_anti")
 
 
 def append_new(df: DataFrame, target: DataFrame | None, key: str,
-               target_key: str | None = None, null_aware: bool = False) -> DataFrame:
+               target_key: str | None = None, null_aware: bool = False,
+               max_probe_keys: int | None = MAX_PROBE_KEYS) -> DataFrame:
     """Rows of ``df`` to append to an insert-only table: ``key NOT IN (target keys)``.
 
     ``target is None`` is the first run (everything is new). With
@@ -70,13 +96,15 @@ def append_new(df: DataFrame, target: DataFrame | None, key: str,
     * otherwise               -> non-NULL keys absent from the target pass
 
     The two target facts are scalar subqueries (one small aggregate job each,
-    folded into the filter); the membership test stays a partitioned anti join.
+    folded into the filter); the membership test is an anti join against the
+    target, pre-filtered by the batch's keys when they are few (``_probe``).
     """
     if target is None:
         return df
     target_key = target_key or key
     tk = target.select(F.col(target_key).alias("__tgt_key"))
-    anti = df.join(tk, df[key] == tk["__tgt_key"], "left_anti")
+    reduced = _probe(tk, df, key, "__tgt_key", max_probe_keys)
+    anti = df.join(reduced, df[key] == reduced["__tgt_key"], "left_anti")
     if not null_aware:
         return anti
     stats = tk.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__tgt_key").isNull()).alias("nulls"))

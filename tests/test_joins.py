@@ -161,3 +161,14 @@ def test_salted_left_join_with_hot_keys_missing_on_the_right(spark):
         for how in ("inner", "left"):
             got = salted_join(left, right, ["k"], how, side, hot)
             assert rows(got) == rows(left.join(right, "k", how)), (side, how)
+
+
+def test_small_batch_probes_the_registry_without_shuffling_it(spark):
+    registry = spark.range(0, 5000).select(F.col("id").cast("string").alias("id"))
+    batch = spark.createDataFrame([("10",), ("x",), ("4999",), ("y",)], "id string")
+    probed = anti_by_registry(batch, registry, "id")
+    plain = anti_by_registry(batch, registry, "id", max_probe_keys=None)
+    assert rows(probed) == rows(plain) == srt([("x",), ("y",)])
+    plan = probed._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+    assert rows(append_new(batch, registry, "id")) == srt([("x",), ("y",)])
