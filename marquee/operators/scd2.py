@@ -28,6 +28,9 @@ from marquee.functions.keys import scd_id
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"
 META_COLS = [SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO]
 
+# Incoming keys up to this many are broadcast to split current versions into touched / untouched.
+MAX_TOUCHED_KEYS = 2_000_000
+
 
 def _names(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -102,6 +105,15 @@ def _merge(snapshot: DataFrame | None, incoming: DataFrame, key, changed_fn, upd
     cur = snapshot.filter(F.col(VALID_TO).isNull())
     types = {f.name: f.dataType for f in cur.schema.fields}
 
+    # A small batch touches few keys: the other current versions pass through a
+    # broadcast anti join (map side, no shuffle) and only the touched ones meet
+    # the batch in the full outer join. The broadcast is bounded by a count.
+    inc_keys = incoming.select(*keys).distinct()
+    if inc_keys.limit(MAX_TOUCHED_KEYS + 1).count() <= MAX_TOUCHED_KEYS:
+        b = F.broadcast(inc_keys)
+        hist = hist.unionByName(cur.join(b, keys, "left_anti").select(*snap_cols))
+        cur = cur.join(b, keys, "left_semi")
+
     kc = [f"__k{n}" for n in range(len(keys))]
     c = cur.select(*[F.col(k).alias(a) for k, a in zip(keys, kc)],
                    F.struct(*[F.col(x) for x in snap_cols]).alias("__c"))
