@@ -197,8 +197,11 @@ def hot_keys(df: DataFrame, keys, order: str, split_rows: int) -> DataFrame:
 def _segmented_history(df, keys, order_cols, check_cols, updated_at, hot, hot_small: bool):
     """Window history with hot keys cut into contiguous ``order`` ranges (chunks).
 
-    Rows of ordinary keys get chunk 0. Windows run per (key, chunk), so no task
-    holds more than about ``split_rows`` rows of a hot key. What a chunk needs
+    Rows of ordinary keys get chunk 0. A hot key's order range is cut into
+    ``ceil(n / split_rows)`` equal-width chunks, and windows run per (key,
+    chunk): a hot key whose rows spread over its order range is spread over
+    as many tasks (rows sharing one order value always stay together, so a
+    key with a single order value is not split). What a chunk needs
     from the rows before it (the last check values, or the running maximum)
     comes from a per-(key, chunk) summary, itself windowed per key over at
     most a few chunks, and joined back on (key, chunk): the big side keeps

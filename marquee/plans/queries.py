@@ -194,18 +194,23 @@ def q_theta_join_equi(spark, d):
 
 # ------------------------------------------------------------- star fact
 
+def _reviews(spark, d):
+    """Stand-in review feed -> first-run timestamp snapshot -> cleansed view."""
+    parsed = SI.reviews_parsed(_t(spark, d, "part"))
+    parsed = parsed.select(surrogate_key(*M.REVIEW_KEY_PARTS).alias("id"), "*")
+    reviews_snap = snapshot_timestamp(None, dedupe_latest(parsed, "id", ["review_date_updated", "review_url"]),
+                                      "id", "review_date_updated")
+    return M.reviews_cleansed(reviews_snap)
+
+
 def _star_inputs(spark, d):
     """Stand-in feeds -> first-run snapshots -> cleansed views -> dimensions."""
     part = _t(spark, d, "part")
     basics_snap = M.imdb_basic_snapshot(SI.basics_raw(part), None, RUN_TS)
     ratings_snap = M.imdb_rating_snapshot(SI.ratings_raw(part), None, RUN_TS)
-    parsed = SI.reviews_parsed(part)
-    parsed = parsed.select(surrogate_key(*M.REVIEW_KEY_PARTS).alias("id"), "*")
-    reviews_snap = snapshot_timestamp(None, dedupe_latest(parsed, "id", ["review_date_updated", "review_url"]),
-                                      "id", "review_date_updated")
     basics = M.basics_cleansed(basics_snap, as_of=RUN_TS)
     ratings = M.ratings_cleansed(ratings_snap)
-    reviews = M.reviews_cleansed(reviews_snap)
+    reviews = _reviews(spark, d)
     dims = dict(
         d_genres=M.dim_genres(basics), d_titles=M.dim_titles(basics), d_authors=M.dim_authors(reviews),
         d_movies=M.dim_review_movies(reviews), d_reviews=M.dim_reviews(reviews))
@@ -304,8 +309,8 @@ SELECT n.movie_title, n.review_headline, nm.id AS nyt_movie_id, nm.opening_date
 FROM reviews n JOIN dim_nyt_movies nm ON n.movie_title = nm.title
 """)
 def q_fanout_join(spark, d):
-    _, _, reviews, dims = _star_inputs(spark, d)
-    nm = dims["d_movies"].select(F.col("id").alias("nyt_movie_id"), "title", "opening_date")
+    reviews = _reviews(spark, d)
+    nm = M.dim_review_movies(reviews).select(F.col("id").alias("nyt_movie_id"), "title", "opening_date")
     n = reviews.select("movie_title", "review_headline")
     return fanout_join(n, nm, "movie_title", right_on="title")
 
@@ -316,8 +321,8 @@ FROM reviews n
 LEFT JOIN dim_nyt_reviews nr ON n.review_headline = nr.headline AND n.review_date = nr.review_date
 """)
 def q_two_key_left(spark, d):
-    _, _, reviews, dims = _star_inputs(spark, d)
-    nr = dims["d_reviews"].select(F.col("id").alias("nyt_review_id"), "headline", F.col("review_date").alias("rd"),
+    reviews = _reviews(spark, d)
+    nr = M.dim_reviews(reviews).select(F.col("id").alias("nyt_review_id"), "headline", F.col("review_date").alias("rd"),
                                   "url")
     n = reviews.select("movie_title", "review_headline", "review_date")
     return left_lookup(n, nr, ["review_headline", "review_date"], right_on=["headline", "rd"])

@@ -46,8 +46,9 @@ class RegistryDedupSink:
 
     The seen keys live in a registry table (partitioned by batch id) instead
     of streaming state, so the key space can grow without bound. Per batch:
-    one aggregate to drop in-batch repeats (latest by ``order``), one
-    partitioned anti join against the registry, two writes.
+    one aggregate to drop in-batch repeats (latest by ``order``), one anti
+    join against the registry (pre-filtered by the batch's keys when they
+    are few), two writes.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str, order=None):
