@@ -19,6 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.operators.joins import anti_by_registry
 from marquee.operators.scd2 import dedupe_latest
 from marquee.plans.daily import snapshot_run
 from marquee.sources.catalog import Catalog
@@ -68,7 +69,7 @@ class RegistryDedupSink:
         rows = dedupe_latest(batch, self.key, self.order)
         seen = self._registry(batch_id)
         if seen is not None:
-            rows = rows.join(seen, self.key, "left_anti")
+            rows = anti_by_registry(rows, seen, self.key)
         out = f"{self.data_path}/batch_id={batch_id}"
         rows.write.mode("overwrite").parquet(out)
         written = self.spark.read.parquet(out).select(self.key)
