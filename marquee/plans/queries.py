@@ -481,7 +481,7 @@ ANCHOR_SQL = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']"""
 
 
 @query("html_links", f"""
-SELECT page_id, unnest(range(len(h))) AS link_pos, unnest(h) AS href
+SELECT page_id, CAST(unnest(range(len(h))) AS INTEGER) AS link_pos, unnest(h) AS href
 FROM (SELECT page_id, regexp_extract_all(html, '{ANCHOR_SQL}', 1) AS h FROM pages)
 """)
 def q_html_links(spark, d):
@@ -634,7 +634,7 @@ def q_surrogate_key(spark, d):
 
 
 @query("split_list", """
-SELECT p_partkey, unnest(range(len(w))) AS pos, unnest(w) AS word
+SELECT p_partkey, CAST(unnest(range(len(w))) AS INTEGER) AS pos, unnest(w) AS word
 FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)
 """)
 def q_split_list(spark, d):
@@ -643,7 +643,8 @@ def q_split_list(spark, d):
 
 
 @query("scalar_misc", """
-SELECT o_orderkey, YEAR(o_orderdate) AS order_year, length(o_orderpriority) AS priority_len FROM orders
+SELECT o_orderkey, CAST(YEAR(o_orderdate) AS INTEGER) AS order_year,
+       CAST(length(o_orderpriority) AS INTEGER) AS priority_len FROM orders
 """)
 def q_scalar_misc(spark, d):
     o = _t(spark, d, "orders")

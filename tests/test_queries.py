@@ -9,6 +9,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 from scripts.compare import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double",
+                 "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
@@ -37,6 +39,8 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(sql)
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert {f.name: f.dataType.simpleString() for f in df.schema.fields} == duck_types
     assert len(srows) == len(drows)
     assert digest(df.columns, srows) == digest(rel.columns, drows)
 
