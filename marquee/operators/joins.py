@@ -42,7 +42,7 @@ def checked_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
 # ------------------------------------------------------------------- J1 / J2 / U3
 
 # Keys of an incoming batch broadcast to pre-filter a large target (bounded count first).
-MAX_PROBE_KEYS = 2_000_000
+MAX_PROBE_KEYS = 1_000_000
 
 
 def _probe(target_keys: DataFrame, df: DataFrame, key: str, tkey: str,

@@ -29,7 +29,7 @@ SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = "dbt_scd_id", "dbt_updated_at", "dbt_
 META_COLS = [SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO]
 
 # Incoming keys up to this many are broadcast to split current versions into touched / untouched.
-MAX_TOUCHED_KEYS = 2_000_000
+MAX_TOUCHED_KEYS = 1_000_000
 
 
 def _names(keys) -> list[str]:
