@@ -8,7 +8,6 @@ oracle_sql | None)``; ``None`` means no SQL form (a rows-only check).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +27,6 @@ from marquee.operators.joins import (
     append_new,
     array_match_join,
     fanout_join,
-    join_feeds,
     left_lookup,
     unique_rows,
 )
@@ -42,7 +40,7 @@ from marquee.session import scratch_path
 from marquee.sources.catalog import Catalog
 from marquee.sources.html import extract_links, union_pages
 from marquee.sources.readers import CsvFormat, copy_into, read_csv_format
-from marquee.sources.writers import land, write_csv_gz, write_json
+from marquee.sources.writers import write_csv_gz, write_json
 
 QUERIES: dict[str, tuple] = {}
 

@@ -213,3 +213,21 @@ def test_snapshot_storage_rewrites_current_and_appends_closed(spark, tmp_root):
     assert rows(cat.read_current("s")) == srt([("a", 2, None), ("b", 3, None)])
     assert rows(cat.read_table("s")) == srt([("a", 1, 5), ("a", 2, None), ("b", 1, 7), ("b", 3, None)])
     assert cat.table_meta("s", "batch_id") == 3
+
+
+def test_parity_rounding_and_positional_csv_mapping(spark, local_dir):
+    from marquee.plans.models import ratings_raw_schema
+    from marquee.sources import truncate
+
+    p = os.path.join(local_dir, "ratings.csv")
+    with open(p, "w") as f:
+        f.write('tconst,averageRating,numVotes\ntt1,7.4,"10"\ntt2,7.5,\n')
+    # header names differ from the table's: columns map by position; '' and an empty quoted value read as NULL
+    exact = read_csv_format(spark, p, ratings_raw_schema(), CsvFormat(compression="none"))
+    assert rows(exact, "id", "num_votes") == srt([("tt1", 10), ("tt2", None)])
+    assert {str(r.average_rating) for r in exact.collect()} == {"7.4", "7.5"}
+    rounded = read_csv_format(spark, p, ratings_raw_schema(parity_rounding=True), CsvFormat(compression="none"))
+    assert {str(r.average_rating) for r in rounded.collect()} == {"7", "8"}
+    out = os.path.join(local_dir, "raw_table")
+    truncate(spark, out, ratings_raw_schema())
+    assert spark.read.parquet(out).count() == 0
