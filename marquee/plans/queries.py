@@ -360,6 +360,33 @@ def q_date_window(spark, d):
             .select("o_orderkey", "o_orderdate"))
 
 
+# ---------------------------------------------------------- M3 -> M6 over VARIANT
+
+@query("review_snapshot", f"""
+WITH r AS (
+  SELECT {_md5_sql('p_brand', "p_name || ' ' || CAST(p_partkey // 8 AS VARCHAR)", "p_type || ' ' || p_name")} AS id,
+         p_brand AS author_name,
+         CAST(CAST(p_size % 2 AS INTEGER) AS BOOLEAN) AS is_critics_pick,
+         CAST(DATE '2002-01-01' + p_size AS DATE) AS review_date_updated,
+         p_name || ' ' || CAST(p_partkey // 8 AS VARCHAR) AS movie_title,
+         p_type || ' ' || p_name AS review_headline,
+         'https://reviews.example/' || CAST(p_partkey AS VARCHAR) AS review_url,
+         nullif(['', 'G', 'PG', 'PG-13', 'R', 'NC-17'][p_size % 6 + 1], '') AS mpaa_rating,
+         CASE WHEN p_size % 3 <> 0 THEN 'img/' || CAST(p_partkey AS VARCHAR) END AS image_url,
+         CAST(DATE '2000-01-01' + p_size AS DATE) AS opening_date,
+         CAST(DATE '2001-01-01' + p_size AS DATE) AS review_date,
+         p_type AS summary_short
+  FROM part
+)
+SELECT * FROM r
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY review_date_updated DESC, review_url DESC) = 1
+""")
+def q_review_snapshot(spark, d):
+    """Raw VARIANT documents -> parsed, keyed, de-duplicated -> timestamp snapshot -> cleansed view."""
+    snap = M.review_snapshot(SI.reviews_raw(_t(spark, d, "part")), None)
+    return M.reviews_cleansed(snap)
+
+
 # ------------------------------------------------------------------ SCD2 (SN4/6/7)
 
 SCD_CHECK_SQL = f"""

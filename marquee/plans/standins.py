@@ -95,3 +95,29 @@ def paged_feed(conversations: DataFrame, page_size: int = 20) -> DataFrame:
     page = F.expr(f"turn div {page_size}")
     return (conversations.groupBy("conv_id", page.alias("page"))
             .agg(F.collect_list(F.struct("turn", "role", "text")).alias("results")))
+
+
+def reviews_raw(part: DataFrame) -> DataFrame:
+    """Raw review table: one VARIANT column ``content`` per review document.
+
+    The document carries the feed's field names; ``multimedia`` is absent for
+    every third size (so the model sees missing objects).
+    """
+    label = F.element_at(F.array(*[F.lit(x) for x in MPAA_LABELS]), (F.col("p_size") % 6 + 1).cast("int"))
+    media = F.when(F.col("p_size") % 3 != 0,
+                   F.struct(F.concat(F.lit("img/"), F.col("p_partkey").cast("string")).alias("src")))
+    doc = F.struct(
+        _title().alias("display_title"),
+        label.alias("mpaa_rating"),
+        (F.col("p_size") % 2).cast("int").alias("critics_pick"),
+        F.col("p_brand").alias("byline"),
+        F.concat_ws(" ", "p_type", "p_name").alias("headline"),
+        F.col("p_type").alias("summary_short"),
+        F.date_add(F.lit("2001-01-01").cast("date"), F.col("p_size")).cast("string").alias("publication_date"),
+        F.date_add(F.lit("2000-01-01").cast("date"), F.col("p_size")).cast("string").alias("opening_date"),
+        F.date_add(F.lit("2002-01-01").cast("date"), F.col("p_size")).cast("string").alias("date_updated"),
+        F.struct(F.concat(F.lit("https://reviews.example/"), F.col("p_partkey").cast("string")).alias("url"))
+        .alias("link"),
+        media.alias("multimedia"),
+    )
+    return part.select(F.parse_json(F.to_json(doc)).alias("content"))

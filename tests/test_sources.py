@@ -190,6 +190,8 @@ def test_list_assets_and_sample(spark, local_dir):
     assets = list_assets(spark, local_dir, r"(.*)-\d{4}-\d{2}-\d{2}\.csv\.gz")
     assert rows(assets, "asset") == srt([("title.basics",), ("title.ratings",)])
     assert sample_batch(spark.range(5000), 1000).count() == 1000
+    from marquee.sources import batch
+    assert batch(spark, lambda sp, p: list_assets(sp, p), local_dir).count() == 2
 
 
 @pytest.mark.parametrize("token", ["\\N", "NA"])
