@@ -697,3 +697,29 @@ def q_stream_dedup(spark, d):
     run_available(ingest_stream(spark, landing, ev.schema, "parquet", max_files_per_trigger=4),
                   sink, f"{root}/_checkpoint")
     return sink.read()
+
+
+# ------------------------------------------------------------------------ ST3
+
+DAY_ENDS = [DAY1_END, DAY2_END]
+
+
+@query("stream_snapshot", QUERIES["two_day_run"][1])
+def q_stream_snapshot(spark, d):
+    """The two-day snapshot run driven by a file stream: each day's change feed
+    lands, and one availableNow run drains it as one micro-batch into the
+    snapshot sink (check strategy, ``now`` = the end of that day)."""
+    from marquee.streaming import SnapshotSink, ingest_stream, run_available
+
+    feed = SI.change_feed(_t(spark, d, "events"))
+    root = scratch_path(spark, "stream_snapshot")
+    landing, checkpoint = f"{root}/landing", f"{root}/_checkpoint"
+    catalog = Catalog(spark, f"{root}/warehouse")
+    sink = SnapshotSink(catalog, "events_snapshot", key="user_id", order=["ts", "event_id"],
+                        now=lambda batch_id: F.lit(DAY_ENDS[batch_id]).cast("timestamp_ntz"),
+                        check_cols=["event_type"])
+    day1 = F.col("ts") < F.lit(DAY1_END).cast("timestamp_ntz")
+    for day in (day1, ~day1):
+        feed.filter(day).write.mode("append").parquet(landing)
+        run_available(ingest_stream(spark, landing, feed.schema), sink, checkpoint)
+    return catalog.read_table("events_snapshot")
