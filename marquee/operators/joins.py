@@ -95,8 +95,8 @@ def append_new(df: DataFrame, target: DataFrame | None, key: str,
     * target holds a NULL key -> no row passes
     * otherwise               -> non-NULL keys absent from the target pass
 
-    The two target facts are scalar subqueries (one small aggregate job each,
-    folded into the filter); the membership test is an anti join against the
+    The two target facts come from one scalar subquery (one aggregate over
+    the target, folded into the filter); the membership test is an anti join against the
     target, pre-filtered by the batch's keys when they are few (``_probe``).
     """
     if target is None:
@@ -107,10 +107,11 @@ def append_new(df: DataFrame, target: DataFrame | None, key: str,
     anti = df.join(reduced, df[key] == reduced["__tgt_key"], "left_anti")
     if not null_aware:
         return anti
-    stats = tk.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__tgt_key").isNull()).alias("nulls"))
-    n_rows = stats.select("n").scalar()
-    n_nulls = stats.select("nulls").scalar()
-    return anti.filter((n_rows == 0) | ((n_nulls == 0) & F.col(key).isNotNull()))
+    # one scalar subquery (one scan of the target): 2 = empty, 1 = no NULL key, 0 = holds a NULL key
+    state = tk.agg(F.when(F.count(F.lit(1)) == 0, F.lit(2))
+                   .when(F.count_if(F.col("__tgt_key").isNull()) == 0, F.lit(1))
+                   .otherwise(F.lit(0))).scalar()
+    return anti.filter((state == 2) | ((state == 1) & F.col(key).isNotNull()))
 
 
 # ----------------------------------------------------------------------- J3 / A1
