@@ -23,6 +23,19 @@ def _parts(cols) -> list[Column]:
     return [F.coalesce(as_col(c).cast("string"), F.lit(NULL_PART)) for c in cols]
 
 
+def _name_sql(name: str) -> str:
+    # the same reference F.col(name) makes: dots select nested fields
+    return ".".join("`" + p.replace("`", "``") + "`" for p in name.split("."))
+
+
+def _hash_key(cols, sep: str) -> Column:
+    if all(isinstance(c, str) for c in cols):
+        # column names: one SQL expression (one JVM call instead of several per part)
+        parts = ", ".join(f"coalesce(cast({_name_sql(c)} as string), '{NULL_PART}')" for c in cols)
+        return F.expr(f"md5(concat_ws('{sep}', {parts}))")
+    return F.md5(F.concat_ws(sep, *_parts(cols)))
+
+
 def surrogate_key(*cols) -> Column:
     """md5 of the parts joined by '-', NULL parts as ''.
 
@@ -31,11 +44,11 @@ def surrogate_key(*cols) -> Column:
     """
     if len(cols) == 1 and isinstance(cols[0], (list, tuple)):
         cols = tuple(cols[0])
-    return F.md5(F.concat_ws(SURROGATE_SEPARATOR, *_parts(cols)))
+    return _hash_key(cols, SURROGATE_SEPARATOR)
 
 
 def scd_id(key_cols, updated_at) -> Column:
     """Version id of a snapshot row: md5(key | updated_at)."""
     if not isinstance(key_cols, (list, tuple)):
         key_cols = [key_cols]
-    return F.md5(F.concat_ws(SCD_ID_SEPARATOR, *_parts([*key_cols, updated_at])))
+    return _hash_key([*key_cols, updated_at], SCD_ID_SEPARATOR)

@@ -107,3 +107,19 @@ def test_contains_any(spark):
     df = spark.createDataFrame([("https://x/title.basics.tsv.gz",), ("https://x/name.tsv.gz",)], "u string")
     got = [r.u for r in df.filter(contains_any("u", ["title.basics", "title.ratings"])).collect()]
     assert got == ["https://x/title.basics.tsv.gz"]
+
+
+def test_one_hot_escapes_values_and_names(spark):
+    from marquee.operators import one_hot
+
+    df = spark.createDataFrame([(1, ["it's", "a\\b"]), (2, None)], "id int, g array<string>")
+    out = one_hot(df, "g", ["it's", "a\\b", "Sci-Fi"], name_fn=lambda v: f"f[{v}]")
+    got = {r.id: tuple(r)[2:] for r in out.collect()}
+    assert got == {1: (True, True, False), 2: (False, False, False)}
+
+
+def test_surrogate_key_name_and_column_forms_agree(spark):
+    df = spark.createDataFrame([("a", None, dt.date(2020, 1, 2))], "x string, y string, d date")
+    by_name = df.select(surrogate_key("x", "y", "d").alias("k")).first().k
+    by_col = df.select(surrogate_key(F.col("x"), F.col("y"), F.col("d")).alias("k")).first().k
+    assert by_name == by_col
