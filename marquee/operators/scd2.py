@@ -70,11 +70,9 @@ def dedupe_latest(df: DataFrame, key, order) -> DataFrame:
     unique column last in ``order`` for a deterministic winner.
     """
     keys = _names(key)
-    order = _names(order)
-    cols = df.columns
-    ordering = F.struct(*[F.col(c) for c in order])
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("__r"))
-    return latest.select(*[F.col(f"__r.{c}").alias(c) for c in cols])
+    ordering = ", ".join("`" + c.replace("`", "``") + "`" for c in _names(order))
+    latest = df.groupBy(*keys).agg(F.expr(f"max_by(struct(*), struct({ordering}))").alias("__r"))
+    return latest.select("__r.*")
 
 
 # ---------------------------------------------------------------- SN1 / SN2 / SN3

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.functions.columns import blank_to_null, not_future, split_list, variant_field
+from marquee.functions.columns import not_future, split_list, variant_field
 from marquee.functions.keys import surrogate_key
 from marquee.operators.joins import (
     append_new,
@@ -150,20 +150,20 @@ def ratings_cleansed(snapshot: DataFrame) -> DataFrame:
 
 
 def reviews_cleansed(snapshot: DataFrame) -> DataFrame:
-    """M6: typed columns, '' rating -> NULL, 0/1 -> boolean."""
-    return current(snapshot).select(
+    """M6: typed columns, '' rating -> NULL, 0/1 -> boolean (casts as in the model)."""
+    return current(snapshot).selectExpr(
         "id",
-        F.col("author_name").cast("string").alias("author_name"),
-        F.col("is_critics_pick").cast("int").cast("boolean").alias("is_critics_pick"),
+        "CAST(author_name AS STRING) AS author_name",
+        "CAST(CAST(is_critics_pick AS INT) AS BOOLEAN) AS is_critics_pick",
         "review_date_updated",
-        F.col("movie_title").cast("string").alias("movie_title"),
-        F.col("review_headline").cast("string").alias("review_headline"),
-        F.col("review_url").cast("string").alias("review_url"),
-        blank_to_null(F.col("mpaa_rating").cast("string")).alias("mpaa_rating"),
-        F.col("image_url").cast("string").alias("image_url"),
-        F.col("opening_date").cast("date").alias("opening_date"),
-        F.col("review_date").cast("date").alias("review_date"),
-        F.col("summary_short").cast("string").alias("summary_short"),
+        "CAST(movie_title AS STRING) AS movie_title",
+        "CAST(review_headline AS STRING) AS review_headline",
+        "CAST(review_url AS STRING) AS review_url",
+        "NULLIF(CAST(mpaa_rating AS STRING), '') AS mpaa_rating",
+        "CAST(image_url AS STRING) AS image_url",
+        "CAST(opening_date AS DATE) AS opening_date",
+        "CAST(review_date AS DATE) AS review_date",
+        "CAST(summary_short AS STRING) AS summary_short",
     )
 
 

@@ -29,52 +29,49 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def _title() -> F.Column:
-    return F.concat(F.col("p_name"), F.lit(" "), F.expr("p_partkey div 8").cast("string"))
+TITLE = "concat(p_name, ' ', CAST(p_partkey div 8 AS STRING))"
+MPAA_LABELS = ["", "G", "PG", "PG-13", "R", "NC-17"]
+LABEL = "element_at(array(" + ", ".join(f"'{x}'" for x in MPAA_LABELS) + "), CAST(p_size % 6 + 1 AS INT))"
 
 
 def basics_raw(part: DataFrame) -> DataFrame:
     """Raw titles table (``BASICS_RAW`` columns)."""
-    return part.select(
-        F.col("p_partkey").cast("string").alias("id"),
-        F.lit("movie").alias("title_type"),
-        _title().alias("primary_title"),
-        F.col("p_name").alias("original_title"),
-        F.lit(False).alias("is_adult"),
-        (F.lit(1970) + F.col("p_size")).cast("int").alias("start_year"),
-        F.lit(None).cast("int").alias("end_year"),
-        (F.lit(60) + F.col("p_size")).cast("int").alias("runtime_minutes"),
-        F.regexp_replace("p_name", " ", ",").alias("genres"),
+    return part.selectExpr(
+        "CAST(p_partkey AS STRING) AS id",
+        "'movie' AS title_type",
+        f"{TITLE} AS primary_title",
+        "p_name AS original_title",
+        "false AS is_adult",
+        "CAST(1970 + p_size AS INT) AS start_year",
+        "CAST(NULL AS INT) AS end_year",
+        "CAST(60 + p_size AS INT) AS runtime_minutes",
+        "regexp_replace(p_name, ' ', ',') AS genres",
     )
 
 
 def ratings_raw(part: DataFrame) -> DataFrame:
     """Raw ratings table: id, average_rating, num_votes."""
-    return part.select(
-        F.col("p_partkey").cast("string").alias("id"),
-        F.col("p_retailprice").alias("average_rating"),
-        (F.col("p_size") * 100).cast("int").alias("num_votes"),
+    return part.selectExpr(
+        "CAST(p_partkey AS STRING) AS id",
+        "p_retailprice AS average_rating",
+        "CAST(p_size * 100 AS INT) AS num_votes",
     )
 
 
-MPAA_LABELS = ["", "G", "PG", "PG-13", "R", "NC-17"]
-
-
 def reviews_parsed(part: DataFrame) -> DataFrame:
     """Review feed after variant parsing (the review snapshot's source columns, no id)."""
-    label = F.element_at(F.array(*[F.lit(x) for x in MPAA_LABELS]), (F.col("p_size") % 6 + 1).cast("int"))
-    return part.select(
-        F.col("p_brand").alias("author_name"),
-        (F.col("p_size") % 2).cast("int").alias("is_critics_pick"),
-        F.date_add(F.lit("2002-01-01").cast("date"), F.col("p_size")).alias("review_date_updated"),
-        _title().alias("movie_title"),
-        F.concat_ws(" ", "p_type", "p_name").alias("review_headline"),
-        F.concat(F.lit("https://reviews.example/"), F.col("p_partkey").cast("string")).alias("review_url"),
-        label.alias("mpaa_rating"),
-        F.lit(None).cast("string").alias("image_url"),
-        F.date_add(F.lit("2000-01-01").cast("date"), F.col("p_size")).cast("string").alias("opening_date"),
-        F.date_add(F.lit("2001-01-01").cast("date"), F.col("p_size")).cast("string").alias("review_date"),
-        F.col("p_type").alias("summary_short"),
+    return part.selectExpr(
+        "p_brand AS author_name",
+        "CAST(p_size % 2 AS INT) AS is_critics_pick",
+        "date_add(DATE'2002-01-01', p_size) AS review_date_updated",
+        f"{TITLE} AS movie_title",
+        "concat_ws(' ', p_type, p_name) AS review_headline",
+        "concat('https://reviews.example/', CAST(p_partkey AS STRING)) AS review_url",
+        f"{LABEL} AS mpaa_rating",
+        "CAST(NULL AS STRING) AS image_url",
+        "CAST(date_add(DATE'2000-01-01', p_size) AS STRING) AS opening_date",
+        "CAST(date_add(DATE'2001-01-01', p_size) AS STRING) AS review_date",
+        "p_type AS summary_short",
     )
 
 
@@ -103,21 +100,17 @@ def reviews_raw(part: DataFrame) -> DataFrame:
     The document carries the feed's field names; ``multimedia`` is absent for
     every third size (so the model sees missing objects).
     """
-    label = F.element_at(F.array(*[F.lit(x) for x in MPAA_LABELS]), (F.col("p_size") % 6 + 1).cast("int"))
-    media = F.when(F.col("p_size") % 3 != 0,
-                   F.struct(F.concat(F.lit("img/"), F.col("p_partkey").cast("string")).alias("src")))
-    doc = F.struct(
-        _title().alias("display_title"),
-        label.alias("mpaa_rating"),
-        (F.col("p_size") % 2).cast("int").alias("critics_pick"),
-        F.col("p_brand").alias("byline"),
-        F.concat_ws(" ", "p_type", "p_name").alias("headline"),
-        F.col("p_type").alias("summary_short"),
-        F.date_add(F.lit("2001-01-01").cast("date"), F.col("p_size")).cast("string").alias("publication_date"),
-        F.date_add(F.lit("2000-01-01").cast("date"), F.col("p_size")).cast("string").alias("opening_date"),
-        F.date_add(F.lit("2002-01-01").cast("date"), F.col("p_size")).cast("string").alias("date_updated"),
-        F.struct(F.concat(F.lit("https://reviews.example/"), F.col("p_partkey").cast("string")).alias("url"))
-        .alias("link"),
-        media.alias("multimedia"),
-    )
-    return part.select(F.parse_json(F.to_json(doc)).alias("content"))
+    doc = f"""named_struct(
+        'display_title', {TITLE},
+        'mpaa_rating', {LABEL},
+        'critics_pick', CAST(p_size % 2 AS INT),
+        'byline', p_brand,
+        'headline', concat_ws(' ', p_type, p_name),
+        'summary_short', p_type,
+        'publication_date', CAST(date_add(DATE'2001-01-01', p_size) AS STRING),
+        'opening_date', CAST(date_add(DATE'2000-01-01', p_size) AS STRING),
+        'date_updated', CAST(date_add(DATE'2002-01-01', p_size) AS STRING),
+        'link', named_struct('url', concat('https://reviews.example/', CAST(p_partkey AS STRING))),
+        'multimedia', CASE WHEN p_size % 3 != 0
+                           THEN named_struct('src', concat('img/', CAST(p_partkey AS STRING))) END)"""
+    return part.selectExpr(f"parse_json(to_json({doc})) AS content")
