@@ -126,11 +126,29 @@ class Catalog:
         return ptr.first()[field] if field in ptr.columns else None
 
     def append_table(self, name: str, df: DataFrame) -> DataFrame:
+        """Append rows as a new part folder listed in the pointer (insert-only tables).
+
+        The rows land in their own folder first; only the pointer swap makes
+        them part of the table, so an interrupted append leaves nothing behind
+        that a rerun could duplicate.
+        """
         if not self.exists(name):
             return self.write_table(name, df)
-        loc = self.table_location(name)
-        df.write.mode("append").parquet(loc)
-        return self.spark.read.parquet(loc)
+        part = f"{self.root}/{name}/p-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(part)
+        ptr = self._pointer_row(name).asDict()
+        ptr["history"] = list(ptr.get("history") or []) + [part]
+        self._write_pointer(name, ptr)
+        return self.read_table(name)
+
+    def _write_pointer(self, name: str, fields: dict) -> None:
+        cols = []
+        for k, v in fields.items():
+            if k == "history":
+                cols.append(F.array(*[F.lit(h) for h in v]).cast("array<string>").alias(k))
+            else:
+                cols.append(F.lit(v).alias(k))
+        self.spark.range(1).select(*cols).write.mode("overwrite").parquet(self._pointer(name))
 
     # -------------------------------------------------------- materializations
     def materialize(self, name: str, df: DataFrame, kind: str = "view", key: str | None = None,
