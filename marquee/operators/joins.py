@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.functions.columns import as_col
 
@@ -307,9 +308,11 @@ def array_match_join(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
 
     Two plans, chosen by a bounded count of the dimension:
 
-    * at most ``max_broadcast_rows`` dim rows (a genre list): the literal
-      predicate as a broadcast nested-loop join - the rows are never
-      shuffled, each row is tested against the small broadcast dimension;
+    * at most ``max_broadcast_rows`` dim rows (a genre list): a map lookup.
+      The proven-small dimension becomes a literal map value -> matching dim
+      rows inside the projection; each row looks up its distinct non-NULL
+      elements and explodes the matches. No join, no shuffle, and no row is
+      compared with dim rows it does not contain;
     * otherwise (or ``max_broadcast_rows=None``) the equi rewrite below, whose
       cost does not grow with the dimension.
 
@@ -326,8 +329,11 @@ def array_match_join(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
     a skewed left side that AQE splits.
     """
     dim_cols = list(dim_cols or dim.columns)
-    if max_broadcast_rows is not None and dim.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        return array_match_join_theta(df, arr_col, F.broadcast(dim), dim_col, dim_cols)
+    if max_broadcast_rows is not None:
+        small = dim.select(F.col(dim_col).alias("__elem"), *[F.col(c) for c in dim_cols])
+        rows = small.limit(max_broadcast_rows + 1).collect()
+        if len(rows) <= max_broadcast_rows:
+            return _array_match_lookup(df, arr_col, small.schema, rows, dim_cols)
     arrays = df.select(F.col(arr_col).alias("__arr")).distinct()
     elems = arrays.select("__arr", F.explode(F.array_distinct("__arr")).alias("__elem"))
     d = dim.select(F.col(dim_col).alias("__elem"), *[F.col(c).alias(f"__d_{c}") for c in dim_cols])
@@ -340,9 +346,33 @@ def array_match_join(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
     return out.select(*df.columns, *[F.col(f"__d.{c}").alias(c) for c in dim_cols])
 
 
+def _array_match_lookup(df: DataFrame, arr_col: str, schema: T.StructType, rows, dim_cols) -> DataFrame:
+    """Map-lookup form of ``array_match_join`` for a dimension held as ``rows`` (few, proven)."""
+    fields = [schema[c] for c in dim_cols]
+    match_type = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+    by_value: dict = {}
+    for r in rows:
+        if r["__elem"] is not None:          # a NULL dim value never matches
+            by_value.setdefault(r["__elem"], []).append(r)
+    elem_type = schema["__elem"].dataType
+    out_cols = [F.col(c) for c in df.columns]
+    if not by_value:
+        return df.select(*out_cols, *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    entries = []
+    for value, matches in by_value.items():
+        structs = [F.struct(*[F.lit(m[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for m in matches]
+        entries += [F.lit(value).cast(elem_type), F.array(*structs).cast(T.ArrayType(match_type))]
+    lookup = F.create_map(*entries)
+    none = F.array().cast(T.ArrayType(match_type))
+    elems = F.filter(F.array_distinct(F.col(arr_col)), lambda x: x.isNotNull())
+    matched = F.flatten(F.transform(elems, lambda x: F.coalesce(lookup[x], none)))
+    exploded = df.select(*out_cols, F.explode_outer(matched).alias("__d"))
+    return exploded.select(*df.columns, *[F.col(f"__d.{f.name}").alias(f.name) for f in fields])
+
+
 def array_match_join_theta(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
                            dim_cols=None) -> DataFrame:
-    """The literal theta form (nested-loop join): for small broadcast dims, and as a test oracle."""
+    """The literal theta form (nested-loop join); kept as the test oracle only."""
     dim_cols = list(dim_cols or dim.columns)
     d = dim.select(F.col(dim_col).alias("__elem"), *[F.col(c).alias(f"__d_{c}") for c in dim_cols])
     j = df.join(d, F.array_contains(F.col(arr_col), F.col("__elem")), "left")
