@@ -363,11 +363,13 @@ def _array_match_lookup(df: DataFrame, arr_col: str, schema: T.StructType, rows,
         structs = [F.struct(*[F.lit(m[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for m in matches]
         entries += [F.lit(value).cast(elem_type), F.array(*structs).cast(T.ArrayType(match_type))]
     lookup = F.create_map(*entries)
-    none = F.array().cast(T.ArrayType(match_type))
-    elems = F.filter(F.array_distinct(F.col(arr_col)), lambda x: x.isNotNull())
-    matched = F.flatten(F.transform(elems, lambda x: F.coalesce(lookup[x], none)))
-    exploded = df.select(*out_cols, F.explode_outer(matched).alias("__d"))
-    return exploded.select(*df.columns, *[F.col(f"__d.{f.name}").alias(f.name) for f in fields])
+    dim_values = F.array(*[F.lit(v).cast(elem_type) for v in by_value])
+    # distinct elements that have dim rows (NULL elements never do); no match, a NULL or
+    # an empty array -> one NULL row through explode_outer
+    hits = F.array_intersect(F.col(arr_col), dim_values)
+    per_hit = df.select(*out_cols, F.explode_outer(hits).alias("__k"))
+    per_row = per_hit.select(*df.columns, F.explode_outer(lookup[F.col("__k")]).alias("__d"))
+    return per_row.select(*df.columns, *[F.col(f"__d.{f.name}").alias(f.name) for f in fields])
 
 
 def array_match_join_theta(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
