@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed values of the reference: the expectation type names of its suites.
 NOT_NULL = "expect_column_values_to_not_be_null"
 IN_SET = "expect_column_values_to_be_in_set"
 UNIQUE_PROPORTION = "expect_column_proportion_of_unique_values_to_be_between"

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.keys import scd_id
 
+# Fixed values of the reference: the snapshot metadata column names its models read.
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"
 META_COLS = [SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO]
 
