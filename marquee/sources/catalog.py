@@ -141,6 +141,33 @@ class Catalog:
         self._write_pointer(name, ptr)
         return self.read_table(name)
 
+    def compact(self, name: str) -> DataFrame:
+        """Merge a table's parts so daily runs do not accumulate small folders.
+
+        Snapshot tables keep their current part and get all closed parts
+        rewritten as one; other tables are rewritten as one new version. Either
+        way the new files are complete before the pointer swap, so readers
+        never see a half-compacted table.
+        """
+        ptr = self._pointer_row(name).asDict()
+        parts = list(ptr.get("history") or [])
+        if len(parts) <= 1:
+            return self.read_table(name)
+        if self._is_snapshot(ptr):
+            merged = f"{self.root}/{name}/h-{uuid.uuid4().hex}"
+            self.spark.read.parquet(*parts).write.mode("overwrite").parquet(merged)
+            ptr["history"] = [merged]
+        else:
+            loc = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
+            self.spark.read.parquet(ptr["location"], *parts).write.mode("overwrite").parquet(loc)
+            ptr["location"], ptr["history"] = loc, []
+        self._write_pointer(name, ptr)
+        return self.read_table(name)
+
+    @staticmethod
+    def _is_snapshot(ptr: dict) -> bool:
+        return str(ptr["location"]).endswith("__is_current=true")
+
     def _write_pointer(self, name: str, fields: dict) -> None:
         cols = []
         for k, v in fields.items():
