@@ -168,3 +168,20 @@ def test_extract_land_and_register_last(spark, tmp_root):
     assert rows(extract_new(reg, src2, "tconst", mode="all"), "tconst") == srt(
         [("tt1",), ("tt2",), ("tt3",), ("tt4",)])
     assert land_day(extract_new(reg, src, "tconst"), f"{tmp_root}/landing", "2022-09-14") is None
+
+
+def test_post_build_tests_report_one_failing_row_each(spark, tmp_root):
+    cat = Catalog(spark, tmp_root)
+    basics = [("tt1", "movie", "Zero Runtime", "Z", "0", "2001", None, "0", "Drama"),
+              ("tt2", "movie", "Year Zero", "Y", "0", "0", None, "90", "Drama")]
+    ratings = [("tt1", "0.0", "10"), ("tt2", "7.0", "0")]
+    reviews = [review("", "Critic A", "h-empty", "2001-01-01", "2022-09-13 08:00:00")]
+    results = run_day(cat, _feeds(spark, basics, ratings, reviews), now=dt.datetime(2022, 9, 13),
+                      as_of="2022-09-13")
+    expected_one = ["dim_imdb_movies_runtime_minutes_nonnegative", "dim_imdb_movies_year_positive",
+                    "imdb_ratings_positive_average_rating", "imdb_ratings_positive_num_votes",
+                    "nyt_reviews_movie_title_has_length"]
+    for name in expected_one:
+        assert results[name].count() == 1, name
+    others = [k for k in results if k not in expected_one]
+    assert all(results[k].isEmpty() for k in others)
