@@ -4,33 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from marquee.operators.joins import anti_by_registry
+from marquee.sources.catalog import Catalog
 
 
 class IdRegistry:
-    """A one-column Parquet table of ids, appended after each successful load.
+    """A one-column table of ids, appended after each successful load.
 
     Ids are registered *last*, after the load succeeded, so a failed run can
-    be repeated without losing rows.
+    be repeated without losing rows. Storage is a catalog table under
+    ``path``: each append lands as its own part folder that only a pointer
+    swap makes visible (an interrupted append leaves nothing behind), and
+    ``compact`` rewrites the parts as one de-duplicated version.
     """
 
+    TABLE = "ids"
+
     def __init__(self, spark: SparkSession, path: str, column: str = "id",
                  dtype: T.DataType = T.StringType()):
         self.spark, self.path, self.column, self.dtype = spark, path, column, dtype
+        self.catalog = Catalog(spark, path)
 
     def read(self) -> DataFrame:
         """All registered ids; an empty frame if nothing was registered yet."""
-        schema = T.StructType([T.StructField(self.column, self.dtype, True)])
-        try:
-            return self.spark.read.schema(schema).parquet(self.path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+        if self.catalog.exists(self.TABLE):
+            return self.catalog.read_table(self.TABLE).select(self.column)
+        return self.spark.createDataFrame([], T.StructType([T.StructField(self.column, self.dtype, True)]))
 
     def new_rows(self, df: DataFrame, key: str, null_safe: bool = False) -> DataFrame:
         """Rows of ``df`` whose ``key`` was never registered."""
         return anti_by_registry(df, self.read(), key, self.column, null_safe=null_safe)
 
     def append(self, df: DataFrame, key: str) -> None:
-        df.select(df[key].cast(self.dtype).alias(self.column)).write.mode("append").parquet(self.path)
+        """Register the ids of ``df`` (distinct within the batch; map-side reduced)."""
+        ids = df.select(df[key].cast(self.dtype).alias(self.column)).distinct()
+        self.catalog.append_table(self.TABLE, ids)
+
+    def compact(self) -> None:
+        """Merge all appended parts into one version without duplicate ids."""
+        if self.catalog.exists(self.TABLE):
+            self.catalog.write_table(self.TABLE, self.read().distinct())

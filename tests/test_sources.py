@@ -250,3 +250,15 @@ def test_compact_merges_parts_without_changing_rows(spark, tmp_root):
     cat.compact("d")
     assert rows(cat.read_table("d")) == [("x",), ("y",), ("z",)]
     assert not (cat._pointer_row("d")["history"] or [])
+
+
+def test_id_registry_appends_are_parts_and_compact(spark, tmp_root):
+    reg = IdRegistry(spark, f"{tmp_root}/ids2")
+    reg.append(spark.createDataFrame([("tt1",), ("tt1",), ("tt2",)], "tconst string"), "tconst")
+    reg.append(spark.createDataFrame([("tt2",), ("tt3",)], "tconst string"), "tconst")
+    batch = spark.createDataFrame([("tt1",), ("tt4",)], "tconst string")
+    assert rows(reg.new_rows(batch, "tconst")) == [("tt4",)]
+    reg.compact()
+    assert rows(reg.read()) == [("tt1",), ("tt2",), ("tt3",)]
+    assert not reg.catalog._pointer_row(IdRegistry.TABLE).asDict().get("history")
+    assert rows(reg.new_rows(batch, "tconst")) == [("tt4",)]
