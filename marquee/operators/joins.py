@@ -12,7 +12,8 @@ Scale notes that apply to every function here:
   Joins get AQE skew-join splitting of oversized partitions at run time, and
   ``skew_join`` salts hot keys explicitly where AQE cannot split (the right
   side of a left outer join).
-* Nothing is collected to the driver except ``checked_broadcast``'s count.
+* The driver receives only bounded results: the counts of ``limit(n + 1)``
+  size checks and, for the J6 lookup form, at most 256 dimension rows.
 """
 
 from __future__ import annotations
@@ -247,10 +248,9 @@ def left_lookup(df: DataFrame, dim: DataFrame, on, how: str = "left",
     """
     left = _names(on)
     right = _names(right_on) if right_on is not None else left
-    renamed = dim
     tmp = [f"__lk_{i}" for i in range(len(right))]
-    for r, t in zip(right, tmp):
-        renamed = renamed.withColumnRenamed(r, t)
+    alias = dict(zip(right, tmp))
+    renamed = dim.select(*[F.col(c).alias(alias[c]) if c in alias else F.col(c) for c in dim.columns])
     cond = None
     for lcol, t in zip(left, tmp):
         c = df[lcol] == renamed[t]
