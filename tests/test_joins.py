@@ -185,3 +185,24 @@ def test_array_match_lookup_equals_theta_property(spark, arrays, dim_values):
     dim = spark.createDataFrame([(f"d{i}", v) for i, v in enumerate(dim_values)], "did string, v string")
     assert rows(array_match_join(df, "g", dim, "v", ["did", "v"]), "id", "did", "v") == \
         rows(array_match_join_theta(df, "g", dim, "v", ["did", "v"]), "id", "did", "v")
+
+
+def test_bound_checks_fall_back_without_broadcast(spark):
+    from marquee.operators import checked_broadcast, scd2_history, skew_join
+
+    small = spark.range(10)
+    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in checked_broadcast(small, 10)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in checked_broadcast(small, 5)._jdf.queryExecution().analyzed().toString().lower()
+    # more hot keys than the broadcast bound: the salted join still runs, without the hint
+    left = spark.createDataFrame([(f"k{i % 3}", i) for i in range(60)], "k string, v int")
+    right = spark.createDataFrame([("k0", "a"), ("k1", "b"), ("k1", "c")], "k string, w string")
+    got = skew_join(left, right, "k", "left", "left", hot_rows=5, max_hot_keys=1)
+    assert rows(got) == rows(left.join(right, "k", "left"))
+    # more hot keys than scd2_history's bound: chunked windows without broadcasting the hot table
+    import datetime as dt
+    feed = spark.createDataFrame([(f"k{i % 3}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), i, "ab"[i % 2])
+                                  for i in range(60)], "k string, ts timestamp, seq int, v string")
+    split = scd2_history(feed, "k", "ts", check_cols=["v"], tiebreak="seq", split_rows=5, max_hot_keys=1)
+    plain = scd2_history(feed, "k", "ts", check_cols=["v"], tiebreak="seq", split_rows=None)
+    assert rows(split, "k", "seq", "dbt_valid_to") == rows(plain, "k", "seq", "dbt_valid_to")
