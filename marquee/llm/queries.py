@@ -31,3 +31,45 @@ def op2_byte_bpe(spark, d):
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
     docs = read(spark, d, "documents").select("doc_id", "text")
     return bpe.digests(bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"]))
+
+
+OP6_SQL = """
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+words AS (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
+windows AS (SELECT doc_id, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM words)),
+repeated AS (SELECT doc_id, i FROM windows
+             QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n
+            FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM repeated) GROUP BY doc_id),
+lines AS (SELECT doc_id, source, md5(text) AS body, raw,
+                 trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS line
+          FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS raw FROM d)),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM lines WHERE line <> '' GROUP BY doc_id),
+host AS (SELECT source, count(DISTINCT md5(text)) AS n FROM d GROUP BY source),
+often AS (SELECT l.source, l.line FROM lines l JOIN host h ON l.source IS NOT DISTINCT FROM h.source
+          WHERE l.line <> '' GROUP BY l.source, l.line, h.n
+          HAVING count(DISTINCT l.body) > 20 AND count(DISTINCT l.body) > 0.01 * h.n),
+gone AS (SELECT l.doc_id, sum(len(regexp_extract_all(l.line, '[^\\x20\\x09-\\x0D]+'))) AS n
+         FROM lines l JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.line = o.line GROUP BY l.doc_id),
+counts AS (
+  SELECT d.doc_id, len(w.ws) AS n_words,
+         length(regexp_replace(d.text, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+         length(d.text) - length(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+         CAST(coalesce(gone.n, 0) AS BIGINT) AS removed_words
+  FROM d JOIN words w USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)
+  LEFT JOIN gone USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND removed_words <= 0.5 * n_words AS kept
+FROM counts
+"""
+
+
+@query("op6_line_rules", OP6_SQL)
+def op6_line_rules(spark, d):
+    """Base counts and the line-frequency verdict of every document; host: its source."""
+    from marquee.llm import line_rules
+
+    return line_rules.judge(read(spark, d, "documents").select("doc_id", "source", "text")).drop("source")
