@@ -65,16 +65,17 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int,
         yield batch.slice(start)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: Column, how: str = "left",
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
                 bound_rows: int = 200_000, salts: int = 32) -> DataFrame:
     """Join ``left`` with a stored table ``right`` that has each key once.
 
     Up to ``bound_rows`` rows (counted) ``right`` is broadcast and ``left`` is not
-    shuffled. Beyond, the keys are salted by ``spread``: a key that holds a third
-    of ``left`` is dealt over ``salts`` partitions, and ``right`` is repeated that often.
+    shuffled. Beyond, the keys are salted: a key that holds a third of ``left`` is
+    dealt over ``salts`` partitions, and ``right`` is repeated that often.
     """
     if right.count() <= bound_rows:
         return left.join(F.broadcast(right), keys, how)
     salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return (left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+    return (left.withColumn("_salt", salt)
             .join(salted, [*keys, "_salt"], how).drop("_salt"))

@@ -114,7 +114,7 @@ def judge(df: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str =
                                F.col("_host").isNull().alias("_no_host"), "_line", F.lit(True).alias("_hit"))
     lines = text_lines(df, text, host, doc_id).withColumns({
         "_no_host": F.col("_host").isNull(), "_host": F.coalesce("_host", F.lit(""))})
-    hits = lookup_join(lines, frequent, ["_host", "_no_host", "_line"], F.struct(doc_id, "_text"), "inner")
+    hits = lookup_join(lines, frequent, ["_host", "_no_host", "_line"], "inner")
     removed = hits.groupBy(F.col(doc_id).alias("_id"), "_text").agg(F.sum("_n").alias("_removed"))
     rows = df.groupBy(F.col(doc_id).alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text")
                       ).agg(F.count("*").alias("_rows"))
@@ -139,7 +139,7 @@ def strip_lines(df: DataFrame, text: str = "text", host: str = "source", min_doc
                       .groupBy(F.coalesce("_host", F.lit("")).alias("_host"), "_none")
                       .agg(F.collect_list("_line").alias("_drop")), "host-lines")
     df = df.withColumns({"_none": F.col(host).isNull(), "_host": F.coalesce(host, F.lit(""))})
-    out = lookup_join(df, per_host, ["_host", "_none"], F.col(text))
+    out = lookup_join(df, per_host, ["_host", "_none"])
     kept = F.filter(F.split(F.col(text), "\n", -1), lambda x: ~F.coalesce(
         F.array_contains(F.col("_drop"), F.xxhash64(normal_line(x))) & (normal_line(x) != ""), F.lit(False)))
     return out.withColumn(text, F.array_join(kept, "\n")).drop("_host", "_none", "_drop")

@@ -73,3 +73,47 @@ def op6_line_rules(spark, d):
     from marquee.llm import line_rules
 
     return line_rules.judge(read(spark, d, "documents").select("doc_id", "source", "text")).drop("source")
+
+
+# Words whose appearance as a part of a host name put a URL on the stand-in list.
+SPAM_WORDS = ("casino", "porn", "poker", "viagra", "lottery", "betting")
+
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, url, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+         list_filter(string_split(regexp_extract(url, '(?s)^.*?://[^?#]*[?]([^#]*)', 1), '&'),
+                     lambda x: x <> '' AND NOT starts_with(x, 'utm_')) AS params
+  FROM pages),
+c AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN
+           regexp_replace(regexp_replace(host, '(:80|:443)$', ''), '[.]$', '') || regexp_replace(path, '/+$', '')
+           || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canon
+  FROM p),
+listed AS (SELECT DISTINCT canon FROM c
+           WHERE regexp_matches(host, '(^|[.-])(casino|porn|poker|viagra|lottery|betting)([.-]|$)')),
+fit AS (
+  SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/')
+                   THEN 'example.net/en/'
+                 WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/')
+                   THEN 'example.com/de/'
+                 WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                 WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM c)
+SELECT page_id, host, path, rule, canon IS NOT NULL AND canon IN (SELECT canon FROM listed) AS listed,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN canon IN (SELECT canon FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM fit
+"""
+
+
+@query("op8_url_filter", OP8_SQL)
+def op8_url_filter(spark, d):
+    """Every page's URL against the rules and a list; stand-in list: URLs on hosts with a spam word."""
+    from marquee.llm import url_filter
+
+    pages = read(spark, d, "pages").select("page_id", "url")
+    listed = pages.select("url").filter(
+        url_filter.host_of(F.col("url")).rlike(r"(^|[.-])(" + "|".join(SPAM_WORDS) + r")([.-]|$)"))
+    return url_filter.filter_urls(pages, listed).drop("url")
