@@ -117,3 +117,26 @@ def op8_url_filter(spark, d):
     listed = pages.select("url").filter(
         url_filter.host_of(F.col("url")).rlike(r"(^|[.-])(" + "|".join(SPAM_WORDS) + r")([.-]|$)"))
     return url_filter.filter_urls(pages, listed).drop("url")
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+x AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex,
+             max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST((CAST('0x' || substr(hex, CAST((i // 4) * 5 + 1 AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31
+              AS INT) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id < newest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < newest THEN newest END AS refers_to
+FROM x
+"""
+
+
+@query("op9_warc", OP9_SQL)
+def op9_warc(spark, d):
+    """Every page written to WARC archives and read back through the index."""
+    from marquee.llm import warc
+
+    folder, index = warc.write_archives(read(spark, d, "pages"))
+    return warc.read_records(spark, folder, index).drop("url", "payload")
