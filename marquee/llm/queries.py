@@ -140,3 +140,11 @@ def op9_warc(spark, d):
 
     folder, index = warc.write_archives(read(spark, d, "pages"))
     return warc.read_records(spark, folder, index).drop("url", "payload")
+
+
+@query("op10_edit_fingerprint")
+def op10_edit_fingerprint(spark, d):
+    """Fingerprints of every text and of its edited text, with their likeness."""
+    from marquee.llm import edit_fingerprint
+
+    return edit_fingerprint.with_edits(read(spark, d, "documents"))
