@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import blocks
+from marquee.llm.common import arrow_map, blocks
 
 BLOCK_BYTES = 12 << 20       # text whose merges are replayed together
 CACHE_WORDS = 400_000        # words a task remembers before it starts afresh
@@ -222,8 +222,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
     ``text``, each match of ``pattern`` encoded separately, no special tokens."""
     keep = _keep(df, keep, ids)
     shared = df.sparkSession.sparkContext.broadcast(ranks)  # bounded: one vocabulary
-    return df.select(*{*keep, text}).mapInArrow(
-        lambda it: _encoded(it, shared, pattern, text, ids, keep),
+    return arrow_map(df.select(*{*keep, text}), lambda it: _encoded(it, shared, pattern, text, ids, keep),
         _with(df, keep, (ids, T.ArrayType(T.IntegerType()))))
 
 
@@ -231,7 +230,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str =
     """Add ``decoded`` binary: the bytes that ``ids`` stand for (null ids: empty)."""
     df = df.drop(out)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
-    return df.mapInArrow(lambda it: _decoded(it, shared, ids, out),
+    return arrow_map(df, lambda it: _decoded(it, shared, ids, out),
                          _with(df, df.columns, (out, T.BinaryType())))
 
 
@@ -240,8 +239,7 @@ def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str =
     """``encode`` and then ``decode`` in one pass over the batches."""
     keep = _keep(df, keep, ids, out)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
-    return df.select(*{*keep, text}).mapInArrow(
-        lambda it: _decoded(_encoded(it, shared, pattern, text, ids, keep), shared, ids, out),
+    return arrow_map(df.select(*{*keep, text}), lambda it: _decoded(_encoded(it, shared, pattern, text, ids, keep), shared, ids, out),
         _with(df, keep, (ids, T.ArrayType(T.IntegerType())), (out, T.BinaryType())))
 
 

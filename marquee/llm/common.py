@@ -47,22 +47,45 @@ def remainder(col: Column, divisor: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % divisor
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int,
-           ) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each piece holds about ``max_bytes`` of column
-    ``text`` (a single longer row is one piece)."""
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` with batches that stay small when rows hold long texts.
+
+    Lowers the session's Arrow batch limits where they are higher: the default of
+    10,000 rows makes batches of tens of MB, held several times per running task.
+    """
+    conf = df.sparkSession.conf
+    rows = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
+def blocks(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Cut and join Arrow batches into pieces of about ``max_bytes`` of column ``text``
+    (a single longer row is one piece)."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
         col = batch.column(batch.schema.names.index(text))
-        sizes = pc.fill_null(pc.binary_length(col), 0).to_pylist()
-        start = held = 0
-        for i, n in enumerate(sizes):
-            if held and held + n > max_bytes:
-                yield batch.slice(start, i - start)
-                start, held = i, 0
-            held += n
-        yield batch.slice(start)
+        start = 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(col), 0).to_pylist()):
+            if size and size + n > max_bytes:
+                held.append(batch.slice(start, i - start))
+                yield _joined(held)
+                held, size, start = [], 0, i
+            size += n
+        held.append(batch.slice(start))
+    if sum(b.num_rows for b in held):
+        yield _joined(held)
+
+
+def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    held = [b for b in held if b.num_rows]
+    return held[0] if len(held) == 1 else pa.concat_batches(held)
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",

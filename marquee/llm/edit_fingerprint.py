@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import blocks, lookup_join, stored
+from marquee.llm.common import arrow_map, blocks, lookup_join, stored
 
 SLOTS = 256
 BANDS = 32                    # of SLOTS / BANDS samples each
@@ -162,7 +162,7 @@ def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") ->
     """Add the fingerprint of ``text``."""
     df = df.drop(out)
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
-    return df.mapInArrow(lambda it: _fingerprints(it, text, out), schema)
+    return arrow_map(df, lambda it: _fingerprints(it, text, out), schema)
 
 
 # -- neighbours in the order of an id ---------------------------------------------------
@@ -234,7 +234,7 @@ def with_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text", slices
     every = rows.select("_slice", F.lit(False).alias("_guest"), "doc_id", "text").unionByName(guests)
     dealt = (every.repartition(slices, "_slice")
              .sortWithinPartitions("_slice", "_guest", F.col("doc_id").asc_nulls_first(), "text"))
-    return dealt.mapInArrow(_edited_batches, EDITED)
+    return arrow_map(dealt, _edited_batches, EDITED)
 
 
 def _slice_of(cuts: np.ndarray):

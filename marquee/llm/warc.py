@@ -32,7 +32,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import lookup_join, stored
+from marquee.llm.common import arrow_map, lookup_join, stored
 from marquee.session import scratch_path
 
 ARCHIVE_BYTES = 64 << 20     # an archive is closed once it is this long
@@ -138,7 +138,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, date: str = "2024-01-01
     uri = folder if ":" in folder.split("/")[0] else f"file://{folder}"
     fs, root = pafs.FileSystem.from_uri(uri)
     fs.create_dir(root, recursive=True)
-    index = revisits(pages, min_bytes).mapInArrow(lambda it: _write(it, uri, date, level), INDEX)
+    index = arrow_map(revisits(pages, min_bytes), lambda it: _write(it, uri, date, level), INDEX)
     return uri, stored(index, "warc-index")
 
 
@@ -199,4 +199,4 @@ def read_records(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFra
     """
     rows = (wanted.select("archive", "offset", "length").repartition("archive")
             .sortWithinPartitions("archive", "offset"))
-    return rows.mapInArrow(lambda it: _read(it, folder), RECORDS)
+    return arrow_map(rows, lambda it: _read(it, folder), RECORDS)
