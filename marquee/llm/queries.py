@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.llm.common import read
+from marquee.llm.common import read, remainder
 
 QUERIES: dict[str, tuple] = {}
 
@@ -148,3 +148,15 @@ def op10_edit_fingerprint(spark, d):
     from marquee.llm import edit_fingerprint
 
     return edit_fingerprint.with_edits(read(spark, d, "documents"))
+
+
+@query("op3_language_id")
+def op3_language_id(spark, d):
+    """Language of every text, learned from a sample of rows with crc32(doc_id) mod 3 <> 1."""
+    from marquee.llm import langid
+
+    docs = read(spark, d, "documents")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = langid.fit(*langid.training_sample(docs.filter(~held_out), "lang"))
+    return langid.identify(docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text"),
+                           model, keep=["doc_id", "held_out"])
