@@ -160,3 +160,15 @@ def op3_language_id(spark, d):
     model = langid.fit(*langid.training_sample(docs.filter(~held_out), "lang"))
     return langid.identify(docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text"),
                            model, keep=["doc_id", "held_out"])
+
+
+@query("op5_quality_cnn")
+def op5_quality_cnn(spark, d):
+    """Quality of every text, learned from a sample of labels with crc32(doc_id) mod 5 <> 0."""
+    from marquee.llm import quality_cnn
+
+    docs = read(spark, d, "documents")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    net = quality_cnn.learn(docs, read(spark, d, "labels").filter(~held_out))
+    return quality_cnn.classify(docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text"),
+                                net, keep=["doc_id", "held_out"])
