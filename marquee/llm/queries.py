@@ -172,3 +172,11 @@ def op5_quality_cnn(spark, d):
     net = quality_cnn.learn(docs, read(spark, d, "labels").filter(~held_out))
     return quality_cnn.classify(docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text"),
                                 net, keep=["doc_id", "held_out"])
+
+
+@query("op4_html_template")
+def op4_html_template(spark, d):
+    """Main text of every page by the templates of its host."""
+    from marquee.llm import html_template
+
+    return html_template.main_text(read(spark, d, "pages"), keep=["page_id", "url"])
