@@ -180,3 +180,11 @@ def op4_html_template(spark, d):
     from marquee.llm import html_template
 
     return html_template.main_text(read(spark, d, "pages"), keep=["page_id", "url"])
+
+
+@query("op1_ngram_jaccard")
+def op1_ngram_jaccard(spark, d):
+    """Groups of documents linked by 5-word shingle sets with a Jaccard similarity of 0.75 or more."""
+    from marquee.llm import ngram_join
+
+    return ngram_join.link_groups(read(spark, d, "documents").select("doc_id", "text"))
