@@ -188,3 +188,76 @@ def op1_ngram_jaccard(spark, d):
     from marquee.llm import ngram_join
 
     return ngram_join.link_groups(read(spark, d, "documents").select("doc_id", "text"))
+
+
+# Stand-in domains of the sources, and the weights of the mix.
+DOMAINS = {"web": ("src0", "src1", "src2", "src3", "src4"), "news": ("src5", "src6", "src7", "src8", "src9"),
+           "reference": ("src10", "src11", "src12", "src13", "src14"),
+           "forum": ("src15", "src16", "src17", "src18", "src19")}
+MIX_WEIGHTS = {"domain": {"web": 0.3, "news": 0.2, "reference": 0.3, "forum": 0.2},
+               "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}}
+MIX_FRACTION = 0.8
+
+
+def domain_of(source):
+    """Stand-in domain of a source column; ``other`` for any source not listed."""
+    out = F.lit("other")
+    for name, sources in DOMAINS.items():
+        out = F.when(source.isin(*sources), name).otherwise(out)
+    return out
+
+
+def _split_sql(level: str, parents: str, child: str, above: str) -> str:
+    """CTEs that split the budgets of ``above`` among the nodes of a level."""
+    on = " AND ".join(f"n.{c} IS NOT DISTINCT FROM a.{c}" for c in parents.split(", ")) if parents else "TRUE"
+    per = f"PARTITION BY {parents}" if parents else ""
+    return f"""
+{level}_in AS (SELECT n.*, a.budget, n.cap / n.w AS ratio FROM {level}_node n JOIN {above} a ON {on}),
+{level}_lvl AS (SELECT *, (budget - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl FROM {level}_in
+    WINDOW o AS ({per} ORDER BY ratio, {child} NULLS FIRST)),
+{level}_out AS (SELECT * EXCLUDE (budget), CASE WHEN ratio <= lvl THEN cap ELSE greatest(0.0, w * max(
+    CASE WHEN ratio > lvl THEN lvl END) OVER ({per})) END AS budget FROM {level}_lvl)"""
+
+
+def _weight_sql(level: str) -> str:
+    cases = "".join(f" WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in MIX_WEIGHTS[level].items())
+    return f"CASE {level}{cases} ELSE 1.0 END"
+
+
+def mix_sql(documents: str, max_epochs: float) -> str:
+    """DuckDB SQL of the mix over a table (doc_id, text, lang, source): (doc_id, domain, lang, source, n_tokens, epoch)."""
+    domain = "CASE" + "".join(
+        f" WHEN source IN ({', '.join(repr(s) for s in names)}) THEN '{d}'" for d, names in DOMAINS.items()) + " ELSE 'other' END"
+    return f"""
+WITH d AS (SELECT doc_id, lang, source, {domain} AS domain,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens FROM {documents}),
+t AS (SELECT * FROM d WHERE n_tokens > 0),
+leaf AS (SELECT domain, lang, source, sum(n_tokens) AS tokens, sum(n_tokens) * CAST({max_epochs} AS DOUBLE) AS cap,
+                CAST(1 AS DOUBLE) AS w FROM t GROUP BY ALL),
+root AS (SELECT sum(tokens) * CAST({MIX_FRACTION} AS DOUBLE) AS budget FROM leaf),
+a_node AS (SELECT domain, sum(cap) AS cap, {_weight_sql("domain")} AS w FROM leaf GROUP BY domain),
+b_node AS (SELECT domain, lang, sum(cap) AS cap, {_weight_sql("lang")} AS w FROM leaf GROUP BY domain, lang),
+c_node AS (SELECT * FROM leaf),
+{_split_sql("a", "", "domain", "root")},
+{_split_sql("b", "domain", "lang", "a_out")},
+{_split_sql("c", "domain, lang", "source", "b_out")},
+cut AS (SELECT domain, lang, source, CAST(floor(budget / tokens) AS INT) AS whole,
+               budget - floor(budget / tokens) * tokens AS wanted FROM c_out),
+placed AS (SELECT t.*, whole, wanted, md5(concat('1:', whole, ':', doc_id)) AS place
+           FROM t JOIN cut c ON t.domain = c.domain AND t.lang IS NOT DISTINCT FROM c.lang
+                             AND t.source IS NOT DISTINCT FROM c.source),
+summed AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto FROM placed)
+SELECT doc_id, domain, lang, source, n_tokens,
+       CAST(unnest(range(0, whole + CASE WHEN upto < wanted THEN 1 ELSE 0 END)) AS INT) AS epoch
+FROM summed"""
+
+
+@query("op7_source_mix", mix_sql("documents", 2.0))
+def op7_source_mix(spark, d):
+    """Documents of a mix of 80 % of all tokens by weights of domain, language and source, at most two epochs."""
+    from marquee.llm import mixing
+
+    docs = read(spark, d, "documents").withColumn("domain", domain_of(F.col("source")))
+    return mixing.mix(docs, MIX_WEIGHTS, MIX_FRACTION, max_epochs=2.0).drop("text", "n_chars")
