@@ -1,10 +1,109 @@
-"""Corpus pipeline (stages follow)."""
+"""Corpus pipeline: from raw documents to token ids, one dealt operator per stage.
 
-STAGES = []
-ORACLE_SQL = None
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
+DataFrame, which is written as Parquet and read again as the next one's ``docs``. All but
+the last return the columns of ``docs``. ``run`` applies them to ``documents``.
+
+Defined results of all stages: an empty table stays empty; extra columns pass through
+under their own names; null and empty texts are scored like empty texts.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marquee.llm import bpe, langid, mixing, ngram_join, quality_cnn
+from marquee.llm.common import lookup_join, read, remainder, stored
+from marquee.llm.queries import MIX_FRACTION, MIX_WEIGHTS, VOCABULARY, domain_of
+from marquee.session import ensure_checkpoint_dir
+
+
+def _renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns _c0, _c1, ..., so that no column of a result clashes, and the new names."""
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that it rejects (predicted 0) go.
+
+    Learns from a bounded sample of labels with crc32(doc_id) mod 5 <> 0. Without labels of both
+    kinds nothing can be learned, and a document goes only if label 1 is rarer than the threshold.
+    """
+    labels = read(spark, sf_dir, "labels").filter(remainder(F.col("doc_id"), 5) != 0)
+    net = quality_cnn.learn(docs.select("doc_id", "text"), labels)
+    rows, names = _renamed(docs)
+    scored = quality_cnn.classify(rows, net, text=names["text"])
+    return scored.filter("predicted = 1").select(*names.values()).toDF(*docs.columns)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents that it rejects go: null texts, texts without a letter, and those
+    whose language it cannot tell with the calibrated confidence."""
+    learn = docs.filter(remainder(F.col("doc_id"), 3) != 1)
+    model = langid.fit(*langid.training_sample(learn, "lang"))
+    rows, names = _renamed(docs)
+    found = langid.identify(rows, model, text=names["text"])
+    return found.filter("NOT rejected").select(*names.values()).toDF(*docs.columns)
 
 
-def run(spark, sf_dir):
-    from marquee.llm.common import read
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: one document of each group stays, that with the smallest doc_id.
+
+    Of rows with one doc_id, the least row stays. Documents without an id stay, once per text, if no
+    document of their group has an id.
+    """
+    key = F.xxhash64("text")
+    groups = stored(ngram_join.link_groups(docs.select("doc_id", key.alias("_key"), "text")), "groups")
+    gone = stored(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
+    twice = stored(groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+                   .select("doc_id"), "twice")
+    kept = lookup_join(docs.filter("doc_id IS NOT NULL"), gone, ["doc_id"], "left_anti")
+    single = lookup_join(kept, twice, ["doc_id"], "left_anti")
+    several = lookup_join(kept, twice, ["doc_id"], "left_semi")
+    others = [c for c in docs.columns if c != "doc_id"]
+    several = several.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("r")).select("doc_id", "r.*")
+    free = stored(groups.filter("doc_id IS NULL AND component_id IS NULL").select("_key").distinct(), "without-id")
+    nameless = lookup_join(docs.filter("doc_id IS NULL").withColumn("_key", key), free, ["_key"], "left_semi")
+    nameless = nameless.groupBy("text").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    return single.select(*docs.columns).unionByName(several.select(*docs.columns)).unionByName(nameless)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: 80 % of the tokens by the target weights of domain, language and source, one epoch at most."""
+    rows, names = _renamed(docs)
+    rows = rows.withColumns({"domain": domain_of(F.col(names["source"])), "lang": F.col(names["lang"]),
+                             "source": F.col(names["source"])})
+    mixed = mixing.mix(rows, MIX_WEIGHTS, MIX_FRACTION, max_epochs=1.0, doc_id=names["doc_id"], text=names["text"])
+    return mixed.select(*names.values()).toDF(*docs.columns)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE: doc_id, ids, n_tokens, SHA-256 of the ids and of the decoded bytes."""
+    import public_tokenizers
+
+    ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
+    coded = bpe.round_trip(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, keep=["doc_id"])
+    return bpe.digests(coded, keep=["doc_id", "ids"])
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("language ID", language_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("mixing sources to target weights", mixing_stage),
+    ("byte-level BPE encoding and decoding", token_stage),
+]
+
+# The trained stages and the byte-pair encoding have no SQL form; tests hold every stage against brute force.
+ORACLE_SQL = None
+
 
-    return read(spark, sf_dir, "documents")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage in turn on the whole of ``documents``."""
+    ensure_checkpoint_dir(spark)
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return docs

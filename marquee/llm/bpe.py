@@ -243,9 +243,9 @@ def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str =
         _with(df, keep, (ids, T.ArrayType(T.IntegerType())), (out, T.BinaryType())))
 
 
-def digests(df: DataFrame, doc_id: str = "doc_id", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Per row: n_tokens, SHA-256 of the ids joined by commas, SHA-256 of the bytes."""
+def digests(df: DataFrame, keep: list[str], ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``keep`` columns plus n_tokens, SHA-256 of the ids joined by commas, SHA-256 of the bytes."""
     return df.select(
-        F.col(doc_id), F.size(ids).cast("long").alias("n_tokens"),
+        *keep, F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col(ids).cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col(decoded), 256).alias("decoded_sha256"))

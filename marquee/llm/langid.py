@@ -12,8 +12,8 @@ that were predicted right fall below it).
 
 Defined results: null text and text without a letter give ``und`` with score 0,
 rejected; repeated rows each get their result; extra columns pass through, and columns
-named like a result are replaced. Labels that are null are not learned; a training
-set without labels raises ValueError.
+named like a result are replaced. Null labels are not learned; without any label
+every language is ``und`` with score 0, and only texts without a letter are rejected.
 """
 
 from __future__ import annotations
@@ -79,7 +79,7 @@ def fit(texts: list[str], labels: list[str], epochs: int = 30, batch: int = 32,
     """Train on whole texts by stochastic gradient descent; calibrate on a fifth of them."""
     langs = sorted(set(labels))
     if not langs:
-        raise ValueError("no labelled text to learn from")
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
     rng = np.random.default_rng(seed)
     x = np.stack([counts(t) for t in texts])
     y = np.searchsorted(langs, labels)
@@ -116,6 +116,9 @@ def fit(texts: list[str], labels: list[str], epochs: int = 30, batch: int = 32,
 
 def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and rejection of each text."""
+    if not model.langs:
+        letters = np.array([any(map(str.isalpha, t or "")) for t in texts], bool)
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), ~letters
     logits = np.zeros((len(texts), len(model.langs)), np.float32)
     known = np.zeros(len(texts), bool)
     for i, t in enumerate(texts):

@@ -12,8 +12,8 @@ rows where they lie, piece by piece, so a text of any length takes bounded memor
 
 Defined results: null text counts as empty; an empty text is scored by the bias
 alone; repeated rows each get their score; extra columns pass through, and columns
-named like a result are replaced; a training set without rows of both labels raises
-ValueError.
+named like a result are replaced. A training set without rows of both labels teaches
+nothing: every score is the share of label 1 (of no labels at all: 1).
 """
 
 from __future__ import annotations
@@ -114,12 +114,23 @@ def score(net: Network, text: str | None, piece: int = 1 << 18) -> float:
     return combine(net, total / chunks, top)
 
 
+def untrained(share: float) -> Network:
+    """The network that scores every text with ``share``."""
+    zero = [np.zeros(n, np.float32) for n in ((256, EMBED), (SPAN * CHANNELS, FILTERS), FILTERS, FILTERS, FILTERS)]
+    return Network(*zero, float(_log_odds(share)))
+
+
+def _log_odds(share: float) -> float:
+    share = min(max(share, 1e-6), 1 - 1e-6)
+    return float(np.log(share / (1 - share)))
+
+
 def fit(texts: list[str], labels: list[int], epochs: int = 8, rate: float = 0.01, batch: int = 16,
         seed: int = 11) -> Network:
     """Train by Adam on whole texts. Both labels weigh the same share they have in the sample."""
     y = np.array(labels, np.float64)
     if not 0 < y.sum() < len(y):
-        raise ValueError("labels of both kinds are needed")
+        return untrained(float(y.mean()) if len(y) else 1.0)
     rng = np.random.default_rng(seed)
     net = Network(rng.normal(0, 0.5, (256, EMBED)).astype(np.float32),
                   rng.normal(0, (SPAN * CHANNELS) ** -0.5, (SPAN * CHANNELS, FILTERS)).astype(np.float32),
@@ -186,7 +197,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
     known = labels.select(key, F.col(label).cast("int").alias("_y")).filter(F.col("_y").isin(0, 1))
     sizes = {r[0]: r[1] for r in known.groupBy("_y").count().collect()}
     if len(sizes) < 2:
-        raise ValueError("labels of both kinds are needed")
+        return [], [], float(sizes.get(1, 0) > 0 or not sizes)
     u = F.pmod(F.xxhash64(F.col(key), F.lit("quality")), F.lit(1 << 30)) / float(1 << 30)
     chance = F.when(F.col("_y") == 1, min(1.0, rows / 2 / sizes[1])).otherwise(min(1.0, rows / 2 / sizes[0]))
     chosen = known.filter(u < chance).dropDuplicates([key]).limit(2 * rows)
@@ -199,13 +210,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", **sample) -> Network:
     """Train on a bounded sample, then set the bias to the share of label 1 among all labels."""
     texts, y, share = training_sample(docs, labels, label, **sample)
+    if not 0 < sum(y) < len(y):
+        return untrained(share)
     return shift_prior(fit(texts, y), sum(y) / len(y), share)
 
 
 def shift_prior(net: Network, sample_share: float, true_share: float) -> Network:
     """The network for rows of which ``true_share`` have label 1, trained on a sample with another share."""
-    odds = lambda p: np.log(p / (1 - p))
-    return Network(*net.weights(), net.bias + float(odds(true_share) - odds(sample_share)))
+    return Network(*net.weights(), net.bias + _log_odds(true_share) - _log_odds(sample_share))
 
 
 def _scores(batches: Iterator[pa.RecordBatch], shared, text: str, keep: list[str]) -> Iterator[pa.RecordBatch]:

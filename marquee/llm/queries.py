@@ -30,7 +30,7 @@ def op2_byte_bpe(spark, d):
 
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
     docs = read(spark, d, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"]))
+    return bpe.digests(bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"]), ["doc_id"])
 
 
 OP6_SQL = """

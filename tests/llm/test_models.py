@@ -50,8 +50,9 @@ def test_language_of_odd_rows(spark):
     assert by[(None, "der die das und")].lang_pred == "de"
     assert by[(4, "a" * 700_000)].lang_pred in ("de", "en")
     assert langid.identify(odd_rows(spark).limit(0), model).count() == 0
-    with pytest.raises(ValueError):
-        langid.fit([], [])
+    rows = langid.identify(odd_rows(spark), langid.fit([], [])).collect()
+    assert {(r.lang_pred, r.score) for r in rows} == {("und", 0.0)}
+    assert sorted(r.rejected for r in rows) == [False] * 3 + [True] * 3
 
 
 def test_language_sample_is_bounded(spark):
@@ -73,8 +74,8 @@ def test_quality_of_odd_rows(spark):
     assert len(rows) == 6 and all(0 <= r.score <= 1 for r in rows)
     assert len({r.score for r in rows if not r.text}) == 1
     assert quality_cnn.classify(odd_rows(spark).limit(0), net).count() == 0
-    with pytest.raises(ValueError):
-        quality_cnn.fit(["a", "b"], [1, 1])
+    assert quality_cnn.score(quality_cnn.fit(["a", "b"], [1, 1]), "any text") > 0.99
+    assert quality_cnn.score(quality_cnn.fit([], []), "any text") > 0.99
 
 
 def test_quality_pieces_cover_the_whole_text():
