@@ -7,8 +7,9 @@ are never built: each page adds ``count * mix(page)`` to a 64-bit sum per (host,
 token), so equal sums are equal vectors, tasks pre-aggregate, and a host with a
 third of all pages is still a few rows per task.
 
-The root class (once on every page, tags only) in page order is the host's template;
-classes that repeat are nested in the slot between two root tokens that holds them.
+The root class in page order is the host's template: of the classes of tags that never
+stand twice on a page, that on the most pages. Other classes are nested in the
+slots between two root tokens that hold them.
 Text that stands on at least half of the pages of a host outside its main element is
 part of the template, too. What remains of a page are its slots; the main text are
 the slots inside the template's main element (``article`` or ``main``), or with no such
@@ -32,7 +33,7 @@ from decimal import Decimal
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,7 +59,7 @@ SIDE_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb br
                        "promo related share sharing sidebar social sponsor sponsored subscribe widget".split())
 
 SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-                  r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|([^<]+|<)", re.S | re.I)
+                  r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/a-z][^>]*(?:>|\Z)|([^<]+|<)", re.S | re.I)
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
 
@@ -199,16 +200,18 @@ def templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     hosts = totals.filter("token = 0").select("host", F.col("pages").alias("in_host"))
     kept = totals.filter("token <> 0").join(hosts, "host").filter(
         (F.col("in_host") >= MIN_PAGES) & (F.col("pages") >= support * F.col("in_host")))
-    tags = kept.filter("NOT is_text")
-    once = tags.filter("pages = in_host AND total = in_host")
-    root = once.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("place", "token", "main"))).alias("r"))
-    root = root.select("host", F.transform("r", lambda x: F.struct(
-        x["token"].alias("token"), x["main"].alias("main"))).alias("root"))
-    classes = (tags.filter("total > pages OR pages < in_host").groupBy("host", "vector", "pages", "total")
-               .agg(F.sort_array(F.collect_list("token")).alias("c")))
-    nested = classes.groupBy("host").agg(F.sort_array(F.collect_list("c")).alias("nested"))
     fixed = kept.filter("is_text").groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("fixed"))
-    return root.join(nested, "host", "left").join(fixed, "host", "left")
+    # A class of a host holds at most its pages' tags: few, as each is on a share of all pages.
+    classes = kept.filter("NOT is_text").groupBy("host", "vector", "pages", "total").agg(
+        F.array_sort(F.collect_list(F.struct("place", "token", "main"))).alias("c"))
+    classes = classes.withColumn("is_root", F.row_number().over(Window.partitionBy("host").orderBy(
+        (F.col("total") == F.col("pages")).desc(), F.desc("pages"), F.desc(F.size("c")), "vector")) == 1)
+    both = classes.groupBy("host").agg(
+        F.max(F.when(F.col("is_root") & (F.col("total") == F.col("pages")), F.transform("c", lambda x: F.struct(
+            x["token"].alias("token"), x["main"].alias("main"))))).alias("root"),
+        F.sort_array(F.collect_list(F.when(~F.col("is_root") | (F.col("total") > F.col("pages")), F.transform(
+            "c", lambda x: x["token"])))).alias("nested"))
+    return both.join(fixed, "host", "full_outer")
 
 
 def main_slots(root: list[tuple[int, int]]) -> set[int] | None:
@@ -233,7 +236,7 @@ def extract(html: str | None, root: list[tuple[int, int]] | None = None, nested:
         wanted = [slot in slots for slot in slot_of]
     else:
         has_main = any(node is not None and node.name in MAIN for token, node, text in page if not text)
-        wanted = [node is not None and (node.main or not has_main) for _, node, _ in page]
+        wanted = [not has_main or node is not None and node.main for _, node, _ in page]
     out: list[str] = []
     block: list[str] = []
 
