@@ -2,8 +2,6 @@ from marquee.operators.joins import (
     anti_by_registry,
     append_new,
     array_match_join,
-    array_match_join_theta,
-    checked_broadcast,
     distinct_elements,
     distinct_values,
     fanout_join,
@@ -14,7 +12,6 @@ from marquee.operators.joins import (
     rated_titles,
     skew_join,
     unique_rows,
-    unique_rows_selfjoin,
 )
 from marquee.operators.onehot import one_hot
 from marquee.operators.scd2 import (
@@ -29,8 +26,8 @@ from marquee.operators.scd2 import (
 
 __all__ = [
     "anti_by_registry", "append_new", "array_match_join", "array_match_join_theta",
-    "checked_broadcast", "distinct_elements", "distinct_values", "fanout_join", "flatten",
+    "distinct_elements", "distinct_values", "fanout_join", "flatten",
     "groups_of_size", "join_feeds", "left_lookup", "rated_titles", "skew_join", "unique_rows",
-    "unique_rows_selfjoin", "one_hot", "META_COLS", "as_of", "current", "dedupe_latest",
+    "one_hot", "META_COLS", "as_of", "current", "dedupe_latest",
     "scd2_history", "snapshot_check", "snapshot_timestamp",
 ]

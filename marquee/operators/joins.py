@@ -2,18 +2,15 @@
 
 Scale notes that apply to every function here:
 
-* No broadcast hint by default. Adaptive execution measures the real size of
-  each side after its shuffle map stage and turns a sort-merge join into a
-  broadcast join only when that side is under
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold``; ``checked_broadcast``
-  hints explicitly, but only after a bounded count proves the row bound.
+* No action while a plan is built: every function returns a lazy DataFrame.
+* No broadcast hint on data of unknown size. Adaptive execution measures each
+  side after its shuffle map stage and turns a sort-merge join into a broadcast
+  join only when that side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 * Hot keys: group-bys use partial (map-side) aggregation, so a key holding a
   third of all rows is reduced to one row per map task before the shuffle.
   Joins get AQE skew-join splitting of oversized partitions at run time, and
   ``skew_join`` salts hot keys explicitly where AQE cannot split (the right
   side of a left outer join).
-* The driver receives only bounded results: the counts of ``limit(n + 1)``
-  size checks and, for the J6 lookup form, at most 256 dimension rows.
 """
 
 from __future__ import annotations
@@ -29,62 +26,23 @@ def _names(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``dim`` only if it provably has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()``: it stops reading after the
-    bound, so its cost is bounded too. Meant for materialized dimension
-    tables; over the bound the join is left to the planner (sort-merge or an
-    AQE runtime broadcast).
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 # ------------------------------------------------------------------- J1 / J2 / U3
 
-# Keys of an incoming batch broadcast to pre-filter a large target (bounded count first).
-MAX_PROBE_KEYS = 1_000_000
-
-
-def _probe(target_keys: DataFrame, df: DataFrame, key: str, tkey: str,
-           max_probe_keys: int | None) -> DataFrame:
-    """``target_keys`` reduced to the keys ``df`` can meet, when ``df``'s keys are few.
-
-    A daily batch is small and the target (every id ever registered, a
-    dimension) is large: instead of shuffling the whole target into an anti
-    join, the batch's distinct keys - proven to be at most ``max_probe_keys``
-    by a bounded count - are broadcast into a semi join that filters the
-    target during its scan. Only the few matching target keys move on.
-    """
-    if max_probe_keys is None:
-        return target_keys
-    probe = df.select(F.col(key).alias(tkey)).distinct()
-    if probe.limit(max_probe_keys + 1).count() > max_probe_keys:
-        return target_keys
-    return target_keys.join(F.broadcast(probe), tkey, "left_semi")
-
-
 def anti_by_registry(df: DataFrame, ids: DataFrame, key: str, id_key: str | None = None,
-                     null_safe: bool = False, max_probe_keys: int | None = MAX_PROBE_KEYS) -> DataFrame:
+                     null_safe: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in the id registry (NOT EXISTS).
 
     ``null_safe=True`` also drops a NULL key when the registry holds a NULL
-    (pandas ``isin`` matches NaN to NaN). A small batch first filters the
-    registry through a broadcast of its keys (``_probe``); otherwise this is a
-    hash-partitioned anti join and the registry is broadcast only if AQE
-    measures it small.
+    (pandas ``isin`` matches NaN to NaN). One hash-partitioned anti join on the
+    key columns alone; AQE broadcasts the registry only if it measures it small.
     """
-    id_key = id_key or key
-    reg = _probe(ids.select(F.col(id_key).alias("__reg_key")), df, key, "__reg_key",
-                 None if null_safe else max_probe_keys)
+    reg = ids.select(F.col(id_key or key).alias("__reg_key"))
     cond = (df[key].eqNullSafe(reg["__reg_key"]) if null_safe else df[key] == reg["__reg_key"])
     return df.join(reg, cond, "left_anti")
 
 
 def append_new(df: DataFrame, target: DataFrame | None, key: str,
-               target_key: str | None = None, null_aware: bool = False,
-               max_probe_keys: int | None = MAX_PROBE_KEYS) -> DataFrame:
+               target_key: str | None = None, null_aware: bool = False) -> DataFrame:
     """Rows of ``df`` to append to an insert-only table: ``key NOT IN (target keys)``.
 
     ``target is None`` is the first run (everything is new). With
@@ -98,15 +56,12 @@ def append_new(df: DataFrame, target: DataFrame | None, key: str,
     * otherwise               -> non-NULL keys absent from the target pass
 
     The two target facts come from one scalar subquery (one aggregate over
-    the target, folded into the filter); the membership test is an anti join against the
-    target, pre-filtered by the batch's keys when they are few (``_probe``).
+    the target, folded into the filter).
     """
     if target is None:
         return df
-    target_key = target_key or key
-    tk = target.select(F.col(target_key).alias("__tgt_key"))
-    reduced = _probe(tk, df, key, "__tgt_key", max_probe_keys)
-    anti = df.join(reduced, df[key] == reduced["__tgt_key"], "left_anti")
+    tk = target.select(F.col(target_key or key).alias("__tgt_key"))
+    anti = df.join(tk, df[key] == tk["__tgt_key"], "left_anti")
     if not null_aware:
         return anti
     # one scalar subquery (one scan of the target): 2 = empty, 1 = no NULL key, 0 = holds a NULL key
@@ -119,7 +74,7 @@ def append_new(df: DataFrame, target: DataFrame | None, key: str,
 # ----------------------------------------------------------------------- J3 / A1
 
 def groups_of_size(df: DataFrame, keys, n: int = 1) -> DataFrame:
-    """``GROUP BY keys HAVING COUNT(*) = n`` (partial + final hash aggregate)."""
+    """``GROUP BY keys HAVING COUNT(*) = n`` (partial, then final aggregate)."""
     keys = _names(keys)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") == n).drop("__n")
 
@@ -144,97 +99,67 @@ def unique_rows(df: DataFrame, keys, cols=None) -> DataFrame:
     return agg.filter(F.col("__n") == 1).drop("__n")
 
 
-def unique_rows_selfjoin(df: DataFrame, keys, cols=None) -> DataFrame:
-    """The reference's literal two-pass form (used as the oracle in tests)."""
-    keys = _names(keys)
-    cols = [c for c in (cols or df.columns) if c not in keys]
-    uniq = groups_of_size(df, keys, 1)
-    return uniq.join(df.select(*keys, *cols), keys, "inner")
-
-
 # ------------------------------------------------------------------- hot keys
 
 def skew_join(left: DataFrame, right: DataFrame, on, how: str = "inner", hot_side: str = "left",
-              hot_rows: int | None = 1_000_000, max_hot_keys: int = 10_000, seed: int = 17,
-              key_rows: DataFrame | None = None) -> DataFrame:
+              hot_rows: int | None = 1_000_000, key_rows: DataFrame | None = None) -> DataFrame:
     """Equi join (``inner`` or ``left``) that splits keys with more than ``hot_rows`` rows.
 
-    Keys are counted on ``hot_side`` (one partially aggregated pass, bounded
-    by a ``limit`` count). No hot key: a plain join. Otherwise each hot-side
-    row of a hot key gets a random salt in ``[0, n / hot_rows)`` and the other
-    side's rows of that key are replicated once per salt; the join runs on
-    (keys, salt), so a hot key is spread over ``n / hot_rows`` tasks.
+    The rows of ``hot_side`` are counted per key (one partially aggregated
+    pass), or ``key_rows`` (keys + ``__n``) gives the exact counts when they
+    are cheaper to get. A key with ``n > hot_rows`` rows gets
+    ``ceil(n / hot_rows)`` buckets: its rows on the hot side go to a bucket
+    each, its rows on the other side to every bucket, and the join runs on
+    (keys, bucket). All other keys have one bucket. The table of hot keys has
+    at most ``rows / hot_rows`` rows and is broadcast; each input is read once.
 
     Exact for ``inner`` and ``left``: every row meets every matching row in
-    exactly one salt. With ``hot_side='right'`` and ``how='left'`` the left
-    rows of hot keys are replicated into a salted inner join and the ones
-    without a match are added back once (see ``salted_join``). A retried task
-    may draw other salts; the result does not depend on them.
-
-    ``key_rows`` (keys + ``__n``) replaces the count over the hot side when a
-    cheaper upper bound of its rows per key is known (for example from the
-    inputs of a fan-out join); any bound >= the true count keeps it exact.
+    exactly one bucket. In a left join with a hot right side, the copies of a
+    left row that meet nothing are dropped for hot keys: a hot key has rows on
+    the right by definition, so the row appears through another bucket (right
+    rows are dealt round robin by a counter per task, then by key hash, so a
+    bucket may be empty, never all of them).
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
     keys = _names(on)
     if hot_rows is None:
         return left.join(right, keys, how)
-    big = left if hot_side == "left" else right
     if key_rows is None:
-        key_rows = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = hot_key_buckets(key_rows, keys, hot_rows)
-    n_hot = hot.limit(max_hot_keys + 1).count()
-    if n_hot == 0:
-        return left.join(right, keys, how)
-    return salted_join(left, right, keys, how, hot_side, hot, broadcast_hot=n_hot <= max_hot_keys, seed=seed)
+        key_rows = (left if hot_side == "left" else right).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = F.broadcast(hot_key_buckets(key_rows, keys, hot_rows))
+    if hot_side == "left":
+        return (_deal(left, hot, keys).join(_replicate(right, hot, keys).drop("__hot"), keys + ["__bucket"], how)
+                .drop("__bucket"))
+    dealt = _deal(right, hot, keys).withColumn("__met", F.lit(True))
+    joined = _replicate(left, hot, keys).join(dealt, keys + ["__bucket"], how)
+    return joined.filter(F.col("__met") | ~F.col("__hot")).drop("__bucket", "__hot", "__met")
 
 
 def hot_key_buckets(key_rows: DataFrame, keys, hot_rows: int) -> DataFrame:
-    """Keys whose row count (``__n``) exceeds ``hot_rows``, with a bucket count ``__b``."""
+    """Keys whose row count (``__n``) exceeds ``hot_rows``, with a bucket count ``__b`` (bigint)."""
     return (key_rows.filter(F.col("__n") > hot_rows)
-            .select(*_names(keys), F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__b")))
+            .select(*_names(keys), F.ceil(F.col("__n") / F.lit(hot_rows)).cast("long").alias("__b")))
 
 
-def _salt(df: DataFrame, h: DataFrame, keys, seed: int) -> DataFrame:
-    """One random salt in [0, __b) per row of a hot key, 0 for other keys."""
-    return (df.join(h, keys, "left")
-            .withColumn("__salt", F.when(F.col("__b").isNull(), F.lit(0))
-                        .otherwise(F.floor(F.rand(seed) * F.col("__b")).cast("int")))
+def _deal(df: DataFrame, hot: DataFrame, keys) -> DataFrame:
+    """One bucket in [0, __b) per row of a hot key, 0 for other keys."""
+    hashed = [f.name for f in df.schema.fields if not _holds_unhashable(f.dataType)]
+    return (df.join(hot, keys, "left")
+            .withColumn("__bucket", F.coalesce(F.pmod(F.xxhash64(*hashed), F.col("__b")), F.lit(0).cast("long")))
             .drop("__b"))
 
 
-def _replicate(df: DataFrame, h: DataFrame, keys) -> DataFrame:
-    """Each row of a hot key once per salt value, other rows once with salt 0."""
-    return (df.join(h, keys, "left")
-            .withColumn("__salt", F.explode(F.when(F.col("__b").isNull(), F.array(F.lit(0)))
-                                             .otherwise(F.sequence(F.lit(0), F.col("__b") - 1))))
-            .drop("__b"))
+def _holds_unhashable(dtype: T.DataType) -> bool:
+    return any(t in dtype.simpleString() for t in ("map<", "variant"))
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys, how: str, hot_side: str, hot: DataFrame,
-                broadcast_hot: bool = True, seed: int = 17) -> DataFrame:
-    """The salted join of ``skew_join`` for a given hot-key table (keys + ``__b``).
-
-    Exact for any hot-key table (a key may be flagged hot from an upper bound
-    and have no rows at all). For a left join with the right side hot, the
-    left rows of hot keys take a salted *inner* join, and those without any
-    match are added back once through an anti join on the (few) hot keys
-    present on the right; rows of other keys take a plain left join.
-    """
-    keys = _names(keys)
-    h = F.broadcast(hot) if broadcast_hot else hot
-    if hot_side == "left":
-        return _salt(left, h, keys, seed).join(_replicate(right, h, keys), keys + ["__salt"], how).drop("__salt")
-    if how == "inner":
-        return _replicate(left, h, keys).join(_salt(right, h, keys, seed), keys + ["__salt"], how).drop("__salt")
-    left_hot, left_cold = left.join(h, keys, "left_semi"), left.join(h, keys, "left_anti")
-    right_hot, right_cold = right.join(h, keys, "left_semi"), right.join(h, keys, "left_anti")
-    cold = left_cold.join(right_cold, keys, "left")
-    matched = (_replicate(left_hot, h, keys).join(_salt(right_hot, h, keys, seed), keys + ["__salt"], "inner")
-               .drop("__salt"))
-    unmatched = left_hot.join(right_hot.select(*keys).distinct(), keys, "left_anti")
-    return cold.unionByName(matched).unionByName(unmatched, allowMissingColumns=True)
+def _replicate(df: DataFrame, hot: DataFrame, keys) -> DataFrame:
+    """Each row of a hot key once per bucket, other rows once with bucket 0; ``__hot`` tells them apart."""
+    return (df.join(hot, keys, "left").withColumn("__hot", F.col("__b").isNotNull())
+            .withColumn("__bucket", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                         F.coalesce("__b", F.lit(1).cast("long")) - 1)))
+            .drop("__b"))
 
 
 # ---------------------------------------------------------------- J4 / J5 / J7-J9
@@ -296,89 +221,34 @@ def join_feeds(left: DataFrame, right: DataFrame, keys, extra_keys=(),
     if not match_extra:
         r = right.drop(*[c for c in extra_keys if c in right.columns])
     if key_rows is not None and match_extra:
-        key_rows = None          # a bound per title is not one per (title, year)
+        key_rows = None          # counts per title are not counts per (title, year)
     return skew_join(left, r, on, "left", hot_side="right", hot_rows=hot_rows, key_rows=key_rows)
 
 
 # ------------------------------------------------------------------------------ J6
 
 def array_match_join(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
-                     dim_cols=None, max_broadcast_rows: int | None = 256) -> DataFrame:
-    """``df LEFT JOIN dim ON ARRAY_CONTAINS(dim.dim_col, df.arr_col)``.
-
-    Two plans, chosen by a bounded count of the dimension:
+                     dim_cols=None) -> DataFrame:
+    """``df LEFT JOIN dim ON ARRAY_CONTAINS(dim.dim_col, df.arr_col)`` as equi joins.
 
-    * at most ``max_broadcast_rows`` dim rows (a genre list): a map lookup.
-      The proven-small dimension becomes a literal map value -> matching dim
-      rows inside the projection; each row looks up its distinct non-NULL
-      elements and explodes the matches. No join, no shuffle, and no row is
-      compared with dim rows it does not contain;
-    * otherwise (or ``max_broadcast_rows=None``) the equi rewrite below, whose
-      cost does not grow with the dimension.
-
-    The equi rewrite is exact for duplicates, NULL and empty arrays and NULL
-    dim values:
+    Exact for duplicates, NULL and empty arrays, NULL dim values, and dim
+    columns of any type:
 
     1. distinct array values (map-side pre-aggregated),
     2. explode each distinct array's *distinct* elements and equi-join the dim,
-    3. gather the matches per distinct array (bounded by the array's length),
-    4. left-join rows to their array's matches on the array value, then
-       ``explode_outer``: one row per matching dim row, or one NULL row.
+    3. left-join rows to their array's matches on the array value: one row per
+       matching dim row, or one NULL row.
 
-    The shuffle in step 4 is keyed by the array value; a hot array value is
-    a skewed left side that AQE splits.
+    The shuffle in step 3 is keyed by the array value; a hot array value is
+    a skewed left side that AQE splits. Nothing is gathered per array.
     """
     dim_cols = list(dim_cols or dim.columns)
-    if max_broadcast_rows is not None:
-        small = dim.select(F.col(dim_col).alias("__elem"), *[F.col(c) for c in dim_cols])
-        rows = small.limit(max_broadcast_rows + 1).collect()
-        if len(rows) <= max_broadcast_rows:
-            return _array_match_lookup(df, arr_col, small.schema, rows, dim_cols)
     arrays = df.select(F.col(arr_col).alias("__arr")).distinct()
     elems = arrays.select("__arr", F.explode(F.array_distinct("__arr")).alias("__elem"))
     d = dim.select(F.col(dim_col).alias("__elem"), *[F.col(c).alias(f"__d_{c}") for c in dim_cols])
-    matches = (elems.join(d, "__elem", "inner")
-               .groupBy("__arr")
-               .agg(F.collect_list(F.struct(*[F.col(f"__d_{c}").alias(c) for c in dim_cols]))
-                    .alias("__m")))
+    matches = elems.join(d, "__elem", "inner").drop("__elem")
     joined = df.join(matches, df[arr_col] == matches["__arr"], "left")
-    out = joined.select(*[df[c] for c in df.columns], F.explode_outer("__m").alias("__d"))
-    return out.select(*df.columns, *[F.col(f"__d.{c}").alias(c) for c in dim_cols])
-
-
-def _array_match_lookup(df: DataFrame, arr_col: str, schema: T.StructType, rows, dim_cols) -> DataFrame:
-    """Map-lookup form of ``array_match_join`` for a dimension held as ``rows`` (few, proven)."""
-    fields = [schema[c] for c in dim_cols]
-    match_type = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-    by_value: dict = {}
-    for r in rows:
-        if r["__elem"] is not None:          # a NULL dim value never matches
-            by_value.setdefault(r["__elem"], []).append(r)
-    elem_type = schema["__elem"].dataType
-    out_cols = [F.col(c) for c in df.columns]
-    if not by_value:
-        return df.select(*out_cols, *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-    entries = []
-    for value, matches in by_value.items():
-        structs = [F.struct(*[F.lit(m[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for m in matches]
-        entries += [F.lit(value).cast(elem_type), F.array(*structs).cast(T.ArrayType(match_type))]
-    lookup = F.create_map(*entries)
-    dim_values = F.array(*[F.lit(v).cast(elem_type) for v in by_value])
-    # distinct elements that have dim rows (NULL elements never do); no match, a NULL or
-    # an empty array -> one NULL row through explode_outer
-    hits = F.array_intersect(F.col(arr_col), dim_values)
-    per_hit = df.select(*out_cols, F.explode_outer(hits).alias("__k"))
-    per_row = per_hit.select(*df.columns, F.explode_outer(lookup[F.col("__k")]).alias("__d"))
-    return per_row.select(*df.columns, *[F.col(f"__d.{f.name}").alias(f.name) for f in fields])
-
-
-def array_match_join_theta(df: DataFrame, arr_col: str, dim: DataFrame, dim_col: str,
-                           dim_cols=None) -> DataFrame:
-    """The literal theta form (nested-loop join); kept as the test oracle only."""
-    dim_cols = list(dim_cols or dim.columns)
-    d = dim.select(F.col(dim_col).alias("__elem"), *[F.col(c).alias(f"__d_{c}") for c in dim_cols])
-    j = df.join(d, F.array_contains(F.col(arr_col), F.col("__elem")), "left")
-    return j.select(*df.columns, *[F.col(f"__d_{c}").alias(c) for c in dim_cols])
+    return joined.select(*[df[c] for c in df.columns], *[F.col(f"__d_{c}").alias(c) for c in dim_cols])
 
 
 # ---------------------------------------------------------------- J11 / A2-A4

@@ -29,9 +29,6 @@ from marquee.functions.keys import scd_id
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"
 META_COLS = [SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO]
 
-# Incoming keys up to this many are broadcast to split current versions into touched / untouched.
-MAX_TOUCHED_KEYS = 1_000_000
-
 
 def _names(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -76,6 +73,12 @@ def dedupe_latest(df: DataFrame, key, order) -> DataFrame:
     return latest.select("__r.*")
 
 
+def total_order(df: DataFrame, *first: str) -> list[str]:
+    """``first`` columns, then all others that can be compared: ties only between equal rows."""
+    return [*first, *(f.name for f in df.schema.fields
+                      if f.name not in first and not any(t in f.dataType.simpleString() for t in ("map<", "variant")))]
+
+
 # ---------------------------------------------------------------- SN1 / SN2 / SN3
 
 def _merge(snapshot: DataFrame | None, incoming: DataFrame, key, changed_fn, updated_at_fn) -> DataFrame:
@@ -104,15 +107,6 @@ def _merge(snapshot: DataFrame | None, incoming: DataFrame, key, changed_fn, upd
     cur = snapshot.filter(F.col(VALID_TO).isNull())
     types = {f.name: f.dataType for f in cur.schema.fields}
 
-    # A small batch touches few keys: the other current versions pass through a
-    # broadcast anti join (map side, no shuffle) and only the touched ones meet
-    # the batch in the full outer join. The broadcast is bounded by a count.
-    inc_keys = incoming.select(*keys).distinct()
-    if inc_keys.limit(MAX_TOUCHED_KEYS + 1).count() <= MAX_TOUCHED_KEYS:
-        b = F.broadcast(inc_keys)
-        hist = hist.unionByName(cur.join(b, keys, "left_anti").select(*snap_cols))
-        cur = cur.join(b, keys, "left_semi")
-
     kc = [f"__k{n}" for n in range(len(keys))]
     c = cur.select(*[F.col(k).alias(a) for k, a in zip(keys, kc)],
                    F.struct(*[F.col(x) for x in snap_cols]).alias("__c"))
@@ -169,52 +163,44 @@ def snapshot_timestamp(snapshot: DataFrame | None, incoming: DataFrame, key, upd
 
 # ---------------------------------------------------------------------------- SN4
 
-def _order_number(c: Column, dtype) -> Column:
-    """A numeric image of an order column (monotone), for range chunking."""
-    name = type(dtype).__name__
-    if name in ("TimestampType", "TimestampNTZType"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if name == "DateType":
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
+SAMPLES_PER_CHUNK = 8
 
 
-def hot_keys(df: DataFrame, keys, order: str, split_rows: int) -> DataFrame:
-    """Keys with more than ``split_rows`` rows, with the range of ``order`` and a chunk count.
+def hot_keys(df: DataFrame, keys, order_cols, split_rows: int) -> DataFrame:
+    """Keys with more than ``split_rows`` rows, with the places (``__cuts``) where to cut them.
 
-    One partially aggregated pass (a hot key is counted map-side); the result
-    has at most ``rows / split_rows`` rows.
+    One partially aggregated pass. Rows are sampled by a hash of their order columns, about
+    ``SAMPLES_PER_CHUNK`` per ``split_rows`` rows; every so many-th sample in order is a cut, so
+    chunks hold about as many rows each whatever the type and spread of the order columns. The table
+    has at most ``rows / split_rows`` keys and about as many cuts.
     """
-    dtype = df.schema[order].dataType
-    onum = _order_number(F.col(order), dtype)
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(onum).alias("__lo"),
-                                  F.max(onum).alias("__hi"))
-    return (stats.filter(F.col("__n") > split_rows)
-            .withColumn("__chunks", F.ceil(F.col("__n") / F.lit(split_rows)).cast("int")))
-
-
-def _segmented_history(df, keys, order_cols, check_cols, updated_at, hot, hot_small: bool):
-    """Window history with hot keys cut into contiguous ``order`` ranges (chunks).
-
-    Rows of ordinary keys get chunk 0. A hot key's order range is cut into
-    ``ceil(n / split_rows)`` equal-width chunks, and windows run per (key,
-    chunk): a hot key whose rows spread over its order range is spread over
-    as many tasks (rows sharing one order value always stay together, so a
-    key with a single order value is not split). What a chunk needs
-    from the rows before it (the last check values, or the running maximum)
-    comes from a per-(key, chunk) summary, itself windowed per key over at
-    most a few chunks, and joined back on (key, chunk): the big side keeps
-    its (key, chunk) partitioning, only the small summary moves.
+    order = F.struct(*[F.col(c) for c in order_cols])
+    rate = max(1, split_rows // SAMPLES_PER_CHUNK)
+    sampled = F.pmod(F.xxhash64(*keys, *order_cols), F.lit(rate)) == 0
+    step = SAMPLES_PER_CHUNK if rate > 1 else split_rows
+    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                  F.sort_array(F.collect_set(F.when(sampled, order))).alias("__s"))
+    every = F.filter("__s", lambda x, i: (i + 1) % step == 0)
+    return stats.filter(F.col("__n") > split_rows).select(*keys, every.alias("__cuts"))
+
+
+def _segmented_history(df, keys, order_cols, check_cols, updated_at, hot):
+    """Window history with hot keys cut into contiguous ranges of the order columns (chunks).
+
+    A row's chunk is the number of its key's cuts below it, compared as the window sorts (NULL
+    first, then by value, all order columns in turn); rows of other keys get chunk 0. Windows run
+    per (key, chunk). What a chunk needs from the rows before it (the last check values, or the
+    running maximum) comes from a per-(key, chunk) summary, itself windowed per key over its
+    chunks, and joined back on (key, chunk): the big side keeps its (key, chunk) partitioning,
+    only the small summary moves.
     """
     o = order_cols[0]
-    onum = _order_number(F.col(o), df.schema[o].dataType)
-    h = hot.select(*keys, "__lo", "__hi", "__chunks")
-    if hot_small:
-        h = F.broadcast(h)
-    width = (F.col("__hi") - F.col("__lo")) / F.col("__chunks")
-    chunk = F.when(F.col("__lo").isNull() | (width <= 0), F.lit(0)).otherwise(
-        F.least(F.col("__chunks") - 1, F.floor((onum - F.col("__lo")) / width)).cast("int"))
-    x = df.join(h, keys, "left").withColumn("__chunk", chunk).drop("__lo", "__hi", "__chunks")
+    order = F.struct(*[F.col(c) for c in order_cols])
+    h = F.broadcast(hot)                          # at most rows / split_rows keys
+    below = F.filter("__cuts", lambda cut: cut < F.col("__order"))
+    x = (df.join(h, keys, "left").withColumn("__order", order)
+         .withColumn("__chunk", F.coalesce(F.when(F.col("__cuts").isNotNull(), F.size(below)), F.lit(0)))
+         .drop("__cuts", "__order"))
 
     kc = keys + ["__chunk"]
     w = Window.partitionBy(*kc).orderBy(*[F.col(c) for c in order_cols])
@@ -247,19 +233,20 @@ def _segmented_history(df, keys, order_cols, check_cols, updated_at, hot, hot_sm
     # valid_to: next kept row, within the chunk or else the first kept row of a later chunk
     nxt = (kept.groupBy(*kc).agg(F.min_by(F.col(VALID_FROM), ordering).alias("__first_vf"))
            .select(*kc, F.lead("__first_vf").over(wc).alias("__next_vf")))
-    out = kept.select("*", F.lead(VALID_FROM).over(w).alias("__lead")).join(nxt, kc, "left")
+    # a next row may have a NULL valid_from: its presence decides, not its value
+    out = kept.select("*", F.lead(VALID_FROM).over(w).alias("__lead"),
+                      F.lead(F.lit(True)).over(w).alias("__followed")).join(nxt, kc, "left")
     return out.select(
         *df.columns,
         scd_id(keys, F.col(VALID_FROM)).alias(SCD_ID),
         F.col(VALID_FROM).alias(UPDATED_AT),
         F.col(VALID_FROM),
-        F.coalesce(F.col("__lead"), F.col("__next_vf")).alias(VALID_TO),
+        F.when(F.col("__followed"), F.col("__lead")).otherwise(F.col("__next_vf")).alias(VALID_TO),
     )
 
 
 def scd2_history(df: DataFrame, key, order, check_cols=None, updated_at: str | None = None,
-                 tiebreak=None, split_rows: int | None = 1_000_000,
-                 max_hot_keys: int = 100_000) -> DataFrame:
+                 tiebreak=None, split_rows: int | None = 1_000_000) -> DataFrame:
     """Replay a whole change feed into snapshot rows with window functions.
 
     ``order`` is the arrival column (the load time of each row). Exactly one of
@@ -274,22 +261,18 @@ def scd2_history(df: DataFrame, key, order, check_cols=None, updated_at: str | N
     (a skipped row always equals the current version, so comparing with the
     previous row is comparing with the current version).
 
-    Hot keys: a key with more than ``split_rows`` rows is split into
-    contiguous ranges of ``order`` processed by separate tasks (see
-    ``_segmented_history``); ``split_rows=None`` always uses one window per key.
+    Hot keys: a key with more than ``split_rows`` rows is split into contiguous ranges of
+    ``order`` and ``tiebreak`` processed by separate tasks (see ``_segmented_history``), with the
+    same result. A table of at most ``split_rows`` rows (one count) has no such key and
+    is not searched for any; ``split_rows=None`` always uses one window per key.
     """
     if (check_cols is None) == (updated_at is None):
         raise ValueError("give exactly one of check_cols or updated_at")
     keys = _names(key)
     order_cols = _names(order) + (_names(tiebreak) if tiebreak else [])
-    if split_rows is not None:
-        # A bounded count decides: no hot key -> plain windows; else split hot keys
-        # (broadcasting the hot-key table only when its size is proven small).
-        hot = hot_keys(df, keys, order_cols[0], split_rows)
-        n_hot = hot.limit(max_hot_keys + 1).count()
-        if n_hot:
-            return _segmented_history(df, keys, order_cols, check_cols, updated_at, hot,
-                                      hot_small=n_hot <= max_hot_keys)
+    if split_rows is not None and df.count() > split_rows:      # else no key can be hot
+        return _segmented_history(df, keys, order_cols, check_cols, updated_at,
+                                  hot_keys(df, keys, order_cols, split_rows))
     w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_cols])
     first = F.lag(F.lit(1)).over(w).isNull()
     if check_cols is not None:

@@ -26,7 +26,7 @@ from marquee.operators.joins import (
     unique_rows,
 )
 from marquee.operators.onehot import one_hot
-from marquee.operators.scd2 import current, dedupe_latest, snapshot_check, snapshot_timestamp
+from marquee.operators.scd2 import current, dedupe_latest, snapshot_check, snapshot_timestamp, total_order
 
 # ---------------------------------------------------------------- fixed values
 # Fixed values of the reference: the genre list of the one-hot projection, in
@@ -45,7 +45,6 @@ MOVIE_TITLE_TYPE = "movie"
 
 # A title with more rows than this on one side of a join is split over tasks.
 HOT_KEY_ROWS = 1_000_000
-MAX_HOT_TITLES = 10_000
 
 # Raw tables (column names and types of the reference's DDL; NUMBER without a
 # scale is kept as a decimal with one fractional digit for ratings - see
@@ -75,7 +74,7 @@ def ratings_raw_schema(parity_rounding: bool = False) -> T.StructType:
 
 RATINGS_RAW = ratings_raw_schema()
 
-# JSON paths of the review feed -> snapshot columns (name, path, type).
+# Fixed values of the reference: JSON paths of the review feed -> snapshot columns (name, path, type).
 REVIEW_FIELDS = [
     ("author_name", "byline", "string"),
     ("is_critics_pick", "critics_pick", "int"),
@@ -91,7 +90,7 @@ REVIEW_FIELDS = [
 ]
 
 
-# Raw JSON field -> type, as the raw review suite sees them (objects stay VARIANT).
+# Fixed values of the reference: raw JSON field -> type, as the raw review suite sees them (objects stay VARIANT).
 REVIEW_RAW_TYPES = [
     ("display_title", "string"), ("mpaa_rating", "string"), ("critics_pick", "long"),
     ("byline", "string"), ("headline", "string"), ("summary_short", "string"),
@@ -110,12 +109,12 @@ def review_raw_fields(raw_variant: DataFrame, content: str = "content") -> DataF
 def imdb_basic_snapshot(raw: DataFrame, snapshot: DataFrame | None, now) -> DataFrame:
     """M1: movies only, check strategy on five columns."""
     src = raw.filter(F.col("title_type") == MOVIE_TITLE_TYPE)
-    return snapshot_check(snapshot, dedupe_latest(src, "id", ["id"]), "id", BASICS_CHECK_COLS, now)
+    return snapshot_check(snapshot, dedupe_latest(src, "id", total_order(src)), "id", BASICS_CHECK_COLS, now)
 
 
 def imdb_rating_snapshot(raw: DataFrame, snapshot: DataFrame | None, now) -> DataFrame:
     """M2: check strategy on rating and votes."""
-    return snapshot_check(snapshot, dedupe_latest(raw, "id", ["id"]), "id", RATINGS_CHECK_COLS, now)
+    return snapshot_check(snapshot, dedupe_latest(raw, "id", total_order(raw)), "id", RATINGS_CHECK_COLS, now)
 
 
 def parse_reviews(raw_variant: DataFrame, content: str = "content") -> DataFrame:
@@ -128,7 +127,7 @@ def parse_reviews(raw_variant: DataFrame, content: str = "content") -> DataFrame
 def review_snapshot(raw_variant: DataFrame, snapshot: DataFrame | None) -> DataFrame:
     """M3: timestamp strategy on ``review_date_updated`` (a DATE)."""
     parsed = parse_reviews(raw_variant)
-    latest = dedupe_latest(parsed, "id", ["review_date_updated", "review_url"])
+    latest = dedupe_latest(parsed, "id", total_order(parsed, "review_date_updated", "review_url"))
     return snapshot_timestamp(snapshot, latest, "id", "review_date_updated")
 
 
@@ -234,6 +233,16 @@ def reviews_per_title(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("movie_title").agg(F.count(F.lit(1)).alias("__n"))
 
 
+def nyt_rows_per_title(reviews: DataFrame, d_movies: DataFrame) -> DataFrame:
+    """Rows per title after the fan-out join: reviews of the title times its movie-dim rows.
+
+    Exact, because the author and review lookups that follow meet unique keys.
+    """
+    dims = d_movies.groupBy(F.col("title").alias("movie_title")).agg(F.count(F.lit(1)).alias("__m"))
+    return (reviews_per_title(reviews).join(dims, "movie_title")
+            .select("movie_title", (F.col("__n") * F.col("__m")).alias("__n")))
+
+
 def nyt_combined(reviews: DataFrame, d_movies: DataFrame, d_authors: DataFrame,
                  d_reviews: DataFrame, title_rows: DataFrame | None = None,
                  hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
@@ -258,29 +267,24 @@ def fct_imdb_nyt(ratings: DataFrame, basics: DataFrame, reviews: DataFrame, d_ge
                  hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """grain = rating x genre x review; the feeds meet on the movie name.
 
-    Hot titles are found once, from reviews per title ``n`` (a small
-    aggregate): the fan-out join's left side has ``n`` rows of a title and
-    the NYT side after it at most ``n * n`` (each review meets at most ``n``
-    movie-dim rows, one per distinct opening date among its reviews). Titles
-    hot on the IMDB side are split by AQE's skew join.
+    A title with more than ``hot_rows`` reviews is split in the fan-out join, one with more
+    than ``hot_rows`` rows on the NYT side in the join of the feeds. The counts are lazy
+    inputs of the joins. Titles hot on the IMDB side are split by AQE's skew join.
     """
     left = imdb_combined(ratings, basics, d_titles, d_genres)
-    hot = None
-    if hot_rows is not None:
-        # one bounded job: the candidate hot titles (at most MAX_HOT_TITLES rows reach the driver)
-        per_title = reviews_per_title(reviews)
-        cand = (per_title.filter(F.col("__n") * F.col("__n") > hot_rows)
-                .limit(MAX_HOT_TITLES + 1).collect())
-        if len(cand) > MAX_HOT_TITLES:
-            raise ValueError("more hot titles than MAX_HOT_TITLES; raise hot_rows")
-        if cand:
-            hot = reviews.sparkSession.createDataFrame([(r[0], r[1]) for r in cand], "movie_title string, __n long")
-    if hot is None:
+    if hot_rows is None:
         right = nyt_combined(reviews, d_movies, d_authors, d_reviews, hot_rows=None)
         fact = join_feeds(left, right, ["movie_name"], extra_keys=["year"], match_extra=match_year)
         return fact.select(*FACT_COLUMNS)
-    right = nyt_combined(reviews, d_movies, d_authors, d_reviews, title_rows=hot, hot_rows=hot_rows)
-    bound = hot.select(F.col("movie_title").alias("movie_name"), (F.col("__n") * F.col("__n")).alias("__n"))
-    fact = join_feeds(left, right, ["movie_name"], extra_keys=["year"], match_extra=match_year,
-                      hot_rows=hot_rows, key_rows=bound)
-    return fact.select(*FACT_COLUMNS)
+    right = nyt_combined(reviews, d_movies, d_authors, d_reviews, title_rows=reviews_per_title(reviews),
+                         hot_rows=hot_rows)
+    rows = nyt_rows_per_title(reviews, d_movies).withColumnRenamed("movie_title", "movie_name")
+    # Titles without a name are many (every title that is not unique) and meet nothing: they stay
+    # out of the join, where they would be one hot key.
+    named = left.filter(F.col("movie_name").isNotNull())
+    fact = join_feeds(named, right, ["movie_name"], extra_keys=["year"], match_extra=match_year,
+                      hot_rows=hot_rows, key_rows=rows)
+    nameless = left.filter(F.col("movie_name").isNull())
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema.fields
+               if f.name in FACT_COLUMNS and f.name not in nameless.columns]
+    return fact.select(*FACT_COLUMNS).unionByName(nameless.select("*", *missing).select(*FACT_COLUMNS))

@@ -13,15 +13,14 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import Window  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
 from marquee.functions import split_list  # noqa: E402
-from marquee.operators import (  # noqa: E402
-    array_match_join,
-    array_match_join_theta,
-    unique_rows,
-    unique_rows_selfjoin,
-)
+from marquee.operators import array_match_join, dedupe_latest, unique_rows  # noqa: E402
 from marquee.plans import models as M  # noqa: E402
 from marquee.session import build_session  # noqa: E402
+from tests.oracles import array_match_join_theta, unique_rows_selfjoin  # noqa: E402
 
 
 def timed(fn, repeats=3):
@@ -34,6 +33,11 @@ def timed(fn, repeats=3):
     return round(statistics.median(runs), 4)
 
 
+def row_number_latest(df, keys, order):
+    w = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in order])
+    return df.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", 8)
@@ -49,9 +53,9 @@ def main():
         "J3_selfjoin_part": timed(lambda: unique_rows_selfjoin(part(), ["p_name", "p_size"], ["p_partkey"])),
         "J3_aggregate_lineitem": timed(lambda: unique_rows(li(), ["l_partkey", "l_suppkey"], ["l_orderkey"])),
         "J3_selfjoin_lineitem": timed(lambda: unique_rows_selfjoin(li(), ["l_partkey", "l_suppkey"], ["l_orderkey"])),
-        "J6_lookup": timed(lambda: array_match_join(*words()[:1], "g", words()[1], "genre", ["id"])),
-        "J6_equi": timed(lambda: array_match_join(*words()[:1], "g", words()[1], "genre", ["id"],
-                                                  max_broadcast_rows=None)),
+        "J6_equi": timed(lambda: array_match_join(*words()[:1], "g", words()[1], "genre", ["id"])),
+        "SN8_max_by": timed(lambda: dedupe_latest(li(), ["l_partkey", "l_suppkey"], ["l_shipdate", "l_orderkey"])),
+        "SN8_row_number": timed(lambda: row_number_latest(li(), ["l_partkey", "l_suppkey"], ["l_shipdate", "l_orderkey"])),
         "J6_theta": timed(lambda: array_match_join_theta(*words()[:1], "g", words()[1], "genre", ["id"])),
     }
     print(json.dumps({"sf_dir": sf_dir, "median_sec": out}))

@@ -6,16 +6,16 @@ from marquee.operators import (
     anti_by_registry,
     append_new,
     array_match_join,
-    array_match_join_theta,
     distinct_elements,
     fanout_join,
     groups_of_size,
     join_feeds,
     left_lookup,
+    skew_join,
     unique_rows,
-    unique_rows_selfjoin,
 )
 from tests.conftest import rows, srt
+from tests.oracles import array_match_join_theta, unique_rows_selfjoin
 
 
 def test_anti_by_registry_plain_and_null_safe(spark):
@@ -78,12 +78,8 @@ DIM = [("g1", "Drama"), ("g2", "Crime"), ("g3", "Sci-Fi"), ("g4", "Sci-Fi"), ("g
 def test_array_match_join_equals_theta_on_edge_cases(spark):
     df = spark.createDataFrame(ARRAYS, "id int, genres array<string>")
     dim = spark.createDataFrame(DIM, "genre_id string, genre string")
-    equi = array_match_join(df, "genres", dim, "genre", ["genre_id"], max_broadcast_rows=None)
+    equi = array_match_join(df, "genres", dim, "genre", ["genre_id"])
     theta = array_match_join_theta(df, "genres", dim, "genre", ["genre_id"])
-    small = array_match_join(df, "genres", dim, "genre", ["genre_id"])
-    assert rows(small, "id", "genre_id") == rows(theta, "id", "genre_id")
-    small_plan = small._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in small_plan and "Exchange" not in small_plan
     assert rows(equi, "id", "genre_id") == rows(theta, "id", "genre_id")
     got = rows(equi, "id", "genre_id")
     assert got.count((1, "g1")) == 1 and (1, "g2") in got
@@ -101,7 +97,7 @@ def test_array_match_join_equals_theta_on_edge_cases(spark):
 def test_array_match_join_equals_theta_property(spark, arrays, dim_values):
     df = spark.createDataFrame(list(enumerate(arrays)), "id int, g array<string>")
     dim = spark.createDataFrame([(f"d{i}", v) for i, v in enumerate(dim_values)], "did string, v string")
-    assert rows(array_match_join(df, "g", dim, "v", ["did"], max_broadcast_rows=None), "id", "did") == \
+    assert rows(array_match_join(df, "g", dim, "v", ["did"]), "id", "did") == \
         rows(array_match_join_theta(df, "g", dim, "v", ["did"]), "id", "did")
 
 
@@ -138,8 +134,6 @@ def test_duplicate_conjunct_is_one_key(spark):
 
 
 def test_skew_join_equals_plain_join(spark):
-    from marquee.operators import skew_join
-
     left = spark.createDataFrame([("hot", i) for i in range(300)] + [("a", 1), ("b", 2), (None, 3)],
                                  "k string, lv int")
     right = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("a", "z"), ("c", "w")], "k string, rv string")
@@ -152,57 +146,35 @@ def test_skew_join_equals_plain_join(spark):
     assert "__salt" not in salted.columns
 
 
-def test_salted_left_join_with_hot_keys_missing_on_the_right(spark):
-    from marquee.operators.joins import salted_join
-
-    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5)], "k string, lv int")
-    right = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z")], "k string, rv string")
-    hot = spark.createDataFrame([("a", 3), ("b", 4)], "k string, __b int")     # 'b' flagged, absent on right
-    for side in ("left", "right"):
-        for how in ("inner", "left"):
-            got = salted_join(left, right, ["k"], how, side, hot)
-            assert rows(got) == rows(left.join(right, "k", how)), (side, how)
-
-
-def test_small_batch_probes_the_registry_without_shuffling_it(spark):
-    registry = spark.range(0, 5000).select(F.col("id").cast("string").alias("id"))
-    batch = spark.createDataFrame([("10",), ("x",), ("4999",), ("y",)], "id string")
-    probed = anti_by_registry(batch, registry, "id")
-    plain = anti_by_registry(batch, registry, "id", max_probe_keys=None)
-    assert rows(probed) == rows(plain) == srt([("x",), ("y",)])
-    plan = probed._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan
-    assert rows(append_new(batch, registry, "id")) == srt([("x",), ("y",)])
-
-
-
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(["a", "b", "c", "d", None]), max_size=4)),
-                max_size=12),
-       st.lists(st.sampled_from(["a", "b", "c", None]), max_size=5))
-def test_array_match_lookup_equals_theta_property(spark, arrays, dim_values):
-    df = spark.createDataFrame(list(enumerate(arrays)), "id int, g array<string>")
-    dim = spark.createDataFrame([(f"d{i}", v) for i, v in enumerate(dim_values)], "did string, v string")
-    assert rows(array_match_join(df, "g", dim, "v", ["did", "v"]), "id", "did", "v") == \
-        rows(array_match_join_theta(df, "g", dim, "v", ["did", "v"]), "id", "did", "v")
-
-
-def test_bound_checks_fall_back_without_broadcast(spark):
-    from marquee.operators import checked_broadcast, scd2_history, skew_join
-
-    small = spark.range(10)
-    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in checked_broadcast(small, 10)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in checked_broadcast(small, 5)._jdf.queryExecution().analyzed().toString().lower()
-    # more hot keys than the broadcast bound: the salted join still runs, without the hint
-    left = spark.createDataFrame([(f"k{i % 3}", i) for i in range(60)], "k string, v int")
-    right = spark.createDataFrame([("k0", "a"), ("k1", "b"), ("k1", "c")], "k string, w string")
-    got = skew_join(left, right, "k", "left", "left", hot_rows=5, max_hot_keys=1)
-    assert rows(got) == rows(left.join(right, "k", "left"))
-    # more hot keys than scd2_history's bound: chunked windows without broadcasting the hot table
-    import datetime as dt
-    feed = spark.createDataFrame([(f"k{i % 3}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), i, "ab"[i % 2])
-                                  for i in range(60)], "k string, ts timestamp, seq int, v string")
-    split = scd2_history(feed, "k", "ts", check_cols=["v"], tiebreak="seq", split_rows=5, max_hot_keys=1)
-    plain = scd2_history(feed, "k", "ts", check_cols=["v"], tiebreak="seq", split_rows=None)
-    assert rows(split, "k", "seq", "dbt_valid_to") == rows(plain, "k", "seq", "dbt_valid_to")
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from(["a", "b", "c", None]), max_size=14),
+       st.lists(st.sampled_from(["a", "b", "d", None]), max_size=14), st.integers(1, 4))
+def test_skew_join_property(spark, lkeys, rkeys, hot_rows):
+    left = spark.createDataFrame(list(zip(lkeys, range(99))), "k string, lv int")
+    right = spark.createDataFrame(list(zip(rkeys, range(99))), "k string, rv int")
+    for how in ("inner", "left"):
+        for side in ("left", "right"):
+            got = skew_join(left, right, "k", how, side, hot_rows=hot_rows)
+            assert rows(got) == rows(left.join(right, "k", how)), (how, side)
+
+
+def test_joins_build_without_jobs(spark):
+    """No operator runs an action while its plan is built."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans-only", "plans-only")
+    try:
+        a, b = spark.range(50).withColumn("k", F.col("id") % 3), spark.range(50).withColumn("k", F.col("id") % 3)
+        skew_join(a, b.drop("id"), "k", "left", "right", hot_rows=2)
+        array_match_join(a.select(F.array("k").alias("g")), "g", b.distinct(), "k", ["id"])
+        anti_by_registry(a, b, "k")
+        append_new(a, b, "k", null_aware=True)
+        assert not tracker.getJobIdsForGroup("plans-only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_array_match_join_takes_dim_columns_of_any_type(spark):
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"])], "id int, g array<string>")
+    dim = spark.sql("SELECT 'a' AS v, map('x', 1) AS m, named_struct('n', 2) AS s")
+    got = array_match_join(df, "g", dim, "v", ["m", "s"]).collect()
+    assert sorted((r.id, r.m and dict(r.m), r.s and r.s.n) for r in got) == [(1, {"x": 1}, 2), (2, None, None)]

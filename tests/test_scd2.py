@@ -1,6 +1,6 @@
 import datetime as dt
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -123,30 +123,59 @@ def test_history_first_row_with_null_check_value_is_kept(spark):
     assert rows(h, "ts", "v", "dbt_valid_to") == sorted([(1, None, 3), (3, "x", None)], key=repr)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.integers(0, 30),
+ORDER_TYPES = {
+    "timestamp": lambda h: dt.datetime(2024, 3, 9, 20) + dt.timedelta(hours=h),
+    "timestamp_ntz": lambda h: dt.datetime(2024, 3, 9, 20) + dt.timedelta(hours=h),
+    "date": lambda h: dt.date(2024, 3, 1) + dt.timedelta(days=h),
+    "string": lambda h: f"day-{h:02d}",
+    "int": lambda h: h,
+}
+
+
+@settings(max_examples=10, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.one_of(st.none(), st.integers(0, 30)),
                           st.one_of(st.none(), st.sampled_from(["x", "y"])), st.integers(1, 6)),
                 min_size=1, max_size=40),
-       st.integers(1, 6))
-def test_split_hot_keys_equals_plain_windows(spark, data, split_rows):
-    df = spark.createDataFrame([(k, dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), n, v, dt.date(2024, 1, u))
+       st.integers(1, 6), st.sampled_from(sorted(ORDER_TYPES)), st.sampled_from(["UTC", "America/New_York"]))
+@example([("k1", None, "x", 2), ("k1", None, "y", 3), ("k1", None, None, 5), ("k1", 3, "x", 1), ("k1", 3, "y", 6)],
+         2, "timestamp", "UTC")
+def test_split_hot_keys_equals_plain_windows(spark, data, split_rows, kind, zone):
+    make = ORDER_TYPES[kind]
+    df = spark.createDataFrame([(k, None if h is None else make(h), n, v, dt.date(2024, 1, u))
                                 for n, (k, h, v, u) in enumerate(data)],
-                               "k string, ts timestamp, seq int, v string, upd date")
+                               f"k string, ts {kind}, seq int, v string, upd date")
     cols = ("k", "seq", "dbt_scd_id", "dbt_valid_from", "dbt_valid_to")
-    for kw in (dict(check_cols=["v"]), dict(updated_at="upd")):
-        plain = scd2_history(df, "k", "ts", tiebreak="seq", split_rows=None, **kw)
-        split = scd2_history(df, "k", "ts", tiebreak="seq", split_rows=split_rows, **kw)
-        assert rows(split, *cols) == rows(plain, *cols)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for kw in (dict(check_cols=["v"]), dict(updated_at="upd")):
+            plain = scd2_history(df, "k", "ts", tiebreak="seq", split_rows=None, **kw)
+            split = scd2_history(df, "k", "ts", tiebreak="seq", split_rows=split_rows, **kw)
+            assert rows(split, *cols) == rows(plain, *cols)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_split_hot_key_spreads_over_tasks(spark):
-    # one key holds most rows; with split_rows=100 it is windowed in >= 10 chunks
-    data = [("hot", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i, "ab"[(i // 7) % 2]) for i in range(1000)]
+    from marquee.operators.scd2 import hot_keys
+
+    # one key holds most rows, all of one order value: the tie-break column cuts it
+    data = [("hot", dt.datetime(2024, 1, 1), i, "ab"[(i // 7) % 2]) for i in range(1000)]
     data += [(f"k{i}", dt.datetime(2024, 1, 1), 5000 + i, "a") for i in range(50)]
     df = spark.createDataFrame(data, "k string, ts timestamp, seq int, v string")
     split = scd2_history(df, "k", "ts", check_cols=["v"], tiebreak="seq", split_rows=100)
     plain = scd2_history(df, "k", "ts", check_cols=["v"], tiebreak="seq", split_rows=None)
     cols = ("k", "seq", "dbt_valid_from", "dbt_valid_to")
     assert rows(split, *cols) == rows(plain, *cols)
-    from marquee.operators.scd2 import hot_keys
-    assert rows(hot_keys(df, ["k"], "ts", 100), "k", "__chunks") == [("hot", 10)]
+    (key, cuts), = hot_keys(df, ["k"], ["ts", "seq"], 100).collect()
+    assert key == "hot" and 6 <= len(cuts) <= 15
+
+
+def test_same_rows_in_any_input_order_give_one_winner(spark):
+    from marquee.plans import models as M
+
+    data = [("t1", "7.1", 5), ("t1", "7.4", 5), ("t1", None, 9), ("t2", "1.0", 1)]
+    got = []
+    for d in (data, data[::-1]):
+        raw = spark.createDataFrame(d, "id string, average_rating string, num_votes int").repartition(3)
+        got.append(rows(M.imdb_rating_snapshot(raw, None, "2024-01-01 00:00:00"), "id", "average_rating", "num_votes"))
+    assert got[0] == got[1] == [("t1", "7.4", 5), ("t2", "1.0", 1)]
