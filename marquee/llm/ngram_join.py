@@ -49,7 +49,8 @@ from marquee.llm.shingles import Shingler
 
 SIZE = 5
 PERCENT = 75
-BLOCK_BYTES = 8 << 20        # text shingled at once
+BLOCK_BYTES = 2 << 20        # text shingled at once
+TASK_POSTINGS = 1_500_000    # postings a task sorts and sends at once
 BUCKET_POSTINGS = 2_000_000  # postings of one bucket of the inverted index
 UNIT_POSTINGS = 4_000_000    # postings of one family searched in one task
 HOT_ROWS = 200_000
@@ -87,42 +88,47 @@ def _postings(batches: Iterator[pa.RecordBatch], text: str, size: int, buckets:
     shingler = Shingler(size)
     seen: set[int] = set()
     hot = np.sort(hot.value)
+    sets: dict[int, np.ndarray] = {}
+    held = 0
     for block in blocks(batches, text, BLOCK_BYTES):
-        for part in range(0, block.num_rows, 60_000):
-            texts = block.column(block.schema.names.index(text)).slice(part, 60_000).to_pylist()
-            sets = {}
-            for s in shingler.sets(texts):
-                if len(s) and (c := class_id(s)) not in seen:
-                    sets[c] = s
-            seen.update(sets)
-            if len(seen) > 500_000:
-                seen.clear()
-            if not sets:
-                continue
-            ids = np.fromiter(sets, np.int64, len(sets))
-            value = np.concatenate(list(sets.values()))
-            owner = np.repeat(np.arange(len(ids), dtype=np.uint16), [len(s) for s in sets.values()])
-            rows = []
-            if len(hot):
-                at = np.minimum(np.searchsorted(hot, value), len(hot) - 1)
-                is_hot = hot[at] == value
-                rows += _kept(ids[owner[is_hot]], (np.uint64(1 << 63) | (value[is_hot] >> np.uint64(1))),
-                              np.full(is_hot.sum(), 65535, np.uint16), buckets, sign=-1)
-                value, owner = value[~is_hot], owner[~is_hot]
-            order = np.argsort(value)
-            value, owner = value[order], owner[order]
-            bucket = _bucket(value, buckets)
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
-            for b, (i, j) in enumerate(zip(cuts, cuts[1:])):
-                if j > i:
-                    used, number = np.unique(owner[i:j], return_inverse=True)
-                    low = value[i:j] & LOW48
-                    rows.append((b, b"".join((
-                        np.array([len(used), j - i], np.uint32).tobytes(), ids[used].tobytes(),
-                        number.astype(np.uint16).tobytes(), (low >> np.uint64(16)).astype(np.uint32).tobytes(),
-                        low.astype(np.uint16).tobytes()))))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
-                                              pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "data"])
+        for s in shingler.sets(block.column(block.schema.names.index(text)).to_pylist()):
+            if len(s) and (c := class_id(s)) not in seen:
+                seen.add(c)
+                sets[c] = s
+                held += len(s)
+            if held >= TASK_POSTINGS or len(sets) >= 60_000:       # classes are numbered by 16 bits
+                yield _packed(sets, buckets, hot)
+                sets, held = {}, 0
+        if len(seen) > 500_000:
+            seen.clear()
+    if sets:
+        yield _packed(sets, buckets, hot)
+
+
+def _packed(sets: dict[int, np.ndarray], buckets: int, hot: np.ndarray) -> pa.RecordBatch:
+    ids = np.fromiter(sets, np.int64, len(sets))
+    value = np.concatenate(list(sets.values()))
+    owner = np.repeat(np.arange(len(ids), dtype=np.uint16), [len(s) for s in sets.values()])
+    rows = []
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, value), len(hot) - 1)
+        is_hot = hot[at] == value
+        rows += _kept(ids[owner[is_hot]], (np.uint64(1 << 63) | (value[is_hot] >> np.uint64(1))),
+                      np.full(is_hot.sum(), 65535, np.uint16), buckets, sign=-1)
+        value, owner = value[~is_hot], owner[~is_hot]
+    order = np.argsort(value)
+    value, owner = value[order], owner[order]
+    cuts = np.searchsorted(_bucket(value, buckets), np.arange(buckets + 1)).tolist()
+    for b, (i, j) in enumerate(zip(cuts, cuts[1:])):
+        if j > i:
+            used, number = np.unique(owner[i:j], return_inverse=True)
+            low = value[i:j] & LOW48
+            rows.append((b, b"".join((
+                np.array([len(used), j - i], np.uint32).tobytes(), ids[used].tobytes(),
+                number.astype(np.uint16).tobytes(), (low >> np.uint64(16)).astype(np.uint32).tobytes(),
+                low.astype(np.uint16).tobytes()))))
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
+                                       pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "data"])
 
 
 def _bucket(value: np.ndarray, buckets: int) -> np.ndarray:
