@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import string
 from collections.abc import Iterator
 
@@ -61,7 +63,19 @@ def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
     if not 0 < rows <= BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(fn, schema)
+
+    def lean(batches):
+        yield from fn(batches)
+        _give_back()
+
+    return df.mapInArrow(lean, schema)
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: Spark keeps an idle Python worker for the next task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):       # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iterator[pa.RecordBatch]:

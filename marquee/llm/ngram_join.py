@@ -50,8 +50,8 @@ from marquee.llm.shingles import Shingler
 SIZE = 5
 PERCENT = 75
 BLOCK_BYTES = 2 << 20        # text shingled at once
-TASK_POSTINGS = 1_500_000    # postings a task sorts and sends at once
-BUCKET_POSTINGS = 2_000_000  # postings of one bucket of the inverted index
+TASK_POSTINGS = 1_000_000    # postings a task sorts and sends at once
+BUCKET_POSTINGS = 1_000_000  # postings of one bucket of the inverted index
 UNIT_POSTINGS = 4_000_000    # postings of one family searched in one task
 HOT_ROWS = 200_000
 HEAP_ENTRIES = 256           # list entries merged by a heap; more are merged by sorting
