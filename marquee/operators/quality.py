@@ -14,6 +14,7 @@ Semantics follow the raw-file expectations of the reference:
 * unique_proportion(min, max): distinct / non-null within [min, max].
 * in_type_list: the column's Spark type name is in the list.
 * columns_match_set: exact column set, any order.
+* a column that the batch lacks fails its expectation (unexpected: every row).
 """
 
 from __future__ import annotations
@@ -95,6 +96,8 @@ def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     aggs: list[Column] = [F.count(F.lit(1)).alias("__total")]
     for n, e in enumerate(suite):
         c = e.column
+        if c is not None and c not in df.columns:
+            continue
         if e.type in (NOT_NULL, IN_SET, UNIQUE_PROPORTION):
             aggs.append(F.count(F.col(c)).alias(f"__nn{n}"))
         if e.type == IN_SET:
@@ -108,7 +111,9 @@ def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     total = F.col("__total")
     for n, e in enumerate(suite):
         c = e.column
-        if e.type == NOT_NULL:
+        if e.type in (NOT_NULL, IN_SET, UNIQUE_PROPORTION) and c not in df.columns:
+            unexpected, observed, elements, success = total, F.lit(None), total, F.lit(False)
+        elif e.type == NOT_NULL:
             nn = F.col(f"__nn{n}")
             unexpected = total - nn
             observed = _ratio(nn, total)
@@ -168,6 +173,16 @@ def gate(result: DataFrame, suite_name: str = "suite") -> DataFrame:
     return result
 
 
+def store_result(result: DataFrame, root: str, suite_name: str, ds: str) -> DataFrame:
+    """Write a suite's result rows under ``<root>/<suite>/ds=<ds>`` (Q9) and return them read back.
+
+    A rerun of the day replaces its rows. Stored before the gate, so a failed day leaves its evidence.
+    """
+    path = f"{root.rstrip('/')}/{suite_name}/ds={ds}"
+    result.coalesce(1).write.mode("overwrite").parquet(path)
+    return result.sparkSession.read.schema(result.schema).parquet(path)
+
+
 # ------------------------------------------------------------------ dbt tests (Q6-Q8)
 
 def failing_nulls(df: DataFrame, column: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """Session construction and shared scratch locations.
 
 On a cluster the scratch root is the shared folder named by
-``spark.checkpoint.dir``; a session without one (local tests) gets a private
-folder under the system temp dir. Nothing here ever uses a machine-local path
-when the cluster has named a shared one.
+``spark.checkpoint.dir``; a local session without one (tests) gets a private
+folder under the system temp dir. A cluster session without one is an error:
+its driver and executors share no machine-local folder.
 """
 
 from __future__ import annotations
@@ -45,6 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a private one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="marquee-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:

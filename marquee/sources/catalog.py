@@ -1,14 +1,16 @@
 """Catalog: source aliases, model references and materializations.
 
 Tables are plain Parquet folders in the shared scratch/warehouse root. A
-table write never overwrites the folder it may be reading from: each write
-goes to a new version folder and a one-row pointer table is then replaced, so
-a snapshot can be rebuilt from its own previous version (no MERGE on Parquet).
-Reading a table resolves the pointer (one tiny row) and reads that version.
+table write never overwrites anything: each write goes to a new version folder,
+and then a new numbered pointer (one row, ``_pointers/n=<number>``) is added.
+The pointer with the greatest number is the table; a pointer write that fails
+leaves no row and the table stays what it was. Reading a table resolves the
+pointer (one tiny row) and reads the folders it names.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from typing import Callable
 
@@ -18,6 +20,9 @@ from pyspark.sql import functions as F
 
 from marquee.operators.joins import append_new
 
+# Parts that appends and snapshot runs may add to a table before they are merged.
+MAX_PARTS = 16
+
 
 class Catalog:
     def __init__(self, spark: SparkSession, root: str, sources: dict | None = None):
@@ -49,18 +54,33 @@ class Catalog:
         return self.models[name](self)
 
     # ------------------------------------------------------------------ storage
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_current"
+    def _pointers(self, name: str) -> str:
+        return f"{self.root}/{name}/_pointers"
 
-    def exists(self, name: str) -> bool:
+    def _pointer_row(self, name: str) -> dict | None:
+        """Fields of the newest pointer; None if the table was never written.
+
+        Only a missing folder counts as absent: a pointer folder that cannot be read raises.
+        """
+        rows = self.spark.read.schema("fields string, n long")
         try:
-            self.spark.read.parquet(self._pointer(name))
-            return True
-        except AnalysisException:
-            return False
+            newest = rows.parquet(self._pointers(name)).agg(F.max(F.struct("n", "fields")).alias("p")).first()["p"]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return None if newest is None else {**json.loads(newest["fields"]), "n": newest["n"]}
 
-    def _pointer_row(self, name: str):
-        return self.spark.read.parquet(self._pointer(name)).first()
+    def _write_pointer(self, name: str, fields: dict) -> None:
+        """Add the next pointer. Its folder is new, so nothing that a reader sees is touched."""
+        now = self._pointer_row(name)
+        n = now["n"] + 1 if now else 1
+        row = json.dumps({k: v for k, v in fields.items() if k != "n"})
+        (self.spark.range(1).select(F.lit(row).alias("fields")).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self._pointers(name)}/n={n}"))
+
+    def exists(self, name: str) -> bool:
+        return self._pointer_row(name) is not None
 
     def table_location(self, name: str) -> str:
         return self._pointer_row(name)["location"]
@@ -68,8 +88,7 @@ class Catalog:
     def read_table(self, name: str) -> DataFrame:
         """All rows: the current part plus, for snapshot tables, every closed part."""
         ptr = self._pointer_row(name)
-        history = list(ptr["history"] or []) if "history" in ptr.asDict() else []
-        return self.spark.read.parquet(ptr["location"], *history)
+        return self.spark.read.parquet(ptr["location"], *ptr.get("history", []))
 
     def read_current(self, name: str) -> DataFrame:
         """Only the current part (for snapshot tables: the current versions)."""
@@ -89,74 +108,76 @@ class Catalog:
         snapshot.withColumn("__is_current", is_current).write.mode("overwrite") \
             .partitionBy("__is_current").parquet(base)
         cur, closed = f"{base}/__is_current=true", f"{base}/__is_current=false"
-        history = []
-        if self.exists(name):
-            ptr = self._pointer_row(name)
-            history = list(ptr["history"] or []) if "history" in ptr.asDict() else []
+        history = list((self._pointer_row(name) or {}).get("history", []))
         if self._has_files(closed):
             history.append(closed)
         if not self._has_files(cur):
             self.spark.createDataFrame([], snapshot.schema).write.mode("overwrite").parquet(cur)
-        cols = [F.lit(cur).alias("location"),
-                F.array(*[F.lit(h) for h in history]).cast("array<string>").alias("history")]
-        cols += [F.lit(v).alias(k) for k, v in (meta or {}).items()]
-        self.spark.range(1).select(*cols).write.mode("overwrite").parquet(self._pointer(name))
+        if len(history) > MAX_PARTS:
+            history = [self._merged(name, history)]
+        self._write_pointer(name, {"location": cur, "history": history, "snapshot": True, **(meta or {})})
         return self.read_table(name)
 
     def _has_files(self, path: str) -> bool:
         try:
             self.spark.read.parquet(path).schema
             return True
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return False
 
     def write_table(self, name: str, df: DataFrame, meta: dict | None = None) -> DataFrame:
-        """Write a new version, then swap the pointer to it (with optional metadata)."""
+        """Write a new version, then a pointer to it (with optional metadata)."""
         loc = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(loc)
-        cols = [F.lit(loc).alias("location")] + [F.lit(v).alias(k) for k, v in (meta or {}).items()]
-        self.spark.range(1).select(*cols).write.mode("overwrite").parquet(self._pointer(name))
+        self._write_pointer(name, {"location": loc, "history": [], **(meta or {})})
         return self.spark.read.parquet(loc)
 
     def table_meta(self, name: str, field: str):
         """A metadata value stored with the table's current version (None if absent)."""
-        if not self.exists(name):
-            return None
-        ptr = self.spark.read.parquet(self._pointer(name))
-        return ptr.first()[field] if field in ptr.columns else None
+        return (self._pointer_row(name) or {}).get(field)
 
     def append_table(self, name: str, df: DataFrame) -> DataFrame:
         """Append rows as a new part folder listed in the pointer (insert-only tables).
 
-        The rows land in their own folder first; only the pointer swap makes
+        The rows land in their own folder first; only the new pointer makes
         them part of the table, so an interrupted append leaves nothing behind
-        that a rerun could duplicate.
+        that a rerun could duplicate. An append without rows adds no part; more
+        than ``MAX_PARTS`` parts are merged.
         """
         if not self.exists(name):
             return self.write_table(name, df)
         part = f"{self.root}/{name}/p-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(part)
-        ptr = self._pointer_row(name).asDict()
-        ptr["history"] = list(ptr.get("history") or []) + [part]
-        self._write_pointer(name, ptr)
+        if self.spark.read.parquet(part).isEmpty():
+            return self.read_table(name)          # a day without new rows adds no part
+        ptr = self._pointer_row(name)
+        self._write_pointer(name, {**ptr, "history": [*ptr.get("history", []), part]})
+        if len(ptr.get("history", [])) >= MAX_PARTS:
+            return self.compact(name)
         return self.read_table(name)
 
+    def _merged(self, name: str, parts: list[str]) -> str:
+        """The closed parts of a snapshot table rewritten as one folder."""
+        merged = f"{self.root}/{name}/h-{uuid.uuid4().hex}"
+        self.spark.read.parquet(*parts).write.mode("overwrite").parquet(merged)
+        return merged
+
     def compact(self, name: str) -> DataFrame:
         """Merge a table's parts so daily runs do not accumulate small folders.
 
         Snapshot tables keep their current part and get all closed parts
         rewritten as one; other tables are rewritten as one new version. Either
-        way the new files are complete before the pointer swap, so readers
+        way the new files are complete before the new pointer, so readers
         never see a half-compacted table.
         """
-        ptr = self._pointer_row(name).asDict()
-        parts = list(ptr.get("history") or [])
+        ptr = self._pointer_row(name)
+        parts = ptr.get("history", [])
         if len(parts) <= 1:
             return self.read_table(name)
-        if self._is_snapshot(ptr):
-            merged = f"{self.root}/{name}/h-{uuid.uuid4().hex}"
-            self.spark.read.parquet(*parts).write.mode("overwrite").parquet(merged)
-            ptr["history"] = [merged]
+        if ptr.get("snapshot"):
+            ptr["history"] = [self._merged(name, parts)]
         else:
             loc = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
             self.spark.read.parquet(ptr["location"], *parts).write.mode("overwrite").parquet(loc)
@@ -164,19 +185,6 @@ class Catalog:
         self._write_pointer(name, ptr)
         return self.read_table(name)
 
-    @staticmethod
-    def _is_snapshot(ptr: dict) -> bool:
-        return str(ptr["location"]).endswith("__is_current=true")
-
-    def _write_pointer(self, name: str, fields: dict) -> None:
-        cols = []
-        for k, v in fields.items():
-            if k == "history":
-                cols.append(F.array(*[F.lit(h) for h in v]).cast("array<string>").alias(k))
-            else:
-                cols.append(F.lit(v).alias(k))
-        self.spark.range(1).select(*cols).write.mode("overwrite").parquet(self._pointer(name))
-
     # -------------------------------------------------------- materializations
     def materialize(self, name: str, df: DataFrame, kind: str = "view", key: str | None = None,
                     null_aware: bool = False) -> DataFrame:

@@ -23,18 +23,29 @@ def read_tsv(spark: SparkSession, path, schema=None, null_token: str = "\\N",
     return df.repartition(repartition) if repartition else df
 
 
+class LoadAborted(RuntimeError):
+    """A bulk load without tolerance met an error; nothing was loaded."""
+
+
 def read_json_array(spark: SparkSession, path, schema=None) -> DataFrame:
-    """A file holding one JSON array: each element becomes a row (S2, strip outer array)."""
-    r = spark.read.option("multiLine", True)
+    """A file holding one JSON array: each element becomes a row (S2, strip outer array).
+
+    Elements are parsed one at a time. A malformed or truncated document fails the read.
+    """
+    r = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     return r.schema(schema).json(path) if schema is not None else r.json(path)
 
 
-def read_variant(spark: SparkSession, path, column: str = "content") -> DataFrame:
-    """JSON array file(s) -> one ``VARIANT`` column, one row per array element (S3).
+def read_variant(spark: SparkSession, path, column: str = "content", lines: bool = False) -> DataFrame:
+    """JSON file(s) -> one ``VARIANT`` column, one row per record (S3).
 
-    Each file is read as a single variant; the outer array is then exploded
-    on the executors by casting it to ``array<variant>``.
+    ``lines=True`` reads one record per line: files are split over tasks and no value is larger
+    than a record. This is the form in which the daily run lands reviews. A file that holds one
+    array (an API page) is read as a single variant and exploded on the executors, so it must stay
+    below the size limit of a variant; land such files as lines first if they can grow.
     """
+    if lines:
+        return spark.read.option("singleVariantColumn", column).option("mode", "FAILFAST").json(path)
     whole = (spark.read.option("singleVariantColumn", "__doc").option("multiLine", True).json(path))
     return whole.select(F.explode(F.col("__doc").cast("array<variant>")).alias(column))
 
@@ -48,6 +59,10 @@ class CsvFormat:
     quote: str = '"'
     sep: str = ","
 
+    def __post_init__(self):
+        if self.skip_header not in (0, 1):
+            raise ValueError("skip_header must be 0 or 1")
+
     def reader_options(self) -> dict:
         return {
             "header": self.skip_header >= 1,
@@ -79,12 +94,23 @@ class Stage:
 
 
 def read_csv_format(spark: SparkSession, path, schema, fmt: CsvFormat = CsvFormat()) -> DataFrame:
-    """Typed CSV read with a declared format; columns map by position."""
+    """Typed CSV read with a declared format; columns map by position.
+
+    With several ``null_if`` tokens the fields are read as text, nulled and cast.
+    """
     r = spark.read
     for k, v in fmt.reader_options().items():
         if v is not None and k != "compression":
             r = r.option(k, v)
-    return r.schema(schema).csv(path)
+    if len(fmt.null_if) <= 1:
+        return r.schema(schema).csv(path)
+    text = r.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])).csv(path)
+    return text.select(*[_nulled(f.name, fmt).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _nulled(name: str, fmt: CsvFormat):
+    """A text field with every ``null_if`` token as NULL."""
+    return F.when(~F.col(name).isin(list(fmt.null_if)), F.col(name)) if fmt.null_if else F.col(name)
 
 
 def copy_into(spark: SparkSession, paths, schema: T.StructType, fmt=CsvFormat(),
@@ -99,8 +125,9 @@ def copy_into(spark: SparkSession, paths, schema: T.StructType, fmt=CsvFormat(),
     malformed or any non-NULL field fails its cast. With ``skip_file_pct``
     (``SKIP_FILE_<n>%``) a file whose error share exceeds ``n`` percent is
     skipped whole and the error rows of the other files are dropped. Without
-    it any error aborts the load (``ABORT_STATEMENT``), which is also the only
-    behaviour for JSON.
+    it any error aborts the load (``ABORT_STATEMENT``): the errors are counted in
+    a first pass and ``LoadAborted`` is raised before a row is returned. This is also
+    the only behaviour for JSON, where a malformed document is an error.
 
     The per-file report is an aggregate keyed by file (one row per file);
     the rows meet it in an equi-join that adaptive execution broadcasts when
@@ -109,13 +136,21 @@ def copy_into(spark: SparkSession, paths, schema: T.StructType, fmt=CsvFormat(),
     if isinstance(paths, str):
         paths = [paths]
     if isinstance(fmt, JsonFormat):
-        rows = read_json_array(spark, paths, schema).withColumn("__file", F.col("_metadata.file_path"))
-        typed = rows.drop("__file")
-        report = (rows.groupBy(F.col("__file").alias("file"))
-                  .agg(F.count(F.lit(1)).alias("rows_parsed"))
-                  .select("file", "rows_parsed", F.lit(0).cast("long").alias("errors_seen"),
-                          F.col("rows_parsed").alias("rows_loaded"), F.lit("LOADED").alias("status")))
-        return typed, report
+        checked = T.StructType([*schema.fields, T.StructField("__corrupt", T.StringType(), True)])
+        rows = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", "__corrupt").schema(checked).json(paths)
+                .withColumn("__file", F.col("_metadata.file_path")))
+        # Spark wants a data column beside the corrupt record: a bad document has none.
+        bad = F.col("__corrupt").isNotNull() & F.coalesce(*[F.col(f.name).cast("string") for f in schema.fields]).isNull()
+        report = (rows.withColumn("__bad", bad).groupBy(F.col("__file").alias("file"))
+                  .agg(F.count(F.lit(1)).alias("rows_parsed"),
+                       F.count_if("__bad").alias("errors_seen"))
+                  .select("file", "rows_parsed", "errors_seen",
+                          F.when(F.col("errors_seen") > 0, 0).otherwise(F.col("rows_parsed")).cast("long")
+                          .alias("rows_loaded"),
+                          F.when(F.col("errors_seen") > 0, "LOAD_FAILED").otherwise("LOADED").alias("status")))
+        _abort_on_errors(report)
+        return rows.drop("__file", "__corrupt"), report
 
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields]
                                + [T.StructField("__corrupt", T.StringType(), True)])
@@ -125,10 +160,10 @@ def copy_into(spark: SparkSession, paths, schema: T.StructType, fmt=CsvFormat(),
             r = r.option(k, v)
     raw = r.schema(text_schema).csv(paths).withColumn("__file", F.col("_metadata.file_path"))
 
-    casts = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    casts = [_nulled(f.name, fmt).try_cast(f.dataType).alias(f.name) for f in schema.fields]
     bad = F.col("__corrupt").isNotNull()
     for f in schema.fields:
-        bad = bad | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+        bad = bad | (_nulled(f.name, fmt).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
     checked = raw.select("__file", bad.alias("__bad"), *casts)
 
     per_file = (checked.groupBy(F.col("__file").alias("file"))
@@ -146,18 +181,23 @@ def copy_into(spark: SparkSession, paths, schema: T.StructType, fmt=CsvFormat(),
         .alias("rows_loaded"),
         status.alias("status"))
 
-    good_files = report.filter(F.col("status") != "SKIPPED").select(F.col("file").alias("__file"))
     if skip_file_pct is None:
-        # ABORT_STATEMENT: one error anywhere loads nothing (a scalar subquery
-        # over the per-file report, folded into the filter).
-        total_errors = per_file.agg(F.coalesce(F.sum("errors_seen"), F.lit(0))).scalar()
-        good_files = report.filter(total_errors == 0).select(F.col("file").alias("__file"))
+        _abort_on_errors(report)
+        return checked.select(*[f.name for f in schema.fields]), report
+    good_files = report.filter(F.col("status") != "SKIPPED").select(F.col("file").alias("__file"))
     rows = (checked.filter(~F.col("__bad"))
             .join(good_files, "__file", "left_semi")
             .select(*[f.name for f in schema.fields]))
     return rows, report
 
 
+def _abort_on_errors(report: DataFrame) -> None:
+    """Raise if any file of a load report has errors (one aggregated row reaches the driver)."""
+    n, example = report.filter("errors_seen > 0").agg(F.sum("errors_seen"), F.min("file")).first()
+    if n:
+        raise LoadAborted(f"{n} error(s), first in {example}; nothing was loaded")
+
+
 def list_assets(spark: SparkSession, directory: str, regex: str = "(.*)") -> DataFrame:
     """Files of a folder as named assets: ``asset`` is group 1 of ``regex`` on the name.
 

@@ -140,6 +140,77 @@ def test_empty_day_keeps_snapshots(spark, day1):
     run_day(cat, DayFeeds(), now=dt.datetime(2022, 9, 15), as_of="2022-09-15")
     assert cat.read_table("raw_imdb_basics").count() == 0            # truncated anyway
     assert cat.read_table("imdb_basic_snapshot").count() == before
+    assert cat.read_table("raw_nyt_reviews").count() == 0
+
+
+def write_sources(folder, day, basics, ratings, reviews=None):
+    import os
+
+    os.makedirs(f"{folder}/{day}", exist_ok=True)
+    paths = {}
+    for name, cols, data in (("basics", BASICS_COLS, basics), ("ratings", RATINGS_COLS, ratings)):
+        paths[name] = f"{folder}/{day}/{name}.tsv"
+        with open(paths[name], "w") as f:
+            f.write("\t".join(c.split()[0] for c in cols.split(", ")) + "\n")
+            f.writelines("\t".join("\\N" if v is None else v for v in r) + "\n" for r in data)
+    if reviews is not None:
+        paths["reviews"] = f"{folder}/{day}/reviews.json"
+        with open(paths["reviews"], "w") as f:
+            json.dump(reviews, f)
+    return paths
+
+
+def many_titles(n, junk):
+    return [(f"tm{i}", "movie", f"Title {i}", f"Title {i}", "0", "1990", None, "junk" if i < junk else "100", "Drama")
+            for i in range(n)]
+
+
+def test_pipeline_from_landed_paths(spark, tmp_root, local_dir):
+    from marquee.plans.daily import run_pipeline
+
+    # day 1: no reviews at all; 0.1 % junk runtimes are dropped, everything else loads and is tested
+    basics = DAY1_BASICS + many_titles(991, 1)
+    ratings = DAY1_RATINGS + [("tm5", "0.0", "7")]
+    out = run_pipeline(spark, tmp_root, write_sources(local_dir, "d1", basics, ratings), "2022-09-13")
+    cat = out["catalog"]
+    assert cat.read_table("raw_imdb_basics").count() == 999
+    assert cat.read_table("dim_imdb_movies").count() > 900 and cat.read_table("fct_imdb_nyt").count() > 0
+    assert cat.read_table("raw_nyt_reviews").count() == 0 and cat.read_table("dim_nyt_reviews").count() == 0
+    assert rows(out["tests"]["imdb_ratings_positive_average_rating"], "id") == [("tm5",)]
+    assert {r.status for r in out["loads"]["basics"].collect()} == {"PARTIALLY_LOADED"}
+    stored = spark.read.parquet(f"{tmp_root}/validation/imdb-basic.raw/ds=2022-09-13")
+    assert stored.count() == 4 and stored.filter("NOT success").count() == 0
+
+    # day 2: known ids are not landed again; reviews arrive
+    out = run_pipeline(spark, tmp_root, write_sources(local_dir, "d2", basics + [
+        ("tt99", "movie", "Jaws", "Jaws", "0", "1975", None, "124", "Thriller")], ratings, DAY1_REVIEWS), "2022-09-14")
+    assert rows(cat.read_table("raw_imdb_basics"), "id") == [("tt99",)]
+    assert cat.read_table("raw_nyt_reviews").count() == 3 and cat.read_table("nyt_snapshot").count() == 3
+    assert cat.read_table("fct_imdb_nyt").filter("nyt_movie_id IS NOT NULL").count() > 0
+
+    # day 3: nothing new anywhere: raw tables are truncated, the rest stays
+    before = cat.read_table("fct_imdb_nyt").count()
+    out = run_pipeline(spark, tmp_root, {}, "2022-09-15")
+    assert [cat.read_table(t).count() for t in ("raw_imdb_basics", "raw_imdb_ratings", "raw_nyt_reviews")] == [0, 0, 0]
+    assert cat.read_table("fct_imdb_nyt").count() == before and len(out["tests"]) == 12
+
+
+def test_pipeline_skips_a_bad_file_and_registers_only_after_success(spark, tmp_root, local_dir):
+    from marquee.plans.daily import run_pipeline
+
+    out = run_pipeline(spark, tmp_root, write_sources(local_dir, "bad", many_titles(100, 2), DAY1_RATINGS), "2022-09-13")
+    assert {r.status for r in out["loads"]["basics"].collect()} == {"SKIPPED"}
+    assert out["catalog"].read_table("raw_imdb_basics").count() == 0
+
+    nameless = [("tt1", "movie", None, None, "0", "1995", None, "1", "Drama")]
+    root2 = f"{tmp_root}-gate"
+    with pytest.raises(QualityGateError):
+        run_pipeline(spark, root2, write_sources(local_dir, "gate", nameless, DAY1_RATINGS), "2022-09-13")
+    failed = spark.read.parquet(f"{root2}/validation/imdb-basic.raw/ds=2022-09-13").filter("NOT success")
+    assert failed.count() == 2
+    # the day can be run again: nothing was registered
+    out = run_pipeline(spark, root2, write_sources(local_dir, "again", DAY1_BASICS, DAY1_RATINGS), "2022-09-13")
+    assert out["catalog"].read_table("raw_imdb_basics").count() == len(DAY1_BASICS)
 
 
 def test_failing_gate_blocks_the_load(spark, tmp_root):

@@ -56,3 +56,11 @@ def test_dbt_tests(spark):
 def test_suite_from_json_document():
     doc = {"expectations": [{"expectation_type": Q.NOT_NULL, "kwargs": {"column": "tconst"}}]}
     assert Q.from_json_suite(doc) == [Q.Expectation(Q.NOT_NULL, {"column": "tconst"})]
+
+
+def test_absent_column_fails_its_expectations(spark):
+    suite = [Q.not_null("gone"), Q.in_set("gone", ["x"]), Q.unique_proportion("gone", 1.0), Q.in_type_list("gone", ["string"]),
+             Q.columns_match_set(["a", "gone"]), Q.not_null("a")]
+    got = Q.run_suite(spark.createDataFrame([("v",)], "a string"), suite).collect()
+    assert [r.success for r in got] == [False] * 5 + [True]
+    assert got[0].unexpected_count == 1 and got[0].column == "gone"

@@ -27,6 +27,7 @@ from marquee.sources import (
     write_csv_gz,
     write_json,
 )
+from marquee.sources.readers import LoadAborted
 from tests.conftest import rows, srt
 
 TSV = ("tconst\ttitleType\tprimaryTitle\toriginalTitle\tisAdult\tstartYear\tendYear\truntimeMinutes\tgenres\n"
@@ -101,16 +102,46 @@ def test_copy_into_without_tolerance_aborts(spark, local_dir):
     os.makedirs(d)
     _csv_file(os.path.join(d, "a.csv.gz"), 10, 0)
     _csv_file(os.path.join(d, "b.csv.gz"), 10, 1)
-    loaded, report = copy_into(spark, d, RATINGS)
-    assert loaded.count() == 0
-    assert sorted(r.status for r in report.collect()) == ["LOADED", "LOAD_FAILED"]
+    with pytest.raises(LoadAborted, match="1 error"):
+        copy_into(spark, d, RATINGS)
+
+
+def test_bad_json_aborts(spark, local_dir):
+    p = os.path.join(local_dir, "cut.json")
+    with open(p, "w") as f:
+        f.write('[{"a": 1}, {"a": 2}, {"a"')
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    with pytest.raises(LoadAborted):
+        copy_into(spark, p, schema, JsonFormat())
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json_array(spark, p, schema).collect()
+
+
+def test_variant_lines(spark, tmp_root):
+    spark.createDataFrame([('{"a": 1}',), ('{"a": null, "b": [1]}',)], "value string").write.text(f"{tmp_root}/lines")
+    v = read_variant(spark, f"{tmp_root}/lines", lines=True)
+    assert rows(v.select(F.to_json("content").alias("j"))) == srt([('{"a":1}',), ('{"a":null,"b":[1]}',)])
+
+
+def test_csv_with_several_null_tokens(spark, local_dir):
+    p = os.path.join(local_dir, "n.csv")
+    with open(p, "w") as f:
+        f.write("a,b\n1,x\n\\N,\n,NA\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    fmt = CsvFormat(compression="none", null_if=("", "\\N", "NA"))
+    assert rows(read_csv_format(spark, p, schema, fmt)) == srt([(1, "x"), (None, None), (None, None)])
+    loaded, report = copy_into(spark, p, schema, fmt)
+    assert rows(loaded) == srt([(1, "x"), (None, None), (None, None)]) and report.first().errors_seen == 0
+    with pytest.raises(ValueError):
+        CsvFormat(skip_header=2)
 
 
 def test_copy_into_json(spark, local_dir):
     p = os.path.join(local_dir, "r.json")
     with open(p, "w") as f:
         json.dump(REVIEWS, f)
-    loaded, report = copy_into(spark, p, None, JsonFormat())
+    schema = T.StructType([T.StructField("display_title", T.StringType())])
+    loaded, report = copy_into(spark, p, schema, JsonFormat())
     assert loaded.count() == 2 and report.first().rows_loaded == 2
 
 
@@ -260,5 +291,44 @@ def test_id_registry_appends_are_parts_and_compact(spark, tmp_root):
     assert rows(reg.new_rows(batch, "tconst")) == [("tt4",)]
     reg.compact()
     assert rows(reg.read()) == [("tt1",), ("tt2",), ("tt3",)]
-    assert not reg.catalog._pointer_row(IdRegistry.TABLE).asDict().get("history")
+    assert not reg.catalog._pointer_row(IdRegistry.TABLE).get("history")
     assert rows(reg.new_rows(batch, "tconst")) == [("tt4",)]
+
+
+def test_failed_pointer_write_keeps_the_table(spark, tmp_root, monkeypatch):
+    cat = Catalog(spark, tmp_root)
+    cat.write_table("t", spark.createDataFrame([("old",)], "v string"))
+
+    def fails(self, name, fields):
+        os.makedirs(f"{self._pointers(name).removeprefix('file://')}/n=2/_temporary/0", exist_ok=True)
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(Catalog, "_write_pointer", fails)
+        with pytest.raises(OSError):
+            cat.write_table("t", spark.createDataFrame([("new",)], "v string"))
+    assert cat.exists("t") and rows(cat.read_table("t")) == [("old",)]
+    cat.write_table("t", spark.createDataFrame([("newer",)], "v string"))
+    assert rows(cat.read_table("t")) == [("newer",)]
+
+
+def test_unreadable_pointer_is_not_absent(spark, tmp_root):
+    cat = Catalog(spark, tmp_root)
+    assert not cat.exists("t")
+    cat.write_table("t", spark.createDataFrame([("old",)], "v string"))
+    folder = f"{cat._pointers('t').removeprefix('file://')}/n=1"
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            with open(os.path.join(folder, name), "wb") as f:
+                f.write(b"broken")
+    with pytest.raises(Exception, match="(?i)parquet|corrupt|footer|read"):
+        cat.exists("t")
+
+
+def test_thirty_small_days_leave_few_parts(spark, tmp_root):
+    cat = Catalog(spark, tmp_root)
+    for day in range(30):
+        new = spark.createDataFrame([(f"k{day}",)] if day % 2 else [], "id string")
+        cat.append_table("d", new)
+    assert cat.read_table("d").count() == 15
+    assert len(cat._pointer_row("d")["history"]) <= 16
