@@ -7,14 +7,15 @@ of the models' work (snapshots, dimensions, joins). The models must be right
 on any data of these schemas; nothing downstream relies on how these columns
 are formed.
 
-Mapping (one row per part for all three feeds):
-
-* title   = p_name || ' ' || (p_partkey div 8)   (near-unique; ~1 in 9 collide)
-* year    = 1970 + p_size, runtime = 60 + p_size, genres = p_name words, comma list
-* rating  = p_retailprice, votes = 100 * p_size
-* review  : author = p_brand, headline = p_type || ' ' || p_name,
-            opening = 2000-01-01 + p_size days, published = 2001-01-01 + p_size days,
-            rating label = one of ('', G, PG, PG-13, R, NC-17) by p_size
+Mapping:
+
+* titles from ``part``: title = 'Title ' || (p_partkey div 4), so names repeat and some (name,
+  year) pairs do, too; kind = one of five by p_size; year = 1990 + p_size (the latest lie in the
+  future); runtime = 60 + p_size; genres = two of the genre list, by p_size and p_partkey
+* ratings from ``orders``: id = o_orderkey (only some are titles), rating and votes by o_custkey
+* reviews from ``customer``: title = 'Title ' || (c_custkey div 3), author and summary =
+  c_mktsegment, headline = c_mktsegment || ' on ' || (c_custkey div 2), the dates and the rating
+  label by c_nationkey
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.plans.models import GENRES
 from marquee.session import table_path
 
 
@@ -29,49 +31,58 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-TITLE = "concat(p_name, ' ', CAST(p_partkey div 8 AS STRING))"
+KINDS = ["movie", "short", "movie", "tvSeries", "movie"]
 MPAA_LABELS = ["", "G", "PG", "PG-13", "R", "NC-17"]
-LABEL = "element_at(array(" + ", ".join(f"'{x}'" for x in MPAA_LABELS) + "), CAST(p_size % 6 + 1 AS INT))"
+
+
+def _pick(values: list[str], number: str) -> str:
+    """SQL: the value at ``number`` modulo the list's length."""
+    return f"element_at(array({', '.join(repr(v) for v in values)}), CAST({number} % {len(values)} + 1 AS INT))"
+
+
+LABEL = _pick(MPAA_LABELS, "c_nationkey")
+REVIEW_TITLE = "concat('Title ', CAST(c_custkey div 3 AS STRING))"
+HEADLINE = "concat(c_mktsegment, ' on ', CAST(c_custkey div 2 AS STRING))"
 
 
 def basics_raw(part: DataFrame) -> DataFrame:
     """Raw titles table (``BASICS_RAW`` columns)."""
     return part.selectExpr(
         "CAST(p_partkey AS STRING) AS id",
-        "'movie' AS title_type",
-        f"{TITLE} AS primary_title",
+        f"{_pick(KINDS, 'p_size')} AS title_type",
+        "concat('Title ', CAST(p_partkey div 4 AS STRING)) AS primary_title",
         "p_name AS original_title",
-        "false AS is_adult",
-        "CAST(1970 + p_size AS INT) AS start_year",
+        "p_size % 7 = 0 AS is_adult",
+        "CAST(1990 + p_size AS INT) AS start_year",
         "CAST(NULL AS INT) AS end_year",
         "CAST(60 + p_size AS INT) AS runtime_minutes",
-        "regexp_replace(p_name, ' ', ',') AS genres",
+        f"concat({_pick(GENRES, 'p_size')}, ',', {_pick(GENRES, 'p_partkey')}) AS genres",
     )
 
 
-def ratings_raw(part: DataFrame) -> DataFrame:
+def ratings_raw(orders: DataFrame) -> DataFrame:
     """Raw ratings table: id, average_rating, num_votes."""
-    return part.selectExpr(
-        "CAST(p_partkey AS STRING) AS id",
-        "p_retailprice AS average_rating",
-        "CAST(p_size * 100 AS INT) AS num_votes",
+    return orders.selectExpr(
+        "CAST(o_orderkey AS STRING) AS id",
+        "CAST(1 + (o_custkey % 90) / 10 AS DECIMAL(3,1)) AS average_rating",
+        "CAST(o_custkey * 10 AS INT) AS num_votes",
     )
 
 
-def reviews_parsed(part: DataFrame) -> DataFrame:
+def reviews_parsed(customer: DataFrame) -> DataFrame:
     """Review feed after variant parsing (the review snapshot's source columns, no id)."""
-    return part.selectExpr(
-        "p_brand AS author_name",
-        "CAST(p_size % 2 AS INT) AS is_critics_pick",
-        "date_add(DATE'2002-01-01', p_size) AS review_date_updated",
-        f"{TITLE} AS movie_title",
-        "concat_ws(' ', p_type, p_name) AS review_headline",
-        "concat('https://reviews.example/', CAST(p_partkey AS STRING)) AS review_url",
+    return customer.selectExpr(
+        "c_mktsegment AS author_name",
+        "CAST(c_nationkey % 2 AS INT) AS is_critics_pick",
+        "date_add(DATE'2002-01-01', CAST(c_nationkey AS INT)) AS review_date_updated",
+        f"{REVIEW_TITLE} AS movie_title",
+        f"{HEADLINE} AS review_headline",
+        "concat('https://reviews.example/', CAST(c_custkey AS STRING)) AS review_url",
         f"{LABEL} AS mpaa_rating",
         "CAST(NULL AS STRING) AS image_url",
-        "CAST(date_add(DATE'2000-01-01', p_size) AS STRING) AS opening_date",
-        "CAST(date_add(DATE'2001-01-01', p_size) AS STRING) AS review_date",
-        "p_type AS summary_short",
+        "CAST(date_add(DATE'2000-01-01', CAST(c_nationkey % 3 AS INT)) AS STRING) AS opening_date",
+        "CAST(date_add(DATE'2001-01-01', CAST(c_nationkey AS INT)) AS STRING) AS review_date",
+        "c_mktsegment AS summary_short",
     )
 
 
@@ -94,23 +105,43 @@ def paged_feed(conversations: DataFrame, page_size: int = 20) -> DataFrame:
             .agg(F.collect_list(F.struct("turn", "role", "text")).alias("results")))
 
 
-def reviews_raw(part: DataFrame) -> DataFrame:
-    """Raw review table: one VARIANT column ``content`` per review document.
-
-    The document carries the feed's field names; ``multimedia`` is absent for
-    every third size (so the model sees missing objects).
-    """
+def review_documents(customer: DataFrame) -> DataFrame:
+    """Review documents as JSON text (column ``value``) with the feed's field names; ``multimedia``
+    is null for every third nation."""
     doc = f"""named_struct(
-        'display_title', {TITLE},
+        'display_title', {REVIEW_TITLE},
         'mpaa_rating', {LABEL},
-        'critics_pick', CAST(p_size % 2 AS INT),
-        'byline', p_brand,
-        'headline', concat_ws(' ', p_type, p_name),
-        'summary_short', p_type,
-        'publication_date', CAST(date_add(DATE'2001-01-01', p_size) AS STRING),
-        'opening_date', CAST(date_add(DATE'2000-01-01', p_size) AS STRING),
-        'date_updated', CAST(date_add(DATE'2002-01-01', p_size) AS STRING),
-        'link', named_struct('url', concat('https://reviews.example/', CAST(p_partkey AS STRING))),
-        'multimedia', CASE WHEN p_size % 3 != 0
-                           THEN named_struct('src', concat('img/', CAST(p_partkey AS STRING))) END)"""
-    return part.selectExpr(f"parse_json(to_json({doc})) AS content")
+        'critics_pick', CAST(c_nationkey % 2 AS INT),
+        'byline', c_mktsegment,
+        'headline', {HEADLINE},
+        'summary_short', c_mktsegment,
+        'publication_date', CAST(date_add(DATE'2001-01-01', CAST(c_nationkey AS INT)) AS STRING),
+        'opening_date', CAST(date_add(DATE'2000-01-01', CAST(c_nationkey % 3 AS INT)) AS STRING),
+        'date_updated', CAST(date_add(DATE'2002-01-01', CAST(c_nationkey AS INT)) AS STRING),
+        'link', named_struct('url', concat('https://reviews.example/', CAST(c_custkey AS STRING))),
+        'multimedia', CASE WHEN c_nationkey % 3 != 0
+                           THEN named_struct('src', concat('img/', CAST(c_custkey AS STRING))) END)"""
+    return customer.selectExpr(f"to_json({doc}) AS value")
+
+
+def reviews_raw(customer: DataFrame) -> DataFrame:
+    """Raw review table: one VARIANT column ``content`` per review document."""
+    return review_documents(customer).selectExpr("parse_json(value) AS content")
+
+
+def source_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
+    """The feeds as source files: titles and ratings as TSV with ``\\N`` for NULL, the runtime of every
+    997th title unreadable; returns the paths by feed."""
+    part = basics_raw(read(spark, sf_dir, "part"))
+    titles = part.selectExpr(
+        "id AS tconst", "title_type AS titleType", "primary_title AS primaryTitle", "original_title AS originalTitle",
+        "CAST(CAST(is_adult AS INT) AS STRING) AS isAdult", "CAST(start_year AS STRING) AS startYear",
+        "CAST(end_year AS STRING) AS endYear",
+        "CASE WHEN id % 997 = 0 THEN 'about 90' ELSE CAST(runtime_minutes AS STRING) END AS runtimeMinutes", "genres")
+    ratings = ratings_raw(read(spark, sf_dir, "orders")).selectExpr(
+        "id AS tconst", "CAST(average_rating AS STRING) AS averageRating", "CAST(num_votes AS STRING) AS numVotes")
+    paths = {"basics": f"{folder}/title.basics", "ratings": f"{folder}/title.ratings"}
+    for feed, df in (("basics", titles), ("ratings", ratings)):
+        (df.write.option("sep", "\t").option("header", True).option("nullValue", "\\N")
+         .option("compression", "gzip").csv(paths[feed]))
+    return paths
