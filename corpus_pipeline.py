@@ -55,16 +55,15 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     document of their group has an id.
     """
     key = F.xxhash64("text")
-    groups = stored(ngram_join.link_groups(docs.select("doc_id", key.alias("_key"), "text")), "groups")
-    gone = stored(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
-    twice = stored(groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-                   .select("doc_id"), "twice")
+    groups = stored(ngram_join.link_groups(docs.select("doc_id", key.alias("_key"), "text")), "groups", rebalance=True)
+    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    twice = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     kept = lookup_join(docs.filter("doc_id IS NOT NULL"), gone, ["doc_id"], "left_anti")
     single = lookup_join(kept, twice, ["doc_id"], "left_anti")
     several = lookup_join(kept, twice, ["doc_id"], "left_semi")
     others = [c for c in docs.columns if c != "doc_id"]
     several = several.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("r")).select("doc_id", "r.*")
-    free = stored(groups.filter("doc_id IS NULL AND component_id IS NULL").select("_key").distinct(), "without-id")
+    free = groups.filter("doc_id IS NULL AND component_id IS NULL").select("_key").distinct()
     nameless = lookup_join(docs.filter("doc_id IS NULL").withColumn("_key", key), free, ["_key"], "left_semi")
     nameless = nameless.groupBy("text").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
     return single.select(*docs.columns).unionByName(several.select(*docs.columns)).unionByName(nameless)

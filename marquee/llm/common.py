@@ -33,14 +33,15 @@ def count_words(col: Column) -> Column:
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rebalance: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared scratch folder and read it back.
 
     Cuts lineage: a lost executor costs the tasks it was running, not the
-    stages that led here.
+    stages that led here. ``rebalance``: gather many small partitions into files
+    of the advisory size first (for results much smaller than their partitions' number).
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -104,7 +105,7 @@ def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
                 bound_rows: int = 200_000, salts: int = 32) -> DataFrame:
-    """Join ``left`` with a stored table ``right`` that has each key once.
+    """Join ``left`` with a table ``right`` that has each key once and is cheap to compute twice.
 
     Up to ``bound_rows`` rows (counted) ``right`` is broadcast and ``left`` is not
     shuffled. Beyond, the keys are salted: a key that holds a third of ``left`` is

@@ -22,19 +22,18 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
-    now = stored(now, "edges")
+    now = stored(now, "edges", rebalance=True)
     state = _state(now)
     while True:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = (both.filter("v > u").join(least, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
-        large = stored(large, "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        now = stored(small, "small-star")
+        now = stored(small, "stars", rebalance=True)
         before, state = state, _state(now)
         if state == before:
             break

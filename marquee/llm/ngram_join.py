@@ -394,7 +394,7 @@ def links(classes: DataFrame, docs: DataFrame, text: str, size: int, percent: in
     """Links (a, b) between classes, enough to connect all that are linked."""
     spark = docs.sparkSession
     sizes = classes.filter("n_shingles > 0").groupBy("_class").agg(F.first("n_shingles").alias("n"))
-    sizes = stored(sizes, "class-sizes")
+    sizes = stored(sizes, "class-sizes", rebalance=True)
     n_classes, total = sizes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     buckets = int(max(1, -(-total // BUCKET_POSTINGS), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     # At most a million shingles are hot, so the list of them is bounded.
@@ -410,23 +410,22 @@ def links(classes: DataFrame, docs: DataFrame, text: str, size: int, percent: in
     by_class = lists.withColumn("sizes", F.lit(None).cast("binary")).unionByName(pairs)
     sets = arrow_map(by_class.repartition(buckets, "bucket").sortWithinPartitions("bucket"),
                      lambda it: _prefixes(it, percent), SETS)
-    sets = stored(sets, "class-tokens")
+    sets = stored(sets, "class-tokens", rebalance=True)
 
-    prefix = stored(arrow_map(sets.select("_class", "tokens", "prefix"), _prefix_rows, "_class long, token long"),
-                    "prefix-postings")
+    prefix = arrow_map(sets.select("_class", "tokens", "prefix"), _prefix_rows, "_class long, token long")
     heads = prefix.groupBy("token").agg(F.min("_class").alias("b"), F.count("*").alias("k")).filter("k > 1")
     edges = prefix.join(heads, "token").filter("_class <> b").select(F.col("_class").alias("a"), "b").distinct()
     family = connected_components(edges)                      # node, component; families of two or more
     members = stored(sets.join(family.withColumnRenamed("node", "_class"), "_class")
-                     .select("_class", "n", "tokens", F.col("component").alias("family")), "families")
+                     .select("_class", "n", "tokens", F.col("component").alias("family")), "families", rebalance=True)
     weight = F.octet_length("tokens") / 8
-    large = stored(members.groupBy("family").agg(F.sum(weight).alias("w")).filter(F.col("w") > unit_postings)
-                   .select("family", F.ceil(F.col("w") / unit_postings).cast("int").alias("parts")), "large-families")
+    large = (members.groupBy("family").agg(F.sum(weight).alias("w")).filter(F.col("w") > unit_postings)
+             .select("family", F.ceil(F.col("w") / unit_postings).cast("int").alias("parts")))
     rows = lookup_join(members, large, ["family"])
     part = F.pmod(F.xxhash64("_class"), F.coalesce("parts", F.lit(1)))
     unit = rows.select(F.concat_ws(":", "family", part).alias("unit"), F.lit(False).alias("query"),
                        "_class", "n", "tokens")
-    found = stored(_searched(unit, percent, buckets), "links")
+    found = stored(_searched(unit, percent, buckets), "links", rebalance=True)
     if large.isEmpty():
         return found
     return found.unionByName(_links_across(lookup_join(members, large, ["family"], "inner"), found, percent,
@@ -488,9 +487,10 @@ def link_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     classes = rows.filter("_class IS NOT NULL").groupBy("_class").agg(
         F.min(doc_id).alias("_least"), F.count("*").alias("_rows"))
     classes = classes.join(groups, "_class", "left").filter("_rows > 1 OR component IS NOT NULL")
-    classes = stored(classes.withColumn("_group", F.coalesce("component", "_class")), "class-groups")
+    classes = classes.withColumn("_group", F.coalesce("component", "_class"))
     least = classes.groupBy("_group").agg(F.min("_least").alias("component_id"))
-    shared = stored(classes.join(least, "_group").select("_class", "component_id"), "class-components")
+    shared = stored(classes.join(least, "_group").select("_class", "component_id"), "class-components",
+                    rebalance=True)
     # Rows without a class would be one hot null key of the join: they stand aside.
     linked = lookup_join(rows.filter("_class IS NOT NULL"), shared, ["_class"])
     alone = rows.filter("_class IS NULL").withColumn("component_id", F.lit(None).cast(df.schema[doc_id].dataType))
