@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.functions import (
+    contains_any,
     flag_name,
     between_dates,
     blank_to_null,
@@ -37,10 +38,11 @@ from marquee.plans import models as M
 from marquee.plans import standins as SI
 from marquee.plans import suites as S
 from marquee.plans.daily import run_pipeline, snapshot_run
-from marquee.session import scratch_path
+from marquee.session import scratch_path, table_path
 from marquee.sources.catalog import Catalog
-from marquee.sources.html import extract_links, union_pages
-from marquee.sources.readers import CsvFormat, copy_into, read_csv_format, read_variant
+from marquee.sources.html import extract_links, match_tables, union_pages
+from marquee.sources.readers import CsvFormat, JsonFormat, copy_into, read_csv_format, read_variant
+from marquee.sources.registry import IdRegistry
 from marquee.sources.writers import write_csv_gz, write_json
 
 QUERIES: dict[str, tuple] = {}
@@ -570,6 +572,70 @@ def q_page_union(spark, d):
     return union_pages(pages, "results", keep=["conv_id"])
 
 
+@query("match_tables", f"""
+WITH hrefs AS (
+  SELECT page_id, CAST(unnest(range(len(h))) AS INTEGER) AS link_pos, unnest(h) AS href
+  FROM (SELECT page_id, regexp_extract_all(html, '{ANCHOR_SQL}', 1) AS h FROM pages))
+SELECT page_id, link_pos, href, wanted AS table_name
+FROM hrefs JOIN (VALUES ('th'), ('tion'), ('ver')) w(wanted) ON contains(href, wanted)
+""")
+def q_match_tables(spark, d):
+    """Every link of every page with the wanted names it contains."""
+    links = extract_links(_t(spark, d, "pages"), "html", keep=["page_id"])
+    return match_tables(links, ["th", "tion", "ver"])
+
+
+@query("contains_any", """
+SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'ring') OR contains(p_name, 'rod')
+""")
+def q_contains_any(spark, d):
+    part = _t(spark, d, "part").select("p_partkey", "p_name")
+    return part.filter(contains_any("p_name", ["ring", "rod"]))
+
+
+# ------------------------------------------------- S7, S8, S15-S19, S2 with S10
+
+@query("registry_run", QUERIES["anti_registry"][1])
+def q_registry_run(spark, d):
+    """Ids registered by two loads, merged, and the rows of ``orders`` that no load brought."""
+    registry = IdRegistry(spark, scratch_path(spark, "registry_run"), "id", T.LongType())
+    lines = _t(spark, d, "lineitem")
+    for load in (lines.filter("l_linenumber = 1"), lines):
+        registry.append(load, "l_orderkey")
+    registry.compact()
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    return registry.new_rows(orders, "o_orderkey")
+
+
+@query("catalog_models", """
+SELECT 'kept' AS table_name, c_mktsegment AS segment, count(*) AS customers FROM customer GROUP BY c_mktsegment
+""")
+def q_catalog_models(spark, d):
+    """A source alias, a view on it, an insert-only table run twice, and a truncated table."""
+    catalog = Catalog(spark, scratch_path(spark, "catalog_models"), {"crm": table_path(d, "customer")})
+    catalog.register("segments", lambda c: c.source("crm").groupBy(F.col("c_mktsegment").alias("segment"))
+                     .agg(F.count(F.lit(1)).alias("customers")))
+    catalog.materialize("segments_view", catalog.ref("segments"), "view")
+    for _ in range(2):
+        catalog.materialize("kept", spark.table("segments_view"), "incremental", key="segment")
+    catalog.materialize("emptied", catalog.ref("segments"), "table")
+    catalog.truncate("emptied", catalog.read_table("emptied"))
+    return (catalog.read_table("kept").select(F.lit("kept").alias("table_name"), "*")
+            .unionByName(catalog.read_table("emptied").select(F.lit("emptied").alias("table_name"), "*")))
+
+
+@query("json_array_load", "SELECT c_custkey, c_name, c_nationkey FROM customer")
+def q_json_array_load(spark, d):
+    """Pages of at most 1000 customers, one JSON array a file, bulk-loaded into rows."""
+    cust = _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    folder = scratch_path(spark, "json_array_load")
+    (cust.groupBy(F.expr("c_custkey div 1000").alias("page"))
+     .agg(F.to_json(F.collect_list(F.struct(*cust.columns))).alias("value"))
+     .write.partitionBy("page").text(folder))
+    rows, _ = copy_into(spark, f"{folder}/page=*", cust.schema, JsonFormat())
+    return rows
+
+
 # ----------------------------------------------------------------- Q1-Q9
 
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -656,6 +722,15 @@ def q_failing_rows(spark, d):
     return Q.failing_rows(li, "l_discount <= 0")
 
 
+@query("failing_nulls", f"""
+WITH {FEED_SQL}
+SELECT notice_key AS id, about AS movie_title FROM notice WHERE mpaa IS NULL
+""")
+def q_failing_nulls(spark, d):
+    """Q6: the reviews without a rating label (blank in the feed)."""
+    return Q.failing_nulls(_reviews(spark, d), "mpaa_rating").select("id", "movie_title")
+
+
 TYPES_ACCEPTED = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "STANDARD"]
 
 
@@ -792,6 +867,26 @@ def q_stream_dedup(spark, d):
     return sink.read()
 
 
+@query("stream_watermark", QUERIES["stream_dedup"][1])
+def q_stream_watermark(spark, d):
+    """The same two deliveries through the bounded-state form: repeats of an event id within the
+    watermark delay (which here covers the whole feed) are dropped."""
+    from marquee.streaming import dedup_stream, ingest_stream
+
+    ev = _t(spark, d, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    root = scratch_path(spark, "stream_watermark")
+    landing = f"{root}/landing"
+    timed = ev.withColumn("ts", F.col("ts").cast("timestamp"))
+    timed.write.mode("append").parquet(landing)
+    timed.filter(F.col("ts") >= F.lit(RESEND_FROM).cast("timestamp")).write.mode("append").parquet(landing)
+    stream = dedup_stream(ingest_stream(spark, landing, timed.schema, "parquet", max_files_per_trigger=4),
+                          "event_id", "ts", "1000 days")
+    query = (stream.writeStream.format("parquet").option("path", f"{root}/out")
+             .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.schema(timed.schema).parquet(f"{root}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 # ------------------------------------------------------------------------ ST3
 
 DAY_ENDS = [DAY1_END, DAY2_END]
