@@ -98,7 +98,7 @@ def tokens(html: str) -> Iterator[tuple[str, Node | None, str]]:
                 del stack[at:]
                 yield f"/{node.path}", stack[-1] if stack else None, ""
             continue
-        if name in BLOCK and name != "p" or name == "p":
+        if name in BLOCK:
             _close_implied(stack, name)
         marks = " ".join(v.strip("\"'").lower() for v in MARKS.findall(attributes)) if attributes else ""
         node = Node(name, marks, stack[-1] if stack else None)

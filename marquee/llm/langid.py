@@ -35,6 +35,7 @@ WIDTH = 16                   # embedding dimensions
 BLOCK_BYTES = 2 << 20
 SAMPLE_ROWS = 2000           # labelled rows that training sees, about
 SAMPLE_TEXT_BYTES = 64 << 10 # longest text it sees
+MAX_LANGS = 500
 
 
 @dataclass
@@ -143,10 +144,14 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
 
 def training_sample(df: DataFrame, lang: str, rows: int = SAMPLE_ROWS, key: str = "doc_id",
                     text: str = "text") -> tuple[list[str], list[str]]:
-    """About ``rows`` labelled rows, as many of each language, chosen by a hash of the key."""
+    """About ``rows`` labelled rows, as many of each language, chosen by a hash of the key.
+
+    At most the ``MAX_LANGS`` most frequent languages are learned.
+    """
     labelled = df.select(key, text, lang).filter(
         F.col(lang).isNotNull() & (F.octet_length(text) <= SAMPLE_TEXT_BYTES))
-    sizes = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}   # one row per language
+    sizes = {r[0]: r[1] for r in labelled.groupBy(lang).count()
+             .orderBy(F.desc("count"), lang).limit(MAX_LANGS).collect()}
     each = max(1, rows // max(1, len(sizes)))
     u = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     chance = F.lit(0.0)
