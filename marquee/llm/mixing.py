@@ -136,7 +136,7 @@ def mix(df: DataFrame, weights: dict[str, dict[str, float]], fraction: float = 1
     df = df.drop("n_tokens", "epoch")
     tokens = count_words(F.col(text))
     counted = stored(df.select(F.col(doc_id).alias("_id"), *levels, tokens.alias("n_tokens")).filter("n_tokens > 0"),
-                     "token-counts")
+                     "token-counts", rebalance=True)
     cuts = leaf_cuts(counted, weights, fraction, max_epochs, seed, levels, default_weight, bucket_rows)
     rows = lookup_join(_without_nulls(df, levels).withColumn("n_tokens", tokens).filter("n_tokens > 0"),
                        cuts, _keys(levels), "inner")

@@ -481,7 +481,8 @@ def link_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     keep = [c for c in df.columns if c not in (text, "n_shingles", "component_id", "_class")]
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep),
                         "n_shingles long", "_class long"])
-    rows = stored(arrow_map(df.select(*keep, text), lambda it: _class_rows(it, text, keep, size), schema), "classes")
+    rows = stored(arrow_map(df.select(*keep, text), lambda it: _class_rows(it, text, keep, size), schema), "classes",
+                  rebalance=True)
     found = links(rows, df, text, size, percent, unit_postings, hot_rows)
     groups = connected_components(found).withColumnRenamed("node", "_class")
     classes = rows.filter("_class IS NOT NULL").groupBy("_class").agg(

@@ -139,7 +139,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, date: str = "2024-01-01
     fs, root = pafs.FileSystem.from_uri(uri)
     fs.create_dir(root, recursive=True)
     index = arrow_map(revisits(pages, min_bytes), lambda it: _write(it, uri, date, level), INDEX)
-    return uri, stored(index, "warc-index")
+    return uri, stored(index, "warc-index", rebalance=True)
 
 
 def _ranges(rows: Iterator[dict]) -> Iterator[tuple[int, int, list[dict]]]:
