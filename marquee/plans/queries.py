@@ -889,7 +889,10 @@ def q_stream_watermark(spark, d):
 
 # ------------------------------------------------------------------------ ST3
 
-DAY_ENDS = [DAY1_END, DAY2_END]
+def _day_end(batch):
+    """The end of the (last) day that a micro-batch of events belongs to, from its newest event."""
+    newest = batch.agg(F.max("ts")).first()[0]
+    return F.lit(DAY1_END if newest is None or str(newest) < DAY1_END else DAY2_END).cast("timestamp_ntz")
 
 
 @query("stream_snapshot", QUERIES["two_day_run"][1])
@@ -904,8 +907,7 @@ def q_stream_snapshot(spark, d):
     landing, checkpoint = f"{root}/landing", f"{root}/_checkpoint"
     catalog = Catalog(spark, f"{root}/warehouse")
     sink = SnapshotSink(catalog, "events_snapshot", key="user_id", order=["ts", "event_id"],
-                        now=lambda batch_id: F.lit(DAY_ENDS[batch_id]).cast("timestamp_ntz"),
-                        check_cols=["event_type"])
+                        now=_day_end, check_cols=["event_type"])
     day1 = F.col("ts") < F.lit(DAY1_END).cast("timestamp_ntz")
     for day in (day1, ~day1):
         feed.filter(day).write.mode("append").parquet(landing)

@@ -83,7 +83,8 @@ class SnapshotSink:
     """ST3: each micro-batch is one snapshot run of a stored SCD2 table.
 
     Skips a batch whose id is not above the last committed one (replay after
-    a failure between the table write and the checkpoint commit).
+    a failure between the table write and the checkpoint commit). ``now`` is the
+    run's time, or a function of the micro-batch that tells it.
     """
 
     def __init__(self, catalog: Catalog, name: str, key, order, now=None, check_cols=None,
@@ -95,7 +96,7 @@ class SnapshotSink:
         last = self.catalog.table_meta(self.name, "batch_id")
         if last is not None and batch_id <= last:
             return
-        now = self.now(batch_id) if callable(self.now) else self.now
+        now = self.now(batch) if callable(self.now) else self.now
         snapshot_run(self.catalog, self.name, batch, self.key, now=now, check_cols=self.check_cols,
                      updated_at=self.updated_at, order=self.order, meta={"batch_id": batch_id})
 
