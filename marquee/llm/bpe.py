@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from marquee.llm.common import arrow_map, blocks
 
 BLOCK_BYTES = 12 << 20       # text whose merges are replayed together
-CACHE_WORDS = 400_000        # words a task remembers before it starts afresh
+CACHE_WORDS = 300_000        # words a task remembers before it starts afresh
 RANK_BAND = 1024             # ranks whose index entries are sorted together
 
 
@@ -48,20 +48,20 @@ class MergeReplay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.base = max(ranks.values()) + 2
         self.none = self.base - 1            # stands beside a word's first and last token
         # Every way to make a token from two tokens.
         pairs = sorted((ranks[t[:i]] * self.base + ranks[t[i:]], r) for t, r in ranks.items()
                        for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks)
         self.pairs = np.array([k for k, _ in pairs] + [self.base * self.base], np.int64)
-        self.made = np.array([r for _, r in pairs] + [-1], np.int64)
+        self.made = np.array([r for _, r in pairs] + [-1], np.int32)
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that each two tokens make, -1 where they make none."""
-        key = left * self.base + right
+        key = left.astype(np.int64) * self.base + right
         at = np.searchsorted(self.pairs, key)
-        return np.where(self.pairs[at] == key, self.made[at], -1)
+        return np.where(self.pairs[at] == key, self.made[at], np.int32(-1))
 
     def encode(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after the other, and the number of ids of each.
@@ -71,15 +71,20 @@ class MergeReplay:
         whole = np.array([self.ranks.get(w, -1) for w in words], np.int64)
         size = np.array([len(w) for w in words], np.int64)
         raw = np.frombuffer(b"".join(words), np.uint8)
-        word = np.repeat(np.arange(len(words)), size)
-        tok = np.append(self.byte[raw], self.none)       # the last position is nobody's neighbour
+        # All positions and ranks fit 32 bits: a block is far below 2 GB.
+        word = np.repeat(np.arange(len(words), dtype=np.int32), size)
+        tok = np.append(self.byte[raw], np.int32(self.none))     # the last position is nobody's neighbour
         n = len(raw)
-        first = np.diff(word, prepend=-1) != 0
-        nxt = np.append(np.where(np.append(first[1:], True), n, np.arange(1, n + 1)), n)
-        prv = np.append(np.where(first, n, np.arange(-1, n - 1)), n)
+        first = np.diff(word, prepend=np.int32(-1)) != 0
+        nxt = np.arange(1, n + 2, dtype=np.int32)
+        nxt[:-1][np.append(first[1:], True)[:n]] = n
+        nxt[-1] = n
+        prv = np.arange(-1, n, dtype=np.int32)
+        prv[:-1][first] = n
+        prv[-1] = n
         known = np.repeat(whole >= 0, size)
         place = np.flatnonzero(~known)
-        rank_at = np.full(n + 1, -1, np.int64)           # rank of the pair that begins at a position
+        rank_at = np.full(n + 1, -1, np.int32)           # rank of the pair that begins at a position
         rank_at[place] = self.pair_rank(tok[place], tok[nxt[place]])
         place = place[rank_at[place] >= 0]
         self._merge(word, tok, nxt, prv, rank_at, place)
@@ -111,8 +116,8 @@ class MergeReplay:
                 right = nxt[at]
                 after, before = nxt[right], prv[at]
                 if len(at) > 1:
-                    made = self.pair_rank(np.append(np.full(len(at), rank), tok[before]),
-                                          np.append(tok[after], np.full(len(at), rank)))
+                    same = np.full(len(at), rank, np.int32)
+                    made = self.pair_rank(np.append(same, tok[before]), np.append(tok[after], same))
                     if (right[:-1] == at[1:]).any() or ((made >= 0) & (made <= rank)).any():
                         # Order matters inside a word: merge its leftmost place only.
                         lead = np.diff(word[at], prepend=-1) != 0
@@ -160,10 +165,14 @@ class MergeReplay:
         return {int(rank[i]): [place[i:j]] for i, j in zip(cuts, [*cuts[1:], None])}
 
 
-def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Positions of the runs ``start[i] : start[i] + size[i]``, one after the other."""
-    end = np.cumsum(size)
-    return np.repeat(start - end + size, size) + np.arange(end[-1] if len(end) else 0)
+def _gather(stock: np.ndarray, start: np.ndarray, size: np.ndarray, step: int = 1 << 17) -> np.ndarray:
+    """The runs ``stock[start[i] : start[i] + size[i]]``, one after the other, ``step`` runs at a time."""
+    out = [stock[:0]]
+    for i in range(0, len(start), step):
+        n = size[i:i + step]
+        end = np.cumsum(n)
+        out.append(stock[np.repeat(start[i:i + step] - end + n, n) + np.arange(end[-1])])
+    return np.concatenate(out)
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], ranks, pattern: str, text: str, ids: str,
@@ -186,7 +195,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], ranks, pattern: str, text: str,
         start = np.cumsum(size) - size
         words = np.concatenate(rows)
         n = size[words]
-        tokens = stock[_spans(start[words], n)]
+        tokens = _gather(stock, start[words], n)
         ends = np.append(0, np.cumsum(n))[np.cumsum([0, *map(len, rows)])]
         column = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(tokens))
         yield pa.RecordBatch.from_arrays([*(block.column(c) for c in keep), column], names=[*keep, ids])
@@ -202,7 +211,7 @@ def _decoded(batches: Iterator[pa.RecordBatch], ranks, ids: str, out: str) -> It
         rows = batch.column(batch.schema.names.index(ids))
         flat = rows.flatten().to_numpy(zero_copy_only=False)
         count_ids = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
-        raw = stock[_spans(start[flat], size[flat])].tobytes()
+        raw = _gather(stock, start[flat], size[flat]).tobytes()
         ends = np.append(0, np.cumsum(size[flat]))[np.append(0, np.cumsum(count_ids))].tolist()
         decoded = pa.array([raw[a:b] for a, b in zip(ends, ends[1:])], pa.binary())
         yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*batch.schema.names, out])
