@@ -380,14 +380,15 @@ WITH {FEED_SQL}
 SELECT film_id AS id, label AS primary_title, original AS original_title, adult AS is_adult,
        CAST(made AS INTEGER) AS year, CAST(minutes AS INTEGER) AS runtime_minutes,
        {_flags_sql()},
-       tags AS genres_array
+       array_to_string(tags, ',') AS genres_array
 FROM film"""
 
 
 @query("basics_cleansed", CLEANSED_SQL)
 def q_basics_cleansed(spark, d):
-    """M1 and M4: movies only, no future years, all genre flags."""
-    return M.basics_cleansed(M.imdb_basic_snapshot(SI.basics_raw(_t(spark, d, "part")), None, RUN_TS), as_of=RUN_TS)
+    """M1 and M4: movies only, no future years, all genre flags; the genre array as text."""
+    snapshot = M.imdb_basic_snapshot(SI.basics_raw(_t(spark, d, "part")), None, RUN_TS)
+    return M.basics_cleansed(snapshot, as_of=RUN_TS).withColumn("genres_array", F.array_join("genres_array", ","))
 
 
 @query("dims_second_run", f"""
@@ -420,7 +421,8 @@ def q_daily_pipeline(spark, d):
     paths = SI.source_files(spark, d, f"{root}/source")
     for ds in ("2024-02-01", "2024-02-02"):
         catalog = run_pipeline(spark, f"{root}/run", paths, ds)["catalog"]
-    return M.basics_cleansed(catalog.read_table("imdb_basic_snapshot"), as_of=RUN_TS)
+    cleansed = M.basics_cleansed(catalog.read_table("imdb_basic_snapshot"), as_of=RUN_TS)
+    return cleansed.withColumn("genres_array", F.array_join("genres_array", ","))
 
 
 # ------------------------------------------------------------------ SCD2 (SN4/6/7)

@@ -39,7 +39,7 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(sql)
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
-    duck_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    duck_types = {c: DUCK_TO_SPARK.get(str(t), str(t).lower()) for c, t in zip(rel.columns, rel.types)}
     assert {f.name: f.dataType.simpleString() for f in df.schema.fields} == duck_types
     assert len(srows) == len(drows)
     assert digest(df.columns, srows) == digest(rel.columns, drows)
