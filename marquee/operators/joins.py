@@ -155,11 +155,20 @@ def _holds_unhashable(dtype: T.DataType) -> bool:
 
 
 def _replicate(df: DataFrame, hot: DataFrame, keys) -> DataFrame:
-    """Each row of a hot key once per bucket, other rows once with bucket 0; ``__hot`` tells them apart."""
-    return (df.join(hot, keys, "left").withColumn("__hot", F.col("__b").isNotNull())
-            .withColumn("__bucket", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                         F.coalesce("__b", F.lit(1).cast("long")) - 1)))
-            .drop("__b"))
+    """Each row of a hot key once per bucket, other rows once with bucket 0; ``__hot`` tells them apart.
+
+    Rows with a NULL key meet nothing; they get a bucket of their own by a hash, so that in a left
+    join many of them do not go to one task.
+    """
+    hashed = [f.name for f in df.schema.fields if not _holds_unhashable(f.dataType)]
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    one = F.lit(1).cast("long")
+    return (df.withColumn("__apart", F.when(null, -1 - F.pmod(F.xxhash64(*hashed), F.lit(4096))))
+            .join(hot, keys, "left").withColumn("__hot", F.col("__b").isNotNull())
+            .withColumn("__bucket", F.explode(F.sequence(one - 1, F.coalesce("__b", one) - 1)))
+            .withColumn("__bucket", F.coalesce("__apart", "__bucket")).drop("__b", "__apart"))
 
 
 # ---------------------------------------------------------------- J4 / J5 / J7-J9

@@ -269,7 +269,8 @@ def fct_imdb_nyt(ratings: DataFrame, basics: DataFrame, reviews: DataFrame, d_ge
 
     A title with more than ``hot_rows`` reviews is split in the fan-out join, one with more
     than ``hot_rows`` rows on the NYT side in the join of the feeds. The counts are lazy
-    inputs of the joins. Titles hot on the IMDB side are split by AQE's skew join.
+    inputs of the joins. Titles hot on the IMDB side are split by AQE's skew join; rows
+    without a title name (every title that is not unique) are spread, not one hot key.
     """
     left = imdb_combined(ratings, basics, d_titles, d_genres)
     if hot_rows is None:
@@ -279,12 +280,6 @@ def fct_imdb_nyt(ratings: DataFrame, basics: DataFrame, reviews: DataFrame, d_ge
     right = nyt_combined(reviews, d_movies, d_authors, d_reviews, title_rows=reviews_per_title(reviews),
                          hot_rows=hot_rows)
     rows = nyt_rows_per_title(reviews, d_movies).withColumnRenamed("movie_title", "movie_name")
-    # Titles without a name are many (every title that is not unique) and meet nothing: they stay
-    # out of the join, where they would be one hot key.
-    named = left.filter(F.col("movie_name").isNotNull())
-    fact = join_feeds(named, right, ["movie_name"], extra_keys=["year"], match_extra=match_year,
+    fact = join_feeds(left, right, ["movie_name"], extra_keys=["year"], match_extra=match_year,
                       hot_rows=hot_rows, key_rows=rows)
-    nameless = left.filter(F.col("movie_name").isNull())
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema.fields
-               if f.name in FACT_COLUMNS and f.name not in nameless.columns]
-    return fact.select(*FACT_COLUMNS).unionByName(nameless.select("*", *missing).select(*FACT_COLUMNS))
+    return fact.select(*FACT_COLUMNS)
