@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 
 from marquee.llm.common import arrow_map, blocks
 
-BLOCK_BYTES = 12 << 20       # text whose merges are replayed together
-CACHE_WORDS = 300_000        # words a task remembers before it starts afresh
+BLOCK_BYTES = 3 << 20       # text whose merges are replayed together
+CACHE_WORDS = 200_000        # words a task remembers before it starts afresh
 RANK_BAND = 1024             # ranks whose index entries are sorted together
 
 
