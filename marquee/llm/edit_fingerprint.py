@@ -10,8 +10,10 @@ The fingerprint samples the emitted string at ``SLOTS`` positions. Slot k takes
 the position of lowest priority in k's own random order among the steps walked,
 so that texts of about equal length sample the same positions. Each sample is
 kept as 4 bits. The likeness of two fingerprints is the share of equal samples,
-corrected for chance. Bands of consecutive samples find candidate pairs,
-the likeness verifies them.
+corrected for chance. Bands of consecutive samples find candidate pairs over all
+documents, the likeness verifies every pair of a bucket that is not yet connected by
+others, and connected components of the verified pairs are the classes of near copies.
+Fingerprints are told apart by 64-bit hashes: of n about n^2 / 2^65 pairs share one.
 
 Defined results: null text counts as empty; an empty text has the all-zero
 fingerprint; equal texts have equal fingerprints; repeated rows each get theirs;
@@ -21,6 +23,7 @@ extra columns pass through, and columns named like a result are replaced.
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.common import arrow_map, blocks, lookup_join, stored
+from marquee.llm.components import connected_components
 
 SLOTS = 256
 BANDS = 32                    # of SLOTS / BANDS samples each
@@ -264,20 +268,158 @@ def likeness(a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0.0), (same - 1 / 16) / (15 / 16))
 
 
-def near_copies(df: DataFrame, doc_id: str = "doc_id", fp: str = "fingerprint", least: float = 0.8) -> DataFrame:
-    """For every distinct fingerprint: (fingerprint, like, likeness), ``like`` being the
-    smallest fingerprint that shares a band with it and is verified as at least ``least`` alike.
+def _digits(prints: list[bytes]) -> np.ndarray:
+    """Samples of packed fingerprints: one row of SLOTS numbers each."""
+    packed = np.frombuffer(b"".join(prints), np.uint8).reshape(-1, SLOTS // 2)
+    return np.concatenate([packed >> 4, packed & 15], 1)
 
-    A band's group is not turned into all pairs: every member is compared with the group's
-    smallest fingerprint only, so a group of n gives n pairs.
+
+def _alike(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Whether rows of samples have a likeness (see ``likeness_of``) of ``least`` or more."""
+    same = np.count_nonzero(a == b, axis=1) / SLOTS
+    return np.maximum(0.0, (same - 1 / 16) / (15 / 16)) >= least
+
+
+def _links_to_heads(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Rows (fid, head, print, head_print) -> verified links (a, b)."""
+    for batch in batches:
+        ok = pa.array(_alike(_digits(batch.column(2).to_pylist()), _digits(batch.column(3).to_pylist()), least))
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(ok) for i in range(2)], names=["a", "b"])
+
+
+def _links_in_units(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Rows (unit, query, fid, group, print) sorted by unit, query -> verified links (a, b).
+
+    Every query row is compared with every other row of its unit that is not yet in its group.
+    """
+    def rows():
+        for batch in batches:
+            yield from zip(*(batch.column(i).to_pylist() for i in range(5)))
+
+    for _, members in groupby(rows(), key=lambda r: r[0]):
+        held, asked = [], []
+        for _, query, *row in members:
+            (asked if query else held).append(row)
+        if not held or not asked:
+            continue
+        fids = np.array([r[0] for r in held], np.int64)
+        label = np.array([r[1] for r in held], np.int64)
+        samples = _digits([r[2] for r in held])
+        queries = _digits([r[2] for r in asked])
+        now: dict[int, int] = {}                      # group -> the group that it went into
+
+        def current(group: int) -> int:
+            while group in now:
+                group = now[group]
+            return group
+
+        links: list[tuple[int, int]] = []
+        for (fid, group, _), own in zip(asked, queries):
+            group = current(group)
+            others = np.flatnonzero(label != group)
+            for i in others[_alike(samples[others], own[None, :], least)].tolist():
+                other = int(label[i])
+                if other != group:                    # else a link of this row has joined it just now
+                    links.append((fid, int(fids[i])))
+                    label[label == other] = group
+                    now[other] = group
+        if links:
+            a, b = zip(*links)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+UNIT_ROWS = 2000              # fingerprints of one bucket compared with as many in one task
+
+
+def _prints(df: DataFrame, doc_id: str, fp: str) -> DataFrame:
+    """Distinct fingerprints: (fid, print, least, n_rows): hash, packed samples, least id, rows."""
+    rows = df.filter(F.col(fp).isNotNull()).select(
+        F.xxhash64(fp).alias("fid"), F.unhex(fp).alias("print"), F.col(doc_id).alias("_id"))
+    return stored(rows.groupBy("fid").agg(F.first("print").alias("print"), F.min("_id").alias("least"),
+                                          F.count("*").alias("n_rows")), "fingerprints", rebalance=True)
+
+
+def _near_groups(prints: DataFrame, least: float, unit_rows: int) -> DataFrame:
+    """(node, component) of fingerprints (fid) that chains of verified pairs connect.
+
+    First every member of a band's bucket is compared with one head. Then, in each bucket
+    that this leaves in several groups, every member outside the largest group is compared
+    with all members of other groups: large buckets in blocks, each pair in one task.
+    """
+    partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = (prints.select("fid", F.explode(bands(F.hex("print"))).alias("b"))
+             .select(F.xxhash64("b.band", "b.bits").alias("key"), "fid"))
+    heads = keyed.groupBy("key").agg(F.min("fid").alias("head"), F.count("*").alias("n")).filter("n > 1")
+    members = stored(keyed.join(heads, "key"), "band-members", rebalance=True)
+    pairs = members.filter("fid <> head").select("fid", "head").distinct()
+    own = prints.select("fid", "print")
+    pairs = pairs.join(own, "fid").join(own.toDF("head", "head_print"), "head").select(
+        "fid", "head", "print", "head_print")
+    links = stored(arrow_map(pairs, lambda it: _links_to_heads(it, least), "a long, b long"), "head-links",
+                   rebalance=True)
+    groups = connected_components(links)
+
+    # In a bucket of two the head was the only partner.
+    rows = (members.filter("n > 2").select("key", "fid")
+            .join(groups.withColumnRenamed("node", "fid"), "fid", "left")
+            .select("key", "fid", F.coalesce("component", "fid").alias("grp")))
+    rows = stored(rows, "band-groups", rebalance=True)
+    split = (rows.groupBy("key", "grp").agg(F.count("*").alias("k"))
+             .groupBy("key").agg(F.max(F.struct("k", "grp")).alias("m"), F.sum("k").alias("n"))
+             .filter("n > m.k")
+             .select("key", F.col("m.grp").alias("largest"), F.ceil(F.col("n") / unit_rows).cast("int").alias("parts"),
+                     F.ceil((F.col("n") - F.col("m.k")) / unit_rows).cast("int").alias("chunks")))
+    split = stored(split, "split-buckets", rebalance=True)
+    if split.isEmpty():
+        return groups
+    open_rows = stored(rows.join(split, "key").join(own, "fid"), "open-members", rebalance=True)
+    part = F.pmod(F.xxhash64("fid"), F.col("parts"))
+    chunk = F.pmod(F.xxhash64("fid", F.lit("chunk")), F.col("chunks"))
+    columns = ["fid", "grp", "print"]
+    held = (open_rows.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+            .select(F.concat_ws(":", "key", part, "c").alias("unit"), F.lit(False).alias("query"), *columns))
+    asked = (open_rows.filter("grp <> largest").withColumn("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select(F.concat_ws(":", "key", "p", chunk).alias("unit"), F.lit(True).alias("query"), *columns))
+    units = held.unionByName(asked).repartition(partitions, "unit").sortWithinPartitions("unit", "query")
+    more = stored(arrow_map(units, lambda it: _links_in_units(it, least), "a long, b long"), "unit-links",
+                  rebalance=True)
+    return groups if more.isEmpty() else connected_components(links.unionByName(more))
+
+
+def near_copies(df: DataFrame, doc_id: str = "doc_id", fp: str = "fingerprint", least: float = 0.8,
+                unit_rows: int = UNIT_ROWS) -> DataFrame:
+    """For every distinct fingerprint that has a near copy: (fingerprint, like), ``like`` being the
+    smallest fingerprint of its class.
+
+    Near copies share a band and are at least ``least`` alike; a class is what chains of near
+    copies connect. No pair of a bucket is left out unless other pairs connect it already.
     """
-    distinct = stored(df.select(F.col(fp).alias("fingerprint")).distinct(), "fingerprints")
-    keyed = distinct.select("fingerprint", F.explode(bands(F.col("fingerprint"))).alias("b")).select("fingerprint", "b.*")
-    heads = stored(keyed.groupBy("band", "bits").agg(F.min("fingerprint").alias("like"), F.count("*").alias("n"))
-                   .filter("n > 1").drop("n"), "band-heads")
-    pairs = (lookup_join(keyed, heads, ["band", "bits"], "inner").filter(F.col("fingerprint") != F.col("like"))
-             .select("fingerprint", "like").distinct())
-    verified = pairs.withColumn("likeness", likeness(F.col("fingerprint"), F.col("like"))).filter(
-        F.col("likeness") >= least)
-    return verified.groupBy("fingerprint").agg(F.min(F.struct("like", "likeness")).alias("m")).select(
-        "fingerprint", "m.like", "m.likeness")
+    prints = _prints(df, doc_id, fp)
+    found = _near_groups(prints, least, unit_rows).withColumnRenamed("node", "fid")
+    found = found.join(prints.select("fid", F.lower(F.hex("print")).alias("fingerprint")), "fid")
+    smallest = found.groupBy("component").agg(F.min("fingerprint").alias("like"))
+    return found.join(smallest, "component").select("fingerprint", "like")
+
+
+def near_classes(df: DataFrame, doc_id: str = "doc_id", fp: str = "fingerprint", least: float = 0.8,
+                 unit_rows: int = UNIT_ROWS) -> DataFrame:
+    """(fid, near_class) of every fingerprint that several rows or near copies have: its hash
+    and the smallest id of its class (see ``near_copies``)."""
+    prints = _prints(df, doc_id, fp)
+    groups = _near_groups(prints, least, unit_rows).withColumnRenamed("node", "fid")
+    rows = (prints.drop("print").join(groups, "fid", "left").filter("n_rows > 1 OR component IS NOT NULL")
+            .select("fid", F.coalesce("component", "fid").alias("component"), "least"))
+    least_id = rows.groupBy("component").agg(F.min("least").alias("near_class"))
+    return stored(rows.join(least_id, "component").select("fid", "near_class"), "near-classes", rebalance=True)
+
+
+def with_near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
+    """``with_edits`` plus near_class: the smallest id among the near copies of all rows that
+    chains connect to the row, its own included.
+
+    The fingerprints are made once for the classes, map-only, and again beside the edits.
+    """
+    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    classes = near_classes(fingerprint(rows).select("doc_id", "fingerprint"), least=least)
+    out = lookup_join(with_edits(df, doc_id, text).withColumn("fid", F.xxhash64("fingerprint")), classes, ["fid"])
+    return out.drop("fid").withColumn("near_class", F.coalesce("near_class", "doc_id"))

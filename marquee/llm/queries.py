@@ -144,10 +144,11 @@ def op9_warc(spark, d):
 
 @query("op10_edit_fingerprint")
 def op10_edit_fingerprint(spark, d):
-    """Fingerprints of every text and of its edited text, with their likeness."""
+    """Fingerprints of every text and of its edited text, with their likeness, and the class of
+    near copies that banding over all texts finds."""
     from marquee.llm import edit_fingerprint
 
-    return edit_fingerprint.with_edits(read(spark, d, "documents"))
+    return edit_fingerprint.with_near_classes(read(spark, d, "documents"))
 
 
 @query("op3_language_id")

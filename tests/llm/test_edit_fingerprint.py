@@ -82,3 +82,61 @@ def test_native_likeness_equals_numpy(spark):
     a, b = E.walk(["the one text of some length", "the one text of same length"], E.Positions())
     df = spark.createDataFrame([(a, b)], "a string, b string")
     assert df.select(E.likeness(F.col("a"), F.col("b"))).first()[0] == pytest.approx(E.likeness_of(a, b))
+
+
+def hexed(samples):
+    return "".join("0123456789abcdef"[x] for x in samples)
+
+
+def brute_classes(prints, least=0.8):
+    """Class of each fingerprint that has a near copy: all pairs that share a band, compared."""
+    prints = sorted(set(prints))
+    root = {p: p for p in prints}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    paired = set()
+    for i, a in enumerate(prints):
+        for b in prints[:i]:
+            if E._shared_bands(a, b) and E.likeness_of(a, b) >= least:
+                paired |= {a, b}
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {p: find(p) for p in paired}
+
+
+@pytest.mark.parametrize("unit_rows", [2000, 3])
+def test_crowded_buckets_lose_no_near_copy(spark, unit_rows):
+    rng = random.Random(6)
+    passage = [0] * 8                                 # a band that all share
+    groups = [[rng.randrange(16) for _ in range(E.SLOTS - 8)] for _ in range(5)]
+    prints = [hexed(passage + [rng.randrange(16) if rng.random() < 0.15 else x for x in g])
+              for g in groups for _ in range(6)]
+    prints += [hexed(passage + [rng.randrange(16) for _ in range(E.SLOTS - 8)]) for _ in range(10)]
+    fp = spark.createDataFrame(list(enumerate(prints)), "doc_id long, fingerprint string")
+    got = dict(map(tuple, E.near_copies(fp, least=0.65, unit_rows=unit_rows).collect()))
+    want = brute_classes(prints, 0.65)
+    assert got == want and len(want) >= 25 and len(set(want.values())) == 5
+
+
+def test_classes_of_all_documents_are_a_column(spark):
+    from marquee.llm.queries import QUERIES
+
+    got = QUERIES["op10_edit_fingerprint"][0](spark, SF).collect()
+    want = brute_classes([r.fingerprint for r in got])
+    least = {}
+    for r in got:
+        c = want.get(r.fingerprint, r.fingerprint)
+        least[c] = min(r.doc_id, least.get(c, r.doc_id))
+    assert all(r.near_class == least[want.get(r.fingerprint, r.fingerprint)] for r in got)
+    assert sum(r.near_class != r.doc_id for r in got) > 0
+
+
+def test_near_class_of_null_ids_and_copies(spark):
+    a, b = "some text that stands twice " * 9, "quite another one " * 9
+    got = E.with_near_classes(frame(spark, [(5, a), (3, a), (None, a), (None, b), (7, "")])).collect()
+    assert sorted((r.doc_id or 0, r.near_class) for r in got if r.near_class) == [(0, 3), (3, 3), (5, 3), (7, 7)]
+    assert E.with_near_classes(frame(spark, [])).count() == 0
