@@ -13,13 +13,16 @@ Documents are sets of word shingles. Two link when their sets are alike enough,
 4. Within a family a T-occurrence search runs for every class: of its inverted lists,
    DivideSkip sets the L longest aside, merges the short ones (a heap; many entries are
    merged by sorting), keeps classes that occur in at least T - L of them, and probes the
-   long lists for these by binary search. Classes already connected are skipped,
-   so a dense group costs one chain of links, not all its pairs.
+   long lists for these by binary search. Where only components are asked for, classes
+   already connected are skipped, so a dense group costs one chain of links, not all its
+   pairs. With ``count_links`` nothing is skipped: every linked pair is found and counted at
+   both of its classes, weighted by their rows, and what leaves a task is one count per class.
 
 A family of more postings than ``unit_postings`` is searched in blocks: first each
 block in itself; then every class outside the family's largest group so far against
 all blocks, in bounded chunks. That leaves no pair untested but those already
-connected. A shingle held by more than ``hot_rows`` classes never has its list in
+connected. With ``count_links`` all blocks of a large family are searched against each
+other. A shingle held by more than ``hot_rows`` classes never has its list in
 one place; it goes straight to its classes, last in the order.
 
 Exact but for 64-bit hashes: of n distinct texts about n^2 / 2^65 pairs share an id.
@@ -372,6 +375,38 @@ def _links(inside: list, asked: list, percent: int) -> list[tuple[int, int]]:
     return out
 
 
+def _count_units(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (unit, query, _class, n, tokens, w) sorted by unit, query -> links (a, b, null) that
+    connect what is linked, and counts (a, null, n) of the rows that class a links to in the unit."""
+    def rows():
+        for batch in batches:
+            yield from zip(*(batch.column(i).to_pylist() for i in range(6)))
+
+    for _, group in groupby(rows(), key=lambda r: r[0]):
+        inside, asked = [], []
+        for _, query, c, n, tokens, w in group:
+            (asked if query else inside).append((c, n, np.frombuffer(tokens, np.uint64), w))
+        if not inside or len(inside) + len(asked) < 2:
+            continue
+        ids = np.array([r[0] for r in inside], np.int64)
+        weight = np.array([r[3] for r in inside], np.int64)
+        lists = Lists([r[2] for r in inside], np.array([r[1] for r in inside], np.int64))
+        number = {c: i for i, c in enumerate(ids.tolist())}
+        groups = Groups(len(inside) + len(asked))
+        out: list[tuple] = []
+        for k, (c, n, tokens, _) in enumerate(asked or inside):
+            q = number.get(c, len(inside) + k)
+            hits = lists.search(tokens, n, percent, lambda found: ids[found] != c)
+            if len(hits):
+                out.append((c, None, int(weight[hits].sum())))
+            for i in hits[groups.label[hits] != groups.label[q]].tolist():
+                if groups.label[i] != groups.label[q]:
+                    groups.join(q, i)
+                    out.append((c, int(ids[i]), None))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b", "n"])
+
+
 # -- the join -----------------------------------------------------------------------------
 
 def hot_shingles(docs: DataFrame, text: str, size: int, above: float, sample: int = 64) -> np.ndarray:
@@ -390,8 +425,9 @@ def hot_shingles(docs: DataFrame, text: str, size: int, above: float, sample: in
 
 
 def links(classes: DataFrame, docs: DataFrame, text: str, size: int, percent: int, unit_postings: int,
-          hot_rows: int) -> DataFrame:
-    """Links (a, b) between classes, enough to connect all that are linked."""
+          hot_rows: int, count_links: bool = False) -> DataFrame:
+    """Links (a, b) between classes, enough to connect all that are linked. ``count_links``:
+    rows (a, b, n), beside the links (n null) counts of linked rows (b null) as ``_count_units`` has them."""
     spark = docs.sparkSession
     sizes = classes.filter("n_shingles > 0").groupBy("_class").agg(F.first("n_shingles").alias("n"))
     sizes = stored(sizes, "class-sizes", rebalance=True)
@@ -423,6 +459,9 @@ def links(classes: DataFrame, docs: DataFrame, text: str, size: int, percent: in
              .select("family", F.ceil(F.col("w") / unit_postings).cast("int").alias("parts")))
     rows = lookup_join(members, large, ["family"])
     part = F.pmod(F.xxhash64("_class"), F.coalesce("parts", F.lit(1)))
+    if count_links:
+        weights = classes.filter("_class IS NOT NULL").groupBy("_class").agg(F.count("*").alias("w"))
+        return stored(_counted(rows.join(weights, "_class"), part, percent, buckets), "links", rebalance=True)
     unit = rows.select(F.concat_ws(":", "family", part).alias("unit"), F.lit(False).alias("query"),
                        "_class", "n", "tokens")
     found = stored(_searched(unit, percent, buckets), "links", rebalance=True)
@@ -449,6 +488,18 @@ def _searched(unit: DataFrame, percent: int, partitions: int) -> DataFrame:
     return arrow_map(dealt, lambda it: _search_units(it, percent), "a long, b long")
 
 
+def _counted(rows: DataFrame, part, percent: int, partitions: int) -> DataFrame:
+    """All blocks of each family searched against each other; a family of one block in itself."""
+    columns = ["_class", "n", "tokens", "w"]
+    many = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+    held = rows.withColumn("c", many).select(F.concat_ws(":", "family", part, "c").alias("unit"),
+                                             F.lit(False).alias("query"), *columns)
+    asked = rows.filter("parts > 1").withColumn("p", many).select(
+        F.concat_ws(":", "family", "p", part).alias("unit"), F.lit(True).alias("query"), *columns)
+    dealt = held.unionByName(asked).repartition(partitions, "unit").sortWithinPartitions("unit", "query")
+    return arrow_map(dealt, lambda it: _count_units(it, percent), "a long, b long, n long")
+
+
 def _links_across(members: DataFrame, found: DataFrame, percent: int, unit_postings: int,
                   partitions: int) -> DataFrame:
     """Links of large families between their blocks: classes outside the largest group of
@@ -475,25 +526,36 @@ def _links_across(members: DataFrame, found: DataFrame, percent: int, unit_posti
 
 
 def link_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT,
-                unit_postings: int = UNIT_POSTINGS, hot_rows: int = HOT_ROWS) -> DataFrame:
+                unit_postings: int = UNIT_POSTINGS, hot_rows: int = HOT_ROWS, count_links: bool = False) -> DataFrame:
     """One row per row of ``df``: its columns without the text, n_shingles (long) and component_id:
-    the smallest ``doc_id`` that its links reach, its own included."""
-    keep = [c for c in df.columns if c not in (text, "n_shingles", "component_id", "_class")]
+    the smallest ``doc_id`` that its links reach, its own included. ``count_links``: also n_links
+    (long), the number of other rows it links to; rows with equal sets link."""
+    results = ("n_shingles", "component_id", *(["n_links"] if count_links else []))
+    keep = [c for c in df.columns if c not in (text, "_class", *results)]
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep),
                         "n_shingles long", "_class long"])
     rows = stored(arrow_map(df.select(*keep, text), lambda it: _class_rows(it, text, keep, size), schema), "classes",
                   rebalance=True)
-    found = links(rows, df, text, size, percent, unit_postings, hot_rows)
+    found = links(rows, df, text, size, percent, unit_postings, hot_rows, count_links)
+    if count_links:
+        counts = found.filter("b IS NULL").groupBy(F.col("a").alias("_class")).agg(F.sum("n").alias("_linked"))
+        found = found.filter("b IS NOT NULL").select("a", "b")
     groups = connected_components(found).withColumnRenamed("node", "_class")
     classes = rows.filter("_class IS NOT NULL").groupBy("_class").agg(
         F.min(doc_id).alias("_least"), F.count("*").alias("_rows"))
     classes = classes.join(groups, "_class", "left").filter("_rows > 1 OR component IS NOT NULL")
     classes = classes.withColumn("_group", F.coalesce("component", "_class"))
     least = classes.groupBy("_group").agg(F.min("_least").alias("component_id"))
-    shared = stored(classes.join(least, "_group").select("_class", "component_id"), "class-components",
-                    rebalance=True)
+    shared = classes.join(least, "_group")
+    if count_links:
+        shared = shared.join(counts, "_class", "left").withColumn(
+            "n_links", F.col("_rows") - 1 + F.coalesce("_linked", F.lit(0)))
+    shared = stored(shared.select("_class", *results[1:]), "class-components", rebalance=True)
     # Rows without a class would be one hot null key of the join: they stand aside.
     linked = lookup_join(rows.filter("_class IS NOT NULL"), shared, ["_class"])
     alone = rows.filter("_class IS NULL").withColumn("component_id", F.lit(None).cast(df.schema[doc_id].dataType))
-    return (linked.unionByName(alone).withColumn("component_id", F.coalesce("component_id", doc_id))
-            .select(*keep, "n_shingles", "component_id"))
+    out = linked.unionByName(alone, allowMissingColumns=True).withColumn(
+        "component_id", F.coalesce("component_id", doc_id))
+    if count_links:
+        out = out.withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+    return out.select(*keep, *results)

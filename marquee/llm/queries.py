@@ -185,10 +185,11 @@ def op4_html_template(spark, d):
 
 @query("op1_ngram_jaccard")
 def op1_ngram_jaccard(spark, d):
-    """Groups of documents linked by 5-word shingle sets with a Jaccard similarity of 0.75 or more."""
+    """Groups of documents linked by 5-word shingle sets with a Jaccard similarity of 0.75 or more,
+    and the number of links of each document."""
     from marquee.llm import ngram_join
 
-    return ngram_join.link_groups(read(spark, d, "documents").select("doc_id", "text"))
+    return ngram_join.link_groups(read(spark, d, "documents").select("doc_id", "text"), count_links=True)
 
 
 # Stand-in domains of the sources, and the weights of the mix.

@@ -122,3 +122,32 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (None, 3), (100, 101)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+
+
+def brute_links(rows):
+    """(doc_id, number of other rows it links to) of every row by comparing all pairs."""
+    sets = [shingle_set(t) for _, t in rows]
+    n = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            same = len(sets[i] & sets[j])
+            if sets[i] and 100 * same >= 75 * (len(sets[i]) + len(sets[j]) - same):
+                n[i] += 1
+                n[j] += 1
+    return [(d, k) for (d, _), k in zip(rows, n)]
+
+
+@pytest.mark.parametrize("unit_postings", [N.UNIT_POSTINGS, 150])
+def test_every_link_is_counted(spark, mixed, unit_postings):
+    df = spark.createDataFrame(mixed, "doc_id long, text string")
+    got = N.link_groups(df, unit_postings=unit_postings, count_links=True).collect()
+    assert sorted((r.doc_id, r.n_links) for r in got) == sorted(brute_links(mixed))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute(mixed))
+
+
+def test_query_returns_the_number_of_links(spark):
+    from marquee.llm.queries import QUERIES
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = QUERIES["op1_ngram_jaccard"][0](spark, SF).collect()
+    assert sorted((r.doc_id, r.n_links) for r in got) == sorted(brute_links(rows))
