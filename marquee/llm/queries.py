@@ -263,3 +263,11 @@ def op7_source_mix(spark, d):
 
     docs = read(spark, d, "documents").withColumn("domain", domain_of(F.col("source")))
     return mixing.mix(docs, MIX_WEIGHTS, MIX_FRACTION, max_epochs=2.0).drop("text", "n_chars")
+
+
+@query("op11_simhash")
+def op11_simhash(spark, d):
+    """64-bit SimHash of 3-word shingles of every text, and the groups linked by at most three differing bits."""
+    from marquee.llm import simhash
+
+    return simhash.near_groups(read(spark, d, "documents"))
