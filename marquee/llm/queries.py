@@ -271,3 +271,55 @@ def op11_simhash(spark, d):
     from marquee.llm import simhash
 
     return simhash.near_groups(read(spark, d, "documents"))
+
+
+@query("op12_token_links")
+def op12_token_links(spark, d):
+    """Tokens of two tokenizers aligned over every whole text, with corpus-wide counts of linked id pairs."""
+    import public_tokenizers
+
+    from marquee.llm import cross_tokens
+
+    return cross_tokens.link_scores(read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                    public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def kmeans_sql(rounds: int = 10) -> str:
+    """DuckDB SQL of the clusters, one pair of CTEs per round; each vector is compared with every centroid."""
+    def assigned(name, centroids):
+        return f"""
+{name} AS MATERIALIZED (
+  SELECT k.pos, min(struct_pack(d := list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))),
+                               c := c.c)) AS m
+  FROM kept k, {centroids} c GROUP BY k.pos)"""
+
+    parts = []
+    for i in range(rounds):
+        parts.append(assigned(f"a{i}", f"c{i}") + f""",
+s{i} AS (SELECT a.m.c AS c, u.i, sum(k.v[u.i]) AS s, CAST(count(*) AS HUGEINT) AS n
+         FROM a{i} a JOIN kept k USING (pos), (SELECT unnest(range(1, 65)) AS i) u GROUP BY a.m.c, u.i),
+n{i} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(n.v, o.v) AS v FROM c{i} o LEFT JOIN n{i} n ON o.c = n.c)""")
+    body = ",".join(parts)
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS pos, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, v FROM kept
+                    WHERE vec_id IS NOT NULL ORDER BY sha256('3:' || vec_id) LIMIT 8),
+{body},
+{assigned("z", f"c{rounds}")}
+SELECT k.vec_id, CAST(z.m.c AS INTEGER) AS cluster, CAST(z.m.d AS BIGINT) AS distance,
+       CAST(sum(z.m.d) OVER (PARTITION BY z.m.c) AS BIGINT) AS cluster_inertia, CAST(sum(z.m.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM z JOIN kept k USING (pos) JOIN c{rounds} c ON c.c = z.m.c"""
+
+
+@query("op13_centroids", kmeans_sql())
+def op13_centroids(spark, d):
+    """Eight clusters of all vectors by ten exact integer rounds."""
+    from marquee.llm import shallot
+
+    return shallot.clusters(read(spark, d, "embeddings"))
