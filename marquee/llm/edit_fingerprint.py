@@ -16,8 +16,9 @@ others, and connected components of the verified pairs are the classes of near c
 Fingerprints are told apart by 64-bit hashes: of n about n^2 / 2^65 pairs share one.
 
 Defined results: null text counts as empty; an empty text has the all-zero
-fingerprint; equal texts have equal fingerprints; repeated rows each get theirs;
-extra columns pass through, and columns named like a result are replaced.
+fingerprint; equal texts have equal fingerprints; repeated rows each get theirs. ``fingerprint``
+lets extra columns pass through and replaces one named like its result; ``with_edits`` and ``with_near_classes`` return
+their own columns only, so none can clash. Rows of one id (null included) lie in one slice of the order.
 """
 
 import hashlib
@@ -33,12 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.common import arrow_map, blocks, lookup_join, stored
-from marquee.llm.components import connected_components
+from marquee.llm.components import connected_components, tasks_for
 
 SLOTS = 256
 BANDS = 32                    # of SLOTS / BANDS samples each
 WALK_BITS = 1 << 16           # size of the table of shared random bits
-BLOCK_BYTES = 8 << 20         # text walked in step
+BLOCK_BYTES = 3 << 20         # text walked in step
 LONGEST_WALK = 1 << 45        # steps; no text comes near
 LOCKSTEP = 48                 # with fewer texts left, each walks on its own
 
@@ -331,12 +332,20 @@ def _links_in_units(batches: Iterator[pa.RecordBatch], least: float) -> Iterator
 UNIT_ROWS = 2000              # fingerprints of one bucket compared with as many in one task
 
 
+BUCKET_ROWS_A_TASK = 200_000  # rows (bucket, fingerprint) of a task
+
+
 def _prints(df: DataFrame, doc_id: str, fp: str) -> DataFrame:
     """Distinct fingerprints: (fid, print, least, n_rows): hash, packed samples, least id, rows."""
     rows = df.filter(F.col(fp).isNotNull()).select(
         F.xxhash64(fp).alias("fid"), F.unhex(fp).alias("print"), F.col(doc_id).alias("_id"))
-    return stored(rows.groupBy("fid").agg(F.first("print").alias("print"), F.min("_id").alias("least"),
-                                          F.count("*").alias("n_rows")), "fingerprints", rebalance=True)
+    found = rows.groupBy("fid").agg(F.first("print").alias("print"), F.min("_id").alias("least"), F.count("*").alias("n_rows"))
+    return stored(found, "fingerprints", rebalance=True)
+
+
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as many tasks as so many rows need (narrow: the stage that makes them has these tasks)."""
+    return df.coalesce(tasks_for(rows, df, BUCKET_ROWS_A_TASK))
 
 
 def _near_groups(prints: DataFrame, least: float, unit_rows: int) -> DataFrame:
@@ -344,35 +353,41 @@ def _near_groups(prints: DataFrame, least: float, unit_rows: int) -> DataFrame:
 
     First every member of a band's bucket is compared with one head. Then, in each bucket
     that this leaves in several groups, every member outside the largest group is compared
-    with all members of other groups: large buckets in blocks, each pair in one task.
+    with all members of other groups: large buckets in blocks, each pair in one task. What these links connect is
+    found between the groups, not between all fingerprints again. Steps over few rows run in few tasks.
     """
     partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = prints.count()
+    prints = _sized(prints, BANDS * n)
     keyed = (prints.select("fid", F.explode(bands(F.hex("print"))).alias("b"))
              .select(F.xxhash64("b.band", "b.bits").alias("key"), "fid"))
     heads = keyed.groupBy("key").agg(F.min("fid").alias("head"), F.count("*").alias("n")).filter("n > 1")
-    members = stored(keyed.join(heads, "key"), "band-members", rebalance=True)
-    pairs = members.filter("fid <> head").select("fid", "head").distinct()
+    members = stored(_sized(keyed.join(heads, "key"), BANDS * n), "band-members")
+    n_members = members.count()
+    members = _sized(members, n_members)
+    pairs = _sized(members.filter("fid <> head").select("fid", "head"), n_members).distinct()
     own = prints.select("fid", "print")
-    pairs = pairs.join(own, "fid").join(own.toDF("head", "head_print"), "head").select(
+    pairs = _sized(pairs, n_members).join(own, "fid")
+    pairs = _sized(pairs, n_members).join(own.toDF("head", "head_print"), "head").select(
         "fid", "head", "print", "head_print")
-    links = stored(arrow_map(pairs, lambda it: _links_to_heads(it, least), "a long, b long"), "head-links",
-                   rebalance=True)
-    groups = connected_components(links)
+    links = stored(_sized(arrow_map(pairs, lambda it: _links_to_heads(it, least), "a long, b long"), n_members), "head-links")
+    groups = stored(connected_components(links, by_size=True).coalesce(tasks_for(n, prints)), "head-groups")
 
     # In a bucket of two the head was the only partner.
     rows = (members.filter("n > 2").select("key", "fid")
             .join(groups.withColumnRenamed("node", "fid"), "fid", "left")
             .select("key", "fid", F.coalesce("component", "fid").alias("grp")))
-    rows = stored(rows, "band-groups", rebalance=True)
+    rows = _sized(stored(_sized(rows, n_members), "band-groups"), n_members)
     split = (rows.groupBy("key", "grp").agg(F.count("*").alias("k"))
              .groupBy("key").agg(F.max(F.struct("k", "grp")).alias("m"), F.sum("k").alias("n"))
              .filter("n > m.k")
              .select("key", F.col("m.grp").alias("largest"), F.ceil(F.col("n") / unit_rows).cast("int").alias("parts"),
                      F.ceil((F.col("n") - F.col("m.k")) / unit_rows).cast("int").alias("chunks")))
-    split = stored(split, "split-buckets", rebalance=True)
+    split = stored(_sized(split, n_members), "split-buckets")
     if split.isEmpty():
         return groups
-    open_rows = stored(rows.join(split, "key").join(own, "fid"), "open-members", rebalance=True)
+    open_rows = _sized(rows.join(split, "key"), n_members)
+    open_rows = stored(_sized(open_rows.join(own, "fid"), n_members), "open-members")
     part = F.pmod(F.xxhash64("fid"), F.col("parts"))
     chunk = F.pmod(F.xxhash64("fid", F.lit("chunk")), F.col("chunks"))
     columns = ["fid", "grp", "print"]
@@ -381,9 +396,19 @@ def _near_groups(prints: DataFrame, least: float, unit_rows: int) -> DataFrame:
     asked = (open_rows.filter("grp <> largest").withColumn("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select(F.concat_ws(":", "key", "p", chunk).alias("unit"), F.lit(True).alias("query"), *columns))
     units = held.unionByName(asked).repartition(partitions, "unit").sortWithinPartitions("unit", "query")
-    more = stored(arrow_map(units, lambda it: _links_in_units(it, least), "a long, b long"), "unit-links",
-                  rebalance=True)
-    return groups if more.isEmpty() else connected_components(links.unionByName(more))
+    more = stored(arrow_map(units, lambda it: _links_in_units(it, least), "a long, b long"), "unit-links")
+    if more.isEmpty():
+        return groups
+    # The links join whole groups (a fingerprint without a group is its own).
+    named = groups.withColumnRenamed("component", "g")
+    for end in ("a", "b"):
+        more = (_sized(more, n_members).join(named.withColumnRenamed("node", end), end, "left")
+                .withColumn(end, F.coalesce("g", end)).drop("g"))
+    joined = connected_components(_sized(more, n_members), by_size=True)
+    joined = joined.select(F.col("node").alias("g"), F.col("component").alias("whole"))
+    known = named.select("node", "g").unionByName(          # groups of one are in no link to a head
+        joined.select(F.col("g").alias("node"), "g").join(named, joined["g"] == named["node"], "left_anti"))
+    return known.join(joined, "g", "left").select("node", F.coalesce("whole", "g").alias("component"))
 
 
 def near_copies(df: DataFrame, doc_id: str = "doc_id", fp: str = "fingerprint", least: float = 0.8,
@@ -417,9 +442,9 @@ def with_near_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``with_edits`` plus near_class: the smallest id among the near copies of all rows that
     chains connect to the row, its own included.
 
-    The fingerprints are made once for the classes, map-only, and again beside the edits.
+    Every text is walked once: the rows with their edits are stored, the classes found from their fingerprints.
     """
-    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    classes = near_classes(fingerprint(rows).select("doc_id", "fingerprint"), least=least)
-    out = lookup_join(with_edits(df, doc_id, text).withColumn("fid", F.xxhash64("fingerprint")), classes, ["fid"])
+    rows = stored(with_edits(df, doc_id, text), "edits")
+    classes = near_classes(rows.select("doc_id", "fingerprint"), least=least)
+    out = lookup_join(rows.withColumn("fid", F.xxhash64("fingerprint")), classes, ["fid"])
     return out.drop("fid").withColumn("near_class", F.coalesce("near_class", "doc_id"))

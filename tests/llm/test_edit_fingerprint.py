@@ -140,3 +140,15 @@ def test_near_class_of_null_ids_and_copies(spark):
     got = E.with_near_classes(frame(spark, [(5, a), (3, a), (None, a), (None, b), (7, "")])).collect()
     assert sorted((r.doc_id or 0, r.near_class) for r in got if r.near_class) == [(0, 3), (3, 3), (5, 3), (7, 7)]
     assert E.with_near_classes(frame(spark, [])).count() == 0
+
+
+def test_extra_and_clashing_columns_are_left_out(spark):
+    df = spark.createDataFrame([(1, "some text", 5, "x", "y", 0.5), (2, "other", 6, "x", "y", 0.1)],
+                               "doc_id int, text string, _slice int, fingerprint string, fid string, near_class double")
+    plain = df.select("doc_id", "text")
+    assert sorted(E.with_edits(df).collect()) == sorted(E.with_edits(plain).collect())
+    got = E.with_near_classes(df)
+    assert got.columns == [*E.with_edits(plain).columns, "near_class"]
+    assert sorted(got.collect()) == sorted(E.with_near_classes(plain).collect())
+    kept = E.fingerprint(df)
+    assert kept.columns == ["doc_id", "text", "_slice", "fid", "near_class", "fingerprint"]

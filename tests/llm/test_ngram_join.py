@@ -120,8 +120,11 @@ def test_shingle_hashes_match_shingles():
 
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (None, 3), (100, 101)]
-    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
-    assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+    for by_size in (False, True):
+        df = spark.createDataFrame(edges, "a long, b long")
+        got = dict(map(tuple, connected_components(df, by_size=by_size).collect()))
+        assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+        assert connected_components(df.limit(0), by_size=by_size).count() == 0
 
 
 def brute_links(rows):
