@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,8 @@ WIDTH = 16                   # embedding dimensions
 BLOCK_BYTES = 2 << 20
 SAMPLE_ROWS = 2000           # labelled rows that training sees, about
 SAMPLE_TEXT_BYTES = 64 << 10 # longest text it sees
-MAX_LANGS = 500
+LEAST_ROWS = 8               # of each language, or all if it has fewer
+MAX_LANGS = 1000             # languages of the sample: bounds the model
 
 
 @dataclass
@@ -144,21 +145,24 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
 
 def training_sample(df: DataFrame, lang: str, rows: int = SAMPLE_ROWS, key: str = "doc_id",
                     text: str = "text") -> tuple[list[str], list[str]]:
-    """About ``rows`` labelled rows, as many of each language, chosen by a hash of the key.
+    """About ``rows`` labelled rows, as many of each language (at least ``LEAST_ROWS``): those with the least hash of the key.
 
-    At most the ``MAX_LANGS`` most frequent languages are learned.
+    The sample holds the ``MAX_LANGS`` most frequent languages; it, and with it the model, is bounded by that.
+    A first cut by the hash, wide enough for three times the rows wanted, keeps the ranking off the frequent languages' rows.
     """
-    labelled = df.select(key, text, lang).filter(
-        F.col(lang).isNotNull() & (F.octet_length(text) <= SAMPLE_TEXT_BYTES))
-    sizes = {r[0]: r[1] for r in labelled.groupBy(lang).count()
-             .orderBy(F.desc("count"), lang).limit(MAX_LANGS).collect()}
-    each = max(1, rows // max(1, len(sizes)))
-    u = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    chance = F.lit(0.0)
-    for name, n in sizes.items():
-        chance = F.when(F.col(lang) == name, min(1.0, each / n)).otherwise(chance)
-    got = labelled.filter(u < chance).orderBy(F.xxhash64(F.col(key), F.lit("sample")), key).limit(2 * rows).collect()
-    return [r[1] for r in got], [r[2] for r in got]
+    labelled = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang")).filter(
+        F.col("_lang").isNotNull() & (F.octet_length("_text") <= SAMPLE_TEXT_BYTES))
+    sizes = {r[0]: r[1] for r in labelled.groupBy("_lang").count()
+             .orderBy(F.desc("count"), "_lang").limit(MAX_LANGS).collect()}
+    each = max(LEAST_ROWS, rows // max(1, len(sizes)))
+    u = F.pmod(F.xxhash64("_key", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    langs = df.sparkSession.createDataFrame([(name, min(1.0, (3 * each + 30) / n)) for name, n in sizes.items()],
+                                            "_lang string, _chance double")
+    some = labelled.join(F.broadcast(langs), "_lang").filter(u < F.col("_chance"))
+    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_key", F.lit("sample")), "_key", "_text")
+    got = (some.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= each)
+           .orderBy(F.xxhash64("_key", F.lit("sample")), "_key", "_lang", "_text").collect())
+    return [r["_text"] for r in got], [r["_lang"] for r in got]
 
 
 def _predictions(batches: Iterator[pa.RecordBatch], shared, text: str,

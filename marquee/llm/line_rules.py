@@ -89,27 +89,22 @@ def text_lines(df: DataFrame, text: str, host: str, *keep: str) -> DataFrame:
                         F.regexp_count("_line", F.lit(WORD)).cast("long").alias("_n"))
 
 
-def frequent_lines(df: DataFrame, text: str = "text", host: str = "source", min_documents: int = 20,
-                   share: float = 0.01) -> DataFrame:
-    """(_host, _line) of every line above the limit. Distinct (host, line, text)
-    rows first, so counts are pre-aggregated and no host or line is one task's work."""
+def frequent_lines(df: DataFrame, text: str = "text", host: str = "source", min_documents: int = 20) -> DataFrame:
+    """(_host, _line) of every line that more than ``min_documents`` distinct texts of a host hold, the same limit for
+    hosts of any size. Distinct (host, line, text) rows first, so counts are pre-aggregated and no host or
+    line is one task's work."""
     seen = text_lines(df, text, host).groupBy("_host", "_line", "_text").agg(F.lit(1).alias("_one"))
     counts = seen.groupBy("_host", "_line").agg(F.count("*").alias("_documents"))
-    texts = df.select(F.col(host).alias("_host"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text"))
-    hosts = (texts.distinct().groupBy("_host").agg(F.count("*").alias("_in_host"))
-             .select(F.col("_host").alias("_h"), "_in_host"))
-    many = counts.filter(F.col("_documents") > min_documents)
-    return (many.join(hosts, many["_host"].eqNullSafe(hosts["_h"]))
-            .filter(F.col("_documents") > share * F.col("_in_host")).select("_host", "_line"))
+    return counts.filter(F.col("_documents") > min_documents).select("_host", "_line")
 
 
 def judge(df: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
-          min_documents: int = 20, share: float = 0.01, max_removed: float = 0.5) -> DataFrame:
+          min_documents: int = 20, max_removed: float = 0.5) -> DataFrame:
     """``df`` without its text, plus the base counts, removed_words (long) and kept."""
     results = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                "removed_words", "kept")
     df = df.drop(*results)
-    frequent = stored(frequent_lines(df, text, host, min_documents, share), "frequent-lines")
+    frequent = stored(frequent_lines(df, text, host, min_documents), "frequent-lines")
     frequent = frequent.select(F.coalesce("_host", F.lit("")).alias("_host"),
                                F.col("_host").isNull().alias("_no_host"), "_line", F.lit(True).alias("_hit"))
     lines = text_lines(df, text, host, doc_id).withColumns({
@@ -130,16 +125,26 @@ def judge(df: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str =
                           & (F.col("removed_words") <= max_removed * F.col("n_words")))
 
 
-def strip_lines(df: DataFrame, text: str = "text", host: str = "source", min_documents: int = 20,
-                share: float = 0.01) -> DataFrame:
-    """``df`` with the boilerplate lines of its host taken out of ``text``."""
-    frequent = stored(frequent_lines(df, text, host, min_documents, share), "frequent-lines")
-    # At most (lines per document / share) lines of a host are above its limit.
-    per_host = stored(frequent.withColumn("_none", F.col("_host").isNull())
-                      .groupBy(F.coalesce("_host", F.lit("")).alias("_host"), "_none")
-                      .agg(F.collect_list("_line").alias("_drop")), "host-lines")
-    df = df.withColumns({"_none": F.col(host).isNull(), "_host": F.coalesce(host, F.lit(""))})
-    out = lookup_join(df, per_host, ["_host", "_none"])
-    kept = F.filter(F.split(F.col(text), "\n", -1), lambda x: ~F.coalesce(
-        F.array_contains(F.col("_drop"), F.xxhash64(normal_line(x))) & (normal_line(x) != ""), F.lit(False)))
-    return out.withColumn(text, F.array_join(kept, "\n")).drop("_host", "_none", "_drop")
+def strip_lines(df: DataFrame, text: str = "text", host: str = "source", min_documents: int = 20) -> DataFrame:
+    """``df`` with the boilerplate lines of its host taken out of ``text``.
+
+    Texts with such a line are taken apart once per (host, text), joined line by line and put together again;
+    nothing is gathered per host.
+    """
+    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    rows = df.toDF(*names.values())
+    t, h = names[text], names[host]
+    frequent = stored(frequent_lines(rows, t, h, min_documents), "frequent-lines").select(
+        F.coalesce("_host", F.lit("")).alias("_host"), F.col("_host").isNull().alias("_none"), "_line", F.lit(True).alias("_hit"))
+    key = {"_none": F.col(h).isNull(), "_host": F.coalesce(h, F.lit("")), "_text": F.xxhash64(t)}
+    rows = rows.withColumns(key)
+    bodies = rows.filter(F.col(t).isNotNull()).groupBy("_none", "_host", "_text").agg(F.any_value(t).alias("_body"))
+    lines = bodies.select("_none", "_host", "_text", F.posexplode(F.split("_body", "\n", -1)).alias("_at", "_raw"))
+    lines = lines.withColumn("_line", F.when(normal_line(F.col("_raw")) != "", F.xxhash64(normal_line(F.col("_raw")))))
+    marked = lookup_join(lines, frequent, ["_host", "_none", "_line"])
+    kept = F.filter(F.array_sort(F.collect_list(F.struct("_at", "_raw", F.col("_hit").isNull().alias("_stays")))), lambda x: x["_stays"])
+    clean = (marked.groupBy("_none", "_host", "_text")
+             .agg(F.array_join(F.transform(kept, lambda x: x["_raw"]), "\n").alias("_clean"), F.count("_hit").alias("_hits"))
+             .filter("_hits > 0").drop("_hits"))
+    out = lookup_join(rows, stored(clean, "clean-texts"), ["_none", "_host", "_text"], bound_rows=0)
+    return out.withColumn(t, F.coalesce("_clean", t)).select(*names.values()).toDF(*df.columns)

@@ -526,11 +526,13 @@ def _links_across(members: DataFrame, found: DataFrame, percent: int, unit_posti
 
 
 def link_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT,
-                unit_postings: int = UNIT_POSTINGS, hot_rows: int = HOT_ROWS, count_links: bool = False) -> DataFrame:
+                unit_postings: int = UNIT_POSTINGS, hot_rows: int = HOT_ROWS, count_links: bool = False,
+                group: str | None = None) -> DataFrame:
     """One row per row of ``df``: its columns without the text, n_shingles (long) and component_id:
     the smallest ``doc_id`` that its links reach, its own included. ``count_links``: also n_links
-    (long), the number of other rows it links to; rows with equal sets link."""
-    results = ("n_shingles", "component_id", *(["n_links"] if count_links else []))
+    (long), the number of other rows it links to; rows with equal sets link. ``group``: also a column of
+    that name, a long equal for rows of one group only (ids may repeat); null for a row that is alone."""
+    results = ("n_shingles", "component_id", *(["n_links"] if count_links else []), *([group] if group else []))
     keep = [c for c in df.columns if c not in (text, "_class", *results)]
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep),
                         "n_shingles long", "_class long"])
@@ -550,6 +552,8 @@ def link_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     if count_links:
         shared = shared.join(counts, "_class", "left").withColumn(
             "n_links", F.col("_rows") - 1 + F.coalesce("_linked", F.lit(0)))
+    if group:
+        shared = shared.withColumn(group, F.col("_group"))
     shared = stored(shared.select("_class", *results[1:]), "class-components", rebalance=True)
     # Rows without a class would be one hot null key of the join: they stand aside.
     linked = lookup_join(rows.filter("_class IS NOT NULL"), shared, ["_class"])

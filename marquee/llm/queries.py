@@ -47,10 +47,7 @@ lines AS (SELECT doc_id, source, md5(text) AS body, raw,
                                      '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS line
           FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS raw FROM d)),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM lines WHERE line <> '' GROUP BY doc_id),
-host AS (SELECT source, count(DISTINCT md5(text)) AS n FROM d GROUP BY source),
-often AS (SELECT l.source, l.line FROM lines l JOIN host h ON l.source IS NOT DISTINCT FROM h.source
-          WHERE l.line <> '' GROUP BY l.source, l.line, h.n
-          HAVING count(DISTINCT l.body) > 20 AND count(DISTINCT l.body) > 0.01 * h.n),
+often AS (SELECT source, line FROM lines WHERE line <> '' GROUP BY source, line HAVING count(DISTINCT body) > 20),
 gone AS (SELECT l.doc_id, sum(len(regexp_extract_all(l.line, '[^\\x20\\x09-\\x0D]+'))) AS n
          FROM lines l JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.line = o.line GROUP BY l.doc_id),
 counts AS (

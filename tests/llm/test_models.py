@@ -59,7 +59,35 @@ def test_language_sample_is_bounded(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("text of it").alias("text"),
                                   F.when(F.col("id") % 9 == 0, "de").otherwise("en").alias("lang"))
     texts, langs = langid.training_sample(df, "lang", rows=200)
-    assert 100 < len(texts) < 320 and 60 < langs.count("de") < 150
+    assert len(texts) == 200 and langs.count("de") == 100
+
+
+def test_no_language_of_the_sample_is_missed(spark):
+    df = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("text of it").alias("text"),
+                                  F.concat(F.lit("l"), F.when(F.col("id") < 3, 999).otherwise(F.col("id") % 600)).alias("lang"))
+    texts, langs = langid.training_sample(df, "lang", rows=2000)
+    counts = {x: langs.count(x) for x in set(langs)}
+    assert len(counts) == 601 and counts.pop("l999") == 3 and set(counts.values()) == {langid.LEAST_ROWS}
+    again = langid.training_sample(df.repartition(7), "lang", rows=2000)
+    assert again == (texts, langs)
+
+
+def test_language_scores_equal_a_plain_sum_over_subwords():
+    texts = ["the cat and the dog went over the hill"] * 20 + ["der hund und die katze auf dem berg"] * 20
+    model = langid.fit(texts, ["en"] * 20 + ["de"] * 20)
+
+    def bucket(run):
+        h = (int.from_bytes(run, "big") + len(run)) * 2654435761 % 2**32
+        return (h ^ h >> 15) * 2246822519 % 2**32 >> 18
+
+    for text in ("Die Katze", "a", "über den Berg " * 40, "x1 y2", "the DOG und der hund"):
+        raw = f" {text.lower()} ".encode()
+        found = [bucket(raw[i:i + n]) for n in (2, 3, 4) for i in range(len(raw) - n + 1)]
+        logits = np.mean([model.table[b].astype(float) for b in found], axis=0) + model.bias
+        e = np.exp((logits - logits.max()) / model.temperature)
+        langs, score, rejected = langid.predict(model, [text])
+        assert langs[0] == model.langs[int(e.argmax())] and score[0] == pytest.approx((e / e.sum()).max(), rel=1e-4)
+        assert rejected[0] == (score[0] < model.reject_below)
 
 
 def small_net():
@@ -106,3 +134,22 @@ def test_quality_gradient_matches_differences():
         w[at] = base - 1e-4
         assert grads[k][at] == pytest.approx((up - loss()) / 2e-4, rel=0.05)
         w[at] = base
+
+
+def test_quality_scores_equal_a_plain_convolution():
+    net = small_net()
+    rng = np.random.default_rng(4)
+    q = quality_cnn
+    for text in ("short", "plain words run on " * 60, "".join(chr(c) for c in rng.integers(32, 400, 700))):
+        raw = text.encode()
+        chunks = max(1, -(-len(raw) // q.CHUNK))
+        padded = raw + b" " * (chunks * q.CHUNK + q.OVERLAP - len(raw))
+        best = np.zeros((chunks, q.FILTERS))
+        for k in range(chunks * q.PER_CHUNK):
+            at = k * q.STRIDE
+            span = []
+            for i in range(at, at + q.SPAN):
+                span += [*net.embed[padded[i]], *(float(i >= lag and padded[i] == padded[i - lag]) for lag in q.LAGS)]
+            best[k // q.PER_CHUNK] = np.maximum(best[k // q.PER_CHUNK], np.array(span) @ net.filters + net.offset)
+        z = best.mean(0) @ net.chunk + best.max(0) @ net.top + net.bias
+        assert q.score(net, text) == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-3)

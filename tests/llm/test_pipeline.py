@@ -106,3 +106,16 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
 def test_domains(spark):
     df = spark.createDataFrame([("src0",), ("src19",), ("else",), (None,)], "s string")
     assert [r[0] for r in df.select(domain_of(F.col("s"))).collect()] == ["web", "forum", "other", "other"]
+
+
+def test_near_duplicates_go_by_row_not_by_id(spark):
+    a = "one two three four five six seven eight nine ten"
+    rows = [(1, a, "x"), (5, a + " eleven", "x"), (5, "an unlike text that stands under the same id", "y"), (7, "more of it here", "z"),
+            (7, "two unlike texts of one id", "z"), (9, a, "x"), (9, "more of it here", "w"), (None, a, "n"), (None, "only here", "n"),
+            (None, "only here", "m"), (3, None, "q"), (3, None, "p"), (4, None, "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _group string")
+    got = sorted(P.near_duplicate_stage(spark, docs, "").collect(), key=repr)
+    groups = [[r for r in rows if r[1] in texts and (r[0] in ids or ids is None)] for texts, ids in (
+        ({a, a + " eleven"}, {1, 5, 9, None}), ({rows[2][1]}, {5}), ({rows[3][1]}, {7, 9}), ({rows[4][1]}, {7}), ({"only here"}, {None}))]
+    want = [min(g, key=lambda r: (r[0] is None, r[0] or 0, r[2])) for g in groups] + [(3, None, "p"), (4, None, "q")]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

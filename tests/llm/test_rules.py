@@ -67,6 +67,32 @@ def test_strip_lines(spark):
     assert "ubscribe" not in out[1] and "SUBSCRIBE" not in out[2] and "Subscribe" in out[100]
 
 
+def test_one_limit_for_hosts_of_every_size(spark):
+    """A line in 30 documents goes, one in 20 stays, in a host of 100 texts as in one of 100,000."""
+    line, rare = "a line that thirty documents hold", "a line that twenty documents hold"
+    body = F.concat_ws(" ", F.lit(" ".join(f"w{i}" for i in range(60))), F.col("id"))
+    docs = None
+    for host, n in (("small", 100), ("large", 100_000)):
+        text = F.when(F.col("id") < 30, F.concat_ws("\n", body, F.lit(line))).when(
+            F.col("id") < 50, F.concat_ws("\n", F.lit(rare), body)).otherwise(body)
+        rows_ = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(host).alias("source"), text.alias("text"))
+        docs = rows_ if docs is None else docs.unionByName(rows_)
+    got = line_rules.judge(docs).groupBy("source", "removed_words").count().collect()
+    assert sorted(map(tuple, got)) == [("large", 0, 99_970), ("large", 6, 30), ("small", 0, 70), ("small", 6, 30)]
+
+
+def test_strip_lines_keeps_rows_columns_and_other_lines(spark):
+    line = "the same line everywhere"
+    data = [(i, f"own {i}\n{line}\n\nmore {i}" if i else None, "h" if i % 2 else None, i, "x") for i in range(60)]
+    data += [(7, data[7][1], "h", 7, "x"), (90, f"{line}\n{line.upper()}", "h", 9, "y"), (91, "", "h", 9, "y")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, _host long, _line string")
+    out = line_rules.strip_lines(df)
+    assert out.columns == df.columns
+    want = [(i, t if t is None else "\n".join(x for x in t.split("\n") if x.strip().lower() != line), *r) for i, t, *r in data]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    assert line_rules.strip_lines(df.limit(0)).count() == 0
+
+
 def test_lookup_join_beyond_its_bound_gives_the_same_rows(spark, monkeypatch):
     want = rows(line_rules.judge(corpus(spark), min_documents=20), "doc_id", "removed_words", "kept")
     salted = common.lookup_join
