@@ -49,24 +49,29 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: one document of each group stays, that with the smallest doc_id.
+    """N-gram Jaccard join: one row of each group of linked texts stays, that with the smallest doc_id (rows without an id
+    come last).
 
-    Of rows with one doc_id, the least row stays. Documents without an id stay, once per text, if no
-    document of their group has an id.
+    Groups are told by their texts, not by ids: an id that stands on unlike texts stays on each of them. Of rows equal
+    in id and text, and of wordless ones among these, the least row stays.
     """
-    key = F.xxhash64("text")
-    groups = stored(ngram_join.link_groups(docs.select("doc_id", key.alias("_key"), "text")), "groups", rebalance=True)
-    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    twice = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    kept = lookup_join(docs.filter("doc_id IS NOT NULL"), gone, ["doc_id"], "left_anti")
-    single = lookup_join(kept, twice, ["doc_id"], "left_anti")
-    several = lookup_join(kept, twice, ["doc_id"], "left_semi")
-    others = [c for c in docs.columns if c != "doc_id"]
-    several = several.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("r")).select("doc_id", "r.*")
-    free = groups.filter("doc_id IS NULL AND component_id IS NULL").select("_key").distinct()
-    nameless = lookup_join(docs.filter("doc_id IS NULL").withColumn("_key", key), free, ["_key"], "left_semi")
-    nameless = nameless.groupBy("text").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
-    return single.select(*docs.columns).unionByName(several.select(*docs.columns)).unionByName(nameless)
+    rows, names = _renamed(docs)
+    doc_id, text = F.col(names["doc_id"]), F.col(names["text"])
+    row = F.xxhash64(doc_id.isNull(), doc_id, text)
+    linked = ngram_join.link_groups(rows.select(doc_id.alias("doc_id"), row.alias("_row"), text.alias("text")), group="_group")
+    linked = stored(linked.withColumn("_group", F.coalesce("_group", "_row")), "groups", rebalance=True)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first")
+    several = linked.groupBy("_group").agg(first, F.count("*").alias("n")).filter("n > 1")
+    several = stored(several.select("_group", F.col("first._row").alias("_first")), "several", rebalance=True)
+    members = stored(lookup_join(linked, several, ["_group"], "inner").groupBy("_row", "_first")
+                     .agg(F.count("*").alias("n")), "members", rebalance=True)
+    rows = lookup_join(rows.withColumn("_row", row), members.filter("_row <> _first").select("_row").distinct(),
+                       ["_row"], "left_anti")
+    twice = members.filter("_row = _first AND n > 1").select("_row")
+    least = lookup_join(rows, twice, ["_row"], "left_semi").groupBy("_row").agg(
+        F.min(F.struct(*names.values())).alias("r")).select("r.*")
+    single = lookup_join(rows, twice, ["_row"], "left_anti").select(*names.values())
+    return single.unionByName(least).toDF(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
