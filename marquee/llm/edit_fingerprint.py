@@ -41,7 +41,8 @@ BANDS = 32                    # of SLOTS / BANDS samples each
 WALK_BITS = 1 << 16           # size of the table of shared random bits
 BLOCK_BYTES = 8 << 20         # text walked in step
 LONGEST_WALK = 1 << 45        # steps; no text comes near
-LOCKSTEP = 48                 # with fewer texts left, each walks on its own
+LOCKSTEP = 32                 # with fewer texts left, each walks on its own
+PATIENCE = 32                 # steps between looks for texts that have ended
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -61,7 +62,7 @@ class Positions:
     """
 
     def __init__(self):
-        self.bits = np.random.default_rng(20240601).integers(0, 2, WALK_BITS, dtype=np.int64)
+        self.bits = np.random.default_rng(20240601).integers(0, 2, WALK_BITS, dtype=np.int64).astype(np.int8)
         at: dict[int, list[int]] = {}
         for slot in range(SLOTS):
             rng = np.random.default_rng([20240602, slot])
@@ -90,25 +91,35 @@ def walk(texts: list[str], positions: Positions) -> list[str]:
     """Fingerprint (SLOTS hex digits) of each text."""
     bits = positions.bits
     order = sorted(range(len(texts)), key=lambda i: len(texts[i]))   # the longest last
-    flat = np.frombuffer("".join(texts[i] for i in order).encode("utf-32-le", "surrogatepass"), np.uint32
-                         ).astype(np.int64)
+    flat = np.frombuffer("".join(texts[i] for i in order).encode("utf-32-le", "surrogatepass"), np.uint32)
     size = np.array([len(texts[i]) for i in order], np.int64)
     end = np.cumsum(size)
     place = end - size
-    spread = (flat * 40503) & (WALK_BITS - 1)         # a code point's share of the table index
+    # A code point's share of the table index: 16 bits, so that sums wrap at the table's end.
+    spread = (flat * np.uint32(40503)).astype(np.uint16)
     samples = np.zeros((SLOTS, len(texts)), np.uint8)
     lane = np.flatnonzero(size > 0)                   # texts still walking
     place, end = place[lane], end[lane]
     step = 0
-    while len(lane) >= LOCKSTEP:
+    # A text that has ended is looked for at sampling steps and every PATIENCE steps; until then it walks on harmlessly.
+    spread = np.concatenate([spread, np.zeros(PATIENCE + 1, np.uint16)])
+    at, move = np.empty(len(lane), np.uint16), np.empty(len(lane), np.int8)
+    while True:
         slots = positions.at.get(step)
-        if slots is not None:
-            samples[slots[:, None], lane[None, :]] = _sample(step, flat[place], slots)
-        place = place + bits[(spread[place] + step * 7919) & (WALK_BITS - 1)]
+        if slots is not None or step % PATIENCE == 0:
+            going = place < end
+            if not going.all():
+                lane, place, end = lane[going], place[going], end[going]
+                at, move = at[:len(lane)], move[:len(lane)]
+            if len(lane) < LOCKSTEP:
+                break
+            if slots is not None:
+                samples[slots[:, None], lane[None, :]] = _sample(step, flat[place], slots)
+        spread.take(place, out=at, mode="clip")
+        np.add(at, np.uint16(step * 7919 & (WALK_BITS - 1)), out=at)
+        bits.take(at, out=move, mode="clip")
+        np.add(place, move, out=place)
         step += 1
-        going = place < end
-        if not going.all():
-            lane, place, end = lane[going], place[going], end[going]
     table = bits.tolist()
     for k, at, stop in zip(lane.tolist(), place.tolist(), end.tolist()):
         _walk_on(k, at, stop, step, flat, spread, table, samples, positions)
