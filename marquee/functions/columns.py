@@ -122,6 +122,11 @@ def ends_with(c, suffix: str) -> Column:
     return as_col(c).endswith(suffix)
 
 
+def without(c, part: str) -> Column:
+    """The string without any occurrence of ``part`` (``str.replace(part, '')``, F11)."""
+    return F.replace(as_col(c), F.lit(part), F.lit(""))
+
+
 def not_future(c, as_of=None, years_ahead: int = 1) -> Column:
     """``col <= YEAR(as_of) + 1``; NULL years fail the test (dropped by a filter).
 

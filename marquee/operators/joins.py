@@ -144,10 +144,9 @@ def hot_key_buckets(key_rows: DataFrame, keys, hot_rows: int) -> DataFrame:
 
 def _deal(df: DataFrame, hot: DataFrame, keys) -> DataFrame:
     """One bucket in [0, __b) per row of a hot key, 0 for other keys."""
-    hashed = [f.name for f in df.schema.fields if not _holds_unhashable(f.dataType)]
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__b"))
     return (df.join(hot, keys, "left")
-            .withColumn("__bucket", F.coalesce(F.pmod(F.xxhash64(*hashed), F.col("__b")), F.lit(0).cast("long")))
-            .drop("__b"))
+            .withColumn("__bucket", F.coalesce(dealt, F.lit(0).cast("long"))).drop("__b"))
 
 
 def _holds_unhashable(dtype: T.DataType) -> bool:

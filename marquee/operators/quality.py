@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,27 +91,71 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.when(den > 0, num.cast("double") / den.cast("double"))
 
 
-def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
-    """Evaluate a suite in one scan; one result row per expectation."""
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__total")]
+def _suite_aggregates(columns, suite: list[Expectation], distinct: bool | None = None) -> list[Column]:
+    """Aggregates of a suite; ``distinct`` selects only those with (True) or without (False) a distinct count."""
+    plain: list[Column] = [F.count(F.lit(1)).alias("__total")]
+    counted: list[Column] = []
     for n, e in enumerate(suite):
         c = e.column
-        if c is not None and c not in df.columns:
+        if c is not None and c not in columns:
             continue
         if e.type in (NOT_NULL, IN_SET, UNIQUE_PROPORTION):
-            aggs.append(F.count(F.col(c)).alias(f"__nn{n}"))
+            plain.append(F.count(F.col(c)).alias(f"__nn{n}"))
         if e.type == IN_SET:
-            aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(e.kwargs["value_set"]))
-                        .alias(f"__bad{n}"))
+            plain.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(e.kwargs["value_set"])).alias(f"__bad{n}"))
         if e.type == UNIQUE_PROPORTION:
-            aggs.append(F.count_distinct(F.col(c)).alias(f"__nd{n}"))
-    stats = df.agg(*aggs)
+            counted.append(F.count_distinct(F.col(c)).alias(f"__nd{n}"))
+    return plain + counted if distinct is None else counted if distinct else plain
+
+
+def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
+    """Evaluate a suite in one scan; one result row per expectation."""
+    return _suite_rows(df.agg(*_suite_aggregates(df.columns, suite)), df.schema, suite)
+
 
+class ObservedSuite:
+    """A suite whose counts are taken while the batch is written elsewhere (``DataFrame.observe``).
+
+    ``watch(df)`` gives the same rows with the counts attached; write those, then ask for ``rows`` and
+    ``result``. Distinct counts cannot be observed: a suite that has some takes them from ``stored``, the batch as
+    written, in one aggregate. Use an object for one write only.
+    """
+
+    def __init__(self, suite: list[Expectation]):
+        self.suite, self._seen = suite, Observation()
+
+    def watch(self, df: DataFrame, fields=None) -> DataFrame:
+        """``fields(df)`` gives the columns that the suite speaks of, if they are not those of ``df``."""
+        named = fields(df) if fields else df
+        self.schema, self.columns = named.schema, named.columns
+        aggregates = _suite_aggregates(self.columns, self.suite, distinct=False)
+        if fields is None:
+            return df.observe(self._seen, *aggregates)
+        return fields(df, keep=True).observe(self._seen, *aggregates).select(*df.columns)
+
+    @property
+    def rows(self) -> int:
+        """Rows written (waits for the write)."""
+        return self._seen.get["__total"]
+
+    def result(self, stored: DataFrame) -> DataFrame:
+        """One result row per expectation, equal to ``run_suite`` on the written batch."""
+        row = dict(self._seen.get)
+        distinct = _suite_aggregates(self.columns, self.suite, distinct=True)
+        if distinct:
+            row |= stored.agg(*distinct).first().asDict()
+        schema = T.StructType([T.StructField(k, T.LongType()) for k in row])
+        return _suite_rows(stored.sparkSession.createDataFrame([tuple(row.values())], schema), self.schema, self.suite)
+
+
+def _suite_rows(stats: DataFrame, schema: T.StructType, suite: list[Expectation]) -> DataFrame:
+    """One result row per expectation from the one row of aggregates."""
+    columns = schema.names
     rows = []
     total = F.col("__total")
     for n, e in enumerate(suite):
         c = e.column
-        if e.type in (NOT_NULL, IN_SET, UNIQUE_PROPORTION) and c not in df.columns:
+        if e.type in (NOT_NULL, IN_SET, UNIQUE_PROPORTION) and c not in columns:
             unexpected, observed, elements, success = total, F.lit(None), total, F.lit(False)
         elif e.type == NOT_NULL:
             nn = F.col(f"__nn{n}")
@@ -138,12 +182,12 @@ def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
             unexpected = F.lit(None).cast("long")
             elements = total
         elif e.type == IN_TYPE_LIST:
-            dt = df.schema[c].dataType if c in df.columns else None
+            dt = schema[c].dataType if c in columns else None
             ok = dt is not None and bool(_type_names(dt) & set(e.kwargs["type_list"]))
             unexpected, observed, elements = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None)
             success = F.lit(ok)
         elif e.type == COLUMNS_MATCH_SET:
-            ok = set(df.columns) == set(e.kwargs["column_set"])
+            ok = set(columns) == set(e.kwargs["column_set"])
             unexpected, observed, elements = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None)
             success = F.lit(ok)
         else:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.keys import scd_id
+from marquee.session import scratch_path
 
 # Fixed values of the reference: the snapshot metadata column names its models read.
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"
@@ -57,6 +58,49 @@ def as_of(snapshot: DataFrame, ts) -> DataFrame:
     return snapshot.filter((F.col(VALID_FROM) <= t) & (F.col(VALID_TO).isNull() | (t < F.col(VALID_TO))))
 
 
+def as_of_join(instants: DataFrame, versions: DataFrame, key, at: str, prefix: str = "v_",
+               split_rows: int | None = 1_000_000) -> DataFrame:
+    """Each row of ``instants`` with the version of its key valid at its time ``at`` (a left join; SN7 for a table).
+
+    Version columns other than the key come with ``prefix``; they are NULL where no version is valid: before the first,
+    in a gap, or for a NULL time. ``valid_from <= at < coalesce(valid_to, +inf)`` as in ``as_of``. A NULL key is a key,
+    as in the histories.
+
+    Version starts and instants are united on one time line per key, and each instant takes the last start before it:
+    one shuffle and one sorted pass, no range condition in a join. Keys with more than ``split_rows`` starts and
+    instants together are split into ranges of time, each range taking the last start of those before it as its carry.
+    """
+    keys = _names(key)
+    values = [c for c in versions.columns if c not in keys]
+    started = versions.filter(F.col(VALID_FROM).isNotNull() & (F.col(VALID_TO).isNull() | (F.col(VALID_FROM) < F.col(VALID_TO))))
+    kind = versions.schema[VALID_FROM].dataType
+    rows = started.select(*keys, F.col(VALID_FROM).alias("__at"), F.lit(0).alias("__kind"), F.struct(*values).alias("__v"))
+    asked = instants.select(*keys, F.col(at).cast(kind).alias("__at"), F.lit(1).alias("__kind"),
+                            F.struct(*instants.columns).alias("__i"))
+    line = rows.unionByName(asked, allowMissingColumns=True)
+    order = ["__at", "__kind"]
+    hot = None
+    if split_rows is not None and line.count() > split_rows:
+        line, hot = split_hot_keys(line, keys, order, split_rows)
+
+    def last(groups):
+        return F.last("__v", ignorenulls=True).over(Window.partitionBy(*groups).orderBy(*order)
+                                                    .rowsBetween(Window.unboundedPreceding, 0))
+
+    met = line.select("__i", last(keys).alias("__v"))
+    if hot is not None:
+        groups = [*keys, "__chunk"]
+        ends = (hot.groupBy(*groups).agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__at"))).alias("__end"))
+                .select(*groups, F.last("__end", ignorenulls=True).over(
+                    Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("__carry")))
+        carried = _with_carry(hot.withColumn("__v", last(groups)), ends, keys)
+        met = met.unionByName(carried.select("__i", F.coalesce("__v", "__carry").alias("__v")))
+    v, t = F.col("__v"), F.col("__i")[at].cast(kind)
+    valid = v.isNotNull() & t.isNotNull() & (v[VALID_TO].isNull() | (t < v[VALID_TO]))
+    return met.filter(F.col("__i").isNotNull()).select(
+        "__i.*", *[F.when(valid, v[c]).alias(f"{prefix}{c}") for c in values])
+
+
 # ---------------------------------------------------------------------------- SN8
 
 def dedupe_latest(df: DataFrame, key, order) -> DataFrame:
@@ -163,44 +207,45 @@ def snapshot_timestamp(snapshot: DataFrame | None, incoming: DataFrame, key, upd
 
 # ---------------------------------------------------------------------------- SN4
 
-SAMPLES_PER_CHUNK = 8
+def same_key(left: DataFrame, right: DataFrame, keys, names) -> Column:
+    """Join condition: ``keys`` of ``left`` equal ``names`` of ``right``, NULL being a key as in a window."""
+    return reduce(lambda x, y: x & y, [left[k].eqNullSafe(right[n]) for k, n in zip(keys, names)])
 
 
-def hot_keys(df: DataFrame, keys, order_cols, split_rows: int) -> DataFrame:
-    """Keys with more than ``split_rows`` rows, with the places (``__cuts``) where to cut them.
+def split_hot_keys(df: DataFrame, keys, order_cols, split_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of other keys, rows of keys over ``split_rows`` rows with ``__chunk``; None if there are none).
 
-    One partially aggregated pass. Rows are sampled by a hash of their order columns, about
-    ``SAMPLES_PER_CHUNK`` per ``split_rows`` rows; every so many-th sample in order is a cut, so
-    chunks hold about as many rows each whatever the type and spread of the order columns. The table
-    has at most ``rows / split_rows`` keys and about as many cuts.
+    One partially aggregated count finds the hot keys. Their rows are range-partitioned on key and order, about
+    ``split_rows`` rows a range, and stored with the number of their range: ranges are contiguous in the order
+    whatever its type (NULL first), and equal rows share one. A row's cost does not depend on how many ranges there are.
     """
-    order = F.struct(*[F.col(c) for c in order_cols])
-    rate = max(1, split_rows // SAMPLES_PER_CHUNK)
-    sampled = F.pmod(F.xxhash64(*keys, *order_cols), F.lit(rate)) == 0
-    step = SAMPLES_PER_CHUNK if rate > 1 else split_rows
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                  F.sort_array(F.collect_set(F.when(sampled, order))).alias("__s"))
-    every = F.filter("__s", lambda x, i: (i + 1) % step == 0)
-    return stats.filter(F.col("__n") > split_rows).select(*keys, every.alias("__cuts"))
-
-
-def _segmented_history(df, keys, order_cols, check_cols, updated_at, hot):
-    """Window history with hot keys cut into contiguous ranges of the order columns (chunks).
-
-    A row's chunk is the number of its key's cuts below it, compared as the window sorts (NULL
-    first, then by value, all order columns in turn); rows of other keys get chunk 0. Windows run
-    per (key, chunk). What a chunk needs from the rows before it (the last check values, or the
-    running maximum) comes from a per-(key, chunk) summary, itself windowed per key over its
-    chunks, and joined back on (key, chunk): the big side keeps its (key, chunk) partitioning,
-    only the small summary moves.
+    names = [f"__hot{i}" for i in range(len(keys))]
+    counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.filter(F.col("__n") > split_rows)
+    path = scratch_path(df.sparkSession, "hot-keys")
+    counts.write.parquet(path)
+    hot = df.sparkSession.read.schema(counts.schema).parquet(path)
+    total = hot.agg(F.sum("__n")).first()[0]
+    if not total:
+        return df, None
+    cond = same_key(df, hot, keys, names)
+    rows = df.join(hot, cond, "left_semi").repartitionByRange(total // split_rows + 1, *keys, *order_cols)
+    rows = rows.withColumn("__chunk", F.spark_partition_id())
+    path = scratch_path(df.sparkSession, "ranges")
+    rows.write.parquet(path)
+    return df.join(hot, cond, "left_anti"), df.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _segmented_history(x, keys, order_cols, check_cols, updated_at):
+    """Window history of rows whose keys are cut into contiguous ranges of the order columns (``__chunk``).
+
+    A prefix scan: windows run per (key, chunk); what a chunk needs from the rows before it (the last check
+    values, or the running maximum) is one carry row per (key, chunk), windowed per key over
+    its chunks and joined back on (key, chunk): the big side keeps its (key, chunk) partitioning,
+    only the carries move.
     """
     o = order_cols[0]
-    order = F.struct(*[F.col(c) for c in order_cols])
-    h = F.broadcast(hot)                          # at most rows / split_rows keys
-    below = F.filter("__cuts", lambda cut: cut < F.col("__order"))
-    x = (df.join(h, keys, "left").withColumn("__order", order)
-         .withColumn("__chunk", F.coalesce(F.when(F.col("__cuts").isNotNull(), F.size(below)), F.lit(0)))
-         .drop("__cuts", "__order"))
+    columns = [c for c in x.columns if c != "__chunk"]
 
     kc = keys + ["__chunk"]
     w = Window.partitionBy(*kc).orderBy(*[F.col(c) for c in order_cols])
@@ -213,7 +258,7 @@ def _segmented_history(df, keys, order_cols, check_cols, updated_at, hot):
         summ = (x.groupBy(*kc).agg(F.max_by(F.struct(*checks), ordering).alias("__last"))
                 .select(*kc, F.lag("__last").over(wc).alias("__carry"),
                         F.lag(F.lit(1)).over(wc).isNotNull().alias("__has_prev")))
-        j = rows.join(summ, kc, "left")
+        j = _with_carry(rows, summ, keys)
         prev = F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__prev"))
         changed = _any_distinct([F.col(c) for c in checks], [prev[c] for c in checks])
         ts = F.col(o)
@@ -223,21 +268,21 @@ def _segmented_history(df, keys, order_cols, check_cols, updated_at, hot):
         summ = (x.groupBy(*kc).agg(F.max(updated_at).alias("__cmax"))
                 .select(*kc, F.max("__cmax").over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"),
                         F.lag(F.lit(1)).over(wc).isNotNull().alias("__has_prev")))
-        j = rows.join(summ, kc, "left")
+        j = _with_carry(rows, summ, keys)
         changed = F.col(updated_at) > F.greatest(F.col("__pm"), F.col("__carry"))
         ts = F.col(updated_at)
     first_overall = F.col("__first") & ~F.coalesce(F.col("__has_prev"), F.lit(False))
     kept = (j.filter(first_overall | changed).withColumn(VALID_FROM, ts)
-            .select(*df.columns, "__chunk", VALID_FROM))
+            .select(*columns, "__chunk", VALID_FROM))
 
     # valid_to: next kept row, within the chunk or else the first kept row of a later chunk
     nxt = (kept.groupBy(*kc).agg(F.min_by(F.col(VALID_FROM), ordering).alias("__first_vf"))
            .select(*kc, F.lead("__first_vf").over(wc).alias("__next_vf")))
     # a next row may have a NULL valid_from: its presence decides, not its value
-    out = kept.select("*", F.lead(VALID_FROM).over(w).alias("__lead"),
-                      F.lead(F.lit(True)).over(w).alias("__followed")).join(nxt, kc, "left")
+    out = _with_carry(kept.select("*", F.lead(VALID_FROM).over(w).alias("__lead"),
+                                  F.lead(F.lit(True)).over(w).alias("__followed")), nxt, keys)
     return out.select(
-        *df.columns,
+        *columns,
         scd_id(keys, F.col(VALID_FROM)).alias(SCD_ID),
         F.col(VALID_FROM).alias(UPDATED_AT),
         F.col(VALID_FROM),
@@ -245,6 +290,14 @@ def _segmented_history(df, keys, order_cols, check_cols, updated_at, hot):
     )
 
 
+def _with_carry(rows: DataFrame, carries: DataFrame, keys) -> DataFrame:
+    """``rows`` with the carry row of their (key, chunk); a NULL key is a key."""
+    names = [f"__c{i}" for i in range(len(keys))]
+    c = carries.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__chunk").alias("__cc"),
+                       *[x for x in carries.columns if x not in (*keys, "__chunk")])
+    return rows.join(c, same_key(rows, c, keys, names) & (rows["__chunk"] == c["__cc"]), "left").drop(*names, "__cc")
+
+
 def scd2_history(df: DataFrame, key, order, check_cols=None, updated_at: str | None = None,
                  tiebreak=None, split_rows: int | None = 1_000_000) -> DataFrame:
     """Replay a whole change feed into snapshot rows with window functions.
@@ -262,7 +315,7 @@ def scd2_history(df: DataFrame, key, order, check_cols=None, updated_at: str | N
     previous row is comparing with the current version).
 
     Hot keys: a key with more than ``split_rows`` rows is split into contiguous ranges of
-    ``order`` and ``tiebreak`` processed by separate tasks (see ``_segmented_history``), with the
+    ``order`` and ``tiebreak`` processed by separate tasks (``split_hot_keys``, ``_segmented_history``), with the
     same result. A table of at most ``split_rows`` rows (one count) has no such key and
     is not searched for any; ``split_rows=None`` always uses one window per key.
     """
@@ -271,25 +324,31 @@ def scd2_history(df: DataFrame, key, order, check_cols=None, updated_at: str | N
     keys = _names(key)
     order_cols = _names(order) + (_names(tiebreak) if tiebreak else [])
     if split_rows is not None and df.count() > split_rows:      # else no key can be hot
-        return _segmented_history(df, keys, order_cols, check_cols, updated_at,
-                                  hot_keys(df, keys, order_cols, split_rows))
+        rest, hot = split_hot_keys(df, keys, order_cols, split_rows)
+        if hot is not None:
+            return _plain_history(rest, keys, order_cols, check_cols, updated_at).unionByName(
+                _segmented_history(hot, keys, order_cols, check_cols, updated_at))
+    return _plain_history(df, keys, order_cols, check_cols, updated_at)
+
+
+def _plain_history(df, keys, order_cols, check_cols, updated_at):
+    """One window per key."""
     w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_cols])
     first = F.lag(F.lit(1)).over(w).isNull()
     if check_cols is not None:
         checks = list(check_cols)
         changed = _any_distinct([F.col(c) for c in checks], [F.lag(c).over(w) for c in checks])
-        ts = F.col(_names(order)[0])
+        ts = F.col(order_cols[0])
     else:
         prev_max = F.max(updated_at).over(w.rowsBetween(Window.unboundedPreceding, -1))
         changed = F.col(updated_at) > prev_max
         ts = F.col(updated_at)
     kept = (df.withColumn("__keep", first | changed).filter("__keep").drop("__keep")
             .withColumn(VALID_FROM, ts))
-    w2 = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_cols])
     return kept.select(
         *df.columns,
         scd_id(keys, F.col(VALID_FROM)).alias(SCD_ID),
         F.col(VALID_FROM).alias(UPDATED_AT),
         F.col(VALID_FROM),
-        F.lead(VALID_FROM).over(w2).alias(VALID_TO),
+        F.lead(VALID_FROM).over(w).alias(VALID_TO),
     )

@@ -4,12 +4,14 @@ Differences from the reference, on purpose:
 
 * ids are registered *after* the load succeeded (the reference registers
   them before writing, so a failed run loses rows);
-* tables are replaced by version folder + pointer swap, never overwritten
-  in place, so a rerun of the same day is idempotent.
+* tables are built beside the old ones and snapshots are merged under the name of the run, so a
+  rerun of the same day is idempotent.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +22,12 @@ from marquee.operators import quality as Q
 from marquee.operators.scd2 import dedupe_latest, snapshot_check, snapshot_timestamp
 from marquee.plans import models as M
 from marquee.plans import suites as S
+from marquee.plans.fact import DayChanges, FactInputs, FactTable, stored
 from marquee.functions.columns import null_sentinel
 from marquee.sources.catalog import Catalog
-from marquee.sources.readers import CsvFormat, copy_into, read_tsv, read_variant
+from marquee.sources.readers import CsvFormat, copy_into, read_csv_format, read_json_array, read_tsv, read_variant
 from marquee.sources.registry import IdRegistry
+from marquee.sources.snapshots import BUCKETS, SnapshotTable
 from marquee.sources.writers import land
 
 
@@ -39,21 +43,24 @@ def nonempty_feeds(feeds: dict) -> dict:
 
 def snapshot_run(catalog: Catalog, name: str, batch: DataFrame, key, now=None,
                  check_cols=None, updated_at: str | None = None, order=None,
-                 meta: dict | None = None) -> DataFrame:
-    """One scheduled snapshot of ``batch`` into the stored table ``name``.
+                 meta: dict | None = None, run: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """One scheduled snapshot of ``batch`` into the stored table ``name``; returns all its versions.
 
-    The batch is reduced to one row per key first (latest by ``order``), then
-    merged with the stored snapshot (check or timestamp strategy) and written
-    as a new version; the stored table is a lineage cut for the next run.
+    The batch is reduced to one row per key first (latest by ``order``), then merged (check or timestamp
+    strategy) with the current versions of the buckets that it touches. Give a ``run`` name to
+    be able to repeat a failed run.
     """
+    table = SnapshotTable(catalog, name, key, buckets)
     if order is not None:
         batch = dedupe_latest(batch, key, order)
-    prev = catalog.read_current(name) if catalog.exists(name) else None
-    if check_cols is not None:
-        snap = snapshot_check(prev, batch, key, check_cols, now)
-    else:
-        snap = snapshot_timestamp(prev, batch, key, updated_at)
-    return catalog.write_snapshot(name, snap, F.col("dbt_valid_to").isNull(), meta)
+
+    def merge(prev, rows):
+        if check_cols is not None:
+            return snapshot_check(prev, rows, key, check_cols, now)
+        return snapshot_timestamp(prev, rows, key, updated_at)
+
+    table.merge(batch, run or uuid.uuid4().hex, merge, meta)
+    return table.read()
 
 
 # pandas' default missing-value tokens (public pandas behaviour), for ``pandas_na=True``.
@@ -75,6 +82,10 @@ def extract_new(registry: IdRegistry, df: DataFrame, key: str, mode: str = "new_
     return null_sentinel(rows, tokens)
 
 
+# The one format in which a day's tables land and are loaded: quotes doubled, line ends in quoted fields.
+LANDING = CsvFormat(null_if=("", "\\N"), multi_line=True)
+
+
 def land_day(df: DataFrame, root: str, ds: str) -> DataFrame | None:
     """Land a day's rows as gzipped CSV under ``ds=<ds>`` (rerun replaces the day).
 
@@ -82,14 +93,27 @@ def land_day(df: DataFrame, root: str, ds: str) -> DataFrame | None:
     """
     if skip_if_empty(df):
         return None
-    land(df, root, ds, fmt="csv", header=True, compression="gzip")
-    return df.sparkSession.read.schema(df.schema).option("header", True).csv(f"{root}/ds={ds}")
+    land(df, root, ds, fmt="csv", **LANDING.writer_options())
+    return read_landed(df.sparkSession, f"{root}/ds={ds}", df.schema)
+
+
+def read_landed(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Landed rows as text columns."""
+    return read_csv_format(spark, path, schema, LANDING)
 
 
-def commit_ids(registry: IdRegistry, landed: DataFrame | None, key: str) -> None:
-    """Register the landed ids; call after the day's load succeeded."""
-    if landed is not None:
-        registry.append(landed, key)
+def land_observed(df: DataFrame, root: str, ds: str, suite) -> tuple[DataFrame | None, Q.ObservedSuite]:
+    """Land a day's rows in one pass that also takes the counts of their suite and tells whether there are any."""
+    seen = Q.ObservedSuite(suite)
+    land(seen.watch(df), root, ds, fmt="csv", **LANDING.writer_options())
+    return (read_landed(df.sparkSession, f"{root}/ds={ds}", df.schema) if seen.rows else None), seen
+
+
+def commit_ids(registry: IdRegistry, loaded: DataFrame | None, key: str) -> None:
+    """Register the ids of the rows that were loaded; call after the day's load succeeded. A row that the load
+    dropped, and every row of a file that it skipped, is new again when its source is mended."""
+    if loaded is not None:
+        registry.append(loaded, key)
 
 
 @dataclass
@@ -112,18 +136,23 @@ def _raw_ratings(df: DataFrame) -> DataFrame:
                        for src, f in zip(["tconst", "averageRating", "numVotes"], M.RATINGS_RAW.fields)])
 
 
+RAW_SUITES = {"basics": ("imdb-basic.raw", S.BASICS_RAW_SUITE), "ratings": ("imdb-rating.raw", S.RATINGS_RAW_SUITE),
+              "reviews": ("nyt-review.raw", S.REVIEWS_RAW_SUITE)}
+
+
 def gate_feeds(present: dict, store: str, ds: str, review_fields=None) -> None:
     """Run the raw suites of the feeds that are present, store the results, then gate.
 
     All results are stored before any gate raises ``QualityGateError``.
     """
     fields = review_fields or M.review_raw_fields
-    suites = {"basics": ("imdb-basic.raw", S.BASICS_RAW_SUITE), "ratings": ("imdb-rating.raw", S.RATINGS_RAW_SUITE),
-              "reviews": ("nyt-review.raw", S.REVIEWS_RAW_SUITE)}
-    stored = {}
-    for feed, df in present.items():
-        name, suite = suites[feed]
-        stored[name] = Q.store_result(Q.run_suite(fields(df) if feed == "reviews" else df, suite), store, name, ds)
+    gate_results({feed: Q.run_suite(fields(df) if feed == "reviews" else df, RAW_SUITES[feed][1])
+                  for feed, df in present.items()}, store, ds)
+
+
+def gate_results(results: dict, store: str, ds: str) -> None:
+    """Store the results of the feeds' suites, then gate on each."""
+    stored = {RAW_SUITES[feed][0]: Q.store_result(r, store, RAW_SUITES[feed][0], ds) for feed, r in results.items()}
     for name, result in stored.items():
         Q.gate(result, name)
 
@@ -140,12 +169,16 @@ def run_day(catalog: Catalog, feeds: DayFeeds, now, as_of=None, review_fields=No
     gate_feeds(present, f"{catalog.root}/_validation", str(now)[:10], review_fields)
     return load_and_build(catalog, _raw_basics(present["basics"]) if "basics" in present else None,
                           _raw_ratings(present["ratings"]) if "ratings" in present else None,
-                          present.get("reviews"), now, as_of)
+                          present.get("reviews"), now, as_of, re.sub(r"\W", "", str(now)))
 
 
 def load_and_build(catalog: Catalog, basics: DataFrame | None, ratings: DataFrame | None,
-                   reviews: DataFrame | None, now, as_of=None) -> dict:
-    """Truncate and load the raw tables (None: empty), then snapshots, models and tests."""
+                   reviews: DataFrame | None, now, as_of=None, run: str = "", buckets: int = BUCKETS,
+                   fact: str = "rebuild") -> dict:
+    """Truncate and load the raw tables (None: empty), then snapshots, models and tests. ``run`` names the run.
+
+    ``fact``: ``rebuild`` the whole fact table, or apply the day's ``delta`` to it (``marquee.plans.fact``).
+    """
     spark = catalog.spark
     empty_reviews = spark.range(0).select(F.parse_json(F.lit("{}")).alias("content"))
     raw_b = catalog.write_table("raw_imdb_basics", basics if basics is not None
@@ -154,15 +187,21 @@ def load_and_build(catalog: Catalog, basics: DataFrame | None, ratings: DataFram
                                 else spark.createDataFrame([], M.RATINGS_RAW))
     raw_n = catalog.write_table("raw_nyt_reviews", reviews if reviews is not None else empty_reviews)
 
-    # 3. snapshots: only current versions are read and rewritten; closed ones are appended
-    def snap(name, fn):
-        prev = catalog.read_current(name) if catalog.exists(name) else None
-        catalog.write_snapshot(name, fn(prev), F.col("dbt_valid_to").isNull())
-        return catalog.read_current(name)
+    # 3. snapshots: only the buckets that the day touches are read and rewritten
+    changed: dict[str, DataFrame | None] = {}
 
-    basics_snap = snap("imdb_basic_snapshot", lambda p: M.imdb_basic_snapshot(raw_b, p, now))
-    ratings_snap = snap("imdb_rating_snapshot", lambda p: M.imdb_rating_snapshot(raw_r, p, now))
-    reviews_snap = snap("nyt_snapshot", lambda p: M.review_snapshot(raw_n, p))
+    def snap(name, batch, merge):
+        table = SnapshotTable(catalog, name, "id", buckets)
+        table.merge(batch, run, merge)
+        changed[name] = table.changed
+        return table.current()
+
+    basics_snap = snap("imdb_basic_snapshot", M.basic_source(raw_b),
+                       lambda p, b: snapshot_check(p, b, "id", M.BASICS_CHECK_COLS, now))
+    ratings_snap = snap("imdb_rating_snapshot", M.rating_source(raw_r),
+                        lambda p, b: snapshot_check(p, b, "id", M.RATINGS_CHECK_COLS, now))
+    reviews_snap = snap("nyt_snapshot", M.review_source(raw_n),
+                        lambda p, b: snapshot_timestamp(p, b, "id", "review_date_updated"))
 
     # 4. models: cleansed views, insert-only dims, fact table
     basics = catalog.materialize("imdb_basics_cleansed", M.basics_cleansed(basics_snap, as_of), "view")
@@ -170,18 +209,26 @@ def load_and_build(catalog: Catalog, basics: DataFrame | None, ratings: DataFram
     results: dict[str, DataFrame] = {}
     reviews = catalog.materialize("nyt_reviews_cleansed", M.reviews_cleansed(reviews_snap), "view")
 
+    entered: dict[str, DataFrame] = {}
+
     def dim(name, fn, source):
-        this = catalog.read_table(name) if catalog.exists(name) else None
-        new = fn(source, this)
-        return catalog.append_table(name, new) if this is not None else catalog.write_table(name, new)
-
-    d_genres = dim("dim_imdb_genres", M.dim_genres, basics)
-    d_titles = dim("dim_imdb_movies", M.dim_titles, basics)
-    d_authors = dim("dim_nyt_authors", M.dim_authors, reviews)
-    d_movies = dim("dim_nyt_movies", M.dim_review_movies, reviews)
-    d_reviews = dim("dim_nyt_reviews", M.dim_reviews, reviews)
-    catalog.write_table("fct_imdb_nyt", M.fct_imdb_nyt(ratings, basics, reviews, d_genres, d_titles,
-                                                        d_authors, d_movies, d_reviews))
+        if not catalog.exists(name):
+            entered[name] = catalog.write_table(name, fn(source, None))
+            return entered[name]
+        new = fn(source, catalog.read_table(name))
+        entered[name] = stored(new, f"new-{name}") if fact == "delta" else new
+        return catalog.append_table(name, entered[name])
+
+    inputs = FactInputs(ratings, basics, reviews, d_genres=dim("dim_imdb_genres", M.dim_genres, basics),
+                        d_titles=dim("dim_imdb_movies", M.dim_titles, basics),
+                        d_authors=dim("dim_nyt_authors", M.dim_authors, reviews),
+                        d_movies=dim("dim_nyt_movies", M.dim_review_movies, reviews),
+                        d_reviews=dim("dim_nyt_reviews", M.dim_reviews, reviews))
+    d_titles = inputs.d_titles
+    if fact == "delta":
+        _refresh_fact(catalog, inputs, changed, entered, as_of or now, buckets)
+    else:
+        catalog.write_table("fct_imdb_nyt", inputs.fact().drop("id"))
 
     # 5. post-build tests (failing rows; a test passes when empty)
     results["nyt_reviews_cleansed.movie_title.not_null"] = Q.failing_nulls(reviews, "movie_title")
@@ -200,22 +247,40 @@ def load_and_build(catalog: Catalog, basics: DataFrame | None, ratings: DataFram
     return results
 
 
+def _refresh_fact(catalog: Catalog, inputs: FactInputs, changed: dict, entered: dict, as_of, buckets: int) -> None:
+    """Apply a day's changes to the stored fact, titles that the passing of a year makes visible included."""
+    table = FactTable(catalog, buckets=buckets)
+    year = int(str(as_of)[:4])
+    ids = [changed[n] for n in ("imdb_basic_snapshot", "imdb_rating_snapshot") if changed[n] is not None]
+    before = catalog.table_meta(table.name, "year")
+    if before is not None and before < year:
+        ids.append(inputs.basics.filter(F.col("year") > before + 1).select("id"))
+    reviews = [] if changed["nyt_snapshot"] is None else [inputs.reviews.join(changed["nyt_snapshot"], "id", "left_semi")]
+    table.refresh(inputs, DayChanges(ids, reviews, entered["dim_imdb_movies"], entered["dim_nyt_authors"],
+                                     entered["dim_nyt_movies"], entered["dim_nyt_reviews"]))
+    catalog.set_meta(table.name, {"year": year})
+
+
 SKIP_FILE_PCT = 0.5          # fixed value of the reference: ON_ERROR = SKIP_FILE_0.5%
 RATINGS_COLUMNS = ["tconst", "averageRating", "numVotes"]
 
 
-def run_pipeline(spark: SparkSession, root: str, paths: dict, ds: str, as_of=None, mode: str = "new_ids") -> dict:
+def run_pipeline(spark: SparkSession, root: str, paths: dict, ds: str, as_of=None, mode: str = "new_ids",
+                 register: str = "loaded", buckets: int = BUCKETS, fact: str = "rebuild") -> dict:
     """O3: one whole day from source files, every step in order.
 
     ``paths``: ``basics`` and ``ratings`` (TSV), ``reviews`` (JSON array files); a missing entry is a
-    feed that brought nothing. Extract new rows -> land them under the day -> run the suites,
-    store their results and gate -> truncate and bulk-load the raw tables (files with more than 0.5 %
+    feed that brought nothing. Extract new rows -> land them under the day, counting for the suites while they are
+    written -> store the suites' results and gate -> truncate and bulk-load the raw tables (files with more than 0.5 %
     bad rows are skipped, other bad rows dropped) -> snapshots -> models -> tests -> register the ids,
-    last, so a day that failed anywhere can be run again.
+    last, so a day that failed anywhere can be run again. ``register``: the ids of the rows that were ``loaded``, or of
+    all that ``landed`` (then rows that the load dropped never come again).
 
     All state lives under ``root``. Returns ``tests`` (name -> failing rows), ``loads`` (feed -> per-file
     report) and ``catalog``.
     """
+    if register not in ("loaded", "landed"):
+        raise ValueError("register is 'loaded' or 'landed'")
     root = root.rstrip("/")
     catalog = Catalog(spark, f"{root}/warehouse")
     columns = {"basics": S.BASICS_COLUMNS, "ratings": RATINGS_COLUMNS}
@@ -223,27 +288,54 @@ def run_pipeline(spark: SparkSession, root: str, paths: dict, ds: str, as_of=Non
     registries = {f: IdRegistry(spark, f"{root}/registry/{f}", "tconst") for f in columns}
 
     landed: dict[str, DataFrame] = {}
+    suites: dict[str, Q.ObservedSuite] = {}
     for feed, registry in registries.items():
         if paths.get(feed):
             text = T.StructType([T.StructField(c, T.StringType()) for c in columns[feed]])
-            new = extract_new(registry, read_tsv(spark, paths[feed], text), "tconst", mode)
-            rows = land_day(new, f"{root}/landing/{feed}", ds)
+            new = extract_new(registry, read_tsv(spark, paths[feed], text, multi_line=True), "tconst", mode)
+            rows, seen = land_observed(new, f"{root}/landing/{feed}", ds, RAW_SUITES[feed][1])
             if rows is not None:
-                landed[feed] = rows
+                landed[feed], suites[feed] = rows, seen
     if paths.get("reviews"):
-        folder = f"{root}/landing/reviews/ds={ds}"
-        read_variant(spark, paths["reviews"]).select(F.to_json("content")).write.mode("overwrite").text(folder)
-        landed["reviews"] = read_variant(spark, folder, lines=True)
+        rows, seen = land_reviews(spark, paths["reviews"], f"{root}/landing/reviews/ds={ds}")
+        if rows is not None:
+            landed["reviews"], suites["reviews"] = rows, seen
 
-    present = nonempty_feeds(landed)
-    gate_feeds(present, f"{root}/validation", ds)
+    gate_results({f: seen.result(M.review_raw_fields(landed[f]) if f == "reviews" else landed[f])
+                  for f, seen in suites.items()}, f"{root}/validation", ds)
     loaded, reports = {}, {}
     for feed in columns:
-        if feed in present:
+        if feed in landed:
             loaded[feed], reports[feed] = copy_into(spark, f"{root}/landing/{feed}/ds={ds}", raw_types[feed],
-                                                    CsvFormat(null_if=("", "\\N")), skip_file_pct=SKIP_FILE_PCT)
-    tests = load_and_build(catalog, loaded.get("basics"), loaded.get("ratings"), present.get("reviews"),
-                           F.lit(f"{ds} 00:00:00").cast("timestamp"), as_of or ds)
+                                                    LANDING, skip_file_pct=SKIP_FILE_PCT)
+    tests = load_and_build(catalog, loaded.get("basics"), loaded.get("ratings"), landed.get("reviews"),
+                           F.lit(f"{ds} 00:00:00").cast("timestamp"), as_of or ds, ds, buckets, fact)
     for feed, registry in registries.items():
-        commit_ids(registry, present.get(feed), "tconst")
+        if register == "landed":
+            commit_ids(registry, landed.get(feed), "tconst")
+        elif feed in loaded:
+            commit_ids(registry, catalog.read_table(f"raw_imdb_{feed}"), "id")
     return {"tests": tests, "loads": reports, "catalog": catalog}
+
+
+def land_reviews(spark: SparkSession, paths, folder: str) -> tuple[DataFrame | None, Q.ObservedSuite]:
+    """Land the records of JSON array files one per line, read back as VARIANT records.
+
+    The files are parsed record by record under the declared fields (no value holds a whole file); the counts of the
+    review suite are taken while the lines are written.
+    """
+    seen = Q.ObservedSuite(RAW_SUITES["reviews"][1])
+    records = read_json_array(spark, paths, M.REVIEW_DOCUMENT)
+    lines = records.select(F.to_json(F.struct("*")).alias("line")).select(F.parse_json("line").alias("content"))
+    seen.watch(lines, M.review_raw_fields).select(F.to_json("content")).write.mode("overwrite").text(folder)
+    return (read_variant(spark, folder, lines=True) if seen.rows else None), seen
+
+
+def failure_counts(tests: dict) -> DataFrame:
+    """The post-build tests of a day as rows: (test, failures). One aggregate per test, united."""
+    counts = [df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("test"), "failures")
+              for name, df in tests.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out

@@ -99,22 +99,40 @@ REVIEW_RAW_TYPES = [
 ]
 
 
-def review_raw_fields(raw_variant: DataFrame, content: str = "content") -> DataFrame:
-    """The landed review records as top-level columns (input of the raw review suite)."""
-    return raw_variant.select(*[variant_field(content, name, t).alias(name) for name, t in REVIEW_RAW_TYPES])
+# The records of a review file as they are read: the fields above, objects with the parts that the snapshot uses.
+REVIEW_DOCUMENT = T.StructType([
+    T.StructField(name, T.LongType() if t == "long" else T.StringType() if t else
+                  T.StructType([T.StructField("url" if name == "link" else "src", T.StringType())]))
+    for name, t in REVIEW_RAW_TYPES])
+
+
+def review_raw_fields(raw_variant: DataFrame, content: str = "content", keep: bool = False) -> DataFrame:
+    """The landed review records as top-level columns (input of the raw review suite); ``keep``: beside the record."""
+    return raw_variant.select(*([content] if keep else []),
+                              *[variant_field(content, name, t).alias(name) for name, t in REVIEW_RAW_TYPES])
 
 
 # ------------------------------------------------------------------ snapshots
 
+def basic_source(raw: DataFrame) -> DataFrame:
+    """The title snapshot's source: movies only, one row per id."""
+    src = raw.filter(F.col("title_type") == MOVIE_TITLE_TYPE)
+    return dedupe_latest(src, "id", total_order(src))
+
+
 def imdb_basic_snapshot(raw: DataFrame, snapshot: DataFrame | None, now) -> DataFrame:
     """M1: movies only, check strategy on five columns."""
-    src = raw.filter(F.col("title_type") == MOVIE_TITLE_TYPE)
-    return snapshot_check(snapshot, dedupe_latest(src, "id", total_order(src)), "id", BASICS_CHECK_COLS, now)
+    return snapshot_check(snapshot, basic_source(raw), "id", BASICS_CHECK_COLS, now)
+
+
+def rating_source(raw: DataFrame) -> DataFrame:
+    """The rating snapshot's source: one row per id."""
+    return dedupe_latest(raw, "id", total_order(raw))
 
 
 def imdb_rating_snapshot(raw: DataFrame, snapshot: DataFrame | None, now) -> DataFrame:
     """M2: check strategy on rating and votes."""
-    return snapshot_check(snapshot, dedupe_latest(raw, "id", total_order(raw)), "id", RATINGS_CHECK_COLS, now)
+    return snapshot_check(snapshot, rating_source(raw), "id", RATINGS_CHECK_COLS, now)
 
 
 def parse_reviews(raw_variant: DataFrame, content: str = "content") -> DataFrame:
@@ -124,11 +142,15 @@ def parse_reviews(raw_variant: DataFrame, content: str = "content") -> DataFrame
     return parsed.select(surrogate_key(*REVIEW_KEY_PARTS).alias("id"), "*")
 
 
+def review_source(raw_variant: DataFrame) -> DataFrame:
+    """The review snapshot's source: parsed documents, the newest of each id."""
+    parsed = parse_reviews(raw_variant)
+    return dedupe_latest(parsed, "id", total_order(parsed, "review_date_updated", "review_url"))
+
+
 def review_snapshot(raw_variant: DataFrame, snapshot: DataFrame | None) -> DataFrame:
     """M3: timestamp strategy on ``review_date_updated`` (a DATE)."""
-    parsed = parse_reviews(raw_variant)
-    latest = dedupe_latest(parsed, "id", total_order(parsed, "review_date_updated", "review_url"))
-    return snapshot_timestamp(snapshot, latest, "id", "review_date_updated")
+    return snapshot_timestamp(snapshot, review_source(raw_variant), "id", "review_date_updated")
 
 
 # ------------------------------------------------------------------- staging
@@ -214,8 +236,8 @@ FACT_COLUMNS = ["imdb_movie_id", "nyt_movie_id", "genre_id", "nyt_author_id", "n
 
 
 def imdb_combined(ratings: DataFrame, basics: DataFrame, d_titles: DataFrame,
-                  d_genres: DataFrame) -> DataFrame:
-    """Ratings x titles, title dim lookup, genre dim by array membership."""
+                  d_genres: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Ratings x titles, title dim lookup, genre dim by array membership (J4, J5, J6). ``keep=("id",)`` keeps the rating's id."""
     rb = rated_titles(ratings.select("id", "average_rating", "num_votes"),
                       basics.select("id", "genres_array"))
     im = d_titles.select(F.col("id").alias("__im_id"), F.col("id").alias("imdb_movie_id"),
@@ -224,7 +246,7 @@ def imdb_combined(ratings: DataFrame, basics: DataFrame, d_titles: DataFrame,
     with_genre = array_match_join(with_movie, "genres_array",
                                   d_genres.select(F.col("id").alias("genre_id"), "genre"),
                                   "genre", ["genre_id"])
-    return with_genre.select("imdb_movie_id", "average_rating", "num_votes", "genre_id",
+    return with_genre.select(*keep, "imdb_movie_id", "average_rating", "num_votes", "genre_id",
                              "year", "movie_name")
 
 
@@ -264,7 +286,7 @@ def nyt_combined(reviews: DataFrame, d_movies: DataFrame, d_authors: DataFrame,
 def fct_imdb_nyt(ratings: DataFrame, basics: DataFrame, reviews: DataFrame, d_genres: DataFrame,
                  d_titles: DataFrame, d_authors: DataFrame, d_movies: DataFrame,
                  d_reviews: DataFrame, match_year: bool = False,
-                 hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                 hot_rows: int | None = HOT_KEY_ROWS, keep: tuple = ()) -> DataFrame:
     """grain = rating x genre x review; the feeds meet on the movie name.
 
     A title with more than ``hot_rows`` reviews is split in the fan-out join, one with more
@@ -272,14 +294,14 @@ def fct_imdb_nyt(ratings: DataFrame, basics: DataFrame, reviews: DataFrame, d_ge
     inputs of the joins. Titles hot on the IMDB side are split by AQE's skew join; rows
     without a title name (every title that is not unique) are spread, not one hot key.
     """
-    left = imdb_combined(ratings, basics, d_titles, d_genres)
+    left = imdb_combined(ratings, basics, d_titles, d_genres, keep)
     if hot_rows is None:
         right = nyt_combined(reviews, d_movies, d_authors, d_reviews, hot_rows=None)
         fact = join_feeds(left, right, ["movie_name"], extra_keys=["year"], match_extra=match_year)
-        return fact.select(*FACT_COLUMNS)
+        return fact.select(*keep, *FACT_COLUMNS)
     right = nyt_combined(reviews, d_movies, d_authors, d_reviews, title_rows=reviews_per_title(reviews),
                          hot_rows=hot_rows)
     rows = nyt_rows_per_title(reviews, d_movies).withColumnRenamed("movie_title", "movie_name")
     fact = join_feeds(left, right, ["movie_name"], extra_keys=["year"], match_extra=match_year,
                       hot_rows=hot_rows, key_rows=rows)
-    return fact.select(*FACT_COLUMNS)
+    return fact.select(*keep, *FACT_COLUMNS)

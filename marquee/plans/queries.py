@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from marquee.functions import (
     contains_any,
+    ends_with,
     flag_name,
     between_dates,
     blank_to_null,
@@ -22,6 +23,7 @@ from marquee.functions import (
     null_sentinel,
     split_list,
     surrogate_key,
+    without,
 )
 from marquee.operators import quality as Q
 from marquee.operators.joins import (
@@ -33,16 +35,29 @@ from marquee.operators.joins import (
     unique_rows,
 )
 from marquee.operators.onehot import one_hot
-from marquee.operators.scd2 import as_of, current, dedupe_latest, scd2_history, snapshot_timestamp
+from marquee.operators.scd2 import as_of, as_of_join, current, dedupe_latest, scd2_history, snapshot_check, snapshot_timestamp
 from marquee.plans import models as M
 from marquee.plans import standins as SI
 from marquee.plans import suites as S
-from marquee.plans.daily import run_pipeline, snapshot_run
+from marquee.plans.daily import RATINGS_COLUMNS, failure_counts, land_observed, load_and_build, run_pipeline, snapshot_run
+from marquee.plans.fact import FactTable, KeyCounts
 from marquee.session import scratch_path, table_path
 from marquee.sources.catalog import Catalog
 from marquee.sources.html import extract_links, match_tables, union_pages
-from marquee.sources.readers import CsvFormat, JsonFormat, copy_into, read_csv_format, read_variant
+from marquee.sources.readers import (
+    CsvFormat,
+    JsonFormat,
+    Stage,
+    batch,
+    copy_into,
+    list_assets,
+    read_csv_format,
+    read_tsv,
+    read_variant,
+    sample_batch,
+)
 from marquee.sources.registry import IdRegistry
+from marquee.sources.snapshots import EventHistory, SnapshotTable
 from marquee.sources.writers import write_csv_gz, write_json
 
 QUERIES: dict[str, tuple] = {}
@@ -65,6 +80,8 @@ PART_WORDS = ["anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large",
               "plate", "red", "ring", "rod", "small", "widget"]
 WORDS_MISSING_FROM_DIM = ["anvil", "red", "widget"]
 
+# Buckets of the snapshot tables in queries whose days touch most keys; a day of few keys wants many more.
+BUCKETS = 16
 AS_OF_TS = "2024-01-15 12:00:00"
 RUN_TS = "2024-02-01 00:00:00"
 
@@ -362,11 +379,11 @@ def q_json_load(spark, d):
     root = scratch_path(spark, "json_load")
     SI.review_documents(_t(spark, d, "customer")).write.text(f"{root}/landed")
     raw = read_variant(spark, f"{root}/landed", lines=True)
-    catalog = Catalog(spark, f"{root}/warehouse")
-    for _ in range(2):
-        prev = catalog.read_current("nyt_snapshot") if catalog.exists("nyt_snapshot") else None
-        catalog.write_snapshot("nyt_snapshot", M.review_snapshot(raw, prev), F.col("dbt_valid_to").isNull())
-    return M.reviews_cleansed(catalog.read_table("nyt_snapshot"))
+    table = SnapshotTable(Catalog(spark, f"{root}/warehouse"), "nyt_snapshot", "id", BUCKETS)
+    for run in ("1", "2"):
+        table.merge(M.review_source(raw), run,
+                    lambda prev, rows: snapshot_timestamp(prev, rows, "id", "review_date_updated"))
+    return M.reviews_cleansed(table.read())
 
 
 # --------------------------------------------------------------------- M4 / O3
@@ -412,19 +429,184 @@ def q_dims_second_run(spark, d):
     return out
 
 
-@query("daily_pipeline", CLEANSED_SQL + " WHERE CAST(film_id AS BIGINT) % 997 <> 0")
-def q_daily_pipeline(spark, d):
-    """Two whole days of the pipeline from source files. Day 1 has titles with some unreadable rows
-    (dropped by the tolerant load), ratings, and no reviews; day 2 has the same files, of
-    which nothing is new. Returns the cleansed titles of the stored snapshot."""
-    root = scratch_path(spark, "daily_pipeline")
+ORIGINAL_SQL = """CASE CAST(film_id AS BIGINT) % 7
+    WHEN 0 THEN 'say "' || original || '"' WHEN 1 THEN original || ', "the end"' WHEN 2 THEN original || chr(92) || 'n' || chr(92)
+    WHEN 3 THEN original || chr(10) || 'II' WHEN 4 THEN ' ' || original || ' ' WHEN 5 THEN '"' || original || '"' ELSE original END"""
+LOADED_SQL = "CAST(film_id AS BIGINT) % 997 <> 0"
+
+
+def _two_days(spark, d, name):
+    """Two whole days of the pipeline from source files: day 1 brings everything, with some unreadable rows (dropped
+    by the tolerant load), day 2 the same files, of which only the rows that day 1 could not load are new."""
+    root = scratch_path(spark, name)
     paths = SI.source_files(spark, d, f"{root}/source")
+    day = {}
     for ds in ("2024-02-01", "2024-02-02"):
-        catalog = run_pipeline(spark, f"{root}/run", paths, ds)["catalog"]
-    cleansed = M.basics_cleansed(catalog.read_table("imdb_basic_snapshot"), as_of=RUN_TS)
+        day = run_pipeline(spark, f"{root}/run", paths, ds, buckets=BUCKETS)
+    return day
+
+
+@query("daily_pipeline", CLEANSED_SQL.replace("original AS original_title", f"{ORIGINAL_SQL} AS original_title")
+       + f" WHERE {LOADED_SQL}")
+def q_daily_pipeline(spark, d):
+    """The cleansed titles of the stored snapshot after two days of the pipeline."""
+    catalog = _two_days(spark, d, "daily_pipeline")["catalog"]
+    cleansed = M.basics_cleansed(catalog.read_table("imdb_basic_snapshot").drop("bucket", "part"), as_of=RUN_TS)
     return cleansed.withColumn("genres_array", F.array_join("genres_array", ","))
 
 
+DAY_TESTS = {"nyt_reviews_cleansed.movie_title.not_null": "0",
+             "nyt_reviews_cleansed.mpaa_rating.accepted_values":
+                 f"(SELECT count(DISTINCT mpaa) FROM notice WHERE mpaa NOT IN ({', '.join(repr(v) for v in S.ACCEPTED_MPAA)}))",
+             "imdb_ratings_cleansed.id.not_null": "0", "imdb_ratings_cleansed.average_rating.not_null": "0",
+             "imdb_ratings_cleansed.num_votes.not_null": "0", "imdb_basics_cleansed.id.not_null": "0",
+             "imdb_basics_cleansed.primary_title.not_null": "0",
+             "dim_imdb_movies_runtime_minutes_nonnegative": "(SELECT count(*) FROM sole_film JOIN film USING (film_id) WHERE minutes <= 0)",
+             "dim_imdb_movies_year_positive": "(SELECT count(*) FROM sole_film WHERE made <= 0)",
+             "imdb_ratings_positive_average_rating": "(SELECT count(*) FROM score WHERE points <= 0)",
+             "imdb_ratings_positive_num_votes": "(SELECT count(*) FROM score WHERE votes <= 0)",
+             "nyt_reviews_movie_title_has_length": "(SELECT count(*) FROM notice WHERE length(about) = 0)"}
+
+
+def _day_sql():
+    """Every relation of a built day as (relation, content), stated from the feeds."""
+    loaded = STAR_SQL.replace("= 'movie' AND", "= 'movie' AND p_partkey % 997 <> 0 AND").replace(
+        "'Title ' || (c_custkey // 3)", "'Title ' || c_custkey")
+    fact = FACT_SELECT_SQL.strip()
+    tests = " UNION ALL ".join(f"SELECT 'test', '{name}|' || {n}" for name, n in DAY_TESTS.items())
+    fields = ["imdb_movie_id", "nyt_movie_id", "genre_id", "nyt_author_id", "nyt_review_id", "average_rating", "num_votes",
+              "is_critics_pick"]
+    row = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in fields)
+    return f"""{loaded}
+SELECT 'rating' AS relation, film_id || '|' || points || '|' || votes AS content FROM score
+UNION ALL SELECT 'review', notice_key || '|' || about || '|' || critic || '|' || coalesce(mpaa, '') || '|' || coalesce(picture, '')
+  || '|' || opened || '|' || printed || '|' || touched || '|' || pick FROM notice
+UNION ALL SELECT 'title', film_id || '|' || label || '|' || made || '|' || minutes
+  FROM film JOIN (SELECT film_id FROM sole_film) USING (film_id)
+UNION ALL SELECT DISTINCT 'author', {_md5_sql('critic')} || '|' || critic FROM notice
+UNION ALL SELECT DISTINCT 'genre', {_md5_sql('tag')} || '|' || tag FROM (SELECT unnest(tags) AS tag FROM film)
+UNION ALL SELECT 'opening', opening_key || '|' || about || '|' || opened FROM sole_opening
+UNION ALL SELECT 'article', article_key || '|' || heading || '|' || printed || '|' || link || '|' || pick FROM sole_article
+UNION ALL SELECT 'fact', {row} FROM ({fact})
+UNION ALL {tests}"""
+
+
+@query("daily_tables", _day_sql())
+def q_daily_tables(spark, d):
+    """All that two days of the pipeline have built, row by row: ratings, reviews, the five dimensions, the fact, and the
+    number of failing rows of each of the twelve tests (Q6-Q8)."""
+    day = _two_days(spark, d, "daily_tables")
+    c = day["catalog"]
+    tests = failure_counts(day["tests"])
+    relations = {
+        "rating": (spark.table("imdb_ratings_cleansed"), ["id", "average_rating", "num_votes"]),
+        "review": (spark.table("nyt_reviews_cleansed"), ["id", "movie_title", "author_name", "mpaa_rating", "image_url",
+                                                         "opening_date", "review_date", "review_date_updated", "is_critics_pick"]),
+        "title": (c.read_table("dim_imdb_movies"), ["id", "name", "year", "runtime_minutes"]),
+        "author": (c.read_table("dim_nyt_authors"), ["id", "name"]),
+        "genre": (c.read_table("dim_imdb_genres"), ["id", "genre"]),
+        "opening": (c.read_table("dim_nyt_movies"), ["id", "title", "opening_date"]),
+        "article": (c.read_table("dim_nyt_reviews"), ["id", "headline", "review_date", "url", "is_critics_pick"]),
+        "fact": (c.read_table("fct_imdb_nyt"), M.FACT_COLUMNS),
+        "test": (tests, ["test", "failures"]),
+    }
+    out = None
+    for name, (df, columns) in relations.items():
+        text = F.concat_ws("|", *[F.coalesce(F.col(x).cast("string"), F.lit("")) for x in columns])
+        rows = df.select(F.lit(name).alias("relation"), text.alias("content"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# Three days: two thirds of the titles, all ratings and half of the reviews; the other titles and new votes of every fifth
+# rating; the other reviews. Dimensions only grow: what was unique on an earlier day stays in them.
+DELTA_SQL = f"""
+WITH {FEED_SQL.replace("CAST(o_custkey * 10 AS INTEGER)", "CAST(o_custkey * 10 + CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS INTEGER)")
+      .replace("c_mktsegment AS critic", "c_mktsegment AS critic, c_custkey % 2 AS half")
+      .replace("notice AS (", "sent AS (").replace("PARTITION BY notice_key", "PARTITION BY notice_key, c_custkey % 2")},
+early AS (SELECT * FROM sent WHERE half = 0),
+notice AS (SELECT * FROM sent QUALIFY row_number() OVER (PARTITION BY notice_key ORDER BY touched DESC, half) = 1),
+sole_film AS (
+  SELECT film_id, label, made FROM film WHERE CAST(film_id AS BIGINT) % 3 <> 1 QUALIFY count(*) OVER (PARTITION BY label, made) = 1
+  UNION SELECT film_id, label, made FROM film QUALIFY count(*) OVER (PARTITION BY label, made) = 1),
+sole_opening AS (
+  SELECT {_md5_sql('about', 'opened')} AS opening_key, about, opened FROM early QUALIFY count(*) OVER (PARTITION BY about, opened) = 1
+  UNION SELECT {_md5_sql('about', 'opened')}, about, opened FROM notice QUALIFY count(*) OVER (PARTITION BY about, opened) = 1),
+first_article AS (
+  SELECT {_md5_sql('heading', 'printed')} AS article_key, heading, printed, pick FROM early
+  QUALIFY count(*) OVER (PARTITION BY heading, printed) = 1),
+sole_article AS (
+  SELECT * FROM first_article UNION ALL
+  SELECT {_md5_sql('heading', 'printed')} AS article_key, heading, printed, pick FROM notice
+  WHERE {_md5_sql('heading', 'printed')} NOT IN (SELECT article_key FROM first_article)
+  QUALIFY count(*) OVER (PARTITION BY heading, printed) = 1),
+{STAR_SQL[STAR_SQL.index("rated AS ("):]}"""
+
+
+def _fact_days(spark, d):
+    """(titles, ratings, review documents) of three days; None: nothing came."""
+    titles, ratings = SI.basics_raw(_t(spark, d, "part")), SI.ratings_raw(_t(spark, d, "orders"))
+    customer = _t(spark, d, "customer")
+    third = F.col("id").cast("long") % 3 == 1
+    votes = F.col("num_votes") + F.when(F.col("id").cast("long") % 5 == 0, 1).otherwise(0)
+    return [(titles.filter(~third), ratings, SI.reviews_raw(customer.filter("c_custkey % 2 = 0"))),
+            (titles.filter(third), ratings.withColumn("num_votes", votes.cast("int")), None),
+            (None, None, SI.reviews_raw(customer.filter("c_custkey % 2 = 1")))]
+
+
+@query("fact_by_deltas", DELTA_SQL + FACT_SELECT_SQL)
+def q_fact_by_deltas(spark, d):
+    """M12 kept up to date by the changes of three days."""
+    catalog = Catalog(spark, scratch_path(spark, "fact_by_deltas"))
+    for n, (titles, ratings, reviews) in enumerate(_fact_days(spark, d), 1):
+        load_and_build(catalog, titles, ratings, reviews, F.lit(f"2024-01-0{n} 00:00:00").cast("timestamp"), RUN_TS,
+                       run=f"day{n}", buckets=BUCKETS, fact="delta")
+    return FactTable(catalog).read()
+
+
+@query("unique_counts", """
+WITH t AS (SELECT p_partkey, 'Title ' || (p_partkey // 4) AS label, p_size AS made FROM part),
+one AS (SELECT label, made, count(*) AS n FROM t WHERE p_partkey % 3 <> 1 GROUP BY ALL),
+two AS (SELECT label, made, count(*) AS n FROM t WHERE p_partkey % 7 <> 2 GROUP BY ALL)
+SELECT coalesce(one.label, two.label) AS label, coalesce(one.made, two.made) AS made, CAST(coalesce(one.n, 0) AS BIGINT) AS n_before,
+       CAST(coalesce(two.n, 0) AS BIGINT) AS n_after
+FROM one FULL JOIN two ON one.label = two.label AND one.made = two.made
+WHERE coalesce(one.n, 0) <> coalesce(two.n, 0)""")
+def q_unique_counts(spark, d):
+    """J3, A1 kept as counts: titles per (name, size); a day brings some titles and takes others away, and the keys whose
+    count has changed come out, those that became or stopped being unique among them."""
+    key = F.col("p_partkey")
+    titles = _t(spark, d, "part").select(key, F.concat(F.lit("Title "), F.expr("p_partkey div 4")).alias("label"),
+                                         F.col("p_size").alias("made"))
+    counts = KeyCounts(Catalog(spark, scratch_path(spark, "unique_counts")), "titles", ["label", "made"], BUCKETS)
+    first, second = key % 3 != 1, key % 7 != 2
+    counts.apply(added=titles.filter(first))
+    return counts.apply(added=titles.filter(second & ~first), removed=titles.filter(first & ~second))
+
+
+@query("suites_while_landing", """
+SELECT 'basics' AS feed, 0 AS expectation_index, CAST(count(*) AS BIGINT) AS element_count, CAST(0 AS BIGINT) AS unexpected_count, true AS success FROM part
+UNION ALL SELECT 'basics', 2, count(*), 0, true FROM part UNION ALL SELECT 'basics', 3, count(*), 0, true FROM part
+UNION ALL SELECT 'ratings', 0, count(*), 0, true FROM orders
+""")
+def q_suites_while_landing(spark, d):
+    """Q9, A6 observed: the counts of two raw suites taken by the writes that land the feeds, no scan for the suites."""
+    root = scratch_path(spark, "suites_while_landing")
+    paths = SI.source_files(spark, d, f"{root}/source")
+    columns = {"basics": S.BASICS_COLUMNS, "ratings": RATINGS_COLUMNS}
+    suites = {"basics": S.BASICS_RAW_SUITE, "ratings": [e for e in S.RATINGS_RAW_SUITE if e.column == "tconst"
+                                                        and e.type == Q.NOT_NULL]}
+    out = None
+    for feed, suite in suites.items():
+        text = T.StructType([T.StructField(c, T.StringType()) for c in columns[feed]])
+        landed, seen = land_observed(read_tsv(spark, paths[feed], text, multi_line=True), f"{root}/landing/{feed}",
+                                     "2024-02-01", suite)
+        rows = seen.result(landed).filter("element_count IS NOT NULL").select(
+            F.lit(feed).alias("feed"), "expectation_index", "element_count", "unexpected_count", "success")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ------------------------------------------------------------------ SCD2 (SN4/6/7)
 
 SCD_CHECK_SQL = f"""
@@ -498,6 +680,33 @@ def q_scd2_hot(spark, d):
     return scd2_history(feed, "stream", "seen", check_cols=["event_type"], tiebreak="event_id", split_rows=500)
 
 
+AS_OF_JOIN_SQL = f"""
+WITH v AS (SELECT user_id, event_type, dbt_valid_from, dbt_valid_to FROM ({SCD_CHECK_SQL}) s
+           WHERE dbt_valid_to IS NULL OR dbt_valid_from < dbt_valid_to),
+i AS (SELECT event_id, user_id, ts - INTERVAL 6 HOUR AS asked FROM events)
+SELECT i.event_id, i.user_id, i.asked, v.event_type AS v_event_type, v.dbt_valid_from AS v_dbt_valid_from
+FROM i ASOF LEFT JOIN v ON i.user_id = v.user_id AND i.asked >= v.dbt_valid_from"""
+
+
+def _state_before(spark, d, split_rows):
+    """The state of each event's user six hours before the event."""
+    asked = _t(spark, d, "events").select("event_id", "user_id", (F.col("ts") - F.expr("INTERVAL 6 HOURS")).alias("asked"))
+    versions = _scd_check(spark, d).select("user_id", "event_type", "dbt_valid_from", "dbt_valid_to")
+    return as_of_join(asked, versions, "user_id", "asked", split_rows=split_rows).drop("v_dbt_valid_to")
+
+
+@query("as_of_join", AS_OF_JOIN_SQL)
+def q_as_of_join(spark, d):
+    """SN7 for a table of instants."""
+    return _state_before(spark, d, 1_000_000)
+
+
+@query("as_of_join_hot", AS_OF_JOIN_SQL)
+def q_as_of_join_hot(spark, d):
+    """The same with every user over 50 rows split into ranges of time."""
+    return _state_before(spark, d, 50)
+
+
 # ---------------------------------------------------------------------- SN8
 
 @query("dedupe_latest", """
@@ -551,10 +760,44 @@ def q_two_day_run(spark, d):
     for batch, now in days:
         snap = snapshot_run(catalog, "events_snapshot", batch, "user_id",
                             now=F.lit(now).cast("timestamp_ntz"), check_cols=["event_type"],
-                            order=["ts", "event_id"])
+                            order=["ts", "event_id"], run=now[:10], buckets=BUCKETS)
     return snap
 
 
+@query("snapshot_few_keys", f"""
+WITH late AS (SELECT max(o_orderdate) AS day FROM orders)
+SELECT o_orderkey, o_orderstatus, {_md5_sql('o_orderkey', f"TIMESTAMP '{DAY1_END}'", sep='|')} AS dbt_scd_id,
+       TIMESTAMP '{DAY1_END}' AS dbt_valid_from, CASE WHEN o_orderdate = late.day THEN TIMESTAMP '{DAY2_END}' END AS dbt_valid_to
+FROM orders, late
+UNION ALL
+SELECT o_orderkey, 'returned', {_md5_sql('o_orderkey', f"TIMESTAMP '{DAY2_END}'", sep='|')}, TIMESTAMP '{DAY2_END}', NULL
+FROM orders, late WHERE o_orderdate = late.day""")
+def q_snapshot_few_keys(spark, d):
+    """A snapshot of all orders, then a run in which the orders of one date have come back: it reads and
+    replaces the buckets of those orders only."""
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    table = SnapshotTable(Catalog(spark, scratch_path(spark, "snapshot_few_keys")), "orders", "o_orderkey", 64)
+    last = orders.agg(F.max("o_orderdate")).scalar()
+    returned = orders.filter(F.col("o_orderdate") == last).withColumn("o_orderstatus", F.lit("returned"))
+    for rows, now in ((orders, DAY1_END), (returned, DAY2_END)):
+        at = F.lit(now).cast("timestamp_ntz")
+        table.merge(rows.drop("o_orderdate"), now[:10],
+                    lambda prev, batch, at=at: snapshot_check(prev, batch, "o_orderkey", ["o_orderstatus"], at))
+    return table.read().drop("dbt_updated_at")
+
+
+@query("late_changes", SCD_CHECK_SQL)
+def q_late_changes(spark, d):
+    """All events in three deliveries that are not in the order of time, a third of the events each, the second one
+    delivered twice: every delivery splits intervals of the ones before."""
+    feed = SI.change_feed(_t(spark, d, "events"))
+    history = EventHistory(Catalog(spark, scratch_path(spark, "late_changes")), "events", "user_id", "ts", ["event_type"],
+                           tiebreak="event_id", buckets=8)
+    for part in (2, 0, 0, 1):
+        history.apply(feed.filter(F.col("event_id") % 3 == part))
+    return history.read()
+
+
 # ------------------------------------------------------------------ S20 / S21
 
 ANCHOR_SQL = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']"""
@@ -847,6 +1090,88 @@ def q_scalar_misc(spark, d):
                     F.length("o_orderpriority").alias("priority_len"))
 
 
+# ------------------------------------------------ S11, S22-S24, L1, F4, F10, F11
+
+@query("stage_load", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def q_stage_load(spark, d):
+    """Customers landed below a stage, one folder per market segment, loaded by the stage's names, format and
+    tolerance."""
+    stage = Stage(scratch_path(spark, "stage_load"), CsvFormat(), skip_file_pct=0.5)
+    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    customer = _t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    names = F.when(F.col("c_mktsegment").isin(segments), F.col("c_mktsegment")).otherwise("OTHER")
+    (customer.withColumn("folder", names).write.options(**stage.fmt.writer_options()).partitionBy("folder")
+     .csv(stage.path("customers")[0]))
+    rows, _ = copy_into(spark, stage.path("customers/*"), customer.schema, stage.fmt, stage.skip_file_pct)
+    return rows
+
+
+def _landed_assets(spark, d, name):
+    """Three feeds landed as one folder of files ``<feed>-<n>.tsv.gz``-like names each; returns the folder."""
+    folder = scratch_path(spark, name)
+    for table, columns in (("nation", ["n_nationkey", "n_name"]), ("region", ["r_regionkey", "r_name"]),
+                           ("supplier", ["s_suppkey", "s_name"])):
+        (_t(spark, d, table).select(*columns).write.option("sep", "\t").option("header", True)
+         .option("compression", "gzip").csv(f"{folder}/{table}.raw"))
+    return folder
+
+
+@query("assets_and_batches", """
+SELECT 'nation' AS asset, CAST(n_nationkey AS VARCHAR) AS key, n_name AS name FROM nation
+UNION ALL SELECT 'region', CAST(r_regionkey AS VARCHAR), r_name FROM region
+UNION ALL SELECT 'supplier', CAST(s_suppkey AS VARCHAR), s_name FROM supplier""")
+def q_assets_and_batches(spark, d):
+    """Files found by name below a landing folder, each folder an asset, each asset read as a batch whose path
+    is known at run time only."""
+    folder = _landed_assets(spark, d, "assets")
+    files = list_assets(spark, f"{folder}/*", r"part-.*\.csv\.gz")
+    found = files.select(F.regexp_extract("path", r"([^/]+)\.raw/[^/]+$", 1).alias("asset")).distinct()
+    out = None
+    for asset in sorted(r.asset for r in found.collect()):        # folders of a landing zone, not rows
+        rows = batch(spark, lambda s, path: read_tsv(s, path, "key string, name string"), f"{folder}/{asset}.raw")
+        rows = rows.select(F.lit(asset).alias("asset"), "key", "name")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("authoring_sample", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 1000")
+def q_authoring_sample(spark, d):
+    """The first 1000 rows, which a suite is authored on."""
+    return sample_batch(_t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice").orderBy("o_orderkey"))
+
+
+@query("released_by_now", """
+SELECT p_partkey, CAST(1990 + p_size AS INTEGER) AS start_year FROM part WHERE 1990 + p_size <= year(current_timestamp) + 1""")
+def q_released_by_now(spark, d):
+    """Titles of no later year than the next one, by the session's clock."""
+    titles = _t(spark, d, "part").selectExpr("p_partkey", "CAST(1990 + p_size AS INT) AS start_year")
+    return titles.filter(not_future("start_year"))
+
+
+@query("dumped_tables", f"""
+WITH hrefs AS (SELECT page_id, unnest(h) AS href FROM (SELECT page_id, regexp_extract_all(html, '{ANCHOR_SQL}', 1) AS h FROM pages))
+SELECT page_id, href, replace(href, '/th', '') AS suffix FROM hrefs WHERE ends_with(href, 'on')""")
+def q_dumped_tables(spark, d):
+    """links with a wanted ending, and what is left of their names without a prefix."""
+    links = extract_links(_t(spark, d, "pages"), "html", keep=["page_id"]).filter(ends_with("href", "on"))
+    return links.select("page_id", "href", without("href", "/th").alias("suffix"))
+
+
+# Markup of every kind; '@' stands for a page's number.
+LINK_MARKUP = """<!-- <a href="comment@"> --><A id=1 HREF = "quoted@.gz">x</A><script>var t="<a href=script@>"</script>
+<a title='href=none@>' href=plain@>t</a><abbr href=abbr@><style>a{}<a href=style@></style><a href='single @' href=second@>
+<a data-href='data@'><a name=anchor@><a href="?a=@&amp;b=&#65;"><title><a href=title@>"""
+
+
+@query("link_cases", """
+SELECT page_id, CAST(link_pos AS INTEGER) AS link_pos, replace(href, '@', CAST(page_id AS VARCHAR)) AS href
+FROM pages, (VALUES (0, 'quoted@.gz'), (1, 'plain@'), (2, 'single @'), (3, '?a=@&b=A')) c(link_pos, href)""")
+def q_link_cases(spark, d):
+    """S20 on such markup made around each page's number; the expected links are known by construction."""
+    html = F.replace(F.lit(LINK_MARKUP), F.lit("@"), F.col("page_id").cast("string"))
+    return extract_links(_t(spark, d, "pages").select("page_id", html.alias("html")), "html", keep=["page_id"])
+
+
 # ------------------------------------------------------------------ ST1 / ST2
 
 RESEND_FROM = "2024-01-15 00:00:00"
@@ -869,6 +1194,22 @@ def q_stream_dedup(spark, d):
     return sink.read()
 
 
+@query("stream_state_dedup", QUERIES["stream_dedup"][1])
+def q_stream_state_dedup(spark, d):
+    """Three deliveries drained one by one, each run restarted from the checkpoint: all events, their second half again, all
+    again. The keys seen are the query's state in RocksDB, kept for a day."""
+    from marquee.streaming import dedup_exact, ingest_stream, run_to_files
+
+    ev = _t(spark, d, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    root = scratch_path(spark, "stream_state_dedup")
+    late = ev.filter(F.col("ts") >= F.lit(RESEND_FROM).cast("timestamp_ntz"))
+    for delivery in (ev, late, ev):
+        delivery.write.mode("append").parquet(f"{root}/landing")
+        run_to_files(dedup_exact(ingest_stream(spark, f"{root}/landing", ev.schema), "event_id", ttl="1 day"),
+                     f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.schema(ev.schema).parquet(f"{root}/out")
+
+
 @query("stream_watermark", QUERIES["stream_dedup"][1])
 def q_stream_watermark(spark, d):
     """The same two deliveries through the bounded-state form: repeats of an event id within the
@@ -909,9 +1250,9 @@ def q_stream_snapshot(spark, d):
     landing, checkpoint = f"{root}/landing", f"{root}/_checkpoint"
     catalog = Catalog(spark, f"{root}/warehouse")
     sink = SnapshotSink(catalog, "events_snapshot", key="user_id", order=["ts", "event_id"],
-                        now=_day_end, check_cols=["event_type"])
+                        now=_day_end, check_cols=["event_type"], buckets=BUCKETS)
     day1 = F.col("ts") < F.lit(DAY1_END).cast("timestamp_ntz")
     for day in (day1, ~day1):
         feed.filter(day).write.mode("append").parquet(landing)
         run_available(ingest_stream(spark, landing, feed.schema), sink, checkpoint)
-    return catalog.read_table("events_snapshot")
+    return SnapshotTable(catalog, "events_snapshot", "user_id").read()

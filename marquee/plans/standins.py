@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from marquee.plans.models import GENRES
 from marquee.session import table_path
+from marquee.sources.readers import CsvFormat
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,11 +106,11 @@ def paged_feed(conversations: DataFrame, page_size: int = 20) -> DataFrame:
             .agg(F.collect_list(F.struct("turn", "role", "text")).alias("results")))
 
 
-def review_documents(customer: DataFrame) -> DataFrame:
+def review_documents(customer: DataFrame, title: str = REVIEW_TITLE, keep=()) -> DataFrame:
     """Review documents as JSON text (column ``value``) with the feed's field names; ``multimedia``
     is null for every third nation."""
     doc = f"""named_struct(
-        'display_title', {REVIEW_TITLE},
+        'display_title', {title},
         'mpaa_rating', {LABEL},
         'critics_pick', CAST(c_nationkey % 2 AS INT),
         'byline', c_mktsegment,
@@ -121,7 +122,7 @@ def review_documents(customer: DataFrame) -> DataFrame:
         'link', named_struct('url', concat('https://reviews.example/', CAST(c_custkey AS STRING))),
         'multimedia', CASE WHEN c_nationkey % 3 != 0
                            THEN named_struct('src', concat('img/', CAST(c_custkey AS STRING))) END)"""
-    return customer.selectExpr(f"to_json({doc}) AS value")
+    return customer.selectExpr(f"to_json({doc}) AS value", *keep)
 
 
 def reviews_raw(customer: DataFrame) -> DataFrame:
@@ -129,19 +130,32 @@ def reviews_raw(customer: DataFrame) -> DataFrame:
     return review_documents(customer).selectExpr("parse_json(value) AS content")
 
 
+# Decorations of original titles in the source files, by p_partkey modulo 7: what a CSV file must carry unharmed.
+ORIGINAL_TITLE = """CASE CAST(id AS BIGINT) % 7
+    WHEN 0 THEN concat('say "', original_title, '"') WHEN 1 THEN concat(original_title, ', "the end"')
+    WHEN 2 THEN concat(original_title, chr(92), 'n', chr(92)) WHEN 3 THEN concat(original_title, chr(10), 'II')
+    WHEN 4 THEN concat(' ', original_title, ' ') WHEN 5 THEN concat('"', original_title, '"') ELSE original_title END"""
+
+
 def source_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
     """The feeds as source files: titles and ratings as TSV with ``\\N`` for NULL, the runtime of every
-    997th title unreadable; returns the paths by feed."""
+    997th title unreadable, quotes, commas, backslashes, line ends and blanks in the original titles; reviews as JSON
+    arrays of at most 1000, one per file. Returns the paths by feed."""
     part = basics_raw(read(spark, sf_dir, "part"))
     titles = part.selectExpr(
-        "id AS tconst", "title_type AS titleType", "primary_title AS primaryTitle", "original_title AS originalTitle",
+        "id AS tconst", "title_type AS titleType", "primary_title AS primaryTitle", f"{ORIGINAL_TITLE} AS originalTitle",
         "CAST(CAST(is_adult AS INT) AS STRING) AS isAdult", "CAST(start_year AS STRING) AS startYear",
         "CAST(end_year AS STRING) AS endYear",
         "CASE WHEN id % 997 = 0 THEN 'about 90' ELSE CAST(runtime_minutes AS STRING) END AS runtimeMinutes", "genres")
     ratings = ratings_raw(read(spark, sf_dir, "orders")).selectExpr(
         "id AS tconst", "CAST(average_rating AS STRING) AS averageRating", "CAST(num_votes AS STRING) AS numVotes")
-    paths = {"basics": f"{folder}/title.basics", "ratings": f"{folder}/title.ratings"}
+    paths = {"basics": f"{folder}/title.basics", "ratings": f"{folder}/title.ratings", "reviews": f"{folder}/reviews/*"}
     for feed, df in (("basics", titles), ("ratings", ratings)):
-        (df.write.option("sep", "\t").option("header", True).option("nullValue", "\\N")
-         .option("compression", "gzip").csv(paths[feed]))
+        tsv = CsvFormat(sep="\t").writer_options() | {"nullValue": "\\N"}
+        df.write.options(**tsv).csv(paths[feed])
+    # The review suite wants every title once in a batch.
+    documents = review_documents(read(spark, sf_dir, "customer"), "concat('Title ', CAST(c_custkey AS STRING))",
+                                 ["c_custkey div 1000 AS page"])
+    array = documents.groupBy("page").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")))
+    array.write.partitionBy("page").text(f"{folder}/reviews")
     return paths

@@ -1,44 +1,48 @@
-"""Catalog: source aliases, model references and materializations.
-
-Tables are plain Parquet folders in the shared scratch/warehouse root. A
-table write never overwrites anything: each write goes to a new version folder,
-and then a new numbered pointer (one row, ``_pointers/n=<number>``) is added.
-The pointer with the greatest number is the table; a pointer write that fails
-leaves no row and the table stays what it was. Reading a table resolves the
-pointer (one tiny row) and reads the folders it names.
+"""Source aliases, model references and materializations over Spark's own tables.
+
+A ``Catalog`` is a database of the session's catalog whose location is ``root``; its tables are
+managed Parquet tables, written with ``saveAsTable`` and ``insertInto`` and dropped, renamed, truncated and
+described with Spark's statements. With a metastore they outlive the application.
+
+* ``write_table`` builds the new rows beside the old table and takes its name when they are complete,
+  so a table can be rebuilt from its own rows and a failed build leaves it as it was.
+* ``append_table`` adds rows in one job; a rerun leaves out the keys that an earlier attempt has added
+  (``append_new``), so an append can be repeated.
+* Snapshot tables: see ``marquee.sources.snapshots``.
 """
 
 from __future__ import annotations
 
+import contextlib
+import hashlib
 import json
-import uuid
 from typing import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marquee.operators.joins import append_new
 
-# Parts that appends and snapshot runs may add to a table before they are merged.
-MAX_PARTS = 16
+PROPERTY = "marquee.meta"
 
 
 class Catalog:
-    def __init__(self, spark: SparkSession, root: str, sources: dict | None = None):
+    def __init__(self, spark: SparkSession, root: str, sources: dict | None = None, database: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.database = database or "m_" + hashlib.md5(self.root.encode()).hexdigest()[:16]
         self.sources: dict[str, object] = dict(sources or {})
         self.models: dict[str, Callable[["Catalog"], DataFrame]] = {}
         self.kinds: dict[str, str] = {}
+        location = self.root.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{location}'")
 
     # ------------------------------------------------------------------ sources
     def source(self, name: str) -> DataFrame:
-        """``source('movies', name)``: an alias for a path or a DataFrame."""
+        """``source('movies', name)``: an alias for a table, a path or a DataFrame."""
         s = self.sources[name]
         if isinstance(s, DataFrame):
             return s
-        if isinstance(s, str) and self.exists(s):
+        if isinstance(s, str) and s.isidentifier() and self.exists(s):
             return self.read_table(s)
         return self.spark.read.parquet(s)
 
@@ -53,138 +57,63 @@ class Catalog:
             return self.read_table(name)
         return self.models[name](self)
 
-    # ------------------------------------------------------------------ storage
-    def _pointers(self, name: str) -> str:
-        return f"{self.root}/{name}/_pointers"
-
-    def _pointer_row(self, name: str) -> dict | None:
-        """Fields of the newest pointer; None if the table was never written.
-
-        Only a missing folder counts as absent: a pointer folder that cannot be read raises.
-        """
-        rows = self.spark.read.schema("fields string, n long")
-        try:
-            newest = rows.parquet(self._pointers(name)).agg(F.max(F.struct("n", "fields")).alias("p")).first()["p"]
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return None if newest is None else {**json.loads(newest["fields"]), "n": newest["n"]}
-
-    def _write_pointer(self, name: str, fields: dict) -> None:
-        """Add the next pointer. Its folder is new, so nothing that a reader sees is touched."""
-        now = self._pointer_row(name)
-        n = now["n"] + 1 if now else 1
-        row = json.dumps({k: v for k, v in fields.items() if k != "n"})
-        (self.spark.range(1).select(F.lit(row).alias("fields")).coalesce(1)
-         .write.mode("overwrite").parquet(f"{self._pointers(name)}/n={n}"))
+    # ------------------------------------------------------------------- tables
+    def table(self, name: str) -> str:
+        """Full name of a table."""
+        return f"{self.database}.{name}"
 
     def exists(self, name: str) -> bool:
-        return self._pointer_row(name) is not None
-
-    def table_location(self, name: str) -> str:
-        return self._pointer_row(name)["location"]
+        return self.spark.catalog.tableExists(self.table(name))
 
     def read_table(self, name: str) -> DataFrame:
-        """All rows: the current part plus, for snapshot tables, every closed part."""
-        ptr = self._pointer_row(name)
-        return self.spark.read.parquet(ptr["location"], *ptr.get("history", []))
-
-    def read_current(self, name: str) -> DataFrame:
-        """Only the current part (for snapshot tables: the current versions)."""
-        return self.spark.read.parquet(self.table_location(name))
-
-    def write_snapshot(self, name: str, snapshot: DataFrame, is_current, meta: dict | None = None) -> DataFrame:
-        """Store an SCD2 run: rewrite current versions, append closed ones (one job).
-
-        ``snapshot`` holds the run's current rows and the rows it closed;
-        ``is_current`` (a Column) tells them apart. Both land in one write
-        partitioned by it; the pointer then names the new current part and
-        the list of closed parts (earlier ones plus this run's). Unchanged
-        history is never read or rewritten, and a crashed run leaves only
-        unreferenced files.
-        """
-        base = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
-        snapshot.withColumn("__is_current", is_current).write.mode("overwrite") \
-            .partitionBy("__is_current").parquet(base)
-        cur, closed = f"{base}/__is_current=true", f"{base}/__is_current=false"
-        history = list((self._pointer_row(name) or {}).get("history", []))
-        if self._has_files(closed):
-            history.append(closed)
-        if not self._has_files(cur):
-            self.spark.createDataFrame([], snapshot.schema).write.mode("overwrite").parquet(cur)
-        if len(history) > MAX_PARTS:
-            history = [self._merged(name, history)]
-        self._write_pointer(name, {"location": cur, "history": history, "snapshot": True, **(meta or {})})
-        return self.read_table(name)
-
-    def _has_files(self, path: str) -> bool:
-        try:
-            self.spark.read.parquet(path).schema
-            return True
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return False
+        return self.spark.table(self.table(name))
 
     def write_table(self, name: str, df: DataFrame, meta: dict | None = None) -> DataFrame:
-        """Write a new version, then a pointer to it (with optional metadata)."""
-        loc = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(loc)
-        self._write_pointer(name, {"location": loc, "history": [], **(meta or {})})
-        return self.spark.read.parquet(loc)
-
-    def table_meta(self, name: str, field: str):
-        """A metadata value stored with the table's current version (None if absent)."""
-        return (self._pointer_row(name) or {}).get(field)
+        """Replace a table: the new rows are complete before the old ones go."""
+        built = f"{name}__built"
+        self.drop(built)
+        df.write.saveAsTable(self.table(built))
+        self.drop(name)
+        self.spark.sql(f"ALTER TABLE {self.table(built)} RENAME TO {self.table(name)}")
+        if meta:
+            self.set_meta(name, meta)
+        return self.read_table(name)
 
     def append_table(self, name: str, df: DataFrame) -> DataFrame:
-        """Append rows as a new part folder listed in the pointer (insert-only tables).
-
-        The rows land in their own folder first; only the new pointer makes
-        them part of the table, so an interrupted append leaves nothing behind
-        that a rerun could duplicate. An append without rows adds no part; more
-        than ``MAX_PARTS`` parts are merged.
-        """
+        """Add rows to a table (columns by name), creating it if needed; small partitions are gathered first."""
         if not self.exists(name):
             return self.write_table(name, df)
-        part = f"{self.root}/{name}/p-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(part)
-        if self.spark.read.parquet(part).isEmpty():
-            return self.read_table(name)          # a day without new rows adds no part
-        ptr = self._pointer_row(name)
-        self._write_pointer(name, {**ptr, "history": [*ptr.get("history", []), part]})
-        if len(ptr.get("history", [])) >= MAX_PARTS:
-            return self.compact(name)
+        columns = self.read_table(name).columns
+        df.select(*columns).hint("rebalance").write.insertInto(self.table(name))
         return self.read_table(name)
 
-    def _merged(self, name: str, parts: list[str]) -> str:
-        """The closed parts of a snapshot table rewritten as one folder."""
-        merged = f"{self.root}/{name}/h-{uuid.uuid4().hex}"
-        self.spark.read.parquet(*parts).write.mode("overwrite").parquet(merged)
-        return merged
-
     def compact(self, name: str) -> DataFrame:
-        """Merge a table's parts so daily runs do not accumulate small folders.
+        """Rewrite a table whose appends have left many small files."""
+        return self.write_table(name, self.read_table(name).hint("rebalance"), self.meta(name))
 
-        Snapshot tables keep their current part and get all closed parts
-        rewritten as one; other tables are rewritten as one new version. Either
-        way the new files are complete before the new pointer, so readers
-        never see a half-compacted table.
-        """
-        ptr = self._pointer_row(name)
-        parts = ptr.get("history", [])
-        if len(parts) <= 1:
-            return self.read_table(name)
-        if ptr.get("snapshot"):
-            ptr["history"] = [self._merged(name, parts)]
-        else:
-            loc = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
-            self.spark.read.parquet(ptr["location"], *parts).write.mode("overwrite").parquet(loc)
-            ptr["location"], ptr["history"] = loc, []
-        self._write_pointer(name, ptr)
+    def truncate(self, name: str, df_like: DataFrame | None = None) -> DataFrame:
+        """Empty a table (S13); one that does not exist yet is created with the columns of ``df_like``."""
+        if not self.exists(name):
+            return self.write_table(name, df_like.limit(0))
+        self.spark.sql(f"TRUNCATE TABLE {self.table(name)}")
         return self.read_table(name)
 
+    def drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table(name)}")
+
+    # ----------------------------------------------------------------- metadata
+    def meta(self, name: str) -> dict:
+        """Values stored with a table (a table property)."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.table(name)}").collect() if self.exists(name) else []
+        return next((json.loads(r["value"]) for r in rows if r["key"] == PROPERTY), {})
+
+    def table_meta(self, name: str, field: str):
+        return self.meta(name).get(field)
+
+    def set_meta(self, name: str, fields: dict) -> None:
+        value = json.dumps({**self.meta(name), **fields}).replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"ALTER TABLE {self.table(name)} SET TBLPROPERTIES ('{PROPERTY}' = '{value}')")
+
     # -------------------------------------------------------- materializations
     def materialize(self, name: str, df: DataFrame, kind: str = "view", key: str | None = None,
                     null_aware: bool = False) -> DataFrame:
@@ -201,11 +130,17 @@ class Catalog:
         if kind == "incremental":
             if not self.exists(name):
                 return self.write_table(name, df)
-            this = self.read_table(name)
-            new = append_new(df, this, key, null_aware=null_aware)
-            return self.append_table(name, new)
+            return self.append_table(name, append_new(df, self.read_table(name), key, null_aware=null_aware))
         raise ValueError(kind)
 
-    def truncate(self, name: str, df_like: DataFrame) -> DataFrame:
-        """Replace a table by an empty one with the same schema."""
-        return self.write_table(name, df_like.limit(0))
+
+@contextlib.contextmanager
+def overwriting_partitions(spark: SparkSession):
+    """Within: an overwriting insert replaces only the partitions it brings rows for."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name, "static")
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

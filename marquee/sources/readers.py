@@ -15,10 +15,14 @@ from pyspark.sql import types as T
 
 
 def read_tsv(spark: SparkSession, path, schema=None, null_token: str = "\\N",
-             repartition: int | None = None) -> DataFrame:
-    """Tab-separated file with a header row; the sentinel ``\\N`` reads as NULL."""
-    r = (spark.read.option("sep", "\t").option("header", True)
-         .option("nullValue", null_token).option("mode", "PERMISSIVE"))
+             repartition: int | None = None, multi_line: bool = False) -> DataFrame:
+    """Tab-separated file with a header row; the sentinel ``\\N`` reads as NULL.
+
+    A quoted field may hold tabs and doubled quotes, and line ends with ``multi_line`` (one task
+    then reads a file, as it does anyway for gzip).
+    """
+    r = (spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
+         .option("nullValue", null_token).option("mode", "PERMISSIVE").option("multiLine", multi_line))
     df = r.schema(schema).csv(path) if schema is not None else r.csv(path)
     return df.repartition(repartition) if repartition else df
 
@@ -58,6 +62,7 @@ class CsvFormat:
     null_if: tuple = ("",)
     quote: str = '"'
     sep: str = ","
+    multi_line: bool = False        # quoted fields may hold line ends; one task then reads a file
 
     def __post_init__(self):
         if self.skip_header not in (0, 1):
@@ -72,6 +77,22 @@ class CsvFormat:
             "nullValue": self.null_if[0] if self.null_if else None,
             "emptyValue": "" if "" not in self.null_if else None,
             "enforceSchema": True,
+            "multiLine": self.multi_line,
+            "compression": self.compression,
+        }
+
+    def writer_options(self) -> dict:
+        """Options under which Spark writes what ``reader_options`` reads back: quotes doubled, backslashes and
+        blanks as they are, NULL as an empty field and an empty string as a quoted one."""
+        return {
+            "header": self.skip_header >= 1,
+            "sep": self.sep,
+            "quote": self.quote,
+            "escape": self.quote,
+            "nullValue": "",
+            "emptyValue": self.quote * 2,
+            "ignoreLeadingWhiteSpace": False,
+            "ignoreTrailingWhiteSpace": False,
             "compression": self.compression,
         }
 

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.sources.readers import CsvFormat
+
 
 def write_csv_gz(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
     """CSV with a header, gzip, NULL as empty field, no index column."""
-    (df.write.mode(mode).option("header", header).option("compression", "gzip")
-     .option("nullValue", "").option("emptyValue", '""').option("quote", '"').option("escape", '"')
-     .csv(path))
+    df.write.mode(mode).options(**CsvFormat(skip_header=int(header)).writer_options()).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

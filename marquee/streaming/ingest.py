@@ -23,6 +23,7 @@ from marquee.operators.joins import anti_by_registry
 from marquee.operators.scd2 import dedupe_latest
 from marquee.plans.daily import snapshot_run
 from marquee.sources.catalog import Catalog
+from marquee.sources.snapshots import BUCKETS, EventHistory
 
 
 def ingest_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
@@ -42,6 +43,41 @@ def dedup_stream(df: DataFrame, key, event_time: str, delay: str) -> DataFrame:
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ARRIVED = "__arrived"
+
+
+def dedup_exact(df: DataFrame, key, ttl: str | None = None) -> DataFrame:
+    """ST2 with Spark's state: the first row of each ``key``, however late its repeats come.
+
+    The keys seen are the query's keyed state, kept by the state store beside the checkpoint and restored with it, so a
+    micro-batch that is replayed gives the same rows and nothing is read again per batch. ``ttl`` bounds the state: a key is
+    forgotten that long after its row arrived (the micro-batch's own time), and a repeat that comes later is new again.
+    Without it the state grows with the keys. Run it with ``run_to_files``, which keeps the state in RocksDB: it is then
+    bounded by disk, not by the executors' memory.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    if ttl is None:
+        return df.dropDuplicates(keys)
+    timed = df.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, ttl)
+    return timed.dropDuplicatesWithinWatermark(keys).drop(ARRIVED)
+
+
+def run_to_files(df: DataFrame, path: str, checkpoint: str) -> None:
+    """Drain everything available into Parquet files (exactly once, by Spark's file sink), with state in RocksDB."""
+    conf, name = df.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name, None)
+    conf.set(name, ROCKSDB)
+    try:
+        query = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    finally:
+        conf.set(name, before) if before else conf.unset(name)
+    if query.exception() is not None:
+        raise query.exception()
+
+
 class RegistryDedupSink:
     """ST2, exact form: each micro-batch keeps rows whose key was never seen.
 
@@ -61,7 +97,9 @@ class RegistryDedupSink:
     def _registry(self, batch_id: int) -> DataFrame | None:
         try:
             ids = self.spark.read.parquet(self.ids_path)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":        # an unreadable registry is not an empty one
+                raise
             return None
         return ids.filter(F.col("batch_id") != batch_id).select(self.key)
 
@@ -88,8 +126,8 @@ class SnapshotSink:
     """
 
     def __init__(self, catalog: Catalog, name: str, key, order, now=None, check_cols=None,
-                 updated_at: str | None = None):
-        self.catalog, self.name, self.key, self.order = catalog, name, key, order
+                 updated_at: str | None = None, buckets: int = BUCKETS):
+        self.catalog, self.name, self.key, self.order, self.buckets = catalog, name, key, order, buckets
         self.now, self.check_cols, self.updated_at = now, check_cols, updated_at
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -98,7 +136,21 @@ class SnapshotSink:
             return
         now = self.now(batch) if callable(self.now) else self.now
         snapshot_run(self.catalog, self.name, batch, self.key, now=now, check_cols=self.check_cols,
-                     updated_at=self.updated_at, order=self.order, meta={"batch_id": batch_id})
+                     updated_at=self.updated_at, order=self.order, meta={"batch_id": batch_id},
+                     run=f"batch-{batch_id}", buckets=self.buckets)
+
+
+class EventHistorySink:
+    """ST3 for feeds that arrive in any order: each micro-batch is inserted into an ``EventHistory``.
+
+    A replayed micro-batch brings events that are stored already and changes nothing.
+    """
+
+    def __init__(self, history: EventHistory):
+        self.history = history
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.history.apply(batch)
 
 
 def run_available(df: DataFrame, sink, checkpoint: str, query_name: str | None = None) -> None:

@@ -186,6 +186,8 @@ def test_pipeline_from_landed_paths(spark, tmp_root, local_dir):
         ("tt99", "movie", "Jaws", "Jaws", "0", "1975", None, "124", "Thriller")], ratings, DAY1_REVIEWS), "2022-09-14")
     assert rows(cat.read_table("raw_imdb_basics"), "id") == [("tt99",)]
     assert cat.read_table("raw_nyt_reviews").count() == 3 and cat.read_table("nyt_snapshot").count() == 3
+    assert rows(out["catalog"].read_table("nyt_snapshot"), "mpaa_rating", "image_url") == srt(
+        [("R", "img/h-heat"), ("", None), ("R", "img/h-twins")])
     assert cat.read_table("fct_imdb_nyt").filter("nyt_movie_id IS NOT NULL").count() > 0
 
     # day 3: nothing new anywhere: raw tables are truncated, the rest stays
@@ -213,6 +215,46 @@ def test_pipeline_skips_a_bad_file_and_registers_only_after_success(spark, tmp_r
     assert out["catalog"].read_table("raw_imdb_basics").count() == len(DAY1_BASICS)
 
 
+def test_rows_that_were_not_loaded_come_again(spark, tmp_root, local_dir):
+    from marquee.plans.daily import run_pipeline
+
+    titles = [("tt1", "movie", "Heat", "Heat", "0", "1995", None, "170", "Drama"),
+              ("tt2", "movie", "Alien", "Alien", "0", "1979", None, "junk", "Sci-Fi"),
+              ("tt3", "movie", "Up", "Up", "0", "2009", None, "96", "Animation")]
+    mended = [t if t[0] != "tt2" else (*t[:7], "117", t[8]) for t in titles]
+    for register, want in (("loaded", ["tt1", "tt2", "tt3"]), ("landed", [])):
+        root = f"{tmp_root}-{register}"
+        out = run_pipeline(spark, root, write_sources(local_dir, f"{register}1", titles, DAY1_RATINGS), "2022-09-13",
+                           register=register, buckets=4)
+        assert {r.status for r in out["loads"]["basics"].collect()} == {"SKIPPED"}
+        out = run_pipeline(spark, root, write_sources(local_dir, f"{register}2", mended, DAY1_RATINGS), "2022-09-14",
+                           register=register, buckets=4)
+        assert [r.id for r in out["catalog"].read_table("imdb_basic_snapshot").orderBy("id").collect()] == want
+
+
+def test_suite_observed_by_the_landing_write_equals_the_suite_on_the_rows(spark, tmp_root):
+    from marquee.operators import quality as Q
+    from marquee.plans.daily import land_observed
+
+    suite = [Q.not_null("a"), Q.not_null("b", mostly=0.5), Q.in_set("b", ["x", "y"], mostly=0.5), Q.unique_proportion("a", 0.5, 1.0),
+             Q.in_type_list("a", ["StringType"]), Q.columns_match_set(["a", "b"]), Q.not_null("gone")]
+    df = spark.createDataFrame([("1", "x"), ("2", "z"), ("2", None), ("3", "y"), (None, "x")], "a string, b string")
+    landed, seen = land_observed(df, f"{tmp_root}/l", "2024-01-01", suite)
+    assert seen.rows == 5 and rows(seen.result(landed)) == rows(Q.run_suite(landed, suite))
+    empty, seen = land_observed(df.limit(0), f"{tmp_root}/e", "2024-01-01", suite)
+    assert empty is None and seen.rows == 0
+    # the source is read once, by the write
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    land_observed(df.mapInArrow(counted, df.schema), f"{tmp_root}/once", "2024-01-01", suite)
+    assert reads.value == 5
+
+
 def test_failing_gate_blocks_the_load(spark, tmp_root):
     cat = Catalog(spark, tmp_root)
     bad = [("tt1", "movie", None, None, "0", "1995", None, "1", "Drama")]     # titles below 99 % non-null

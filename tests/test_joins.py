@@ -178,3 +178,14 @@ def test_array_match_join_takes_dim_columns_of_any_type(spark):
     dim = spark.sql("SELECT 'a' AS v, map('x', 1) AS m, named_struct('n', 2) AS s")
     got = array_match_join(df, "g", dim, "v", ["m", "s"]).collect()
     assert sorted((r.id, r.m and dict(r.m), r.s and r.s.n) for r in got) == [(1, {"x": 1}, 2), (2, None, None)]
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    from marquee.operators.joins import _deal
+
+    same = spark.range(10_000).select(F.lit("k").alias("k"), F.lit(1).alias("v"))
+    hot = spark.createDataFrame([("k", 100)], "k string, __b long")
+    sizes = [r["count"] for r in _deal(same, hot, ["k"]).groupBy("__bucket").count().collect()]
+    assert len(sizes) == 100 and max(sizes) < 300
+    joined = skew_join(same, spark.createDataFrame([("k", 7)], "k string, w int"), "k", "left", "left", hot_rows=100)
+    assert joined.count() == 10_000 and joined.distinct().count() == 1

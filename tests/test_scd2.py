@@ -156,7 +156,7 @@ def test_split_hot_keys_equals_plain_windows(spark, data, split_rows, kind, zone
 
 
 def test_split_hot_key_spreads_over_tasks(spark):
-    from marquee.operators.scd2 import hot_keys
+    from marquee.operators.scd2 import split_hot_keys
 
     # one key holds most rows, all of one order value: the tie-break column cuts it
     data = [("hot", dt.datetime(2024, 1, 1), i, "ab"[(i // 7) % 2]) for i in range(1000)]
@@ -166,8 +166,35 @@ def test_split_hot_key_spreads_over_tasks(spark):
     plain = scd2_history(df, "k", "ts", check_cols=["v"], tiebreak="seq", split_rows=None)
     cols = ("k", "seq", "dbt_valid_from", "dbt_valid_to")
     assert rows(split, *cols) == rows(plain, *cols)
-    (key, cuts), = hot_keys(df, ["k"], ["ts", "seq"], 100).collect()
-    assert key == "hot" and 6 <= len(cuts) <= 15
+    rest, ranges = split_hot_keys(df, ["k"], ["ts", "seq"], 100)
+    assert rest.count() == 50 and {r.k for r in ranges.collect()} == {"hot"}
+    sizes = [r["count"] for r in ranges.groupBy("__chunk").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 250
+    spans = ranges.groupBy("__chunk").agg(F.min("seq").alias("a"), F.max("seq").alias("b")).orderBy("__chunk").collect()
+    assert all(x.b < y.a for x, y in zip(spans, spans[1:]))
+
+
+@settings(max_examples=12, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2", None]), st.one_of(st.none(), st.integers(0, 20)),
+                          st.sampled_from("xyz")), max_size=30),
+       st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3", None]), st.one_of(st.none(), st.integers(-1, 22))), max_size=30),
+       st.sampled_from([None, 1, 4]))
+def test_as_of_join_equals_nested_search(spark, changes, asked, split_rows):
+    from marquee.operators.scd2 import as_of_join
+
+    feed = spark.createDataFrame([(k, t, n, v) for n, (k, t, v) in enumerate(changes)], "k string, ts int, seq int, v string")
+    history = scd2_history(feed, "k", "ts", check_cols=["v"], tiebreak="seq", split_rows=None).select(
+        "k", "v", "seq", "dbt_valid_from", "dbt_valid_to")
+    instants = spark.createDataFrame([(n, k, t) for n, (k, t) in enumerate(asked)], "n int, k string, at int")
+    got = rows(as_of_join(instants, history, "k", "at", split_rows=split_rows), "n", "k", "at", "v_v", "v_seq")
+    versions = history.collect()
+    want = []
+    for n, (k, t) in enumerate(asked):
+        hit = [(r.v, r.seq) for r in versions if r.k == k and t is not None and r.dbt_valid_from is not None
+               and r.dbt_valid_from <= t and (r.dbt_valid_to is None or t < r.dbt_valid_to)]
+        assert len(hit) <= 1
+        want.append((n, k, t, *(hit[0] if hit else (None, None))))
+    assert got == sorted(want, key=repr)
 
 
 def test_same_rows_in_any_input_order_give_one_winner(spark):

@@ -1,3 +1,4 @@
+import datetime as dt
 import gzip
 import json
 import os
@@ -11,6 +12,7 @@ from marquee.sources import (
     Catalog,
     CsvFormat,
     IdRegistry,
+    SnapshotTable,
     JsonFormat,
     Stage,
     copy_into,
@@ -177,21 +179,49 @@ def test_id_registry(spark, tmp_root):
     assert rows(reg.new_rows(df, "tconst")) == srt([("tt2",)])
 
 
-def test_catalog_versions_and_incremental(spark, tmp_root):
+def test_catalog_tables_and_incremental(spark, tmp_root):
     cat = Catalog(spark, tmp_root, sources={"nyt": spark.createDataFrame([("x",)], "id string")})
     assert cat.source("nyt").count() == 1
     assert not cat.exists("dim")
     cat.materialize("dim", spark.createDataFrame([("a",), ("b",)], "id string"), "incremental", key="id")
-    # rebuilding from its own stored rows is allowed (new version folder)
+    # rebuilding from its own stored rows is allowed (built beside the old table)
     cat.write_table("dim", cat.read_table("dim").union(spark.createDataFrame([("z",)], "id string")))
     cat.materialize("dim", spark.createDataFrame([("b",), ("c",)], "id string"), "incremental", key="id")
     assert rows(cat.read_table("dim")) == srt([("a",), ("b",), ("c",), ("z",)])
     cat.register("v", lambda c: c.read_table("dim").filter("id > 'b'"))
     assert rows(cat.ref("v")) == srt([("c",), ("z",)])
     cat.write_table("t", spark.range(3), meta={"batch_id": 7})
-    assert cat.table_meta("t", "batch_id") == 7
+    assert cat.table_meta("t", "batch_id") == 7 and cat.table_meta("none", "batch_id") is None
     view = cat.materialize("vv", spark.range(2), "view")
     assert spark.table("vv").count() == view.count() == 2
+    # appends go by name, another catalog on the same root sees the same tables, truncate keeps the columns
+    cat.write_table("pair", spark.createDataFrame([(1, "a")], "n int, k string"))
+    cat.append_table("pair", spark.createDataFrame([("b", 2)], "k string, n int"))
+    again = Catalog(spark, tmp_root)
+    assert rows(again.read_table("pair")) == srt([(1, "a"), (2, "b")])
+    assert again.truncate("pair").columns == ["n", "k"] and again.read_table("pair").isEmpty()
+
+
+def test_failed_build_keeps_the_table(spark, tmp_root):
+    cat = Catalog(spark, tmp_root)
+    cat.write_table("t", spark.createDataFrame([("old",)], "v string"))
+    broken = spark.range(4).select(F.raise_error(F.lit("lost")).cast("string").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        cat.write_table("t", broken)
+    assert rows(cat.read_table("t")) == [("old",)]
+    cat.write_table("t", spark.createDataFrame([("newer",)], "v string"))
+    assert rows(cat.read_table("t")) == [("newer",)]
+
+
+def test_compacted_table_keeps_rows_and_meta(spark, tmp_root):
+    cat = Catalog(spark, tmp_root)
+    cat.write_table("d", spark.createDataFrame([("x",)], "id string"), meta={"a": 1})
+    for day in range(12):
+        cat.append_table("d", spark.createDataFrame([(f"k{day}",)] if day % 2 else [], "id string"))
+    before = rows(cat.read_table("d"))
+    cat.compact("d")
+    assert rows(cat.read_table("d")) == before and len(before) == 7 and cat.table_meta("d", "a") == 1
+    assert len(cat.read_table("d").inputFiles()) <= 2
 
 
 HTML = ('<html><body><a href="https://x/title.basics.tsv.gz">b</a> <A HREF=\'https://x/name.basics.tsv.gz\'>n</A>'
@@ -234,20 +264,6 @@ def test_sentinel_token_parameter(spark, local_dir, token):
     assert df.first().b is None
 
 
-def test_snapshot_storage_rewrites_current_and_appends_closed(spark, tmp_root):
-    cat = Catalog(spark, tmp_root)
-    s1 = spark.createDataFrame([("a", 1, None), ("b", 1, None)], "k string, v int, dbt_valid_to int")
-    cat.write_snapshot("s", s1, F.col("dbt_valid_to").isNull())
-    assert cat.read_table("s").count() == 2 and cat.read_current("s").count() == 2
-    s2 = spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("b", 1, None)], s1.schema)
-    cat.write_snapshot("s", s2, F.col("dbt_valid_to").isNull())
-    s3 = spark.createDataFrame([("b", 1, 7), ("b", 3, None), ("a", 2, None)], s1.schema)
-    cat.write_snapshot("s", s3, F.col("dbt_valid_to").isNull(), meta={"batch_id": 3})
-    assert rows(cat.read_current("s")) == srt([("a", 2, None), ("b", 3, None)])
-    assert rows(cat.read_table("s")) == srt([("a", 1, 5), ("a", 2, None), ("b", 1, 7), ("b", 3, None)])
-    assert cat.table_meta("s", "batch_id") == 3
-
-
 def test_parity_rounding_and_positional_csv_mapping(spark, local_dir):
     from marquee.plans.models import ratings_raw_schema
     from marquee.sources import truncate
@@ -266,69 +282,166 @@ def test_parity_rounding_and_positional_csv_mapping(spark, local_dir):
     assert spark.read.parquet(out).count() == 0
 
 
-def test_compact_merges_parts_without_changing_rows(spark, tmp_root):
-    cat = Catalog(spark, tmp_root)
-    schema = "k string, v int, dbt_valid_to int"
-    for day, data in enumerate([[("a", 1, None)], [("a", 1, 2), ("a", 2, None)], [("a", 2, 3), ("a", 3, None)]]):
-        cat.write_snapshot("s", spark.createDataFrame(data, schema), F.col("dbt_valid_to").isNull())
-    before = rows(cat.read_table("s"))
-    cat.compact("s")
-    assert rows(cat.read_table("s")) == before
-    assert rows(cat.read_current("s")) == [("a", 3, None)]
-    cat.write_table("d", spark.createDataFrame([("x",)], "id string"))
-    for v in ("y", "z"):
-        cat.append_table("d", spark.createDataFrame([(v,)], "id string"))
-    cat.compact("d")
-    assert rows(cat.read_table("d")) == [("x",), ("y",), ("z",)]
-    assert not (cat._pointer_row("d")["history"] or [])
-
-
-def test_id_registry_appends_are_parts_and_compact(spark, tmp_root):
-    reg = IdRegistry(spark, f"{tmp_root}/ids2")
+def test_id_registry_appends_and_compacts(spark, tmp_root):
+    reg = IdRegistry(spark, f"{tmp_root}/ids2", buckets=4)
     reg.append(spark.createDataFrame([("tt1",), ("tt1",), ("tt2",)], "tconst string"), "tconst")
     reg.append(spark.createDataFrame([("tt2",), ("tt3",)], "tconst string"), "tconst")
-    batch = spark.createDataFrame([("tt1",), ("tt4",)], "tconst string")
-    assert rows(reg.new_rows(batch, "tconst")) == [("tt4",)]
+    batch = spark.createDataFrame([("tt1",), ("tt4",), (None,)], "tconst string")
+    assert rows(reg.new_rows(batch, "tconst")) == srt([("tt4",), (None,)])
     reg.compact()
     assert rows(reg.read()) == [("tt1",), ("tt2",), ("tt3",)]
-    assert not reg.catalog._pointer_row(IdRegistry.TABLE).get("history")
-    assert rows(reg.new_rows(batch, "tconst")) == [("tt4",)]
-
-
-def test_failed_pointer_write_keeps_the_table(spark, tmp_root, monkeypatch):
-    cat = Catalog(spark, tmp_root)
-    cat.write_table("t", spark.createDataFrame([("old",)], "v string"))
-
-    def fails(self, name, fields):
-        os.makedirs(f"{self._pointers(name).removeprefix('file://')}/n=2/_temporary/0", exist_ok=True)
-        raise OSError("lost")
-
+    assert rows(reg.new_rows(batch, "tconst", null_safe=True)) == srt([("tt4",), (None,)])
+    reg.append(spark.createDataFrame([(None,)], "tconst string"), "tconst")
+    assert rows(reg.new_rows(batch, "tconst", null_safe=True)) == [("tt4",)]
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_registry_lookup_exchanges_the_days_rows_only(spark, tmp_root, null_safe):
+    import random
+
+    from marquee.operators.joins import anti_by_registry
+
+    reg = IdRegistry(spark, f"{tmp_root}/ids3", "tconst", buckets=4)
+    rng = random.Random(3)
+    ids = [(f"tt{rng.randrange(600)}",) for _ in range(500)] + ([(None,)] if null_safe else [])
+    reg.append(spark.createDataFrame(ids, "tconst string"), "tconst")
+    day = spark.createDataFrame([(f"tt{i}", i) for i in range(700)] + [(None, -1)], "tconst string, n int")
+    new = reg.new_rows(day, "tconst", null_safe=null_safe)
+    assert rows(new) == rows(anti_by_registry(day, reg.read(), "tconst", null_safe=null_safe))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)       # a registry is not small
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        plan = reg.new_rows(day, "tconst", null_safe=null_safe)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    join = plan.split("===== Subqueries")[0]
+    assert "Bucketed: true" in join and join.count("Exchange hashpartitioning") == 1
+    left, right = join[join.index("SortMergeJoin"):].split("FileScan")[:2]
+    assert "Exchange" not in left.rsplit("+- ", 2)[-1] and "Exchange" not in right
+
+
+def snapshot_files(spark, table):
+    """Data files by (bucket, part)."""
+    cat = table.catalog
+    found = {}
+    for f in cat.read_table(table.name).inputFiles():
+        bucket, part = f.split("bucket=")[1].split("/part=")
+        found.setdefault((int(bucket), part.split("/")[0]), set()).add(f)
+    return found
+
+
+def buckets_of(versions, table):
+    return table.touched(table.catalog.spark.createDataFrame([(r[0],) for r in versions], "k string"))
+
+
+@pytest.mark.parametrize("strategy", ["check", "timestamp"])
+def test_snapshot_run_touches_the_buckets_of_its_keys(spark, tmp_root, strategy, monkeypatch):
+    from marquee.operators.scd2 import snapshot_check, snapshot_timestamp
+
+    def merge(prev, batch, day):
+        if strategy == "check":
+            return snapshot_check(prev, batch, "k", ["v"], f"2024-01-0{day} 00:00:00")
+        return snapshot_timestamp(prev, batch, "k", "upd")
+
+    schema = "k string, v int, upd timestamp"
+    days = [[(f"k{i}", i, dt.datetime(2024, 1, 1)) for i in range(300)],
+            [("k1", -1, dt.datetime(2024, 1, 2)), ("k2", 2, dt.datetime(2024, 1, 2)), ("new", 0, dt.datetime(2024, 1, 2))],
+            [], [("k1", -2, dt.datetime(2024, 1, 4)), ("other", 5, dt.datetime(2024, 1, 4))]]
+    table = SnapshotTable(Catalog(spark, tmp_root), "s", "k", buckets=1024)
+    whole = None
+    for day, data in enumerate(days, 1):
+        batch = spark.createDataFrame(data, schema)
+        before = snapshot_files(spark, table) if whole is not None else {}
+        touched = table.merge(batch, f"day{day}", lambda p, b, day=day: merge(p, b, day))
+        after = snapshot_files(spark, table)
+        whole = rows(merge(None if whole is None else spark.createDataFrame(whole, like), batch, day))
+        like = table.read().schema
+        assert rows(table.read()) == whole
+        if day > 1:
+            assert len(touched) == len({k for k, _, _ in data})
+            assert {b for (b, _), files in after.items() if files != before.get((b, _))} == set(touched)
+            plan = table.of_buckets(touched)._jdf.queryExecution().executedPlan().toString() if touched else ""
+            assert not touched or "PartitionFilters: [" in plan
+            assert {int(f.split("bucket=")[1].split("/")[0]) for f in (table.of_buckets(touched).inputFiles() if touched else [])
+                    } <= set(touched)
+    # the same run again, as after a crash that lost its commit: nothing changes
+    table.merge(spark.createDataFrame(days[3], schema), "day4", lambda p, b: merge(p, b, 4))
+    assert rows(table.read()) == whole
+    assert rows(table.current()) == srt([r for r in whole if r[-1] is None])
+    with monkeypatch.context() as m:                 # a compaction that breaks off is ended by the next run
+        m.setattr(SnapshotTable, "_end_compaction", lambda self: None)
+        table.compact()
+    b, = buckets_of([("k1",)], table)
+    spark.sql(f"ALTER TABLE {table.catalog.table('s')} DROP PARTITION (bucket = {b}, part = 'closed-day2')")
+    assert rows(table.read()) == whole
+    table.merge(spark.createDataFrame(days[3], schema), "day5", lambda p, b: merge(p, b, 4))
+    assert rows(table.read()) == whole and {p for _, p in snapshot_files(spark, table)} == {"current", "closed"}
+    table.compact()
+    assert rows(table.read()) == whole and len(snapshot_files(spark, table)) >= len(buckets_of(whole, table))
+
+
+def test_crash_between_the_two_writes_of_a_run(spark, tmp_root, monkeypatch):
+    """Closed versions are written, current ones are not: the repeated run gives the whole result."""
+    from marquee.operators.scd2 import snapshot_check
+
+    def merge(p, b, day):
+        return snapshot_check(p, b, "k", ["v"], f"2024-01-0{day} 00:00:00")
+
+    table = SnapshotTable(Catalog(spark, tmp_root), "s", "k", buckets=8)
+    table.merge(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), "1", lambda p, b: merge(p, b, 1))
+    day2 = spark.createDataFrame([("a", 2), ("b", 1), ("c", 1)], "k string, v int")
     with monkeypatch.context() as m:
-        m.setattr(Catalog, "_write_pointer", fails)
+        m.setattr(SnapshotTable, "_insert", lambda self, staged, current, full=SnapshotTable._insert:
+                  full(self, staged, current) if not current else (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
-            cat.write_table("t", spark.createDataFrame([("new",)], "v string"))
-    assert cat.exists("t") and rows(cat.read_table("t")) == [("old",)]
-    cat.write_table("t", spark.createDataFrame([("newer",)], "v string"))
-    assert rows(cat.read_table("t")) == [("newer",)]
+            table.merge(day2, "2", lambda p, b: merge(p, b, 2))
+    for _ in range(2):
+        table.merge(day2, "2", lambda p, b: merge(p, b, 2))
+    assert sorted((r.k, r.v, r.dbt_valid_to is None) for r in table.read().collect()) == [
+        ("a", 1, False), ("a", 2, True), ("b", 1, True), ("c", 1, True)]
+
+
+@pytest.mark.parametrize("title", ['say "hi"', 'The "Big", One', "back\\slash\\", "two\nlines", "cr\r\nlf", " blanks ", '"quoted"', "a,b", "'", '"'])
+def test_landed_text_is_loaded_unharmed(spark, tmp_root, title):
+    from marquee.plans.daily import LANDING, land_day
+
+    df = spark.createDataFrame([("tt1", title, None, ""), ("tt2", "plain", "x", title)], "id string, a string, b string, c string")
+    back = land_day(df, f"{tmp_root}/landing", "2024-01-01")
+    want = srt([("tt1", title, None, None), ("tt2", "plain", "x", title)])         # '' loads as NULL
+    loaded, report = copy_into(spark, f"{tmp_root}/landing/ds=2024-01-01", df.schema, LANDING, skip_file_pct=0.5)
+    assert rows(loaded) == want and {r.status for r in report.collect()} == {"LOADED"}
+    assert [r.a for r in back.orderBy("id").collect()] == [title, "plain"]
+    write_csv_gz(df, f"{tmp_root}/csv")
+    assert rows(read_csv_format(spark, f"{tmp_root}/csv", df.schema, CsvFormat(multi_line=True)), "a", "c") == srt(
+        [(title, None), ("plain", title)])
 
 
-def test_unreadable_pointer_is_not_absent(spark, tmp_root):
-    cat = Catalog(spark, tmp_root)
-    assert not cat.exists("t")
-    cat.write_table("t", spark.createDataFrame([("old",)], "v string"))
-    folder = f"{cat._pointers('t').removeprefix('file://')}/n=1"
-    for name in os.listdir(folder):
-        if name.endswith(".parquet"):
-            with open(os.path.join(folder, name), "wb") as f:
-                f.write(b"broken")
-    with pytest.raises(Exception, match="(?i)parquet|corrupt|footer|read"):
-        cat.exists("t")
+def test_tsv_with_quoted_fields(spark, local_dir):
+    p = os.path.join(local_dir, "quoted.tsv")
+    with open(p, "w") as f:
+        f.write('tconst\ttitle\ntt1\t"a ""b"" c"\ntt2\tsay "hi"\ntt3\t"two\nlines"\ntt4\tback\\\ntt5\t\\N\n')
+    assert rows(read_tsv(spark, p, "tconst string, title string", multi_line=True)) == srt(
+        [("tt1", 'a "b" c'), ("tt2", 'say "hi"'), ("tt3", "two\nlines"), ("tt4", "back\\"), ("tt5", None)])
+
+
+LINK_CASES = [
+    ("<a href='x'>", ["x"]), ('<A  HREF = "x y">', ["x y"]), ("<a href=x/y.gz>t</a>", ["x/y.gz"]), ("<a\nid=k\nhref=x>", ["x"]),
+    ('<!-- <a href="c"> --><a href="d">', ["d"]), ('<!-- <a href="c">', []), ('<script>"<a href=s>"</script><a href=t>', ["t"]),
+    ("<style>a{}<a href=s></style>", []), ('<title><a href="no"></title>', []), ('<a title=">" href="q">', ["q"]),
+    ('<a data-href="n">', []), ("<a title=' href=n ' href=y>", ["y"]), ('<a href="1" href="2">', ["1"]), ("<a href>", [""]),
+    ("<a name=n>", []), ("<abbr href=n>", []), ('<a href="?a=1&amp;b=2&#38;c=&#x41;&#128512;&lt;&unknown;&">', ["?a=1&b=2&c=A😀<&unknown;&"]),
+    ('<a href="&amp;amp;">', ["&amp;"]), ('<a href="open>', []), ("<a/href=s>", ["s"]), ('<img alt="<a href=i>"><a href=j>', ["j"]),
+    ("<p>1 < 2 <a href=k>", ["k"]), ("", []), (None, []), ("<a href='" + "y" * 100_000 + "'>", ["y" * 100_000]),
+    ("<textarea><a href=n></textarea ><a href=m>", ["m"]), ("<scripted><a href=w></scripted>", ["w"]),
+]
 
 
-def test_thirty_small_days_leave_few_parts(spark, tmp_root):
-    cat = Catalog(spark, tmp_root)
-    for day in range(30):
-        new = spark.createDataFrame([(f"k{day}",)] if day % 2 else [], "id string")
-        cat.append_table("d", new)
-    assert cat.read_table("d").count() == 15
-    assert len(cat._pointer_row("d")["history"]) <= 16
+def test_links_of_all_kinds_of_markup(spark):
+    df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(LINK_CASES)], "n int, html string")
+    got = {}
+    for r in extract_links(df, "html", keep=["n"]).orderBy("n", "link_pos").collect():
+        got.setdefault(r.n, []).append(r.href)
+    for i, (html, want) in enumerate(LINK_CASES):
+        assert got.get(i, []) == want, html and html[:60]
