@@ -14,7 +14,7 @@ import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,9 +109,22 @@ def land_observed(df: DataFrame, root: str, ds: str, suite) -> tuple[DataFrame |
     return (read_landed(df.sparkSession, f"{root}/ds={ds}", df.schema) if seen.rows else None), seen
 
 
+def row_digest(columns) -> Column:
+    """A digest of a row's text; NULL and '' are one, as they load alike."""
+    return F.md5(F.concat_ws("\x01", *[F.coalesce(F.col(c), F.lit("")) for c in columns]))
+
+
+def unloadable(landed: DataFrame, schema: T.StructType) -> DataFrame:
+    """Landed rows that the load into ``schema`` rejects: a value that is there does not fit its column."""
+    bad = F.lit(False)
+    for name, f in zip(landed.columns, schema.fields):
+        value = F.when(~F.col(name).isin(list(LANDING.null_if)), F.col(name))
+        bad = bad | (value.isNotNull() & value.try_cast(f.dataType).isNull())
+    return landed.filter(bad)
+
+
 def commit_ids(registry: IdRegistry, loaded: DataFrame | None, key: str) -> None:
-    """Register the ids of the rows that were loaded; call after the day's load succeeded. A row that the load
-    dropped, and every row of a file that it skipped, is new again when its source is mended."""
+    """Register the ids of the rows that were loaded; call after the day's load succeeded."""
     if loaded is not None:
         registry.append(loaded, key)
 
@@ -273,8 +286,9 @@ def run_pipeline(spark: SparkSession, root: str, paths: dict, ds: str, as_of=Non
     feed that brought nothing. Extract new rows -> land them under the day, counting for the suites while they are
     written -> store the suites' results and gate -> truncate and bulk-load the raw tables (files with more than 0.5 %
     bad rows are skipped, other bad rows dropped) -> snapshots -> models -> tests -> register the ids,
-    last, so a day that failed anywhere can be run again. ``register``: the ids of the rows that were ``loaded``, or of
-    all that ``landed`` (then rows that the load dropped never come again).
+    last, so a day that failed anywhere can be run again. ``register``: the ids of the rows that were ``loaded``; a row that
+    the load rejected is registered by its text, so that it does not spoil the file of the next day, but comes again when it is
+    mended, and the good rows of a skipped file come again at once. Or the ids of all that ``landed``.
 
     All state lives under ``root``. Returns ``tests`` (name -> failing rows), ``loads`` (feed -> per-file
     report) and ``catalog``.
@@ -286,6 +300,7 @@ def run_pipeline(spark: SparkSession, root: str, paths: dict, ds: str, as_of=Non
     columns = {"basics": S.BASICS_COLUMNS, "ratings": RATINGS_COLUMNS}
     raw_types = {"basics": M.BASICS_RAW, "ratings": M.RATINGS_RAW}
     registries = {f: IdRegistry(spark, f"{root}/registry/{f}", "tconst") for f in columns}
+    rejected = {f: IdRegistry(spark, f"{root}/registry/{f}-rejected", "row") for f in columns}
 
     landed: dict[str, DataFrame] = {}
     suites: dict[str, Q.ObservedSuite] = {}
@@ -293,6 +308,8 @@ def run_pipeline(spark: SparkSession, root: str, paths: dict, ds: str, as_of=Non
         if paths.get(feed):
             text = T.StructType([T.StructField(c, T.StringType()) for c in columns[feed]])
             new = extract_new(registry, read_tsv(spark, paths[feed], text, multi_line=True), "tconst", mode)
+            if register == "loaded":
+                new = rejected[feed].new_rows(new.withColumn("__row", row_digest(columns[feed])), "__row").drop("__row")
             rows, seen = land_observed(new, f"{root}/landing/{feed}", ds, RAW_SUITES[feed][1])
             if rows is not None:
                 landed[feed], suites[feed] = rows, seen
@@ -315,6 +332,8 @@ def run_pipeline(spark: SparkSession, root: str, paths: dict, ds: str, as_of=Non
             commit_ids(registry, landed.get(feed), "tconst")
         elif feed in loaded:
             commit_ids(registry, catalog.read_table(f"raw_imdb_{feed}"), "id")
+            commit_ids(rejected[feed], unloadable(landed[feed], raw_types[feed]).select(
+                row_digest(columns[feed]).alias("row")), "row")
     return {"tests": tests, "loads": reports, "catalog": catalog}
 
 
