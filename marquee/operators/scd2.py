@@ -30,6 +30,9 @@ from marquee.session import scratch_path
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"
 META_COLS = [SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO]
 
+# Least rows of a task that sorts the rows of hot keys, once there are more of them than shuffle partitions share out.
+RANGE_ROWS = 250_000
+
 
 def _names(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -83,17 +86,17 @@ def as_of_join(instants: DataFrame, versions: DataFrame, key, at: str, prefix: s
     if split_rows is not None and line.count() > split_rows:
         line, hot = split_hot_keys(line, keys, order, split_rows)
 
-    def last(groups):
-        return F.last("__v", ignorenulls=True).over(Window.partitionBy(*groups).orderBy(*order)
+    def last(groups, by):
+        return F.last("__v", ignorenulls=True).over(Window.partitionBy(*groups).orderBy(*by)
                                                     .rowsBetween(Window.unboundedPreceding, 0))
 
-    met = line.select("__i", last(keys).alias("__v"))
+    met = line.select("__i", last(keys, order).alias("__v"))
     if hot is not None:
         groups = [*keys, "__chunk"]
-        ends = (hot.groupBy(*groups).agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__at"))).alias("__end"))
+        ends = (hot.groupBy(*groups).agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__pos"))).alias("__end"))
                 .select(*groups, F.last("__end", ignorenulls=True).over(
                     Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("__carry")))
-        carried = _with_carry(hot.withColumn("__v", last(groups)), ends, keys)
+        carried = _with_carry(hot.withColumn("__v", last(groups, ["__pos"])), ends, keys)
         met = met.unionByName(carried.select("__i", F.coalesce("__v", "__carry").alias("__v")))
     v, t = F.col("__v"), F.col("__i")[at].cast(kind)
     valid = v.isNotNull() & t.isNotNull() & (v[VALID_TO].isNull() | (t < v[VALID_TO]))
@@ -213,11 +216,13 @@ def same_key(left: DataFrame, right: DataFrame, keys, names) -> Column:
 
 
 def split_hot_keys(df: DataFrame, keys, order_cols, split_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of other keys, rows of keys over ``split_rows`` rows with ``__chunk``; None if there are none).
+    """(rows of other keys, rows of keys over ``split_rows`` rows with ``__chunk`` and ``__pos``; None if there are none).
 
-    One partially aggregated count finds the hot keys. Their rows are range-partitioned on key and order, about
-    ``split_rows`` rows a range, and stored with the number of their range: ranges are contiguous in the order
-    whatever its type (NULL first), and equal rows share one. A row's cost does not depend on how many ranges there are.
+    One partially aggregated count finds the hot keys. Their rows are range-partitioned on key and order, sorted
+    within each range, and stored with their place (``__pos``) and the number of their chunk (``__chunk``): ``split_rows``
+    rows in a row are a chunk. Chunks are contiguous in the order whatever its type (NULL first), and places settle the
+    order of equal rows for every later step. The tasks and files follow the rows, not the number of chunks: a small
+    ``split_rows`` makes many chunks, not many tasks.
     """
     names = [f"__hot{i}" for i in range(len(keys))]
     counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n"))
@@ -229,15 +234,19 @@ def split_hot_keys(df: DataFrame, keys, order_cols, split_rows: int) -> tuple[Da
     if not total:
         return df, None
     cond = same_key(df, hot, keys, names)
-    rows = df.join(hot, cond, "left_semi").repartitionByRange(total // split_rows + 1, *keys, *order_cols)
-    rows = rows.withColumn("__chunk", F.spark_partition_id())
+    ranges = min(total // split_rows, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) + total // RANGE_ROWS) + 1
+    rows = df.join(hot, cond, "left_semi").repartitionByRange(ranges, *keys, *order_cols).sortWithinPartitions(*keys, *order_cols)
+    # the id is (task, row of the task): it grows along the order, and the rows of a task are counted in its lower 33 bits
+    rows = rows.withColumn("__pos", F.monotonically_increasing_id())
+    of_task = F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.withColumn("__chunk", F.col("__pos") - of_task + F.floor(of_task / F.lit(split_rows)))
     path = scratch_path(df.sparkSession, "ranges")
     rows.write.parquet(path)
     return df.join(hot, cond, "left_anti"), df.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _segmented_history(x, keys, order_cols, check_cols, updated_at):
-    """Window history of rows whose keys are cut into contiguous ranges of the order columns (``__chunk``).
+    """Window history of rows whose keys are cut into contiguous chunks (``__chunk``) of the order, kept in ``__pos``.
 
     A prefix scan: windows run per (key, chunk); what a chunk needs from the rows before it (the last check
     values, or the running maximum) is one carry row per (key, chunk), windowed per key over
@@ -245,17 +254,16 @@ def _segmented_history(x, keys, order_cols, check_cols, updated_at):
     only the carries move.
     """
     o = order_cols[0]
-    columns = [c for c in x.columns if c != "__chunk"]
+    columns = [c for c in x.columns if c not in ("__chunk", "__pos")]
 
     kc = keys + ["__chunk"]
-    w = Window.partitionBy(*kc).orderBy(*[F.col(c) for c in order_cols])
+    w = Window.partitionBy(*kc).orderBy("__pos")
     wc = Window.partitionBy(*keys).orderBy("__chunk")
-    ordering = F.struct(*[F.col(c) for c in order_cols])
     if check_cols is not None:
         checks = list(check_cols)
         rows = x.select("*", F.lag(F.lit(1)).over(w).isNull().alias("__first"),
                         F.lag(F.struct(*checks)).over(w).alias("__prev"))
-        summ = (x.groupBy(*kc).agg(F.max_by(F.struct(*checks), ordering).alias("__last"))
+        summ = (x.groupBy(*kc).agg(F.max_by(F.struct(*checks), "__pos").alias("__last"))
                 .select(*kc, F.lag("__last").over(wc).alias("__carry"),
                         F.lag(F.lit(1)).over(wc).isNotNull().alias("__has_prev")))
         j = _with_carry(rows, summ, keys)
@@ -273,10 +281,10 @@ def _segmented_history(x, keys, order_cols, check_cols, updated_at):
         ts = F.col(updated_at)
     first_overall = F.col("__first") & ~F.coalesce(F.col("__has_prev"), F.lit(False))
     kept = (j.filter(first_overall | changed).withColumn(VALID_FROM, ts)
-            .select(*columns, "__chunk", VALID_FROM))
+            .select(*columns, "__chunk", "__pos", VALID_FROM))
 
     # valid_to: next kept row, within the chunk or else the first kept row of a later chunk
-    nxt = (kept.groupBy(*kc).agg(F.min_by(F.col(VALID_FROM), ordering).alias("__first_vf"))
+    nxt = (kept.groupBy(*kc).agg(F.min_by(VALID_FROM, "__pos").alias("__first_vf"))
            .select(*kc, F.lead("__first_vf").over(wc).alias("__next_vf")))
     # a next row may have a NULL valid_from: its presence decides, not its value
     out = _with_carry(kept.select("*", F.lead(VALID_FROM).over(w).alias("__lead"),

@@ -174,6 +174,23 @@ def test_split_hot_key_spreads_over_tasks(spark):
     assert all(x.b < y.a for x, y in zip(spans, spans[1:]))
 
 
+def test_chunks_of_few_rows_make_few_tasks(spark):
+    from marquee.operators.scd2 import split_hot_keys
+
+    # 400 chunks of 3 rows, as many files as the shuffle has partitions; whole rows come twice
+    data = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i // 2), "ab"[i // 2 % 2]) for k in ("p", "q") for i in range(600)]
+    df = spark.createDataFrame(data, "k string, ts timestamp, v string")
+    _, ranges = split_hot_keys(df, ["k"], ["ts"], 3)
+    assert len(ranges.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
+    sizes = [r["count"] for r in ranges.groupBy("__chunk").count().collect()]
+    assert sum(sizes) == len(data) and len(sizes) >= 400 and max(sizes) == 3
+    placed = [tuple(r) for r in ranges.orderBy("__pos").select("k", "ts", "__chunk").collect()]
+    assert placed == sorted(placed)
+    cols = ("k", "ts", "v", "dbt_valid_from", "dbt_valid_to")
+    assert rows(scd2_history(df, "k", "ts", check_cols=["v"], split_rows=3), *cols) == rows(
+        scd2_history(df, "k", "ts", check_cols=["v"], split_rows=None), *cols)
+
+
 @settings(max_examples=12, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["k1", "k2", None]), st.one_of(st.none(), st.integers(0, 20)),
                           st.sampled_from("xyz")), max_size=30),
