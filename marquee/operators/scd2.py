@@ -22,6 +22,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.functions.keys import scd_id
 from marquee.session import scratch_path
@@ -114,10 +115,22 @@ def dedupe_latest(df: DataFrame, key, order) -> DataFrame:
     reduced before the shuffle instead of being sorted in one task. Put a
     unique column last in ``order`` for a deterministic winner.
     """
-    keys = _names(key)
-    ordering = ", ".join("`" + c.replace("`", "``") + "`" for c in _names(order))
-    latest = df.groupBy(*keys).agg(F.expr(f"max_by(struct(*), struct({ordering}))").alias("__r"))
-    return latest.select("__r.*")
+    keys, order = _names(key), _names(order)
+    # a key whose equal values look alike is taken from the group: readers of the keys alone need no latest row
+    types = {f.name: f.dataType for f in df.schema.fields}
+    alike = [k for k in keys if isinstance(types.get(k), (T.StringType, T.IntegralType, T.DateType, T.TimestampType))]
+    rest, ordering = [c for c in df.columns if c not in alike], [c for c in order if c not in alike]
+    if not ordering:
+        alike, rest, ordering = [], df.columns, order
+
+    def struct(columns):
+        return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in columns])
+
+    # an order over all columns is the row itself
+    latest = F.max(struct(ordering)) if set(ordering) == set(rest) else F.max_by(struct(rest), struct(ordering))
+    rows = df.groupBy(*keys).agg(latest.alias("__r"))
+    return rows.select(*[F.col("`" + c.replace("`", "``") + "`") if c in alike else F.col("__r").getField(c).alias(c)
+                         for c in df.columns])
 
 
 def total_order(df: DataFrame, *first: str) -> list[str]:

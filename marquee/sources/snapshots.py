@@ -72,10 +72,13 @@ class SnapshotTable:
         """One run: ``merge(current versions, batch)`` gives the new current and the closed versions
         (``snapshot_check``, ``snapshot_timestamp``). Returns the buckets that were touched."""
         self._end_compaction()
-        first = not self.exists()
-        buckets = self.touched(batch)
-        if first or buckets:
-            self._replace(merge(None if first else self.of_buckets(buckets), batch), run, buckets)
+        if not self.exists():
+            self._replace(merge(None, batch), run, [])
+            buckets = sorted(r[0] for r in self.catalog.read_table(self.name).select(BUCKET).distinct().collect())
+        else:
+            buckets = self.touched(batch)
+            if buckets:
+                self._replace(merge(self.of_buckets(buckets), batch), run, buckets)
         if meta:
             self.catalog.set_meta(self.name, meta)
         return buckets

@@ -117,6 +117,22 @@ def test_dedupe_latest_one_row_per_key_with_tiebreak(spark):
     assert "Window" not in plan and "partial_max_by" in plan
 
 
+def test_keys_of_latest_rows_need_no_rows(spark):
+    from marquee.operators.scd2 import total_order
+
+    data = [(k, n, v) for k in ("a", None, "c") for n, v in ((1, "x"), (3, None), (3, "w"), (None, "z"))]
+    df = spark.createDataFrame(data, "k string, n int, v string")
+    for order in (["n", "v"], total_order(df, "n"), "n", "k"):
+        got = dedupe_latest(df, "k", order)
+        assert got.columns == df.columns and got.schema.simpleString() == df.schema.simpleString()
+        plan = got.select("k")._jdf.queryExecution().optimizedPlan().toString()
+        assert "max" not in plan or order == "k"
+    assert rows(dedupe_latest(df, "k", ["n", "v"])) == rows(spark.createDataFrame([(k, 3, "w") for k in ("a", None, "c")], df.schema))
+    # numbers that are equal and look different: the latest row keeps its own key
+    zeros = spark.createDataFrame([(0.0, 1), (-0.0, 2)], "k double, n int")
+    assert [str(r.k) for r in dedupe_latest(zeros, "k", "n").collect()] == ["-0.0"]
+
+
 def test_history_first_row_with_null_check_value_is_kept(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, None), ("a", 3, "x")], "k string, ts int, v string")
     h = scd2_history(df, "k", "ts", check_cols=["v"])
