@@ -24,6 +24,7 @@ from marquee.plans import models as M
 from marquee.plans import suites as S
 from marquee.plans.fact import DayChanges, FactInputs, FactTable, stored
 from marquee.functions.columns import null_sentinel
+from marquee.session import together
 from marquee.sources.catalog import Catalog
 from marquee.sources.readers import CsvFormat, copy_into, read_csv_format, read_json_array, read_tsv, read_variant
 from marquee.sources.registry import IdRegistry
@@ -194,11 +195,12 @@ def load_and_build(catalog: Catalog, basics: DataFrame | None, ratings: DataFram
     """
     spark = catalog.spark
     empty_reviews = spark.range(0).select(F.parse_json(F.lit("{}")).alias("content"))
-    raw_b = catalog.write_table("raw_imdb_basics", basics if basics is not None
-                                else spark.createDataFrame([], M.BASICS_RAW))
-    raw_r = catalog.write_table("raw_imdb_ratings", ratings if ratings is not None
-                                else spark.createDataFrame([], M.RATINGS_RAW))
-    raw_n = catalog.write_table("raw_nyt_reviews", reviews if reviews is not None else empty_reviews)
+    raw_b, raw_r, raw_n = together(
+        lambda: catalog.write_table("raw_imdb_basics", basics if basics is not None
+                                    else spark.createDataFrame([], M.BASICS_RAW)),
+        lambda: catalog.write_table("raw_imdb_ratings", ratings if ratings is not None
+                                    else spark.createDataFrame([], M.RATINGS_RAW)),
+        lambda: catalog.write_table("raw_nyt_reviews", reviews if reviews is not None else empty_reviews))
 
     # 3. snapshots: only the buckets that the day touches are read and rewritten
     changed: dict[str, DataFrame | None] = {}
@@ -209,12 +211,13 @@ def load_and_build(catalog: Catalog, basics: DataFrame | None, ratings: DataFram
         changed[name] = table.changed
         return table.current()
 
-    basics_snap = snap("imdb_basic_snapshot", M.basic_source(raw_b),
-                       lambda p, b: snapshot_check(p, b, "id", M.BASICS_CHECK_COLS, now))
-    ratings_snap = snap("imdb_rating_snapshot", M.rating_source(raw_r),
-                        lambda p, b: snapshot_check(p, b, "id", M.RATINGS_CHECK_COLS, now))
-    reviews_snap = snap("nyt_snapshot", M.review_source(raw_n),
-                        lambda p, b: snapshot_timestamp(p, b, "id", "review_date_updated"))
+    basics_snap, ratings_snap, reviews_snap = together(
+        lambda: snap("imdb_basic_snapshot", M.basic_source(raw_b),
+                     lambda p, b: snapshot_check(p, b, "id", M.BASICS_CHECK_COLS, now)),
+        lambda: snap("imdb_rating_snapshot", M.rating_source(raw_r),
+                     lambda p, b: snapshot_check(p, b, "id", M.RATINGS_CHECK_COLS, now)),
+        lambda: snap("nyt_snapshot", M.review_source(raw_n),
+                     lambda p, b: snapshot_timestamp(p, b, "id", "review_date_updated")))
 
     # 4. models: cleansed views, insert-only dims, fact table
     basics = catalog.materialize("imdb_basics_cleansed", M.basics_cleansed(basics_snap, as_of), "view")
@@ -232,11 +235,10 @@ def load_and_build(catalog: Catalog, basics: DataFrame | None, ratings: DataFram
         entered[name] = stored(new, f"new-{name}") if fact == "delta" else new
         return catalog.append_table(name, entered[name])
 
-    inputs = FactInputs(ratings, basics, reviews, d_genres=dim("dim_imdb_genres", M.dim_genres, basics),
-                        d_titles=dim("dim_imdb_movies", M.dim_titles, basics),
-                        d_authors=dim("dim_nyt_authors", M.dim_authors, reviews),
-                        d_movies=dim("dim_nyt_movies", M.dim_review_movies, reviews),
-                        d_reviews=dim("dim_nyt_reviews", M.dim_reviews, reviews))
+    inputs = FactInputs(ratings, basics, reviews, *together(
+        lambda: dim("dim_imdb_genres", M.dim_genres, basics), lambda: dim("dim_imdb_movies", M.dim_titles, basics),
+        lambda: dim("dim_nyt_authors", M.dim_authors, reviews), lambda: dim("dim_nyt_movies", M.dim_review_movies, reviews),
+        lambda: dim("dim_nyt_reviews", M.dim_reviews, reviews)))
     d_titles = inputs.d_titles
     if fact == "delta":
         _refresh_fact(catalog, inputs, changed, entered, as_of or now, buckets)
@@ -304,22 +306,29 @@ def run_pipeline(spark: SparkSession, root: str, paths: dict, ds: str, as_of=Non
 
     landed: dict[str, DataFrame] = {}
     suites: dict[str, Q.ObservedSuite] = {}
-    for feed, registry in registries.items():
+
+    def land_feed(feed, registry):
         if paths.get(feed):
             text = T.StructType([T.StructField(c, T.StringType()) for c in columns[feed]])
             new = extract_new(registry, read_tsv(spark, paths[feed], text, multi_line=True), "tconst", mode)
             if register == "loaded":
                 new = rejected[feed].new_rows(new.withColumn("__row", row_digest(columns[feed])), "__row").drop("__row")
-            rows, seen = land_observed(new, f"{root}/landing/{feed}", ds, RAW_SUITES[feed][1])
-            if rows is not None:
-                landed[feed], suites[feed] = rows, seen
-    if paths.get("reviews"):
-        rows, seen = land_reviews(spark, paths["reviews"], f"{root}/landing/reviews/ds={ds}")
+            return land_observed(new, f"{root}/landing/{feed}", ds, RAW_SUITES[feed][1])
+        return None, None
+
+    def land_documents():
+        if paths.get("reviews"):
+            return land_reviews(spark, paths["reviews"], f"{root}/landing/reviews/ds={ds}")
+        return None, None
+
+    feeds = together(*[lambda f=f, r=r: land_feed(f, r) for f, r in registries.items()], land_documents)
+    for feed, (rows, seen) in zip([*registries, "reviews"], feeds):
         if rows is not None:
-            landed["reviews"], suites["reviews"] = rows, seen
+            landed[feed], suites[feed] = rows, seen
 
-    gate_results({f: seen.result(M.review_raw_fields(landed[f]) if f == "reviews" else landed[f])
-                  for f, seen in suites.items()}, f"{root}/validation", ds)
+    results = together(*[lambda f=f, s=s: s.result(M.review_raw_fields(landed[f]) if f == "reviews" else landed[f])
+                         for f, s in suites.items()])
+    gate_results(dict(zip(suites, results)), f"{root}/validation", ds)
     loaded, reports = {}, {}
     for feed in columns:
         if feed in landed:
@@ -327,13 +336,15 @@ def run_pipeline(spark: SparkSession, root: str, paths: dict, ds: str, as_of=Non
                                                     LANDING, skip_file_pct=SKIP_FILE_PCT)
     tests = load_and_build(catalog, loaded.get("basics"), loaded.get("ratings"), landed.get("reviews"),
                            F.lit(f"{ds} 00:00:00").cast("timestamp"), as_of or ds, ds, buckets, fact)
+    commits = []
     for feed, registry in registries.items():
         if register == "landed":
-            commit_ids(registry, landed.get(feed), "tconst")
+            commits.append(lambda f=feed, r=registry: commit_ids(r, landed.get(f), "tconst"))
         elif feed in loaded:
-            commit_ids(registry, catalog.read_table(f"raw_imdb_{feed}"), "id")
-            commit_ids(rejected[feed], unloadable(landed[feed], raw_types[feed]).select(
-                row_digest(columns[feed]).alias("row")), "row")
+            commits.append(lambda f=feed, r=registry: commit_ids(r, catalog.read_table(f"raw_imdb_{f}"), "id"))
+            commits.append(lambda f=feed: commit_ids(rejected[f], unloadable(landed[f], raw_types[f]).select(
+                row_digest(columns[f]).alias("row")), "row"))
+    together(*commits)
     return {"tests": tests, "loads": reports, "catalog": catalog}
 
 

@@ -16,6 +16,8 @@ from __future__ import annotations
 import contextlib
 import hashlib
 import json
+import threading
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,9 +72,12 @@ class Catalog:
 
     def write_table(self, name: str, df: DataFrame, meta: dict | None = None) -> DataFrame:
         """Replace a table: the new rows are complete before the old ones go."""
-        built = f"{name}__built"
-        self.drop(built)
-        df.write.saveAsTable(self.table(built))
+        built = f"{name}__{uuid.uuid4().hex[:12]}"      # a name of its own: late tasks of a failed build may still write to theirs
+        try:
+            df.write.saveAsTable(self.table(built))
+        except Exception:
+            self.drop(built)
+            raise
         self.drop(name)
         self.spark.sql(f"ALTER TABLE {self.table(built)} RENAME TO {self.table(name)}")
         if meta:
@@ -136,11 +141,22 @@ class Catalog:
 
 @contextlib.contextmanager
 def overwriting_partitions(spark: SparkSession):
-    """Within: an overwriting insert replaces only the partitions it brings rows for."""
+    """Within: an overwriting insert replaces only the partitions it brings rows for. Threads may be within at once: the
+    first to enter sets the mode, the last to leave restores it."""
     name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name, "static")
-    spark.conf.set(name, "dynamic")
+    with _OVERWRITING:
+        if not _WITHIN:
+            _WITHIN.append(spark.conf.get(name, "static"))
+            spark.conf.set(name, "dynamic")
+        _WITHIN.append(None)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        with _OVERWRITING:
+            _WITHIN.pop()
+            if len(_WITHIN) == 1:
+                spark.conf.set(name, _WITHIN.pop())
+
+
+_OVERWRITING = threading.Lock()
+_WITHIN: list = []          # the mode to restore, then one entry per thread that is within

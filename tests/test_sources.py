@@ -213,6 +213,48 @@ def test_failed_build_keeps_the_table(spark, tmp_root):
     assert rows(cat.read_table("t")) == [("newer",)]
 
 
+def test_first_run_of_a_snapshot_reads_its_batch_once(spark, tmp_root):
+    from marquee.operators.scd2 import snapshot_check
+    from marquee.sources.snapshots import SnapshotTable
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    batch = spark.createDataFrame([(f"k{i}", i) for i in range(100)], "k string, v int").mapInArrow(counted, "k string, v int")
+    table = SnapshotTable(Catalog(spark, tmp_root), "s", "k", buckets=8)
+    buckets = table.merge(batch, "1", lambda p, b: snapshot_check(p, b, "k", ["v"], "2024-01-01 00:00:00"))
+    assert read.value == 100 and table.read().count() == 100
+    assert buckets == table.touched(table.read())
+
+
+def test_partition_mode_is_restored_by_the_last_thread(spark):
+    import threading
+
+    from marquee.session import together
+    from marquee.sources.catalog import overwriting_partitions
+
+    name, entered = "spark.sql.sources.partitionOverwriteMode", threading.Barrier(2)
+    left = threading.Event()
+
+    def first():
+        with overwriting_partitions(spark):
+            entered.wait(30)
+        left.set()
+
+    def second():
+        with overwriting_partitions(spark):
+            entered.wait(30)
+            assert left.wait(30)
+            return spark.conf.get(name).lower()
+
+    before = spark.conf.get(name, "static").lower()
+    assert together(first, second) == [None, "dynamic"] and spark.conf.get(name).lower() == before
+
+
 def test_compacted_table_keeps_rows_and_meta(spark, tmp_root):
     cat = Catalog(spark, tmp_root)
     cat.write_table("d", spark.createDataFrame([("x",)], "id string"), meta={"a": 1})
