@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import stored
+from marquee.llm.common import merged, stored
 
 
 EDGES_A_TASK = 1_000_000
@@ -23,7 +23,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", by_size:
 
     Null ends and edges from a node to itself are ignored; repeated edges count once. ``by_size``: the tasks of a
     round follow the number of edges (``EDGES_A_TASK``, at least one per core, at most the shuffle partitions),
-    so that rounds over few edges do not cost hundreds of nearly empty tasks.
+    so that rounds over few edges do not cost hundreds of nearly empty tasks. Joins with many nodes, those with the
+    result included, are merges (``merged``).
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
@@ -34,22 +35,24 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", by_size:
     while True:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = (both.filter("v > u").join(least, "u")
+        nodes = 2 * state[0]
+        large = (both.filter("v > u").join(merged(least, nodes), "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        joined = large.join(merged(least, nodes), "u")
         small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         now = stored(small, "stars", rebalance=True)
         before, state = state, _state(now)
         if state == before:
             break
-    return _labels(now)
+    return _labels(now, state[0])
 
 
-def _labels(stars: DataFrame) -> DataFrame:
-    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+def _labels(stars: DataFrame, edges: int) -> DataFrame:
+    labels = stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return merged(labels, 2 * edges)
 
 
 def tasks_for(rows: int, df: DataFrame, a_task: int = EDGES_A_TASK) -> int:
@@ -67,17 +70,18 @@ def _components_by_size(edges: DataFrame) -> DataFrame:
         now = now.coalesce(n)
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(n)
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = (both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        nodes = 2 * state[0]
+        large = (both.filter("v > u").join(merged(least, nodes), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .filter("u <> v").coalesce(n).distinct().coalesce(n))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u").coalesce(n)
+        joined = large.join(merged(least, nodes), "u").coalesce(n)
         small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(joined.select("u", F.col("m").alias("v"))).filter("u <> v").coalesce(n).distinct().coalesce(n))
         now = stored(small, "stars")
         before, state = state, _state(now)
         if state == before:
             break
-    return _labels(now)
+    return _labels(now, state[0])
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import arrow_map, blocks, lookup_join, stored
+from marquee.llm.common import arrow_map, blocks, lookup_join, merged, stored
 from marquee.llm.components import connected_components
 from marquee.llm.shingles import Shingler
 
@@ -450,7 +450,7 @@ def links(classes: DataFrame, docs: DataFrame, text: str, size: int, percent: in
 
     prefix = arrow_map(sets.select("_class", "tokens", "prefix"), _prefix_rows, "_class long, token long")
     heads = prefix.groupBy("token").agg(F.min("_class").alias("b"), F.count("*").alias("k")).filter("k > 1")
-    edges = prefix.join(heads, "token").filter("_class <> b").select(F.col("_class").alias("a"), "b").distinct()
+    edges = prefix.join(merged(heads), "token").filter("_class <> b").select(F.col("_class").alias("a"), "b").distinct()
     family = connected_components(edges)                      # node, component; families of two or more
     members = stored(sets.join(family.withColumnRenamed("node", "_class"), "_class")
                      .select("_class", "n", "tokens", F.col("component").alias("family")), "families", rebalance=True)
@@ -461,7 +461,7 @@ def links(classes: DataFrame, docs: DataFrame, text: str, size: int, percent: in
     part = F.pmod(F.xxhash64("_class"), F.coalesce("parts", F.lit(1)))
     if count_links:
         weights = classes.filter("_class IS NOT NULL").groupBy("_class").agg(F.count("*").alias("w"))
-        return stored(_counted(rows.join(weights, "_class"), part, percent, buckets), "links", rebalance=True)
+        return stored(_counted(rows.join(merged(weights, n_classes), "_class"), part, percent, buckets), "links", rebalance=True)
     unit = rows.select(F.concat_ws(":", "family", part).alias("unit"), F.lit(False).alias("query"),
                        "_class", "n", "tokens")
     found = stored(_searched(unit, percent, buckets), "links", rebalance=True)
@@ -550,7 +550,7 @@ def link_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     least = classes.groupBy("_group").agg(F.min("_least").alias("component_id"))
     shared = classes.join(least, "_group")
     if count_links:
-        shared = shared.join(counts, "_class", "left").withColumn(
+        shared = shared.join(merged(counts), "_class", "left").withColumn(
             "n_links", F.col("_rows") - 1 + F.coalesce("_linked", F.lit(0)))
     if group:
         shared = shared.withColumn(group, F.col("_group"))

@@ -2,10 +2,12 @@
 
 import random
 import re
+from functools import partial
 
 import numpy as np
 import pytest
 
+from marquee.llm import common, components
 from marquee.llm import ngram_join as N
 from marquee.llm.components import connected_components
 from marquee.llm.shingles import Shingler
@@ -154,3 +156,43 @@ def test_query_returns_the_number_of_links(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op1_ngram_jaccard"][0](spark, SF).collect()
     assert sorted((r.doc_id, r.n_links) for r in got) == sorted(brute_links(rows))
+
+
+def planned(monkeypatch, *modules):
+    """Plans of the tables that ``modules`` store, by name, as if every table were over the bounds of a broadcast."""
+    plans = {}
+
+    def seen(df, name, **kw):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return common.stored(df, name, **kw)
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    lookup = partial(common.lookup_join, bound_rows=-1, salts=4)
+    for module in modules:
+        monkeypatch.setattr(module, "stored", seen)
+        if hasattr(module, "lookup_join"):
+            monkeypatch.setattr(module, "lookup_join", lookup)
+    return plans
+
+
+def test_tables_over_the_bound_are_merged_not_broadcast(spark, mixed, monkeypatch):
+    plans = planned(monkeypatch, N, components)
+    out = N.link_groups(spark.createDataFrame(mixed, "doc_id long, text string"), count_links=True)
+    for name in ("edges", "stars", "families", "links"):
+        assert plans[name] and not any("BroadcastHashJoin" in p for p in plans[name]), name
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    got = out.collect()
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=repr) == sorted(brute(mixed), key=repr)
+    assert sorted([(r.doc_id, r.n_links) for r in got], key=repr) == sorted(brute_links(mixed), key=repr)
+
+
+def test_components_over_the_bound_are_merged(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)], "a long, b long")
+    for by_size in (False, True):
+        with monkeypatch.context() as m:
+            plans = planned(m, components)
+            got = connected_components(edges, by_size=by_size)
+            assert not any("BroadcastHashJoin" in p for p in plans["stars"])
+            assert "BroadcastHashJoin" not in edges.join(
+                got.withColumnRenamed("node", "a"), "a")._jdf.queryExecution().executedPlan().toString()
+            assert dict(map(tuple, got.collect())) == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
