@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import arrow_map, blocks, lookup_join, stored
+from marquee.llm.common import arrow_map, blocks, lookup_join, merged, stored
 from marquee.llm.components import connected_components, tasks_for
 
 SLOTS = 256
@@ -373,16 +373,17 @@ def _near_groups(prints: DataFrame, least: float, unit_rows: int) -> DataFrame:
     keyed = (prints.select("fid", F.explode(bands(F.hex("print"))).alias("b"))
              .select(F.xxhash64("b.band", "b.bits").alias("key"), "fid"))
     heads = keyed.groupBy("key").agg(F.min("fid").alias("head"), F.count("*").alias("n")).filter("n > 1")
-    members = stored(_sized(keyed.join(heads, "key"), BANDS * n), "band-members")
+    members = stored(_sized(keyed.join(merged(heads), "key"), BANDS * n), "band-members")
     n_members = members.count()
     members = _sized(members, n_members)
     pairs = _sized(members.filter("fid <> head").select("fid", "head"), n_members).distinct()
     own = prints.select("fid", "print")
-    pairs = _sized(pairs, n_members).join(own, "fid")
+    pairs = merged(_sized(pairs, n_members), n_members).join(own, "fid")
     pairs = _sized(pairs, n_members).join(own.toDF("head", "head_print"), "head").select(
         "fid", "head", "print", "head_print")
     links = stored(_sized(arrow_map(pairs, lambda it: _links_to_heads(it, least), "a long, b long"), n_members), "head-links")
     groups = stored(connected_components(links, by_size=True).coalesce(tasks_for(n, prints)), "head-groups")
+    groups = merged(groups, groups.count())
 
     # In a bucket of two the head was the only partner.
     rows = (members.filter("n > 2").select("key", "fid")
@@ -395,9 +396,10 @@ def _near_groups(prints: DataFrame, least: float, unit_rows: int) -> DataFrame:
              .select("key", F.col("m.grp").alias("largest"), F.ceil(F.col("n") / unit_rows).cast("int").alias("parts"),
                      F.ceil((F.col("n") - F.col("m.k")) / unit_rows).cast("int").alias("chunks")))
     split = stored(_sized(split, n_members), "split-buckets")
-    if split.isEmpty():
+    n_split = split.count()
+    if not n_split:
         return groups
-    open_rows = _sized(rows.join(split, "key"), n_members)
+    open_rows = _sized(rows.join(merged(split, n_split), "key"), n_members)
     open_rows = stored(_sized(open_rows.join(own, "fid"), n_members), "open-members")
     part = F.pmod(F.xxhash64("fid"), F.col("parts"))
     chunk = F.pmod(F.xxhash64("fid", F.lit("chunk")), F.col("chunks"))

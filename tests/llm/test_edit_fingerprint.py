@@ -4,7 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from marquee.llm import components
 from marquee.llm import edit_fingerprint as E
+from tests.llm.test_ngram_join import planned
 
 SF = "/root/testdata/sf0.001"
 
@@ -152,3 +154,17 @@ def test_extra_and_clashing_columns_are_left_out(spark):
     assert sorted(got.collect()) == sorted(E.with_near_classes(plain).collect())
     kept = E.fingerprint(df)
     assert kept.columns == ["doc_id", "text", "_slice", "fid", "near_class", "fingerprint"]
+
+
+def test_tables_over_the_bound_are_merged_not_broadcast(spark, monkeypatch):
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(600)) for _ in range(12)]
+    texts = [t[:k] + "x" * k + t[k:] for t in base for k in range(4)] + base
+    df = frame(spark, list(enumerate(texts)))
+    want = sorted(map(tuple, E.with_near_classes(df).collect()), key=repr)
+    plans = planned(monkeypatch, E, components)
+    out = E.with_near_classes(df)
+    for name in ("band-members", "band-groups", "stars"):
+        assert plans[name] and not any("BroadcastHashJoin" in p for p in plans[name]), name
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, out.collect()), key=repr) == want
