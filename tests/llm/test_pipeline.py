@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from marquee.llm.queries import MIX_FRACTION, domain_of, mix_sql
-from tests.llm.test_ngram_join import brute
+from tests.llm.test_ngram_join import brute, planned
 
 SF = "/root/testdata/sf0.01"
 
@@ -119,3 +119,15 @@ def test_near_duplicates_go_by_row_not_by_id(spark):
         ({a, a + " eleven"}, {1, 5, 9, None}), ({rows[2][1]}, {5}), ({rows[3][1]}, {7, 9}), ({rows[4][1]}, {7}), ({"only here"}, {None}))]
     want = [min(g, key=lambda r: (r[0] is None, r[0] or 0, r[2])) for g in groups] + [(3, None, "p"), (4, None, "q")]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_near_duplicates_of_many_groups_are_merged_not_broadcast(spark, monkeypatch):
+    from marquee.llm import components, ngram_join
+
+    words = [f"w{i} " * 3 + " ".join(f"v{i}x{j}" for j in range(30)) for i in range(20)]
+    rows = [(100 * k + i, t + " end" * k, str(k)) for i, t in enumerate(words) for k in range(i % 3 + 1)] + [(7, words[7], "0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n string")
+    plans = planned(monkeypatch, P, ngram_join, components)
+    out = P.near_duplicate_stage(spark, docs, "")
+    assert "BroadcastHashJoin" not in plans["members"][0] + out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == sorted((i, t, "0") for i, t in enumerate(words))
